@@ -9,19 +9,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .packing import pack
+from .quality_model import fit_quality, quality_scores
+from .quality_rules import quality_rules
+from .simhash import simhash_groups
 from .token_counts import token_counts
+from .toxicity import fit_toxicity, toxicity
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op6_token_counts)}
+    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_toxicity, op6_token_counts, op8_simhash, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
