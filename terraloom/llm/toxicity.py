@@ -131,12 +131,13 @@ def texts_find(cut: list[str], at: int, word: str, k: int) -> int:
     return base + cut[k].index(word, at - base)
 
 
-def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: float = 0.01, min_ratio: float = 12.0, max_lexicon: int = 5_000, plain_sentences: int = 8_000, steps: int = 60, seed: int = 0) -> SpanTagger:
+def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: float = 0.02, min_ratio: float = 12.0, max_lexicon: int = 5_000, plain_sentences: int = 8_000, steps: int = 60, seed: int = 0) -> SpanTagger:
     """Learns a tagger from (text, toxic 0 or 1).
 
     Words of a toxic text are labelled toxic where the word is in ``min_docs`` toxic texts and
     in a share of ``min_share`` of them at least, and ``min_ratio`` times as frequent, by texts,
-    in toxic as in other texts; all other words are labelled clean. Copies count once. The field is fitted to these labels by gradient ascent on the
+    in toxic as in other texts (three texts added to these, against chance); all other words
+    are labelled clean. Copies count once. The field is fitted to these labels by gradient ascent on the
     penalised likelihood, over all sentences that hold such words and a bounded number of others; then a
     logistic fit turns the marginals of a text into its score. No toxic or no other text: every
     score is the share of toxic texts.
@@ -152,7 +153,7 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     for words, (_, label) in zip(split, sample, strict=True):
         seen[label].update(set(chain.from_iterable(words)))
     n0, n1 = (y == 0).sum(), (y == 1).sum()
-    ratio = {w: (c / n1) / ((seen[0][w] + 0.5) / n0) for w, c in seen[1].items() if c >= max(min_docs, min_share * n1)}
+    ratio = {w: (c / n1) / ((seen[0][w] + 3) / n0) for w, c in seen[1].items() if c >= max(min_docs, min_share * n1)}
     toxic = sorted((w for w, r in ratio.items() if r >= min_ratio), key=lambda w: (-ratio[w], w))[:max_lexicon]
     # a margin of merely associated words lets the field learn that they are not enough
     near = sorted((w for w, r in ratio.items() if min_ratio / 4 <= r < min_ratio), key=lambda w: (-ratio[w], w))[: max_lexicon - len(toxic)]
