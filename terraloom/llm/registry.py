@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .nearest import nearest
 from .packing import pack
 from .quality_model import fit_quality, quality_scores
 from .quality_rules import quality_rules
+from .sentence_pieces import sentence_piece_digests
 from .simhash import simhash_groups
 from .token_counts import token_counts
 from .toxicity import fit_toxicity, toxicity
+from .warc import warc_round_trip
+
+
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,17 +40,25 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_quality_rules, op4_toxicity, op6_token_counts, op8_simhash, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
