@@ -13,10 +13,9 @@ from .select import CELL, is_trusted, likely_ocean
 
 # Fixed values of the shard and pack files.
 SHARD_MAGIC, SHARD_VERSION = b"GSH1", 1
-SHARD_HEADER = struct.Struct("<4sHHhhHHIIIII")
-SHARD_ENTRY = struct.Struct("<II")
-PACK_HEADER = struct.Struct("<4sHIIIIIIH")
-PACK_ENTRY = struct.Struct("<QQ")
+SHARD_HEADER, SHARD_ENTRY = "<4sHHhhHHIIIII", "<II"
+PACK_HEADER, PACK_ENTRY = "<4sHIIIIIIH", "<QQ"
+SHARD_HEADER_BYTES, SHARD_ENTRY_BYTES, PACK_HEADER_BYTES, PACK_ENTRY_BYTES = map(struct.calcsize, (SHARD_HEADER, SHARD_ENTRY, PACK_HEADER, PACK_ENTRY))
 PACK_MAGIC = {"terrain": b"GPK3", "population": b"GPOP"}
 MOST_PACK_BYTES = 1024 * 1024 * 1024
 BUCKETS = [(1, "<1KB"), (10, "1-10KB"), (50, "10-50KB"), (100, "50-100KB"), (500, "100-500KB")]
@@ -77,7 +76,7 @@ def pack_layout(files: DataFrame, size: str = "terrain_bytes") -> DataFrame:
 
 def pack_header(files: DataFrame, size: str = "terrain_bytes") -> DataFrame:
     stored = F.coalesce(F.sum(size), F.lit(0)).cast("long")
-    total = stored + PACK_ENTRY.size * keys.WIDTH * keys.HEIGHT + 32
+    total = stored + PACK_ENTRY_BYTES * keys.WIDTH * keys.HEIGHT + PACK_HEADER_BYTES
     return on_grid(files).agg(F.count(size).alias("tiles"), stored.alias("stored_bytes"), total.alias("file_bytes"), (total > MOST_PACK_BYTES).alias("too_large"))
 
 
@@ -127,8 +126,8 @@ def pack_shards(files: DataFrame, degrees: int = 10, prefix: str = "terrain", si
     """A manifest row per shard."""
     grouped = shard_key(files.filter(F.col(size).isNotNull()), degrees).groupBy("shard_lat", "shard_lon", "tile_w", "tile_h")
     rows = grouped.agg(F.count("*").alias("tile_count"), F.sum(size).cast("long").alias("data_bytes"))
-    index = (F.col("tile_w") * F.col("tile_h") * SHARD_ENTRY.size).cast("long")
-    return rows.select(shard_name(prefix).alias("path"), F.lit(prefix).alias("kind"), "shard_lat", "shard_lon", "tile_w", "tile_h", "tile_count", index.alias("index_bytes"), "data_bytes", (SHARD_HEADER.size + index + F.col("data_bytes")).alias("file_bytes"))
+    index = (F.col("tile_w") * F.col("tile_h") * SHARD_ENTRY_BYTES).cast("long")
+    return rows.select(shard_name(prefix).alias("path"), F.lit(prefix).alias("kind"), "shard_lat", "shard_lon", "tile_w", "tile_h", "tile_count", index.alias("index_bytes"), "data_bytes", (SHARD_HEADER_BYTES + index + F.col("data_bytes")).alias("file_bytes"))
 
 
 def shard_blobs(tiles: DataFrame, degrees: int = 10, prefix: str = "terrain") -> DataFrame:
@@ -141,13 +140,13 @@ def shard_blobs(tiles: DataFrame, degrees: int = 10, prefix: str = "terrain") ->
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows, one = rows.sort_values("name"), rows.iloc[0]
-        index, data = bytearray(int(one.tile_w) * int(one.tile_h) * SHARD_ENTRY.size), bytearray()
+        index, data = bytearray(int(one.tile_w) * int(one.tile_h) * SHARD_ENTRY_BYTES), bytearray()
         for at, payload in zip(rows.local_idx, rows.payload, strict=True):
-            SHARD_ENTRY.pack_into(index, int(at) * SHARD_ENTRY.size, len(data), len(payload))
+            struct.pack_into(SHARD_ENTRY, index, int(at) * SHARD_ENTRY_BYTES, len(data), len(payload))
             data += payload
         if len(data) >= 1 << 32:
             raise ValueError(f"{one.path} exceeds 4 GiB; use smaller shards")
-        head = SHARD_HEADER.pack(SHARD_MAGIC, SHARD_VERSION, kind, int(one.shard_lon), int(one.shard_lat), int(one.tile_w), int(one.tile_h), len(rows), len(index), len(data), len(data), 0)
+        head = struct.pack(SHARD_HEADER, SHARD_MAGIC, SHARD_VERSION, kind, int(one.shard_lon), int(one.shard_lat), int(one.tile_w), int(one.tile_h), len(rows), len(index), len(data), len(data), 0)
         return pd.DataFrame({"path": [one.path], "tile_count": [len(rows)], "content": [head + bytes(index) + bytes(data)]})
 
     return keyed.groupBy("path").applyInPandas(build, "path string, tile_count int, content binary")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -11,9 +12,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.keys import HEIGHT, WIDTH
-from ..operators.pack import PACK_ENTRY, PACK_HEADER, PACK_MAGIC
+from ..operators.pack import PACK_ENTRY, PACK_ENTRY_BYTES, PACK_HEADER, PACK_HEADER_BYTES, PACK_MAGIC
 
-INDEX_BYTES = PACK_ENTRY.size * WIDTH * HEIGHT
+INDEX_BYTES = PACK_ENTRY_BYTES * WIDTH * HEIGHT
 
 
 def read_pack_tiles(spark: SparkSession, path: str) -> DataFrame:
@@ -24,7 +25,7 @@ def read_pack_tiles(spark: SparkSession, path: str) -> DataFrame:
         for f in frames:
             for content in f.content:
                 view = memoryview(content)
-                magic, _, wide, _, _, _, _, flags, _ = PACK_HEADER.unpack_from(view)
+                magic, _, wide, _, _, _, _, flags, _ = struct.unpack_from(PACK_HEADER, view)
                 kind = {v: k for k, v in PACK_MAGIC.items()}.get(magic)
                 if kind is None:
                     raise ValueError("not a pack file")
@@ -35,9 +36,9 @@ def read_pack_tiles(spark: SparkSession, path: str) -> DataFrame:
                     opened = zstandard.ZstdDecompressor().decompress
                 rows = []
                 for i in range(WIDTH * HEIGHT):
-                    at, size = PACK_ENTRY.unpack_from(view, PACK_HEADER.size + i * PACK_ENTRY.size)
+                    at, size = struct.unpack_from(PACK_ENTRY, view, PACK_HEADER_BYTES + i * PACK_ENTRY_BYTES)
                     if size:
-                        at += PACK_HEADER.size + INDEX_BYTES
+                        at += PACK_HEADER_BYTES + INDEX_BYTES
                         rows.append((kind, i // wide - 90, i % wide - 180, opened(bytes(view[at : at + size]))))
                 yield pd.DataFrame(rows, columns=["kind", "tile_lat", "tile_lon", "payload"])
 
@@ -57,7 +58,7 @@ def write_pack_parts(tiles: DataFrame, folder: str, kind: str = "terrain") -> in
         for f in frames:
             for lat, lon, payload in zip(f.tile_lat, f.tile_lon, f.payload, strict=True):
                 blob = packer.compress(bytes(payload))
-                PACK_ENTRY.pack_into(index, ((lat + 90) * WIDTH + lon + 180) * PACK_ENTRY.size, len(data), len(blob))
+                struct.pack_into(PACK_ENTRY, index, ((lat + 90) * WIDTH + lon + 180) * PACK_ENTRY_BYTES, len(data), len(blob))
                 data, count, raw = data + blob, count + 1, raw + len(payload)
         if count:
             local = urlsplit(folder).scheme in ("", "file")
@@ -65,7 +66,7 @@ def write_pack_parts(tiles: DataFrame, folder: str, kind: str = "terrain") -> in
             store.create_dir(path, recursive=True)
             name = f"{path}/part-{TaskContext.get().partitionId():05d}.dat"
             with store.open_output_stream(name) as out:
-                out.write(PACK_HEADER.pack(PACK_MAGIC[kind], 2, WIDTH, HEIGHT, count, len(data), raw, 1, 0) + bytes(index) + bytes(data))
+                out.write(struct.pack(PACK_HEADER, PACK_MAGIC[kind], 2, WIDTH, HEIGHT, count, len(data), raw, 1, 0) + bytes(index) + bytes(data))
             yield pd.DataFrame({"n": [count]})
 
     return tiles.select("tile_lat", "tile_lon", "payload").filter("payload is not null").mapInPandas(run, "n long").count()
