@@ -46,8 +46,8 @@ def references(docs: DataFrame, common: int, common_chars: int, min_ref_words: i
     top = counted.withColumn("r", rank).filter(F.col("r") <= common)
     top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "w", "n"))).alias("top"))
     cells = [F.col(f"c{i}") for i in range(len(CLASSES) + 2)]
-    total = sum(cells[1:], cells[0])
-    of_words = F.transform("top", lambda t: t["n"] / F.col("all_words"))
+    total = F.greatest(F.lit(1), sum(cells[1:], cells[0]))
+    of_words = F.transform("top", lambda t: t["n"] / F.greatest(F.lit(1), F.col("all_words")))
     both = sums.filter(F.col("all_words") >= min_ref_words).join(top, "lang")
     both = both.select("lang", F.array(*(c / total for c in cells)).alias("char_ref"), F.transform("top", lambda t: t["w"]).alias("common"), of_words.alias("shares"))
     return both.withColumn("word_ref", F.concat("shares", F.array(F.lit(1.0) - F.aggregate("shares", F.lit(0.0), lambda a, x: a + x)))).drop("shares")
@@ -57,7 +57,7 @@ def _js_distance(p: Column, q: Column) -> Column:
     """Square root of the Jensen-Shannon divergence in bits, rounded to six places."""
 
     def part(a: Column, b: Column) -> Column:
-        return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(0.0)
+        return F.when(a > 0, a * F.log2(2 * a / F.greatest(a + b, F.lit(1e-300)))).otherwise(0.0)
 
     terms = F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a))
     return F.round(F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x) / 2)), 6)
@@ -120,12 +120,13 @@ def quality_rules(
     m = m.withColumn("codes", F.array_remove(F.transform("short", lambda w: F.array_position("common", w)), 0))
     counts = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: (F.size("codes") - F.size(F.array_remove("codes", k.cast("long")))).cast("double"))
     judged = F.col("common").isNotNull() & (F.col("n_words") >= min_words)
-    shares = F.concat(F.transform(counts, lambda n: n / F.col("n_words")), F.array((F.col("n_words") - F.size("codes")) / F.col("n_words")))
-    total = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x)
+    some = F.greatest("n_words", F.lit(1))  # never a division by zero, whatever is evaluated early
+    shares = F.concat(F.transform(counts, lambda n: n / some), F.array((F.col("n_words") - F.size("codes")) / some))
+    total = F.greatest(F.lit(1), F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x))
     m = m.withColumn("char_distance", F.when(judged, _js_distance(F.transform("classes", lambda n: n / total), F.col("char_ref"))))
     m = m.withColumn("word_distance", F.when(judged, _js_distance(shares, F.col("word_ref"))))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    room = 1 / F.sqrt(F.col("n_words"))
+    room = 1 / F.sqrt(some)
     far = (F.col("char_distance") > F.round(max_char_distance + char_slack * room, 6)) | (F.col("word_distance") > F.round(max_word_distance + word_slack * room, 6))
     far = F.coalesce(far, F.lit(False))
     return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "char_distance", "word_distance")
