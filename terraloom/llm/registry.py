@@ -66,5 +66,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op5_katz, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier)}
 
 
+#: Where SQL has no form (tokens, fitted models, XXH64, approximate search), tests hold the
+#: operator against a plain version instead.
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+r AS (SELECT p.*, CASE WHEN n >= 1000 AND page_id IS NOT NULL THEN max(page_id) OVER (PARTITION BY digest) END AS top FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < top THEN top END AS refers_to FROM r
+"""
+QUALITY_SQL = """
+WITH t AS (SELECT doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+m AS (SELECT doc_id, lang, text, words, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+  [length(regexp_replace(text, '[^A-Z]+', '', 'g')), length(regexp_replace(text, '[^0-9]+', '', 'g')), length(regexp_replace(text, '[^.,;:!?''"()-]+', '', 'g')), length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')), length(regexp_replace(text, '[\\x00-\\x7F]+', '', 'g')),
+   length(text) - coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)] AS named,
+  list_transform(list_filter(words, lambda w: length(w) <= 5), lambda w: lower(w)) AS short,
+  list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '') AS lines FROM t),
+c AS (SELECT *, list_append(named, length(text) - list_sum(named)) AS classes FROM m),
+sums AS (SELECT lang, sum(n_words) AS all_words, list_transform(range(1, 8), lambda i: i) AS places, [sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]), sum(classes[5]), sum(classes[6]), sum(classes[7])] AS total FROM c GROUP BY lang),
+counted AS (SELECT lang, w, count(*) AS n FROM (SELECT lang, unnest(short) AS w FROM c) GROUP BY lang, w),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS r FROM counted),
+refs AS (SELECT s.lang, list_transform(total, lambda x: CAST(x AS DOUBLE) / greatest(1, list_sum(total))) AS char_ref, top.common, list_append(list_transform(top.ns, lambda n: CAST(n AS DOUBLE) / all_words), 1.0 - list_sum(list_transform(top.ns, lambda n: CAST(n AS DOUBLE) / all_words))) AS word_ref
+  FROM sums s JOIN (SELECT lang, list(w ORDER BY r) AS common, list(n ORDER BY r) AS ns FROM ranked WHERE r <= 24 GROUP BY lang) top USING (lang) WHERE all_words >= 1000),
+windows AS (SELECT doc_id, i, array_to_string(words[i : i + 7], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, n_words - 6)) AS i FROM c WHERE n_words >= 8)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM again CROSS JOIN range(8) AS o(k) GROUP BY doc_id),
+joined AS (SELECT c.*, refs.char_ref, refs.common, refs.word_ref, coalesce(n_repeat_words, 0) AS n_repeat_words, refs.common IS NOT NULL AND n_words >= 40 AS judged FROM c LEFT JOIN refs USING (lang) LEFT JOIN repeats USING (doc_id)),
+shared AS (SELECT *, list_transform(classes, lambda x: CAST(x AS DOUBLE) / greatest(1, list_sum(classes))) AS p, list_transform(common, lambda w: CAST(len(list_filter(short, lambda x: x = w)) AS DOUBLE) / greatest(1, n_words)) AS q0 FROM joined),
+full_ AS (SELECT *, list_append(q0, 1.0 - coalesce(list_sum(q0), 0)) AS q FROM shared),
+scored AS (SELECT *, CASE WHEN judged THEN round(sqrt(greatest(0, list_sum(list_transform(range(1, 8), lambda i: CASE WHEN p[i] > 0 THEN p[i] * log2(2 * p[i] / (p[i] + char_ref[i])) ELSE 0 END + CASE WHEN char_ref[i] > 0 THEN char_ref[i] * log2(2 * char_ref[i] / (p[i] + char_ref[i])) ELSE 0 END)) / 2)), 6) END AS char_distance,
+  CASE WHEN judged THEN round(sqrt(greatest(0, list_sum(list_transform(range(1, len(q) + 1), lambda i: CASE WHEN q[i] > 0 THEN q[i] * log2(2 * q[i] / (q[i] + word_ref[i])) ELSE 0 END + CASE WHEN word_ref[i] > 0 THEN word_ref[i] * log2(2 * word_ref[i] / (greatest(q[i], 0) + word_ref[i])) ELSE 0 END)) / 2)), 6) END AS word_distance FROM full_)
+SELECT doc_id, n_words, word_chars, CAST(classes[4] AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT coalesce(char_distance > round(0.14 + 1.2 / sqrt(n_words), 6) OR word_distance > round(0.15 + 1.8 / sqrt(n_words), 6), false) AS kept, char_distance, word_distance FROM scored
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": QUALITY_SQL, "op9_warc": WARC_SQL}

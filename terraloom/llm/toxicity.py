@@ -188,7 +188,7 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
         d_start = np.array([0.0, (want[begin] - m[begin]).mean()]) - 0.001 * start
         for value, g, h in ((start, d_start, history[0]), (transition, d_move, history[1]), (emission[:, 1], d_emit, history[2])):
             h += g * g
-            value += 0.7 * g / np.sqrt(h)
+            value += 1.5 * g / np.sqrt(h)
     tagger = SpanTagger(lexicon, emission, transition, start, np.zeros(3))
     x, _ = tagger.features([t for t, _ in sample])
     tagger.weights = fit_logistic(x, y, ridge=0.05)
