@@ -55,7 +55,11 @@ def correction_counts(pixels: DataFrame) -> DataFrame:
 
 
 def pixel_gradient(pixels: DataFrame) -> DataFrame:
-    """Adds grad: the largest difference of elevation to a neighbour within the tile."""
+    """Adds grad: the largest difference of elevation to a neighbour within the tile.
+
+    Dealt by tile once, which serves both windows and all groupings by tile that follow.
+    """
+    pixels = pixels.repartition("tile_id")
     along, down = Window.partitionBy("tile_id", "r").orderBy("c"), Window.partitionBy("tile_id", "c").orderBy("r")
     near = [f("dem").over(w) for w in (along, down) for f in (F.lag, F.lead)]
     steps = [F.coalesce(F.abs(F.col("dem") - n), F.lit(0.0)) for n in near]

@@ -16,8 +16,9 @@ def quad_pyramid(pixels: DataFrame, levels: int = 5, lowest: int | None = None)
     """Statistics of every block of every level from 0 (the tile) to ``lowest``.
 
     ``pixels`` have dem, pop, zone, urban and grad; a tile has 2 ** levels pixels a side and
-    the lowest level has two, unless given. Each level is summed from the level below, so pixels
-    are grouped once. Sums, not means, go up: all of them are exact for whole numbers.
+    the lowest level has two, unless given. Levels are summed from a level below, so pixels
+    aren't grouped once per level; where they are dealt by tile (see ``pixel_gradient``) nothing
+    is shuffled. Sums, not means, go up: all of them are exact for whole numbers.
     """
     lowest = levels - 1 if lowest is None else lowest
     side = 1 << (levels - lowest)
@@ -29,11 +30,19 @@ def quad_pyramid(pixels: DataFrame, levels: int = 5, lowest: int | None = None)
         *(F.sum(F.when(F.col("urban") == u, 1).otherwise(0)).alias(f"u{u}") for u in codes.URBAN),
     )
     sums = ["n", "s", "ss", "z0", "z1", "z2", "z3", "ps", "pss", *(f"u{u}" for u in codes.URBAN)]
+    tops = [F.max(c).alias(c) for c in ("high", "most", "grad")]
+
+    def summed(df: DataFrame, *by: str) -> DataFrame:
+        return df.groupBy(*TILE, *by, "qr", "qc").agg(*(F.sum(c).alias(c) for c in sums), F.min("low").alias("low"), *tops)
+
     found = [level.withColumn("level", F.lit(lowest))]
-    for k in reversed(range(lowest)):
-        up = found[-1].withColumn("qr", F.floor(F.col("qr") / 2).cast("int")).withColumn("qc", F.floor(F.col("qc") / 2).cast("int"))
-        up = up.groupBy(*TILE, "qr", "qc").agg(*(F.sum(c).alias(c) for c in sums), F.min("low").alias("low"), F.max("high").alias("high"), F.max("most").alias("most"), F.max("grad").alias("grad"))
-        found.append(up.withColumn("level", F.lit(k)))
+    if lowest:
+        half = {q: F.floor(F.col(q) / 2).cast("int") for q in ("qr", "qc")}
+        found.append(summed(level.withColumns(half)).withColumn("level", F.lit(lowest - 1)))
+    if lowest > 1:  # a sixteenth of the pixels is left, so one grouping makes all further levels
+        above = found[-1].withColumn("from", F.col("level")).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(lowest - 2))))
+        scale = F.pow(F.lit(2.0), F.col("from") - F.col("level"))
+        found.append(summed(above.withColumns({q: F.floor(F.col(q) / scale).cast("int") for q in ("qr", "qc")}), "level"))
     return reduce(DataFrame.unionByName, found)
 
 

@@ -44,7 +44,7 @@ class Tiles:
         ok = status.filter("status = 'ok'").select("tile_id")
         pyramid = stored(spark, tree.quad_pyramid(pixels.pixel_gradient(repaired(spark, d).join(ok, "tile_id", "left_semi"))), "pyramid")
         self.states = kept.select(*CELL, (F.col("status") != "ok").alias("is_water"))
-        self.terrain, self.population = tree.terrain_leaves(pyramid), tree.population_leaves(pyramid)
+        self.terrain, self.population = stored(spark, tree.terrain_leaves(pyramid), "terrain"), stored(spark, tree.population_leaves(pyramid), "population")
 
     def samples(self, g: int = 3) -> DataFrame:
         return audit.tile_samples(self.states, self.terrain, self.population, g)
