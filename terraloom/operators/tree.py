@@ -79,7 +79,10 @@ def population_splits(forced: int = 3, deepest: int = 9) -> Column:
 
 
 def _leaves(pyramid: DataFrame, splits: Column, levels: int) -> DataFrame:
-    """Blocks that aren't divided while all above them are, with path and place."""
+    """Blocks that aren't divided while all above them are, with path and place.
+
+    Reads the pyramid three times; give it a written one.
+    """
     path = reduce(lambda acc, k: F.when(F.col("level") == k, keys.block_path(F.col("qr"), F.col("qc"), k)).otherwise(acc), range(1, levels), F.lit(""))
     nodes = pyramid.withColumn("path", path).withColumn("splits", (F.col("level") == 0) | ((F.col("level") < levels - 1) & splits))
     # a tile has few blocks that stop: what lies below one of them is not in the tree

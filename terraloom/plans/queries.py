@@ -402,12 +402,12 @@ def quad_pyramid(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def terrain_leaves(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(tree.terrain_leaves(pixel_pyramid(spark, d)), "elev").select("tile_id", "path", "level", "r0", "c0", "size", "elev", "zone", "gradient")
+    return rounded(tree.terrain_leaves(stored(spark, pixel_pyramid(spark, d), "pyramid")), "elev").select("tile_id", "path", "level", "r0", "c0", "size", "elev", "zone", "gradient")
 
 
 @query
 def population_leaves(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(tree.population_leaves(pixel_pyramid(spark, d)), "density").select("tile_id", "path", "level", "r0", "c0", "size", "density", "urban")
+    return rounded(tree.population_leaves(stored(spark, pixel_pyramid(spark, d), "pyramid")), "density").select("tile_id", "path", "level", "r0", "c0", "size", "density", "urban")
 
 
 @query
