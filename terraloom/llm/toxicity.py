@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -107,16 +107,19 @@ class SpanTagger:
             rows = np.concatenate([np.arange(begin[s], begin[s] + lengths[s]) for s in own])
             m, _, _ = chains(ids[rows], lengths[own], self.emission, self.transition, self.start)
             first_of_text = np.searchsorted(of_text, np.arange(len(texts)))
+            places: dict[int, list[int]] = {}  # where each sentence of a text begins
             for s, part in zip(own.tolist(), np.split(m, np.cumsum(lengths[own])[:-1]), strict=True):
                 i = of_text[s]
                 high[i], total[i] = max(high[i], part.max()), total[i] + part.sum()
                 if part.max() >= 0.5:
-                    k = s - first_of_text[i]
-                    at = sum(len(x) + 1 for x in cut[i][:k])
-                    for w, p in zip(cut[i][k].split(), part, strict=True):
-                        at = texts_find(cut[i], at, w, k)
+                    if i not in places:
+                        places[i] = list(accumulate((len(x) + 1 for x in cut[i]), initial=0))
+                    k, at = s - first_of_text[i], 0
+                    base, sentence = places[i][k], cut[i][k]
+                    for w, p in zip(sentence.split(), part, strict=True):
+                        at = sentence.index(w, at)
                         if p >= 0.5:
-                            spans[i].append((at, at + len(w), float(p)))
+                            spans[i].append((base + at, base + at + len(w), float(p)))
                         at += len(w)
         return np.stack([high, np.log1p(total)], axis=1), spans
 
@@ -125,12 +128,6 @@ class SpanTagger:
         return sigmoid(x @ self.weights[:-1] + self.weights[-1]), spans
 
 
-def texts_find(cut: list[str], at: int, word: str, k: int) -> int:
-    """Where ``word`` begins at or after position ``at``, which lies in sentence k."""
-    base = sum(len(x) + 1 for x in cut[:k])
-    return base + cut[k].index(word, at - base)
-
-
 def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: float = 0.02, min_ratio: float = 12.0, max_lexicon: int = 5_000, plain_sentences: int = 8_000, steps: int = 60, seed: int = 0) -> SpanTagger:
     """Learns a tagger from (text, toxic 0 or 1).
 

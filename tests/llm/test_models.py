@@ -70,6 +70,9 @@ def test_spans_are_offsets_of_the_text():
     score, spans = tagger.scores([text, "", "Nothing to see."])
     assert [text[a:b] for a, b, _ in spans[0]] == ["SCOUNDREL"] and not spans[1] and not spans[2]
     assert score[0] > 0.5 > score[1] and abs(score[1] - score[2]) < 0.2
+    long = "Ok. a scoundrel.\n" * 20_000
+    _, (found,) = tagger.scores([long])
+    assert len(found) == 20_000 and all(long[a:b] == "scoundrel" for a, b, _ in found)
 
 
 def test_toxicity_on_held_out_rows(spark):
