@@ -106,7 +106,9 @@ def quality_rules(
     n_repeat_words, base_failed, kept, char_distance, word_distance. Null or empty text: no
     words, so base_failed. Null ids and repeated rows: a row each. Other columns: ignored.
     No rows: no rows. References are at most one row per language; the table is broadcast only
-    while it has no more than 1,000 rows.
+    while it has no more than 1,000 rows. The result, some 100 bytes a row, is a table written to
+    the shared folder: a filter on it reads that table, and isn't pushed into the nested
+    expressions above, which it would copy many times over.
     """
     refs = written(references(docs, common, common_chars, min_ref_words, id_col, text_col, lang_col), "language-references")
     small = refs.limit(1001).count() <= 1000
@@ -129,4 +131,5 @@ def quality_rules(
     room = 1 / F.sqrt(some)
     far = (F.col("char_distance") > F.round(max_char_distance + char_slack * room, 6)) | (F.col("word_distance") > F.round(max_word_distance + word_slack * room, 6))
     far = F.coalesce(far, F.lit(False))
-    return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "char_distance", "word_distance")
+    judged_rows = m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "char_distance", "word_distance")
+    return written(judged_rows, "quality-rules")
