@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 
 from .common import as_batch, sliced, strings
 
-#: Closing marks that no special string of a vocabulary ends with, nor any accent combines with.
-CLOSING = re.compile(r"[.,;:!?]*\Z")
+#: Closing marks after a digit or a Latin letter (but İ, which lowers to one and a mark): after other marks they may share a token with them.
+CLOSING = re.compile(r"(?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])[.,;:!?]+\Z")
 #: Letters beyond those of Latin, or whose lower case depends on the library.
 ODD_CASE = re.compile("[^\x00-\u024f]|\u0130")
 #: How the vocabulary marks the last token of a word.
@@ -27,9 +27,10 @@ class LengthEncoder:
 
     The vocabulary's splitter never lets a token hold a space or a line feed, and neither
     composes with what follows, so words between them are encoded apart. Nor does a token hold
-    a letter and a punctuation mark, so closing marks are encoded apart too. The library lowers
-    case anyway; for texts whose letters all lower alike everywhere it's done first, so that
-    fewer distinct words remain. Each distinct word of a batch is encoded once; lengths are
+    a letter or digit and a punctuation mark, so closing marks are encoded apart too where one
+    stands before them. The library lowers case anyway, after it has looked for special strings;
+    for texts whose letters all lower alike everywhere, and that hold no special string then,
+    it's done first, so that fewer distinct words remain. Each distinct word of a batch is encoded once; lengths are
     kept while they are fewer than ``max_words``.
     """
 
@@ -46,6 +47,7 @@ class LengthEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _encode(self, wanted: set[str]) -> None:
         """Words of Latin letters go together in long texts, as the last token of each is marked."""
@@ -61,13 +63,17 @@ class LengthEncoder:
             part = other[i : i + 20_000]
             self.stems.update(zip(part, map(len, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)), strict=True))
 
+    def _lowered(self, text: str) -> str:
+        low = text.lower()
+        return text if ODD_CASE.search(text) or any(s in low for s in self.special) else low
+
     def counts(self, texts: list[str]) -> list[int]:
-        split = [(t if ODD_CASE.search(t) else t.lower()).replace("\n", " ").split(" ") for t in texts]
+        split = [self._lowered(t).replace("\n", " ").split(" ") for t in texts]
         if len(self.lengths) > self.max_words:
             self.lengths.clear()
             self.stems.clear()
         lengths, stems = self.lengths, self.stems
-        new = [(w, CLOSING.search(w).start()) for w in set().union(*split) - lengths.keys()]
+        new = [(w, m.start() if (m := CLOSING.search(w)) else len(w)) for w in set().union(*split) - lengths.keys()]
         self._encode({part for w, n in new for part in (w[:n], w[n:])})
         lengths.update((w, stems[w[:n]] + stems[w[n:]]) for w, n in new)
         return [sum(map(lengths.__getitem__, words)) for words in split]

@@ -51,6 +51,12 @@ def test_token_counts_equal_the_library(spark, odd, real):
     assert token_counts(odd.limit(0), P.path("word_bpe_49k.json")).count() == 0
 
 
+def test_token_counts_where_marks_follow_marks_and_specials_change_case(spark):
+    texts = ["He left (early).", "50%,", '"so".', '"foo".', "x): y)... z\u0301. \u0958. n². ª.", "a <|ENDOFTEXT|> b", "<|EndOfText|>.", "<|endoftext|>.", "it's. 'S, ''. 5'. a_. 34.5!?", "İ. aİ,"]
+    got = token_counts(frame(spark, texts), P.path("word_bpe_49k.json")).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in got] == library_counts(texts)
+
+
 def library_ids(texts):
     from tokenizers import Tokenizer
 
