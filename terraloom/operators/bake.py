@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 
 from ..functions.codes import GRADIENT_LIMITS, LEAF, LOG_MAX, LOG_SCALE
 from .pixels import KEYS
@@ -204,21 +205,30 @@ def validate_payloads(tiles: DataFrame, payload: str = "terrain") -> DataFrame:
     return tiles.select(*CELL, check(F.col(payload)).alias("error")).filter("error is not null")
 
 
-def rebake_rounds(scan: Callable[[int], DataFrame], bake: Callable[[DataFrame], DataFrame], rounds: int = 4, most: int = 2_000) -> DataFrame:
+def rebake_rounds(scan: Callable[[int], DataFrame], bake: Callable[[DataFrame], DataFrame], rounds: int | None = 4, most: int = 2_000) -> DataFrame:
     """Scans, drops tiles already redone, bakes at most ``most`` in name order, and repeats.
 
     ``scan(round)`` gives problem cells, ``bake(cells)`` rows of rebaked cells, which must keep
     the cells. Returns the rebaked rows with their round; ends when a scan finds nothing new.
+    If ``rounds`` (None: no end) end first, each cell left has a row with nulls beside the cell.
+    The driver holds the cells of past rounds, at most one per cell of the grid.
     """
     done: DataFrame | None = None
-    for k in range(1, rounds + 1):
-        cells = scan(k).select(*CELL).distinct()
-        if done is not None:
-            cells = cells.join(done.select(*CELL), CELL, "left_anti")
-        if cells.isEmpty():
+    tried: list[Row] = []
+    for k in islice(count(1), rounds):
+        found = scan(k).select(*CELL).distinct()
+        spark, fields = found.sparkSession, found.schema
+        left = found.join(F.broadcast(spark.createDataFrame(tried, fields)), CELL, "left_anti")
+        cells = left.orderBy(*CELL).limit(most).collect()
+        if not cells:
             break
-        made = bake(cells.orderBy(*CELL).limit(most)).withColumn("round", F.lit(k))
+        made = bake(spark.createDataFrame(cells, fields)).withColumn("round", F.lit(k))
         done = made if done is None else done.unionByName(made)
+        tried += cells
+    else:
+        if done is not None:
+            left = found.join(F.broadcast(spark.createDataFrame(tried, fields)), CELL, "left_anti")
+            done = done.unionByName(left, allowMissingColumns=True)
     if done is None:
         raise ValueError("no problem tiles")
     return done

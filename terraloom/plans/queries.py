@@ -563,15 +563,15 @@ def land_index(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def rebake_rounds(spark: SparkSession, d: str) -> DataFrame:
-    """Problem tiles of a scan, baked again in rounds of at most 40."""
+    """All problem tiles of a scan, baked again in rounds of at most 2,000 until none is left."""
     t = Tiles(spark, d)
     found = stored(spark, audit.scan_problem_tiles(t.samples(), view(spark, d, "land_tiles")), "problems")
     arrays = stored(spark, bake.fused_arrays(repaired(spark, d).filter("dem is not null")), "arrays")
 
     def again(cells: DataFrame) -> DataFrame:
-        return stored(spark, bake.bake_tiles(cells.join(arrays, CELL).select(arrays.columns)).select(*CELL, "status", "terrain_nodes"), "rebaked")
+        return stored(spark, bake.bake_tiles(F.broadcast(cells).join(arrays, CELL).select(arrays.columns)).select(*CELL, "status", "terrain_nodes"), "rebaked")
 
-    return bake.rebake_rounds(lambda _: found, again, 4, 40)
+    return bake.rebake_rounds(lambda _: found, again, rounds=None)
 
 
 @query

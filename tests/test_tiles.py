@@ -1,5 +1,7 @@
 """Encodings, trees, payloads, packs and files on small inputs."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -177,6 +179,25 @@ def test_rebake_rounds_stop_when_nothing_is_new(spark):
     assert sorted(r["count"] for r in done.groupBy("round").count().collect()) == [1, 2, 2]
 
 
+def test_rebake_rounds_say_which_cells_are_left(spark):
+    cells = spark.createDataFrame([(i, i) for i in range(5)], "tile_lat int, tile_lon int")
+    rows = bake.rebake_rounds(lambda _: cells, lambda c: c.withColumn("status", F.lit("ok")), rounds=2, most=2).orderBy("tile_lat").collect()
+    assert [(r.tile_lat, r.status, r.round) for r in rows] == [(0, "ok", 1), (1, "ok", 1), (2, "ok", 2), (3, "ok", 2), (4, None, None)]
+    assert bake.rebake_rounds(lambda _: cells, lambda c: c, rounds=None, most=1).count() == 5
+
+
+def test_rebake_query_bakes_every_problem_tile(spark, monkeypatch):
+    from terraloom.plans import queries
+
+    one = "array(1d, 1d, 1d, 1d)"
+    arrays = spark.range(200).selectExpr("id tile_id", "cast(id % 90 as int) tile_lat", "cast(id as int) tile_lon", f"{one} dem", "array(1, 1, 1, 1) zone", f"{one} pop", "array(0, 0, 0, 0) urban")
+    monkeypatch.setattr(queries, "Tiles", lambda *_: SimpleNamespace(samples=lambda: None))
+    monkeypatch.setattr(queries.audit, "scan_problem_tiles", lambda *_: arrays.select("tile_lat", "tile_lon"))
+    monkeypatch.setattr(queries.bake, "fused_arrays", lambda _: arrays)
+    rows = queries.rebake_rounds(spark, DATA).collect()
+    assert len({(r.tile_lat, r.tile_lon) for r in rows}) == len(rows) == 200 and {r.status for r in rows} == {"ok"}
+
+
 def test_linear_resampling_keeps_corners_and_zeros_missing(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0, 2.0, 3.0]), (2, None)], "tile_id long, v array<double>")
     rows = {r.tile_id: r.v for r in pixels.resample_layer(df, "v", 3, linear=True).collect()}
