@@ -15,7 +15,7 @@ from .common import as_batch, crc_mod_py, raw, scratch, sliced
 
 BLOCK = "block long, docs array<long>, held array<boolean>, ends array<int>, words array<long>, tokens array<int>"
 ASK = "bucket int, block long, keys array<long>, n array<int>, a array<double>, b array<double>"
-TOLD = "kind string, bucket int, block long, keys array<long>, counts array<int>, spread array<int>, weights array<double>"
+TOLD = "kind string, bucket int, block long, keys array<long>, counts array<int>, own array<int>, weights array<double>"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64()}
 #: No word holds a space, so this one is no word.
@@ -58,13 +58,16 @@ def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Discounts:
-    """Good-Turing factors by count: factor[r] for r up to the cut-off, then 1.
+    """Good-Turing factors by count: factor[r] for r up to the cut-off, then less a fixed ``beyond``.
+
+    By default ``beyond`` is what the cut-off's count loses, so counts of any size leave a share
+    for unseen words; 0 leaves higher counts whole.
 
     ``lowest`` is the smallest count that counts as seen. Where the counts of counts don't
     give a factor between 0 and 1, as in tiny texts, (r - 0.5) / r stands in.
     """
 
-    def __init__(self, of_counts: list[int], lowest: int, cut: int = KEPT_COUNTS - 1):
+    def __init__(self, of_counts: list[int], lowest: int, cut: int = KEPT_COUNTS - 1, beyond: float | None = None):
         n = [0, *of_counts]
         self.factor = np.ones(cut + 2)
         self.factor[:lowest] = 0
@@ -73,16 +76,23 @@ class Discounts:
             ratio = (r + 1) * n[r + 1] / (r * n[r]) if n[r] else 0.0
             d = (ratio - tail) / (1 - tail) if tail < 1 else 0.0
             self.factor[r] = d if 0 < d < 1 else (r - 0.5) / r
+        self.beyond = cut * (1 - self.factor[cut]) if beyond is None else beyond
 
     def __call__(self, count: np.ndarray) -> np.ndarray:
-        return self.factor[np.minimum(count, len(self.factor) - 1)]
+        last = len(self.factor) - 1
+        return np.where(count >= last, 1 - self.beyond / np.maximum(last, count), self.factor[np.minimum(count, last)])
+
+    def taken(self, count: np.ndarray) -> np.ndarray:
+        """What each count loses, without taking near equals from each other."""
+        last = len(self.factor) - 1
+        return np.where(count >= last, self.beyond, (1 - self.factor[np.minimum(count, last)]) * count)
 
 
 class Unigrams:
     """Discounted word probabilities; what the discounts free is the one unknown word's."""
 
     def __init__(self, total: int, of_counts: list[int]):
-        self.total, self.discount = max(1, total), Discounts(of_counts, 1)
+        self.total, self.discount = max(1, total), Discounts(of_counts, 1, beyond=0.0)
         freed = sum((1 - self.discount.factor[r]) * r * of_counts[r - 1] for r in range(1, KEPT_COUNTS)) / self.total
         self.unknown = freed if total and freed > 0 else 1 / (self.total + 1)
         known = 1 - freed if total else 1.0
@@ -188,7 +198,7 @@ def _merge(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarr
     return table.column("block").to_pylist(), np.array([len(p) for p in parts]), keys, place
 
 
-def _count(asked: DataFrame, lowest: int, with_spread: bool) -> DataFrame:
+def _count(asked: DataFrame, lowest: int, with_own: bool) -> DataFrame:
     """Counts of all keys of a bucket: told to each block in the order that it asked, and the model's table."""
     schema = arrow(TOLD)
 
@@ -197,12 +207,15 @@ def _count(asked: DataFrame, lowest: int, with_spread: bool) -> DataFrame:
         alone = sum(x[0] for x in table.column("a").to_pylist() if x)
         n = np.concatenate(cells(table, "n"))
         counts = np.bincount(place, weights=n, minlength=len(keys)).astype(np.int64)
-        spread = np.bincount(place, weights=n > 0, minlength=len(keys)).astype(np.int32)
         shown = np.where(counts >= lowest, counts, 0).astype(np.int32)
-        spread[shown == 0] = 0
+        here = np.flatnonzero((n > 0) & (shown[place] > 0))
+        one_of = np.full(len(keys), -1)
+        one_of[place[here]] = here  # of the blocks that have a key, one takes it
+        own = np.zeros(len(place), np.int32)
+        own[one_of[one_of >= 0]] = 1
         bucket = table.column("bucket")[0].as_py()
         stop = np.cumsum(sizes)
-        out = [row(schema, kind="told", bucket=bucket, block=b, counts=shown[place[e - s : e]], spread=spread[place[e - s : e]] if with_spread else None) for b, s, e in zip(names, sizes, stop, strict=True) if s]
+        out = [row(schema, kind="told", bucket=bucket, block=b, counts=shown[place[e - s : e]], own=own[e - s : e] if with_own else None) for b, s, e in zip(names, sizes, stop, strict=True) if s]
         kept = np.flatnonzero(shown)
         out.append(row(schema, kind="table", bucket=bucket, keys=keys[kept].view(np.int64), counts=shown[kept]))
         small = np.bincount(np.minimum(counts, KEPT_COUNTS + 1), minlength=KEPT_COUNTS + 2)[1 : KEPT_COUNTS + 1]
@@ -214,13 +227,16 @@ def _count(asked: DataFrame, lowest: int, with_spread: bool) -> DataFrame:
 
 
 def _weigh(asked: DataFrame) -> DataFrame:
-    """Backoff weight of each context: what its seen words leave, over what they leave below."""
+    """Backoff weight of each context, times its count: what its seen words leave, over what they leave below.
+
+    What is left is a whole number, of pairs that count as unseen, and a sum of discounts.
+    """
     schema = arrow(TOLD)
 
     def run(table: pa.Table) -> pa.Table:
         names, sizes, keys, place = _merge(table)
-        a, b = (np.bincount(place, weights=np.concatenate(cells(table, c)), minlength=len(keys)) for c in "ab")
-        weights = np.maximum(0, 1 - a) / np.maximum(1e-300, 1 - b)
+        n, a, b = (np.bincount(place, weights=np.concatenate(cells(table, c)), minlength=len(keys)) for c in "nab")
+        weights = (n + a) / (1 - b)
         bucket, stop = table.column("bucket")[0].as_py(), np.cumsum(sizes)
         out = [row(schema, kind="told", bucket=bucket, block=n, weights=weights[place[e - s : e]]) for n, s, e in zip(names, sizes, stop, strict=True)]
         out.append(row(schema, kind="table", bucket=bucket, keys=keys.view(np.int64), weights=weights))
@@ -252,7 +268,8 @@ def katz_scores(docs: DataFrame, held_mod: int = 10, held_value: int = 0, lowest
     has its Good-Turing discounted share if the pair was found ``lowest`` times or more (pairs
     found less often count as unseen, as Katz proposes), else the context's backoff weight
     times the word's own discounted share, or that of the one unknown word. Weights are exact:
-    the shares after every context sum to one.
+    the shares after every context sum to one, and frequent pairs are discounted too, so each
+    context leaves a share for words not seen after it.
 
     Texts are read once into blocks of about ``block_tokens`` tokens, kept bucketed. A block
     asks for the counts of its distinct words, then of its distinct pairs, then for its
@@ -300,24 +317,25 @@ def katz_scores(docs: DataFrame, held_mod: int = 10, held_value: int = 0, lowest
     above = Discounts(sums(bigrams)[2:], lowest)
     told = told.unionByName(bigrams.filter("kind = 'told'").withColumn("step", F.lit("pairs")))
 
-    def contexts(b: Block, said: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Contexts that may have seen pairs, here or elsewhere, by hash, and the block's part of what those take."""
-        count, spread = _told(said, "pairs", "counts"), _told(said, "pairs", "spread")
-        seen = np.flatnonzero(count)
-        left, right = b.at(seen)
-        part = np.where(b.n[seen] > 0, 1 / np.maximum(1, spread[seen]), 0.0)
-        a = np.bincount(left, weights=part * above(count[seen]) * count[seen] / b.context_counts[left], minlength=len(b.words) + 1)
-        p = np.bincount(left, weights=part * below(b.counts[right]), minlength=len(b.words) + 1)
+    def contexts(b: Block, said: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Contexts that may have seen pairs, here or elsewhere, by hash, and the block's part of what those leave and take."""
+        count = _told(said, "pairs", "counts")
+        own = np.flatnonzero(_told(said, "pairs", "own"))
+        left, right = b.at(own)
+        size = len(b.words) + 1
+        n = np.bincount(b.context, weights=b.trained, minlength=size) - np.bincount(left, weights=count[own], minlength=size)
+        a = np.bincount(left, weights=above.taken(count[own]), minlength=size)
+        p = np.bincount(left, weights=below(b.counts[right]), minlength=size)
         used = np.unique(b.context)
         used = used[b.context_counts[used] >= lowest]
         hashes = np.append(b.words.view(np.uint64), np.uint64(1))[used]
         order = np.argsort(hashes)
-        return used[order], hashes[order], a[used[order]], p[used[order]]
+        return used[order], hashes[order], n[used[order]].astype(np.int32), a[used[order]], p[used[order]]
 
     def taken(key, own: pa.Table, said: pa.Table) -> pa.Table:
         b = Block(own, _told(said, "words", "counts"), lowest)
-        _, hashes, a, p = contexts(b, said)
-        return pa.Table.from_batches(list(_ask(iter([b]), buckets, lambda _: (hashes, {"a": a, "b": p}))), arrow(ASK))
+        _, hashes, n, a, p = contexts(b, said)
+        return pa.Table.from_batches(list(_ask(iter([b]), buckets, lambda _: (hashes, {"n": n, "a": a, "b": p}))), arrow(ASK))
 
     weights = _kept(_weigh(spark_blocks.cogroup(told.groupBy("block")).applyInArrow(taken, ASK)), "weights")
     told = told.unionByName(weights.filter("kind = 'told'").withColumn("step", F.lit("weights")))
@@ -327,7 +345,7 @@ def katz_scores(docs: DataFrame, held_mod: int = 10, held_value: int = 0, lowest
         b = Block(own, _told(said, "words", "counts"), lowest)
         used, *_ = contexts(b, said)
         backoff = np.ones(len(b.words) + 1)
-        backoff[used] = _told(said, "weights", "weights")
+        backoff[used] = _told(said, "weights", "weights") / b.context_counts[used]
         count = np.zeros(len(b.tokens), np.int64)
         count[b.able] = _told(said, "pairs", "counts")[b.of_token]
         lower = backoff[b.context] * below(b.counts[b.tokens])
@@ -336,6 +354,6 @@ def katz_scores(docs: DataFrame, held_mod: int = 10, held_value: int = 0, lowest
         plain = np.log10(b.counts[b.tokens] + 0.1) - scale
         known = np.add.reduceat((b.counts[b.tokens] > 0).astype(np.int64), begin)
         size = np.diff(b.ends, prepend=0).astype(np.int64)
-        return pa.Table.from_batches([as_batch(schema, b.docs, b.held, size, known, np.full(len(size), total, np.int64), np.add.reduceat(plain, begin), np.add.reduceat(np.log10(np.maximum(p, 1e-300)), begin))])
+        return pa.Table.from_batches([as_batch(schema, b.docs, b.held, size, known, np.full(len(size), total, np.int64), np.add.reduceat(plain, begin), np.add.reduceat(np.log10(p), begin))])
 
     return spark_blocks.cogroup(told.groupBy("block")).applyInArrow(score, SCORES)

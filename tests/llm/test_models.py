@@ -154,6 +154,17 @@ def plain_katz(train, lowest):
     return ones, contexts, probability
 
 
+@pytest.mark.parametrize("block_tokens", [5, 100_000])
+def test_katz_leaves_a_context_of_seven_copies(spark, block_tokens):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10]
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    rows = [(i, "rare pair") for i in ids[:7]] + [(i, "other words") for i in ids[7:20]] + [(held, "rare words")]
+    got = katz_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), block_tokens=block_tokens).filter("held_out").first()
+    _, _, probability = plain_katz([[*t.encode().split(), END] for _, t in rows[:-1]], 2)
+    want = sum(math.log10(probability(a, w)) for a, w in [(None, b"rare"), (b"rare", b"words"), (b"words", END)])
+    assert abs(got.score - want) < 1e-9 and got.score > -10
+
+
 @pytest.mark.parametrize("block_tokens", [40, 100_000])
 def test_katz_equals_dictionaries_and_sums_to_one(spark, docs, block_tokens):
     rows = [(r.doc_id, (r.text or "")[:300].replace("\n", " ")) for r in docs.limit(60).collect()] + [(1000 + i, "the cat of the house of the cat " * (1 + i % 3)) for i in range(12)]
