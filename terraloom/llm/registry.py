@@ -78,7 +78,7 @@ WITH t AS (SELECT doc_id, coalesce(lang, 'und') AS lang, coalesce(text, '') AS t
 m AS (SELECT doc_id, lang, text, words, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
   [length(regexp_replace(text, '[^A-Z]+', '', 'g')), length(regexp_replace(text, '[^0-9]+', '', 'g')), length(regexp_replace(text, '[^.,;:!?''"()-]+', '', 'g')), length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')), length(regexp_replace(text, '[\\x00-\\x7F]+', '', 'g')),
    length(text) - coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)] AS named,
-  list_transform(list_filter(words, lambda w: length(w) <= 5), lambda w: lower(w)) AS short,
+  list_transform(words, lambda w: lower(w)) AS short,
   list_filter(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '') AS lines FROM t),
 c AS (SELECT *, list_append(named, length(text) - list_sum(named)) AS classes FROM m),
 sums AS (SELECT lang, sum(n_words) AS all_words, list_transform(range(1, 8), lambda i: i) AS places, [sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]), sum(classes[5]), sum(classes[6]), sum(classes[7])] AS total FROM c GROUP BY lang),
