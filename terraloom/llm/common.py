@@ -39,6 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that no table reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n (null ids: null)."""
     return (F.crc32(doc_id.cast("string").cast("binary")) % n).cast("int")
@@ -91,3 +97,40 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     ends = np.cumsum(lengths)
     return np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(starts, lengths)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers whose bits all depend on all bits of ``x``."""
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ x >> np.uint64(32)
+
+
+ODD = np.uint64(0x9E3779B97F4A7C15)
+ODD_INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
+OF_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * ODD)
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[list(ASCII_SPACE.encode())] = True
+
+
+def powers(base: np.uint64, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1), modulo 2 ** 64."""
+    out = np.full(n, base)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of each word, A-Z in lower case, of all texts in order; words of each text).
+
+    A word's hash is a polynomial of its bytes, taken from running sums over all texts at once.
+    """
+    data = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+    stop = np.cumsum([len(t) + 1 for t in texts])
+    gap = IS_SPACE[data]
+    before = np.concatenate([[True], gap[:-1]])
+    start, end = np.flatnonzero(~gap & before), np.flatnonzero(gap & ~before)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(OF_BYTE[data] * powers(ODD, len(data)), out=sums[1:])
+    value = mixed((sums[end] - sums[start]) * powers(ODD_INVERSE, len(data))[start])
+    return value, np.diff(np.searchsorted(start, stop), prepend=0)

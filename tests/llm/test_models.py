@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terraloom.llm.katz import END, KEPT_COUNTS, Discounts, Unigrams, katz_scores
+from terraloom.llm.common import word_hashes
+from terraloom.llm.katz import katz_scores
 from terraloom.llm.labelled import labelled_sample
 from terraloom.llm.quality_model import fit_attention, fit_quality, passages, quality_scores
 from terraloom.llm.toxicity import SpanTagger, chains, fit_tagger, fit_toxicity, keep_unflagged, toxicity
@@ -126,32 +127,73 @@ def test_passages_do_not_depend_on_neighbours():
         assert np.allclose(x[owner == i], own)
 
 
-def plain_katz(train, lowest):
-    """Counts, discounts and a probability function, by dictionaries."""
-    ones, twos = Counter(), Counter()
+def plain_katz(train, order):
+    """Counts of words and a probability function of (context, word), by dictionaries and from the definition."""
+    counts = [Counter() for _ in range(order + 1)]
     for words in train:
-        ones.update(words)
-        twos.update(zip([None, *words], words, strict=False))
-    contexts = Counter()
-    for (a, _), c in twos.items():
-        contexts[a] += c
-
-    def of(counts):
-        return [sum(1 for c in counts.values() if c == r) for r in range(1, KEPT_COUNTS + 1)]
-
-    below, above = Unigrams(sum(ones.values()), of(ones)), Discounts(of(twos), lowest)
-    single = lambda w: float(below(np.array([ones[w]]))[0])
-
-    def probability(a, w):
-        if contexts[a] and twos[(a, w)] >= lowest:
-            return float(above(np.array([twos[(a, w)]]))[0]) * twos[(a, w)] / contexts[a]
-        if not contexts[a]:
-            return single(w)
-        seen = [(x, c) for (b, x), c in twos.items() if b == a and c >= lowest]
-        left = 1 - sum(float(above(np.array([c]))[0]) * c / contexts[a] for _, c in seen)
-        return left / (1 - sum(single(x) for x, _ in seen)) * single(w)
+        padded = ["<s>"] * (order - 1) + list(words)
+        for i in range(order - 1, len(padded)):
+            for n in range(1, order + 1):
+                counts[n][tuple(padded[i - n + 1 : i + 1])] += 1
+    after = [Counter() for _ in range(order)]
+    for n in range(2, order + 1):
+        for gram, c in counts[n].items():
+            after[n - 1][gram[:-1]] += c
+
+    def kept(n, c, above):
+        """The share of a count that Good and Turing leave it; counts over five lose what five does, or nothing."""
+        of = Counter(counts[n].values())
+        if c > 5:
+            return 1.0 - 5 * (1 - kept(n, 5, above)) / c if above else 1.0
+        tail = 6 * of[6] / of[1] if of[1] else 1.0
+        d = ((c + 1) * of[c + 1] / (c * of[c]) - tail) / (1 - tail) if tail < 1 and of[c] else 0.0
+        return d if 0 < d < 1 else (c - 0.5) / c
+
+    total = sum(counts[1].values())
+    freed = sum((1 - kept(1, c, False)) * c for c in counts[1].values()) / total if total else 0.0
+    new = freed if freed > 0 else 1 / (total + 1)
+
+    def probability(context, word):
+        context = tuple(context)
+        if not context:
+            c = counts[1][(word,)]
+            return (1 - new) * kept(1, c, False) * c / total / (1 - freed) if c else new
+        shorter = lambda w: probability(context[1:], w)
+        n, all_ = len(context) + 1, after[len(context)][context]
+        if not all_:
+            return shorter(word)
+        c = counts[n][(*context, word)]
+        if c:
+            return kept(n, c, True) * c / all_
+        seen = {g[-1]: k for g, k in counts[n].items() if g[:-1] == context}
+        left = 1 - sum(kept(n, k, True) * k / all_ for k in seen.values())
+        return left / (1 - sum(map(shorter, seen))) * shorter(word)
+
+    return counts[1], probability
+
+
+def plain_scores(rows, order, skipped=()):
+    """What katz_scores returns, from ``plain_katz``, but for the rows of ids ``skipped``."""
+    held = [None if i is None else zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows]
+    tokens = [[*(t or "").encode().lower().split(), "end"] for _, t in rows]
+    ones, probability = plain_katz([w for h, w in zip(held, tokens, strict=True) if h is False], order)
+    total, kinds, out = sum(ones.values()), len(ones), []
+    for (i, _), h, words in zip(rows, held, tokens, strict=True):
+        if i in skipped:
+            continue
+        base = sum(math.log10((ones[(w,)] + 0.1) / (total + 0.1 * (kinds + 1))) for w in words)
+        padded = ["<s>"] * (order - 1) + words
+        score = sum(math.log10(probability(padded[k : k + order - 1], w)) for k, w in enumerate(words))
+        out.append((i, h, len(words), sum(ones[(w,)] > 0 for w in words), total, base, score))
+    return out, ones, probability
+
+
+def same_scores(got, want):
+    def key(r):
+        return (-1 if r[0] is None else r[0], round(r[-1], 6))
 
-    return ones, contexts, probability
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
+        assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
 
 
 @pytest.mark.parametrize("block_tokens", [5, 100_000])
@@ -159,35 +201,38 @@ def test_katz_leaves_a_context_of_seven_copies(spark, block_tokens):
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10]
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     rows = [(i, "rare pair") for i in ids[:7]] + [(i, "other words") for i in ids[7:20]] + [(held, "rare words")]
-    got = katz_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), block_tokens=block_tokens).filter("held_out").first()
-    _, _, probability = plain_katz([[*t.encode().split(), END] for _, t in rows[:-1]], 2)
-    want = sum(math.log10(probability(a, w)) for a, w in [(None, b"rare"), (b"rare", b"words"), (b"words", END)])
-    assert abs(got.score - want) < 1e-9 and got.score > -10
-
-
-@pytest.mark.parametrize("block_tokens", [40, 100_000])
-def test_katz_equals_dictionaries_and_sums_to_one(spark, docs, block_tokens):
-    rows = [(r.doc_id, (r.text or "")[:300].replace("\n", " ")) for r in docs.limit(60).collect()] + [(1000 + i, "the cat of the house of the cat " * (1 + i % 3)) for i in range(12)]
-    rows += [(2000, None), (2001, ""), (None, "the cat"), (2002, "Qqq zzz the"), (2002, "Qqq zzz the")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    held = {i: None if i is None else zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
-    tokens = [[*(t or "").encode().lower().split(), END] for _, t in rows]
-    ones, contexts, probability = plain_katz([w for (i, _), w in zip(rows, tokens, strict=True) if held[i] is False], 2)
-    got = katz_scores(df, block_tokens=block_tokens).collect()
-    total, kinds = sum(ones.values()), len(ones)
-
-    def key(r):
-        return (-1 if r[0] is None else r[0], round(r[-1], 6))
-
-    want = []
-    for (i, _), words in zip(rows, tokens, strict=True):
-        base = sum(math.log10((ones[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in words)
-        want.append((i, held[i], len(words), sum(ones[w] > 0 for w in words), total, base, sum(math.log10(probability(a, w)) for a, w in zip([None, *words], words, strict=False))))
-    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
-        assert tuple(a[:5]) == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
-    for context in [None, b"the", b"of", b"cat", b"nowhere"]:
-        assert abs(sum(probability(context, w) for w in [*ones, b"never seen"]) - 1) < 1e-9
-    assert katz_scores(df.limit(0)).count() == 0
+    got = katz_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), block_tokens=block_tokens)
+    same_scores(got.collect(), plain_scores(rows, 3)[0])
+    assert got.filter("held_out").first().score > -10
+
+
+@pytest.mark.parametrize(("order", "block_tokens"), [(1, 200), (2, 100_000), (3, 60), (3, 100_000), (4, 500)])
+def test_katz_equals_dictionaries_and_sums_to_one(spark, docs, order, block_tokens):
+    rows = [(r.doc_id, (r.text or "")[:200].replace("\n", " ")) for r in docs.limit(60).collect()] + [(1000 + i, "the cat of the house of the cat " * (1 + i % 3)) for i in range(30)]
+    rows += [(2000, None), (2001, ""), (None, "the cat"), (2002, "Qqq zzz the"), (2002, "Qqq zzz the"), (3000, " \t\n"), (3001, "the house of the cat sat " * 3)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, block string, n_tokens int").repartition(3)
+    want, ones, probability = plain_scores(rows, order)
+    same_scores(katz_scores(df, order=order, block_tokens=block_tokens).collect(), want)
+    for context in ["<s> <s>", "<s> the", "of the", "the cat", "no where", "where the"]:
+        context = [w if w == "<s>" else w.encode() for w in context.split()][-(order - 1) :] if order > 1 else []
+        assert abs(sum(probability(context, *w) for w in [*ones, ("never seen",)]) - 1) < 1e-9
+    assert katz_scores(df.limit(0), order=order).count() == 0
+
+
+def test_katz_of_a_very_long_text(spark):
+    words = np.random.default_rng(0).integers(0, 400, 150_000).astype(str)
+    rows = [(i, "3 4 5 6 " * 20) for i in range(40)] + [(99, " ".join(words)), (100, "w" * 300_000)]
+    got = katz_scores(spark.createDataFrame(rows, "doc_id long, text string"), block_tokens=10_000).collect()
+    same_scores([r for r in got if r.doc_id != 99], plain_scores(rows, 3, [99])[0])
+    assert {r.n_tokens for r in got if r.doc_id == 99} == {150_001}
+
+
+def test_word_hashes_tell_words_apart(docs):
+    texts = [(r.text or "").encode() for r in docs.collect()] + [b"", b" ", b"A\x0bb a\x0cB", "\u00c9\u00a0x".encode()]
+    hashes, n = word_hashes(texts)
+    words = [w for t in texts for w in t.lower().split()]
+    assert n.tolist() == [len(t.split()) for t in texts] and len(hashes) == len(words)
+    assert len(set(hashes.tolist())) == len(set(words)) == len(set(zip(hashes.tolist(), words, strict=True)))
 
 
 def test_katz_beats_its_base_on_held_out_rows(spark, docs):
