@@ -22,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder path below the cluster's shared checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (local tests) is a local folder made and set.
+    Only where ``spark.checkpoint.dir`` is unset and the master is local is a local folder made and set.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="terraloom-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
@@ -45,6 +47,24 @@ def removed(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: A key of more rows than this, and of more than a thousandth of all, is dealt over several tasks.
+HOT_ROWS = 256
+
+
+def salted_join(rows: DataFrame, keys: DataFrame, key: str, n: str, total: int, spread: str, how: str = "left") -> DataFrame:
+    """Rows joined with ``keys``: a row per key, with the number ``n`` of its rows, ``total`` in all.
+
+    Rows of a hot key are dealt over several tasks by a hash of ``spread``, and the key's own row
+    goes to each of them. At most 1,000 keys are hot, so they are broadcast.
+    """
+    most = max(HOT_ROWS, -(-total // 1000))
+    salts = F.ceil(F.col(n) / most).cast("int")
+    hot = F.broadcast(keys.filter(F.col(n) > most).select(key, salts.alias("_salts")))
+    rows = rows.join(hot, key, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")), F.lit(0)).cast("int")).drop("_salts")
+    keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(salts, F.lit(1)) - 1)))
+    return rows.join(keys, [key, "_salt"], how).drop("_salt")
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n (null ids: null)."""
     return (F.crc32(doc_id.cast("string").cast("binary")) % n).cast("int")

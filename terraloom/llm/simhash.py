@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_batch, ranges, raw, sliced, written
+from .common import as_batch, ranges, raw, salted_join, sliced, written
 from .components import components
 
 #: Runs of more rows than this with one key are searched from row to row, shorter ones by lag.
@@ -120,24 +120,39 @@ def lag_pairs(keys: np.ndarray, values: np.ndarray, radius: int) -> Iterator[tup
 def run_links(values: np.ndarray, radius: int, block: int = 32) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected within one run: (row, first row of its component).
 
-    From a first row outwards: rows just reached are compared, a block at a time, with the rows
-    not reached yet, so a run of copies of one text costs few passes and gives one link per row.
+    Rows are taken a block at a time and compared with all that are left; those that nothing is
+    near are done with. From the first of the others outwards, rows just reached are compared, a
+    block at a time, with the rows not reached yet, so a run of copies of one text costs few
+    passes and gives one link per row. Planes are made again only when half the lanes are done.
     """
-    rest = np.arange(len(values))
+    names, left, p = np.arange(len(values)), np.ones(len(values), bool), planes(values)
     rows, roots = [], []
-    while len(rest) > 1:
-        root, frontier, rest = rest[0], rest[:1], rest[1:]
-        while len(frontier) and len(rest):
+
+    def near(some: np.ndarray) -> np.ndarray:
+        """(rows, words) of the lanes left within the radius of each row."""
+        width = p.shape[1]
+        flip = np.where((values[some][None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1), ~np.uint64(0), np.uint64(0))
+        return within(lambda k, at: p[k][at % width] ^ flip[k][at // width], np.broadcast_to(lanes(left), (len(some), width)), radius)
+
+    while left.sum() > 1:
+        if 2 * left.sum() < len(left):
+            values, names = values[left], names[left]
+            left, p = np.ones(len(values), bool), planes(values)
+        some = np.flatnonzero(left)[:block]
+        alone = np.bitwise_count(near(some)).sum(1) == 1  # itself
+        left[some[alone]] = False
+        if alone.all():
+            continue
+        root = some[~alone][0]
+        frontier = np.array([root])
+        left[root] = False
+        while len(frontier) and left.any():
             some, frontier = frontier[:block], frontier[block:]
-            p, width = planes(values[rest]), -(-len(rest) // 64)
-            alive = np.broadcast_to(lanes(np.ones(len(rest), bool)), (len(some), width))
-            flip = np.where((values[some][None, :] >> np.arange(64, dtype=np.uint64)[:, None]) & np.uint64(1), ~np.uint64(0), np.uint64(0))
-            near = within(lambda k, at: p[k][at % width] ^ flip[k][at // width], alive, radius)  # noqa: B023
-            hit = set_lanes(np.bitwise_or.reduce(near, axis=0))
-            rows.append(rest[hit])
-            roots.append(np.full(len(hit), root))
-            frontier = np.concatenate([frontier, rest[hit]])
-            rest = np.delete(rest, hit)
+            hit = set_lanes(np.bitwise_or.reduce(near(some), axis=0))
+            left[hit] = False
+            rows.append(names[hit])
+            roots.append(np.full(len(hit), names[root]))
+            frontier = np.concatenate([frontier, hit])
     none = np.zeros(0, np.int64)
     return np.concatenate([none, *rows]), np.concatenate([none, *roots])
 
@@ -224,8 +239,9 @@ def simhash_groups(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int
     columns: ignored. No rows: no rows.
     """
     prints = written(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
-    classes = written(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "fingerprint-classes")
+    classes = written(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "fingerprint-classes")
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     roots = components(links(classes, radius, bucket_rows=bucket_rows))
-    joined = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component"))
-    out = prints.join(joined, "fp", "left")
+    joined = classes.join(roots, "node", "left").select("fp", "n", F.coalesce("root", "node").alias("component"))
+    out = salted_join(prints, joined, "fp", "n", total, "doc_id")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))

@@ -13,7 +13,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import as_batch, scratch, sliced
+from .common import as_batch, salted_join, scratch, sliced, written
 
 CHUNKS = "record_id string, chunk_no int, last boolean, record_type string, uri string, refers_to string, declared long, data binary, payload_bytes long, payload_digest string"
 CHUNK_SCHEMA = pa.schema([("record_id", pa.string()), ("chunk_no", pa.int32()), ("last", pa.bool_()), ("record_type", pa.string()), ("uri", pa.string()), ("refers_to", pa.string()), ("declared", pa.int64()), ("data", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
@@ -33,11 +33,14 @@ def marked(pages: DataFrame, least_bytes: int, id_col: str, payload_col: str, ur
     uri = F.col(uri_col).cast("string") if uri_col else F.lit(None).cast("string")
     base = pages.select(F.col(id_col).cast("long").alias("id"), payload.alias("payload"), uri.alias("uri"))
     base = base.withColumn("n_bytes", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    keys = base.filter((F.col("n_bytes") >= least_bytes) & F.col("id").isNotNull()).groupBy("digest").agg(F.max("id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
+    long = (F.col("n_bytes") >= least_bytes) & F.col("id").isNotNull()
+    keys = written(base.filter(long).groupBy("digest").agg(F.max("id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "payload-copies")
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # long enough payloads with a partner only; ids decide, so repeated ids are all responses
-    out = base.join(keys, "digest", "left")
-    refers = F.when((F.col("n_bytes") >= least_bytes) & F.col("id").isNotNull() & (F.col("id") != F.col("first")), F.col("first"))
-    return out.select("id", "payload", "uri", "n_bytes", "digest", refers.alias("refers_to"))
+    out = salted_join(base.filter(long), keys, "digest", "n", total, "id")
+    refers = F.when(F.col("id") != F.col("first"), F.col("first"))
+    out = out.select("id", "payload", "uri", "n_bytes", "digest", refers.alias("refers_to"))
+    return out.unionByName(base.filter(~F.coalesce(long, F.lit(False))).withColumn("refers_to", F.lit(None).cast("long")))
 
 
 class ArchiveWriter:
@@ -62,10 +65,24 @@ class ArchiveWriter:
         self.out.write(packer.compress(END) + packer.flush())
 
     def close(self) -> str:
+        """The complete file's path; where an earlier attempt of the task left it, that one's."""
         self.out.close()
-        self.store.move(self.name, self.final)
+        if self.store.get_file_info(self.final).type == fs.FileType.File:
+            self.store.delete_file(self.name)
+            return self.final
+        try:
+            self.store.move(self.name, self.final)
+        except OSError:  # another attempt was first, and the store doesn't replace files
+            if self.store.get_file_info(self.final).type != fs.FileType.File:
+                raise
+            self.store.delete_file(self.name)
         return self.final
 
+    def drop(self) -> None:
+        """Removes what a failed attempt has written."""
+        self.out.close()
+        self.store.delete_file(self.name)
+
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, chunk: int = 1 << 16, id_col: str = "page_id", payload_col: str = "html", uri_col: str | None = "url") -> list[str]:
     """Writes a record per row of ``pages`` to .warc.gz files in ``folder``; returns their paths.
@@ -80,20 +97,28 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 1000, chunk
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
-        for batch in sliced(batches, "payload", 4 << 20):
-            writer = writer or ArchiveWriter(folder, TaskContext.get().partitionId())
-            payload = batch.column("payload").cast(pa.binary())
-            for i, (key, uri, n, digest, refers) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("id", "uri", "n_bytes", "digest", "refers_to")), strict=True)):
-                header = [("WARC-Type", "response" if refers is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{'' if key is None else key}>")]
-                if uri is not None:
-                    header.append(("WARC-Target-URI", " ".join(uri.split())))
-                header += [("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Payload-Length", str(n))]
-                if refers is not None:
-                    header.append(("WARC-Refers-To", f"<urn:page:{refers}>"))
-                writer.write(header, memoryview(payload[i].as_buffer() if refers is None and n else b""), chunk)
+        try:
+            for batch in sliced(batches, "payload", 4 << 20):
+                writer = writer or ArchiveWriter(folder, TaskContext.get().partitionId())
+                append(writer, batch)
+        except BaseException:
+            if writer:
+                writer.drop()
+            raise
         if writer:
             yield as_batch(schema, [writer.close()])
 
+    def append(writer: ArchiveWriter, batch: pa.RecordBatch) -> None:
+        payload = batch.column("payload").cast(pa.binary())
+        for i, (key, uri, n, digest, refers) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("id", "uri", "n_bytes", "digest", "refers_to")), strict=True)):
+            header = [("WARC-Type", "response" if refers is None else "revisit"), ("WARC-Record-ID", f"<urn:page:{'' if key is None else key}>")]
+            if uri is not None:
+                header.append(("WARC-Target-URI", " ".join(uri.split())))
+            header += [("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Payload-Length", str(n))]
+            if refers is not None:
+                header.append(("WARC-Refers-To", f"<urn:page:{refers}>"))
+            writer.write(header, memoryview(payload[i].as_buffer() if refers is None and n else b""), chunk)
+
     rows = marked(pages, least_bytes, id_col, payload_col, uri_col)
     return [r["path"] for r in rows.mapInArrow(run, "path string").collect()]  # one short row per file
 
@@ -147,54 +172,62 @@ def records(stream, chunk: int) -> Iterator[tuple[dict[str, str], Iterator[bytes
             pass
 
 
-def read_chunks(spark: SparkSession, paths: list[str], chunk: int = 1 << 16, with_data: bool = True, per_task: int = 1) -> DataFrame:
+def read_chunks(spark: SparkSession, paths: list[str], chunk: int = 1 << 16, per_task: int = 1) -> DataFrame:
     """Rows (record_id, chunk_no, last, ...) of all records of the archives, payloads in parts.
 
-    The last row of a record has its payload's length and bare hexadecimal SHA-1, carried from
-    chunk to chunk; for a revisit, those that its header states. Without ``with_data`` the
-    parts are digested and only last rows are made. A payload is never held whole.
+    Each row has its part of the payload, and the length and bare hexadecimal SHA-1 of all parts
+    up to its own; so those of the ``last`` row are the payload's. A revisit has one row without
+    data, with what its header states. A payload is never held whole; one that doesn't have the
+    digest of its header is an error.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                store, name = file_system(path)
                 rows, held = [], 0
+                store, name = file_system(path)
                 with store.open_input_stream(name, compression=None) as stream:
                     for header, body in records(stream, chunk):
-                        revisit = header["WARC-Type"] == "revisit"
-                        key, digest, total, number, data = header["WARC-Record-ID"][10:-1], hashlib.sha1(), 0, 0, b""
-                        for part in body:
-                            if number and with_data:
-                                rows.append((key, number - 1, False, header["WARC-Type"], header.get("WARC-Target-URI"), None, None, data, None, None))
-                            digest.update(part)
-                            total, number, data = total + len(part), number + 1, part
-                            held += len(part)
+                        for made in chunk_rows(path, header, body):
+                            rows.append(made)
+                            held += len(made[7])
                             if held > 4 << 20 or len(rows) > 5000:
-                                if rows:
-                                    yield as_batch(CHUNK_SCHEMA, *zip(*rows, strict=True))
+                                yield as_batch(CHUNK_SCHEMA, *zip(*rows, strict=True))
                                 rows, held = [], 0
-                        stated = header["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if not revisit and digest.hexdigest() != stated:
-                            raise ValueError(f"{path}: the payload of {key} doesn't have the digest of its header")
-                        length = int(header["WARC-Payload-Length"])
-                        rows.append((key, max(0, number - 1), True, header["WARC-Type"], header.get("WARC-Target-URI"), header.get("WARC-Refers-To", "")[10:-1] or None, length, data if with_data else None, length if revisit else total, stated if revisit else digest.hexdigest()))
                 if rows:
                     yield as_batch(CHUNK_SCHEMA, *zip(*rows, strict=True))
 
+    def chunk_rows(path: str, header: dict[str, str], body: Iterator[bytes]) -> Iterator[tuple]:
+        kind, uri, refers = header["WARC-Type"], header.get("WARC-Target-URI"), header.get("WARC-Refers-To", "")[10:-1] or None
+        key, declared, stated = header["WARC-Record-ID"][10:-1], int(header["WARC-Payload-Length"]), header["WARC-Payload-Digest"].removeprefix("sha1:")
+        if kind == "revisit":
+            yield key, 0, True, kind, uri, refers, declared, b"", declared, stated
+            return
+        digest, total, number, part = hashlib.sha1(), 0, 0, next(body, b"")
+        while True:
+            after = next(body, None)
+            digest.update(part)
+            total += len(part)
+            yield key, number, after is None, kind, uri, refers, declared, part, total, digest.hexdigest()
+            if after is None:
+                break
+            number, part = number + 1, after
+        if digest.hexdigest() != stated or total != declared:
+            raise ValueError(f"{path}: the payload of {key} isn't the one of its header")
+
     files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, -(-len(paths) // per_task)))
     return files.mapInArrow(run, CHUNKS)
 
 
-def warc_round_trip(pages: DataFrame, least_bytes: int = 1000, id_col: str = "page_id", payload_col: str = "html", uri_col: str | None = "url") -> DataFrame:
-    """Writes the pages to archives in the shared folder and reads back a row per record.
+def warc_round_trip(pages: DataFrame, least_bytes: int = 1000, chunk: int = 1 << 16, id_col: str = "page_id", payload_col: str = "html", uri_col: str | None = "url") -> DataFrame:
+    """Writes the pages to archives in the shared folder, reads them back in chunk rows, and returns a row per record.
 
-    page_id, payload_bytes, payload_digest, record_type and refers_to; see ``write_archives``.
-    Null payloads and empty ones have no bytes. Null ids come back null. Repeated rows: a row
-    each. Other columns: ignored. No rows: no rows.
+    page_id, payload_bytes, payload_digest, record_type and refers_to, from each record's last
+    chunk; see ``write_archives`` and ``read_chunks``. Null payloads and empty ones have no bytes.
+    Null ids come back null. Repeated rows: a row each. Other columns: ignored. No rows: no rows.
     """
     spark = pages.sparkSession
-    paths = write_archives(pages, scratch(spark, "archives"), least_bytes, id_col=id_col, payload_col=payload_col, uri_col=uri_col)
-    last = read_chunks(spark, paths, with_data=False).filter("last")
+    paths = write_archives(pages, scratch(spark, "archives"), least_bytes, chunk, id_col=id_col, payload_col=payload_col, uri_col=uri_col)
+    last = read_chunks(spark, paths, chunk).filter("last")
     key = F.when(F.col("record_id") != "", F.col("record_id").cast("long"))
     return last.select(key.alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))

@@ -119,6 +119,14 @@ def test_sample_leaves_held_out_rows(spark, docs, labels):
     assert len(labelled_sample(docs, labels, "toxic", 5, 4, 2, 100_000)) <= 10
 
 
+def test_sample_learns_from_all_parts_of_long_texts(spark):
+    text = "".join(f"{i:07d} " for i in range(5_000))
+    docs, labels = spark.createDataFrame([(1, text), (4, "short")], "doc_id long, text string"), spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
+    sample = {y: t for t, y in labelled_sample(docs, labels, "toxic", 5, 4, 2, 5_000)}
+    parts = sample[1].split("\n")
+    assert sample[0] == "short" and [text.index(p) for p in parts] == [0, 9750, 19500, 29250, 39000] and {len(p) for p in parts} == {1000}
+
+
 def test_passages_do_not_depend_on_neighbours():
     texts = ["one two two three. FOUR!", "", "  x|y\n\n", "ñandú 12 " * 100]
     x, owner = passages(texts, 16)

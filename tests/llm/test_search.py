@@ -9,11 +9,11 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terraloom.llm import registry
+from terraloom.llm import common, registry
 from terraloom.llm.components import components
 from terraloom.llm.nearest import CodeIndex, nearest
 from terraloom.llm.simhash import bucket_links, fingerprint, planes, run_links, simhash_groups, within
-from terraloom.llm.warc import read_chunks, warc_round_trip, write_archives
+from terraloom.llm.warc import ArchiveWriter, read_chunks, warc_round_trip, write_archives
 
 DATA = "/root/testdata/sf0.001"
 
@@ -87,6 +87,22 @@ def test_carry_save_counters(radius):
     assert len(run_links(values[:1], radius)[0]) == 0
 
 
+def test_runs_of_unlinked_rows_and_many_groups():
+    rng = random.Random(8)
+    values = [v for _ in range(90) for v in near_prints(rng, rng.getrandbits(64), rng.choice([1, 1, 1, 3]), 1)]
+    a, b = run_links(np.array(values, np.uint64), 4)
+    want = plain_components(dict(enumerate(values)), 4)
+    got = dict(enumerate(range(len(values)))) | dict(zip(a.tolist(), b.tolist(), strict=True))
+    assert got == want and len(set(want.values())) < len(values)
+
+
+def test_a_very_long_text_and_clashing_columns(spark):
+    rows = [(1, "w " * 400_000), (2, "w " * 5), (3, " ".join(f"v{i}" for i in range(60_000))), (4, "x" * 500_000)]
+    df = spark.createDataFrame([(*r, 1, "c", 7) for r in rows], "doc_id long, text string, fp long, component_id string, n int")
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_groups(df).collect()}
+    assert got == {i: (f"{plain_print(t):016x}", 1 if i == 2 else i) for i, t in rows}
+
+
 @pytest.mark.parametrize("bucket_rows", [1_000_000, 8])
 def test_groups_equal_brute_force(spark, bucket_rows):
     rng = random.Random(2)
@@ -115,6 +131,21 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_hubs_with_many_links(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    pairs = [(i, 0) for i in range(1, 400)] + [(5_000, i) for i in range(1_000, 1_300)] + [(5_000, 399)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {i: 0 for i in [*range(1, 400), *range(1_000, 1_300), 5_000]}
+
+
+def test_salted_join_keeps_every_row(spark):
+    rows = spark.range(3_000).selectExpr("id", "case when id < 2000 then 7 when id < 2900 then id % 50 end k").withColumn("n", F.lit("x"))
+    keys = rows.groupBy("k").agg(F.count("*").alias("size")).filter("k <> 3").withColumn("v", F.col("k") * 2)
+    got = common.salted_join(rows, keys, "k", "size", 3_000, "id")
+    plain = rows.join(keys, "k", "left")
+    assert got.select(plain.columns).exceptAll(plain).count() == 0 and got.count() == 3_000
+
+
 def test_pigeonhole_finds_every_code():
     rng = np.random.default_rng(0)
     codes = np.concatenate([rng.integers(0, 1 << 16, (500, 4)), np.repeat(rng.integers(0, 1 << 16, (1, 4)), 50, 0) ^ (1 << rng.integers(0, 16, (50, 4)))]).astype(np.uint16)
@@ -181,9 +212,30 @@ def test_archives_round_trip(spark, tmp_path):
     chunks.sort(key=lambda r: r.chunk_no)
     assert [r.chunk_no for r in chunks] == list(range(len(chunks))) and [r.last for r in chunks].count(True) == 1
     assert b"".join(r.data for r in chunks).decode() == big and max(len(r.data) for r in chunks) <= 1000
+    running = [(r.payload_bytes, r.payload_digest) for r in chunks]
+    sums = [hashlib.sha1(big.encode()[: k * 1000]) for k in range(1, len(chunks) + 1)]
+    assert running == [(min(k * 1000, len(big.encode())), s.hexdigest()) for k, s in enumerate(sums, 1)]
     assert warc_round_trip(pages.limit(0)).count() == 0
 
 
+def test_archives_of_many_empty_pages_and_a_popular_one(spark):
+    text = "popular " * 200
+    pages = spark.range(13_000).selectExpr("id page_id", "'u' url", f"case when id < 10000 then '' when id < 12500 then '{text}' else concat('{text}', id) end html")
+    got = warc_round_trip(pages).groupBy("record_type", "refers_to", "payload_bytes").count().orderBy("count").collect()
+    assert [(r.record_type, r.refers_to, r["count"]) for r in got] == [("response", None, 1), ("response", None, 500), ("revisit", 12_499, 2_499), ("response", None, 10_000)]
+
+
+def test_a_repeated_attempt_leaves_one_archive(tmp_path):
+    paths = []
+    for k in range(2):
+        writer = ArchiveWriter(str(tmp_path / "a"), 3)
+        writer.write([("WARC-Type", "response")], memoryview(b"same"), 2)
+        paths.append(writer.close())
+    failed = ArchiveWriter(str(tmp_path / "a"), 4)
+    failed.drop()
+    assert paths[0] == paths[1] and [f.name for f in (tmp_path / "a").iterdir()] == ["part-000003.warc.gz"]
+
+
 def test_every_operator_is_registered():
     names = list(registry.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
@@ -212,7 +264,8 @@ def test_pipeline_stages(spark, tmp_path):
 
 def test_copies_stage_keeps_one_row_of_an_id_and_rows_without(spark):
     text = " ".join(f"w{i}" for i in range(50))
-    rows = [(1, text), (1, text), (2, text + " x"), (None, text), (3, "other words entirely here " * 9)]
+    rows = [(1, text), (1, text), (2, text + " x"), (None, text), (3, "other words entirely here " * 9), (4, "zz " * 9), (4, "first by text"), (4, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1)})
     out = corpus_pipeline.drop_copies(spark, df, DATA).collect()
-    assert sorted(-1 if r.doc_id is None else r.doc_id for r in out) == [-1, 1, 3]
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in out) == [-1, 1, 3, 4]
+    assert [r.text for r in out if r.doc_id == 4] == ["first by text"]
