@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from terraloom.llm.common import scratch, table
+from terraloom.llm.common import scratch, table, written
 from terraloom.llm.packing import pack
 from terraloom.llm.quality_model import fit_quality
 from terraloom.llm.simhash import simhash_groups
@@ -28,12 +28,16 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates.
 
-    An id found in several rows keeps one of them; rows without an id are kept.
+    Of several rows with one id, that whose columns, the text first, come first in order is kept
+    (null texts last); rows without an id are kept.
     """
-    groups = simhash_groups(docs)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    groups = simhash_groups(docs).filter(F.col("doc_id") == F.col("component_id"))
+    kept = written(groups.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept-ids")
+    once = docs.join(kept.filter("rows = 1"), "doc_id", "left_semi").select(docs.columns)
+    first = F.struct(F.col("text").isNull(), "text", *(c for c in docs.columns if c not in ("doc_id", "text")))
+    more = docs.join(kept.filter("rows > 1"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(first).alias("first"))
+    chosen = more.select("doc_id", "first.*").select(docs.columns)
+    return once.unionByName(chosen).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
