@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import codes, keys
 
 
+#: The lowest level of leaves of tiles of 32 pixels a side.
+DEEPEST = 4
+
+
 def tile_key(points: DataFrame, la: str = "la", lo: str = "lo") -> DataFrame:
     """Adds tile_lat, tile_lon, frac_lat and frac_lon; null off the grid."""
     inside = keys.on_grid(F.col(la), F.col(lo))
@@ -14,11 +18,11 @@ def tile_key(points: DataFrame, la: str = "la", lo: str = "lo") -> DataFrame:
     return points.withColumns({k: F.when(inside, v) for k, v in parts.items()})
 
 
-def find_leaf(points: DataFrame, leaves: DataFrame, values: list[str], key: list[str], deepest: int = 9) -> DataFrame:
+def find_leaf(points: DataFrame, leaves: DataFrame, values: list[str], key: list[str], deepest: int = DEEPEST) -> DataFrame:
     """The values of the leaf that each keyed point lies in; points without one have no row.
 
-    A point meets its leaf by equality on tile and path: each of the prefixes of its path is a
-    row of the probing side, so no range join is needed.
+    A point meets its leaf by equality on tile and path: each of the prefixes of its path, up to
+    the ``deepest`` level of the trees, is a row of the probing side, so no range join is needed.
     """
     path = keys.point_path(F.col("frac_lat"), F.col("frac_lon"), deepest)
     prefix = F.transform(F.sequence(F.lit(0), F.lit(deepest)), lambda k: F.substring(path, F.lit(1), k))

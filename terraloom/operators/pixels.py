@@ -54,12 +54,23 @@ def correction_counts(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("tile_id").agg(F.count_if(first).alias("pass1"), F.count_if(second).alias("pass2"))
 
 
+def whole_tiles(pixels: DataFrame, size: int = 32, with_elevation: bool = False) -> DataFrame:
+    """Pixels of tiles that have all ``size`` x ``size`` of them, dealt by tile.
+
+    One shuffle, which serves all windows and groupings by tile that follow. With
+    ``with_elevation`` only tiles whose elevation isn't missing or zero throughout.
+    """
+    tile = Window.partitionBy("tile_id")
+    facts = {"_n": F.count("*").over(tile)} | ({"_low": F.min("dem").over(tile), "_high": F.max("dem").over(tile)} if with_elevation else {})
+    whole = pixels.withColumns(facts).filter(F.col("_n") == size * size)
+    return (whole.filter("not (_low = 0 and _high = 0)") if with_elevation else whole).drop(*facts)
+
+
 def pixel_gradient(pixels: DataFrame) -> DataFrame:
     """Adds grad: the largest difference of elevation to a neighbour within the tile.
 
-    Dealt by tile once, which serves both windows and all groupings by tile that follow.
+    Pixels that are dealt by tile (see ``whole_tiles``) aren't shuffled again.
     """
-    pixels = pixels.repartition("tile_id")
     along, down = Window.partitionBy("tile_id", "r").orderBy("c"), Window.partitionBy("tile_id", "c").orderBy("r")
     near = [f("dem").over(w) for w in (along, down) for f in (F.lag, F.lead)]
     steps = [F.coalesce(F.abs(F.col("dem") - n), F.lit(0.0)) for n in near]
@@ -128,16 +139,19 @@ def node_budget(pixels: DataFrame, terrain_cap: int = 24_000, population_cap: in
     return facts.select("tile_id", terrain.alias("terrain_budget"), people.alias("population_budget"))
 
 
-def tile_facts(pixels: DataFrame) -> DataFrame:
-    """Per tile: pixels, whether layers are there (an all-zero elevation isn't), and water facts."""
-    fixed = fix_water(with_zones(pixels))
-    raw = pixels.groupBy(*KEYS).agg(
-        F.count("*").alias("n"), F.min("dem").alias("low"), F.max("dem").alias("high"),
-        F.count("esa").alias("cover"), F.avg(F.when(F.col("esa") == codes.WATER_CLASS, 1.0).when(F.col("esa").isNotNull(), 0.0)).alias("water_share"),
+def tile_facts(pixels: DataFrame, size: int | None = None) -> DataFrame:
+    """Per tile: pixels, whether layers are there (an all-zero elevation isn't), and water facts.
+
+    One grouping. With ``size`` only tiles that have size x size pixels.
+    """
+    raw = pixels.withColumns({"_dem": F.col("dem"), "_esa": F.col("esa")})
+    facts = fix_water(with_zones(raw)).groupBy(*KEYS).agg(
+        F.count("*").alias("n"), F.min("_dem").alias("low"), F.max("_dem").alias("high"), F.count("_esa").alias("cover"),
+        F.avg(F.when(F.col("_esa") == codes.WATER_CLASS, 1.0).when(F.col("_esa").isNotNull(), 0.0)).alias("water_share"), F.max("zone").alias("top_zone"), F.max("pop").alias("most"),
     )
-    after = fixed.groupBy("tile_id").agg(F.max("zone").alias("top_zone"), F.max("pop").alias("most"))
+    facts = facts if size is None else facts.filter(F.col("n") == size * size)
     has = F.col("low").isNotNull() & ~((F.col("low") == 0) & (F.col("high") == 0))
-    return raw.join(after, "tile_id").select(*KEYS, "n", has.alias("has_dem"), (F.col("cover") > 0).alias("has_cover"), "water_share", ((F.col("top_zone") == 0) & (F.col("most") <= POP_PIXEL)).alias("all_water"))
+    return facts.select(*KEYS, "n", has.alias("has_dem"), (F.col("cover") > 0).alias("has_cover"), "water_share", ((F.col("top_zone") == 0) & (F.col("most") <= POP_PIXEL)).alias("all_water"))
 
 
 def bake_status(facts: DataFrame, ocean: Column | None = None, no_data_water: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import codes, keys
 from .pixels import lowest_mode
@@ -16,9 +16,10 @@ def quad_pyramid(pixels: DataFrame, levels: int = 5, lowest: int | None = None)
     """Statistics of every block of every level from 0 (the tile) to ``lowest``.
 
     ``pixels`` have dem, pop, zone, urban and grad; a tile has 2 ** levels pixels a side and
-    the lowest level has two, unless given. Levels are summed from a level below, so pixels
-    aren't grouped once per level; where they are dealt by tile (see ``pixel_gradient``) nothing
-    is shuffled. Sums, not means, go up: all of them are exact for whole numbers.
+    the lowest level has two, unless given. Three groupings in a row and no union: pixels make the
+    lowest level, its blocks the two above, and the blocks of the highest of these all further
+    levels. Where pixels are dealt by tile nothing is shuffled. Sums, not means, go up: all of
+    them are exact for whole numbers.
     """
     lowest = levels - 1 if lowest is None else lowest
     side = 1 << (levels - lowest)
@@ -30,20 +31,17 @@ def quad_pyramid(pixels: DataFrame, levels: int = 5, lowest: int | None = None)
         *(F.sum(F.when(F.col("urban") == u, 1).otherwise(0)).alias(f"u{u}") for u in codes.URBAN),
     )
     sums = ["n", "s", "ss", "z0", "z1", "z2", "z3", "ps", "pss", *(f"u{u}" for u in codes.URBAN)]
-    tops = [F.max(c).alias(c) for c in ("high", "most", "grad")]
 
-    def summed(df: DataFrame, *by: str) -> DataFrame:
-        return df.groupBy(*TILE, *by, "qr", "qc").agg(*(F.sum(c).alias(c) for c in sums), F.min("low").alias("low"), *tops)
+    def raised(df: DataFrame, wanted: Column) -> DataFrame:
+        """Blocks of each of the ``wanted`` levels of each block."""
+        up = df.withColumnRenamed("level", "_from").withColumn("level", F.explode(wanted))
+        scale = F.pow(F.lit(2.0), F.col("_from") - F.col("level"))
+        moved = up.withColumns({q: F.floor(F.col(q) / scale).cast("int") for q in ("qr", "qc")})
+        return moved.groupBy(*TILE, "level", "qr", "qc").agg(*(F.sum(c).alias(c) for c in sums), F.min("low").alias("low"), *(F.max(c).alias(c) for c in ("high", "most", "grad")))
 
-    found = [level.withColumn("level", F.lit(lowest))]
-    if lowest:
-        half = {q: F.floor(F.col(q) / 2).cast("int") for q in ("qr", "qc")}
-        found.append(summed(level.withColumns(half)).withColumn("level", F.lit(lowest - 1)))
-    if lowest > 1:  # a sixteenth of the pixels is left, so one grouping makes all further levels
-        above = found[-1].withColumn("from", F.col("level")).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(lowest - 2))))
-        scale = F.pow(F.lit(2.0), F.col("from") - F.col("level"))
-        found.append(summed(above.withColumns({q: F.floor(F.col(q) / scale).cast("int") for q in ("qr", "qc")}), "level"))
-    return reduce(DataFrame.unionByName, found)
+    top = max(0, lowest - 2)
+    found = raised(level.withColumn("level", F.lit(lowest)), F.sequence(F.lit(top), F.lit(lowest)))
+    return raised(found, F.when(F.col("_from") == top, F.sequence(F.lit(0), F.lit(top))).otherwise(F.array("_from"))) if top else found
 
 
 def _mean(s: str) -> Column:
@@ -81,15 +79,18 @@ def population_splits(forced: int = 3, deepest: int = 9) -> Column:
 def _leaves(pyramid: DataFrame, splits: Column, levels: int) -> DataFrame:
     """Blocks that aren't divided while all above them are, with path and place.
 
-    Reads the pyramid three times; give it a written one.
+    Blocks of a tile are nested stretches of one curve through its smallest blocks. In the order
+    of the curve, larger blocks first, a block lies in one that stopped before exactly if it
+    begins before the furthest end of those. So one window by tile tells, without a join.
     """
     path = reduce(lambda acc, k: F.when(F.col("level") == k, keys.block_path(F.col("qr"), F.col("qc"), k)).otherwise(acc), range(1, levels), F.lit(""))
     nodes = pyramid.withColumn("path", path).withColumn("splits", (F.col("level") == 0) | ((F.col("level") < levels - 1) & splits))
-    # a tile has few blocks that stop: what lies below one of them is not in the tree
-    stops = nodes.filter(~F.col("splits") & (F.col("level") < levels - 1)).select("tile_id", F.col("path").alias("stop"))
-    above = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("level") - 1)), lambda k: F.substring("path", F.lit(1), k))
-    below = nodes.filter((~F.col("splits")) & (F.col("level") > 1)).select("tile_id", "path", F.explode(above).alias("stop")).join(stops, ["tile_id", "stop"]).select("tile_id", "path").distinct()
-    kept = nodes.filter(~F.col("splits")).join(below, ["tile_id", "path"], "left_anti")
+    bits = sum((F.shiftright(F.col(q), i).bitwiseAND(F.lit(1)).cast("long") * (1 << (2 * i + k)) for k, q in enumerate(("qc", "qr")) for i in range(levels - 1)), F.lit(0).cast("long"))
+    length = F.pow(F.lit(4.0), F.lit(levels - 1) - F.col("level")).cast("long")
+    nodes = nodes.withColumn("_length", length).withColumn("_begin", bits * F.col("_length"))
+    before = Window.partitionBy("tile_id").orderBy("_begin", "level").rowsBetween(Window.unboundedPreceding, -1)
+    stopped = F.max(F.when(~F.col("splits"), F.col("_begin") + F.col("_length"))).over(before)
+    kept = nodes.withColumn("_stopped", F.coalesce(stopped, F.lit(0))).filter(~F.col("splits") & (F.col("_begin") >= F.col("_stopped"))).drop("_length", "_begin", "_stopped")
     size = F.lit(1 << levels) / F.pow(F.lit(2.0), F.col("level"))
     return kept.withColumn("size", size.cast("int")).withColumn("r0", (F.col("qr") * F.col("size")).cast("int")).withColumn("c0", (F.col("qc") * F.col("size")).cast("int"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,9 +27,11 @@ def query(f: Query) -> Query:
 
 def whole_tiles(spark: SparkSession, d: str) -> DataFrame:
     """Pixels of tiles that have all of them; only the last tile of the table may not."""
-    px = view(spark, d, "px")
-    full = px.groupBy("tile_id").agg(F.count("*").alias("_n")).filter("_n = 1024").select("tile_id")
-    return px.join(full, "tile_id", "left_semi")
+    return pixels.whole_tiles(view(spark, d, "px"))
+
+
+def facts(spark: SparkSession, d: str) -> DataFrame:
+    return pixels.tile_facts(view(spark, d, "px"), 32)
 
 
 def repaired(spark: SparkSession, d: str) -> DataFrame:
@@ -36,15 +39,31 @@ def repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 class Tiles:
-    """States and leaves of the baked pixel tiles, each written once for the lookups that share them."""
+    """States and leaves of the baked pixel tiles, each made when first read and written for all that read it."""
 
     def __init__(self, spark: SparkSession, d: str):
-        status = pixels.bake_status(pixels.tile_facts(whole_tiles(spark, d))).select("tile_id", *CELL, "status")
-        kept = status.filter("status <> 'no_data'")
-        ok = status.filter("status = 'ok'").select("tile_id")
-        pyramid = stored(spark, tree.quad_pyramid(pixels.pixel_gradient(repaired(spark, d).join(ok, "tile_id", "left_semi"))), "pyramid")
-        self.states = kept.select(*CELL, (F.col("status") != "ok").alias("is_water"))
-        self.terrain, self.population = stored(spark, tree.terrain_leaves(pyramid), "terrain"), stored(spark, tree.population_leaves(pyramid), "population")
+        self.spark, self.d = spark, d
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return stored(self.spark, pixels.bake_status(facts(self.spark, self.d)).select("tile_id", *CELL, "status"), "status")
+
+    @property
+    def states(self) -> DataFrame:
+        return self.status.filter("status <> 'no_data'").select(*CELL, (F.col("status") != "ok").alias("is_water"))
+
+    @cached_property
+    def pyramid(self) -> DataFrame:
+        ok = self.status.filter("status = 'ok'").select("tile_id")
+        return stored(self.spark, tree.quad_pyramid(pixels.pixel_gradient(repaired(self.spark, self.d).join(ok, "tile_id", "left_semi"))), "pyramid")
+
+    @cached_property
+    def terrain(self) -> DataFrame:
+        return stored(self.spark, tree.terrain_leaves(self.pyramid), "terrain")
+
+    @cached_property
+    def population(self) -> DataFrame:
+        return stored(self.spark, tree.population_leaves(self.pyramid), "population")
 
     def samples(self, g: int = 3) -> DataFrame:
         return audit.tile_samples(self.states, self.terrain, self.population, g)
@@ -57,8 +76,8 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def pixel_pyramid(spark: SparkSession, d: str) -> DataFrame:
-    has = pixels.tile_facts(whole_tiles(spark, d)).filter("has_dem").select("tile_id")
-    return tree.quad_pyramid(pixels.pixel_gradient(repaired(spark, d).join(has, "tile_id", "left_semi")))
+    whole = pixels.whole_tiles(view(spark, d, "px"), with_elevation=True)
+    return tree.quad_pyramid(pixels.pixel_gradient(pixels.fix_water(pixels.with_zones(whole))))
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -402,18 +421,18 @@ def quad_pyramid(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def terrain_leaves(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(tree.terrain_leaves(stored(spark, pixel_pyramid(spark, d), "pyramid")), "elev").select("tile_id", "path", "level", "r0", "c0", "size", "elev", "zone", "gradient")
+    return rounded(tree.terrain_leaves(pixel_pyramid(spark, d)), "elev").select("tile_id", "path", "level", "r0", "c0", "size", "elev", "zone", "gradient")
 
 
 @query
 def population_leaves(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(tree.population_leaves(stored(spark, pixel_pyramid(spark, d), "pyramid")), "density").select("tile_id", "path", "level", "r0", "c0", "size", "density", "urban")
+    return rounded(tree.population_leaves(pixel_pyramid(spark, d)), "density").select("tile_id", "path", "level", "r0", "c0", "size", "density", "urban")
 
 
 @query
 def bake_status(spark: SparkSession, d: str) -> DataFrame:
-    facts = select.likely_ocean(pixels.tile_facts(whole_tiles(spark, d)), view(spark, d, "land_tiles"))
-    return pixels.bake_status(facts, F.col("is_ocean")).select("tile_id", *CELL, "status")
+    judged = select.likely_ocean(facts(spark, d), view(spark, d, "land_tiles"))
+    return pixels.bake_status(judged, F.col("is_ocean")).select("tile_id", *CELL, "status")
 
 
 @query
