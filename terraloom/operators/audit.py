@@ -49,15 +49,30 @@ def top_mismatches(mismatches: DataFrame, most: int = 20) -> DataFrame:
     return mismatches.orderBy(F.desc("max_pop"), *CELL).limit(most)
 
 
+def top_city_mismatches(mismatches: DataFrame, cities: DataFrame, most: int = 30) -> DataFrame:
+    """The mismatching cities of most people, ties by id; a report of fixed length."""
+    named = mismatches.join(cities.select("city_id", "p"), "city_id")
+    return named.orderBy(F.desc("p"), "city_id").limit(most)
+
+
+def grid_samples(points: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, key: list[str], both: bool = False) -> DataFrame:
+    """Values of both layers at the points (la, lo) of a heat map or an overview; null where there are none.
+
+    With ``both`` a point is dropped unless its tile has both layers, as panels of maps want it.
+    """
+    found = _city_points(points, states, terrain, population, key, "la", "lo")
+    return found.filter("elevation is not null and density is not null") if both else found
+
+
 def _city_points(cities: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, key: list[str], la: str, lo: str) -> DataFrame:
-    keyed = tile_key(cities.filter("not (la = 0 and lo = 0)"), la, lo)
+    keyed = tile_key(cities, la, lo)
     found = point_query_terrain(keyed, states, terrain, key)
     return point_query_population(found.withColumnRenamed("is_water", "_w"), states, population, key).drop("_w")
 
 
 def city_mismatch(cities: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, threshold: float) -> DataFrame:
     """Cities on water with people, or with people but no urban type; the list of issues."""
-    at = _city_points(cities, states, terrain, population, ["city_id"], "la", "lo").filter("not is_water and zone is not null and density is not null")
+    at = _city_points(cities.filter("not (la = 0 and lo = 0)"), states, terrain, population, ["city_id"], "la", "lo").filter("not is_water and zone is not null and density is not null")
     people = F.col("density") >= threshold
     issues = F.array_compact(F.array(F.when((F.col("zone") == 0) & people, F.concat(F.lit("zone=water but pop="), F.col("density").cast("string"))), F.when(people & (F.col("urban") == 0), F.concat(F.lit("pop="), F.col("density").cast("string"), F.lit(" but urban=0")))))
     return at.withColumn("issues", issues).filter(F.size("issues") > 0).select("city_id", "n", "zone", "density", "urban", F.concat_ws("; ", "issues").alias("issues"))

@@ -33,7 +33,8 @@ class Pyramid:
         for axis in (0, 1):
             step, low, high = np.abs(np.diff(dem, axis=axis)), [slice(None)] * 2, [slice(None)] * 2
             low[axis], high[axis] = slice(None, -1), slice(1, None)
-            grad[tuple(low)], grad[tuple(high)] = np.maximum(grad[tuple(low)], step), np.maximum(grad[tuple(high)], step)
+            for side in (tuple(low), tuple(high)):
+                grad[side] = np.maximum(grad[side], step)
         sums = {"n": np.ones(dem.shape), "s": dem, "ss": dem * dem, "ps": pop, "pss": pop * pop} | {f"z{i}": (zone == i) * 1.0 for i in range(4)} | {f"u{i}": (urban == i) * 1.0 for i in range(8)}
         tops = {"low": -dem, "high": dem, "most": pop, "grad": grad}
         at = {k: (v.astype(float), np.add) for k, v in sums.items()} | {k: (v.astype(float), np.maximum) for k, v in tops.items()}
@@ -134,10 +135,11 @@ def bake_tiles(tiles: DataFrame, terrain_cap: int = 24_000, population_cap: int
 
 
 def fused_arrays(pixels: DataFrame) -> DataFrame:
-    """Repaired pixels as one row per tile of arrays in row order."""
+    """Repaired pixels as one row per tile of arrays in row order; dem is null where a tile has no elevation."""
     cells = F.sort_array(F.collect_list(F.struct("r", "c", "dem", "pop", "zone", "urban")))
-    grouped = pixels.groupBy(*KEYS).agg(cells.alias("cells"))
-    return grouped.select(*KEYS, *(F.col(f"cells.{k}").alias(k) for k in ("dem", "pop", "zone", "urban")))
+    grouped = pixels.groupBy(*KEYS).agg(cells.alias("cells"), F.max("dem").alias("_highest"))
+    arrays = {k: F.col(f"cells.{k}") for k in ("dem", "pop", "zone", "urban")} | {"dem": F.when(F.col("_highest").isNotNull(), F.col("cells.dem"))}
+    return grouped.select(*KEYS, *(v.alias(k) for k, v in arrays.items()))
 
 
 def decode_tiles(tiles: DataFrame, payload: str, terrain: bool) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import keys
@@ -35,11 +37,27 @@ def global_tiles(spark: SparkSession) -> DataFrame:
 
 
 def split_tiles(tiles: DataFrame, part: int, of: int) -> DataFrame:
-    """Every ``of``-th tile from the ``part``-th on, in grid order (at most one row per cell)."""
+    """Every ``of``-th tile from the ``part``-th on, in grid order.
+
+    A row's place is the number of rows of latitudes below, and its place in its own.
+    """
     if not 1 <= part <= of:
         raise ValueError("a part is 1 to the number of parts")
-    place = F.row_number().over(Window.orderBy(keys.tile_index(F.col("tile_lat"), F.col("tile_lon")))) - 1
-    return tiles.withColumn("_place", place).filter(F.col("_place") % of == part - 1).drop("_place")
+    below = running_starts(tiles, F.col("tile_lat"), F.count("*"))
+    place = F.row_number().over(Window.partitionBy("_group").orderBy("tile_lon")) - 1
+    placed = tiles.withColumn("_group", F.col("tile_lat")).join(F.broadcast(below), "_group").withColumn("_place", F.col("_start") + place)
+    return placed.filter(F.col("_place") % of == part - 1).select(tiles.columns)
+
+
+def running_starts(rows: DataFrame, group: Column, total: Column) -> DataFrame:
+    """_group and _start: the total of all groups that come before, in order.
+
+    Groups are rows or columns of the grid, so the driver gets 360 totals at most.
+    """
+    sums = rows.filter(group.isNotNull()).groupBy(group.alias("_group")).agg(total.cast("long").alias("n")).orderBy("_group").collect()
+    starts = accumulate((r["n"] or 0 for r in sums), initial=0)
+    kind = dict(rows.select(group.alias("_group")).dtypes)["_group"]
+    return rows.sparkSession.createDataFrame([(r["_group"], s) for r, s in zip(sums, starts, strict=False)], f"_group {kind}, _start long")
 
 
 def tile_sample_points(tiles: DataFrame, g: int) -> DataFrame:

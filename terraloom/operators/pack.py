@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import keys
+from ..functions import codes, keys
+from .grids import running_starts
 from .select import CELL, is_trusted, likely_ocean
 
 # Fixed values of the shard and pack files.
@@ -43,6 +42,15 @@ def size_histogram(files: DataFrame) -> DataFrame:
     return every.join(counted, "bucket", "left").select("place", "bucket", F.coalesce("n", F.lit(0)).alias("tiles"))
 
 
+def root_size(payload: Column) -> Column:
+    """Nodes that a payload's root says there are; null for water and for a root that is a leaf."""
+    body = F.when(F.substring(payload, 1, 4) == F.lit(b"QTR5"), F.substring(payload, 17, 2)).otherwise(F.substring(payload, 1, 2))
+    text = F.hex(body)
+    root = F.conv(F.concat(F.substring(text, 3, 2), F.substring(text, 1, 2)), 16, 10).cast("int")
+    root = F.when((F.length(body) == 2) & (root < codes.LEAF), root)
+    return root
+
+
 def tile_info(files: DataFrame, land: DataFrame) -> DataFrame:
     judged = likely_ocean(files, land)
     return judged.select("tile_id", "terrain_bytes", F.when(F.col("terrain_bytes") > 1, F.floor(F.col("terrain_bytes") / 2)).cast("long").alias("node_count"), "is_ocean")
@@ -65,19 +73,23 @@ def on_grid(files: DataFrame) -> DataFrame:
 def pack_layout(files: DataFrame, size: str = "terrain_bytes") -> DataFrame:
     """Offset of each tile in a pack: running sum of sizes in file-name order.
 
-    Only names and sizes are ordered, at most one row per cell of the grid; payloads aren't.
+    Only names and sizes are ordered, column by column of the grid, after the sizes of all columns
+    whose names come before; payloads aren't.
     """
     name = keys.file_name(F.col("tile_lat"), F.col("tile_lon"))
-    before = F.sum(size).over(Window.orderBy("name").rowsBetween(Window.unboundedPreceding, -1))
     rows = on_grid(files).filter(F.col(size).isNotNull()).select(name.alias("name"), "tile_lat", "tile_lon", F.col(size).cast("long").alias(size))
     index = keys.tile_index(F.col("tile_lat"), F.col("tile_lon"))
-    return rows.select("name", index.alias("tile_idx"), F.coalesce(before, F.lit(0)).cast("long").alias("offset"), F.col(size).alias("size"))
+    group = F.concat(F.col("tile_lon").cast("string"), F.lit("_"))  # no other group's names come between
+    before = F.sum(size).over(Window.partitionBy("_group").orderBy("name").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_group", group).join(F.broadcast(running_starts(rows, group, F.sum(size))), "_group")
+    return rows.select("name", index.alias("tile_idx"), (F.col("_start") + F.coalesce(before, F.lit(0))).cast("long").alias("offset"), F.col(size).alias("size"))
 
 
-def pack_header(files: DataFrame, size: str = "terrain_bytes") -> DataFrame:
+def pack_header(files: DataFrame, size: str = "terrain_bytes", raw: str | None = None) -> DataFrame:
+    """Totals of a pack's header; ``raw`` has the bytes of each tile before packing (None: stored as they are)."""
     stored = F.coalesce(F.sum(size), F.lit(0)).cast("long")
     total = stored + PACK_ENTRY_BYTES * keys.WIDTH * keys.HEIGHT + PACK_HEADER_BYTES
-    return on_grid(files).agg(F.count(size).alias("tiles"), stored.alias("stored_bytes"), total.alias("file_bytes"), (total > MOST_PACK_BYTES).alias("too_large"))
+    return on_grid(files).agg(F.count(size).alias("tiles"), stored.alias("stored_bytes"), F.coalesce(F.sum(raw or size), F.lit(0)).cast("long").alias("raw_bytes"), total.alias("file_bytes"), (total > MOST_PACK_BYTES).alias("too_large"))
 
 
 def new_tiles(files: DataFrame, pack: DataFrame) -> DataFrame:
@@ -161,23 +173,6 @@ def fix_ocean(files: DataFrame, land: DataFrame, force: bool = False) -> DataFra
     return judged.withColumns({"terrain_bytes": F.when(wet, 1).otherwise(F.col("terrain_bytes")), "pop_bytes": F.when(wet & F.col("pop_bytes").isNotNull(), 1).otherwise(F.col("pop_bytes"))}).select(*files.columns)
 
 
-def compress_payloads(tiles: DataFrame, level: int = 9) -> DataFrame:
-    """Adds packed and codec: zstd per tile, raw where the library is absent."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        try:
-            import zstandard
-
-            codec, pack = "zstd", zstandard.ZstdCompressor(level=level).compress
-        except ImportError:
-            codec, pack = "none", bytes
-        for f in frames:
-            yield f.assign(packed=[None if p is None else pack(bytes(p)) for p in f.payload], codec=codec)
-
-    kinds = ", ".join(f"{n} {t}" for n, t in tiles.dtypes)
-    return tiles.mapInPandas(run, f"{kinds}, packed binary, codec string")
-
-
 def bake_summary(log: DataFrame) -> DataFrame:
     """Counts per status, mean nodes and tree time of ok tiles, mean download, tiles per second."""
     ok = F.col("status") == "ok"

@@ -82,6 +82,15 @@ STEPS = {
   CASE WHEN is_water THEN 0 ELSE density END AS density, CASE WHEN is_water THEN 0 ELSE urban END AS urban FROM grid3 g
   LEFT JOIN leaf_t t ON {at_t} LEFT JOIN leaf_p p ON {at_p}""",
     ),
+    "heat": (
+        ["footprints"],
+        """SELECT item_id, row, col, CASE WHEN ok THEN CAST(floor(la) AS INT) END AS tile_lat, CASE WHEN ok THEN CAST(floor(lo) AS INT) END AS tile_lon, la - floor(la) AS frac_lat, lo - floor(lo) AS frac_lon FROM (
+  SELECT *, la >= -90 AND la < 90 AND lo >= -180 AND lo < 180 AS ok FROM (SELECT item_id, CAST(i AS INT) AS row, CAST(j AS INT) AS col, lat_max - (lat_max - lat_min) * (i / 4.0::DOUBLE) AS la, lon_min + (lon_max - lon_min) * (j / 3.0::DOUBLE) AS lo FROM footprints CROSS JOIN range(5) AS a(i) CROSS JOIN range(4) AS b(j)))""",
+    ),
+    "over": (
+        ["tile_files"],
+        "SELECT tile_id, CAST(a.i AS INT) AS i, CAST(b.j AS INT) AS j, tile_lat, tile_lon, (a.i + 0.5::DOUBLE) / 2 AS frac_lat, (b.j + 0.5::DOUBLE) / 2 AS frac_lon FROM tile_files CROSS JOIN range(2) AS a(i) CROSS JOIN range(2) AS b(j)",
+    ),
     "land": (["land_tiles"], "SELECT DISTINCT tile_lat, tile_lon FROM land_tiles"),
     "ocean": (["tile_files", "land"], "SELECT f.*, (SELECT count(*) FROM land) >= 12000 AND l.tile_lat IS NULL AS is_ocean FROM tile_files f LEFT JOIN land l USING (tile_lat, tile_lon)"),
     "spots": (
@@ -107,9 +116,22 @@ STEPS = {
     ),
     "urban_bad": (["samples"], "SELECT tile_lat, tile_lon, count(*) FILTER (density >= 5 AND urban = 0) AS hits, max(density) AS max_pop FROM samples WHERE NOT is_water AND zone IS NOT NULL AND density IS NOT NULL GROUP BY tile_lat, tile_lon HAVING count(*) FILTER (density >= 5 AND urban = 0) > 0"),
 }
+#: Whether a point lies in a leaf.
 AT = "{x}.tile_lat = g.tile_lat AND {x}.tile_lon = g.tile_lon AND 31 - CAST(floor(g.frac_lat * 32) AS INT) >= {x}.r0 AND 31 - CAST(floor(g.frac_lat * 32) AS INT) < {x}.r0 + {x}.size AND CAST(floor(g.frac_lon * 32) AS INT) >= {x}.c0 AND CAST(floor(g.frac_lon * 32) AS INT) < {x}.c0 + {x}.size"
 
 
+STEPS["city_bad"] = (
+    ["keyed", "states", "leaf_t", "leaf_p"],
+    f"""SELECT city_id, n, p, zone, density, urban, concat_ws('; ', CASE WHEN zone = 0 AND density >= 5 THEN concat('zone=water but pop=', density) END, CASE WHEN density >= 5 AND urban = 0 THEN concat('pop=', density, ' but urban=0') END) AS issues
+  FROM (SELECT g.*, zone, density, urban FROM keyed g JOIN states s ON s.tile_lat = g.tile_lat AND s.tile_lon = g.tile_lon AND s.status = 'ok' JOIN leaf_t t ON {AT.format(x="t")} JOIN leaf_p p ON {AT.format(x="p")} WHERE NOT (la = 0 AND lo = 0) AND density >= 5 AND (zone = 0 OR urban = 0))""",
+)
+#: Both layers at points with tile_lat, tile_lon, frac_lat and frac_lon.
+SAMPLED = f"""SELECT {{key}}, CASE WHEN status <> 'ok' THEN 0 ELSE elevation END AS elevation, CASE WHEN status <> 'ok' THEN 0 ELSE zone END AS zone, CASE WHEN status <> 'ok' THEN 0 ELSE gradient END AS gradient,
+  CASE WHEN status <> 'ok' THEN 0 ELSE density END AS density, CASE WHEN status <> 'ok' THEN 0 ELSE urban END AS urban
+  FROM {{points}} g {{join}} (SELECT * FROM states WHERE status <> 'no_data') s ON s.tile_lat = g.tile_lat AND s.tile_lon = g.tile_lon
+  LEFT JOIN leaf_t t ON s.status = 'ok' AND {AT.format(x="t")} LEFT JOIN leaf_p p ON s.status = 'ok' AND {AT.format(x="p")} WHERE {{kept}}"""
+
+
 def statement(names: list[str], body: str) -> str:
     """The body after a WITH of all steps and views that it needs, each once and in order."""
     order: list[str] = []
@@ -154,7 +176,7 @@ def oracle_sql() -> dict[str, str]:
         "read_tile_list": s(
             ["tile_list_lines"],
             """SELECT line_no, CAST(parts[2] AS INT) AS tile_lat, CAST(parts[1] AS INT) AS tile_lon FROM (SELECT *, list_filter(string_split(replace(replace(trim(line), chr(9), ','), ' ', ','), ','), lambda x: x <> '') AS parts FROM tile_list_lines WHERE trim(line) <> '' AND NOT starts_with(trim(line), '#'))
-  WHERE len(parts) >= 2 AND try_cast(parts[1] AS INT) IS NOT NULL AND try_cast(parts[2] AS INT) IS NOT NULL ORDER BY line_no LIMIT 500 OFFSET 10""",
+  WHERE len(parts) >= 2 AND try_cast(parts[1] AS INT) IS NOT NULL AND try_cast(parts[2] AS INT) IS NOT NULL""",
         ),
         "read_cities": s(["cities"], "SELECT n, la, lo, p FROM cities WHERE NOT (la = 0 AND lo = 0)"),
         "read_land_index": s(["land"], "SELECT tile_lat, tile_lon FROM land"),
@@ -193,7 +215,7 @@ def oracle_sql() -> dict[str, str]:
         "quad_path": s(["keyed"], "SELECT city_id, array_to_string(list_transform(range(9), lambda i: ((x >> (8 - i)) & 1) + 2 * ((y >> (8 - i)) & 1)), '') AS path FROM (SELECT city_id, CAST(floor(frac_lon * 512) AS INT) AS x, 511 - CAST(floor(frac_lat * 512) AS INT) AS y FROM keyed WHERE ok)"),
         "likely_ocean": s(["ocean"], "SELECT tile_id, is_ocean FROM ocean"),
         "empty_raster": s(["dem_candidates"], "SELECT tile_id, prio, n_px IS NULL OR n_px = 0 OR (v_min = 0 AND v_max = 0) AS is_empty FROM dem_candidates"),
-        "filter_cities": s(["cities"], "SELECT city_id, la, lo, p FROM (SELECT * FROM cities WHERE lo BETWEEN -100 AND 120 AND la BETWEEN -60 AND 60 ORDER BY city_id LIMIT 500) WHERE p >= 20000"),
+        "filter_cities": s(["cities"], "SELECT city_id, la, lo, p FROM cities WHERE lo BETWEEN -100 AND 120 AND la BETWEEN -60 AND 60 AND p >= 20000"),
         "retry_candidates": s(["ocean"], "SELECT tile_id FROM ocean WHERE terrain_bytes <= 1 AND NOT is_ocean"),
         "fuse_layers": s(["zoned"], "SELECT tile_id, r, c, dem, pop, zone, urban FROM zoned WHERE dem IS NOT NULL"),
         "pair_tiles": s(["tile_files"], "SELECT tile_lat, tile_lon, terrain_bytes, pop_bytes FROM tile_files WHERE pop_bytes IS NOT NULL"),
@@ -209,6 +231,9 @@ def oracle_sql() -> dict[str, str]:
   FROM keyed g LEFT JOIN (SELECT * FROM states WHERE status <> 'no_data') s ON s.tile_lat = g.tile_lat AND s.tile_lon = g.tile_lon LEFT JOIN leaf_p p ON s.status = 'ok' AND {AT.format(x="p")}""",
         ),
         "sample_grid_query": s(["samples"], "SELECT tile_lat, tile_lon, row, col, elevation, zone, gradient, density, urban FROM samples"),
+        "heat_map_query": s(["heat", "states", "leaf_t", "leaf_p"], SAMPLED.format(key="g.item_id, g.row, g.col", points="heat", join="LEFT JOIN", kept="true")),
+        "panel_query": s(["heat", "states", "leaf_t", "leaf_p"], SAMPLED.format(key="g.item_id, g.row, g.col", points="heat", join="JOIN", kept="status <> 'ok' OR (elevation IS NOT NULL AND density IS NOT NULL)")),
+        "overview_query": s(["over", "states", "leaf_t", "leaf_p"], SAMPLED.format(key="g.tile_id, g.i, g.j", points="over", join="LEFT JOIN", kept="true")),
         "skip_existing": s(
             ["ocean", "land"],
             "SELECT tile_lat, tile_lon FROM (SELECT tile_lat, tile_lon FROM land UNION SELECT tile_lat, tile_lon FROM tile_files) w WHERE NOT EXISTS (SELECT 1 FROM ocean o WHERE o.tile_lat = w.tile_lat AND o.tile_lon = w.tile_lon AND terrain_bytes IS NOT NULL AND pop_bytes IS NOT NULL AND (terrain_bytes > 1 OR is_ocean))",
@@ -264,6 +289,14 @@ def oracle_sql() -> dict[str, str]:
             ["tile_files"],
             "SELECT CAST(place AS INT) AS place, bucket, count(tile_id) AS tiles FROM (VALUES (0, '<1KB', 0, 1), (1, '1-10KB', 1, 10), (2, '10-50KB', 10, 50), (3, '50-100KB', 50, 100), (4, '100-500KB', 100, 500), (5, '>500KB', 500, 1000000)) AS b(place, bucket, low, high) LEFT JOIN tile_files ON terrain_bytes > 1 AND terrain_bytes / 1024 >= low AND terrain_bytes / 1024 < high GROUP BY place, bucket",
         ),
+        "read_geojson_rings": s(["footprints"], "SELECT 5 AS points, lon_min AS west, lon_max AS east, lat_min AS south, lat_max AS north FROM footprints"),
+        "geojson_extent": s(["footprints"], """SELECT round(w - greatest(1e-6::DOUBLE, e - w) * 0.02::DOUBLE, 6) AS west, round(e + greatest(1e-6::DOUBLE, e - w) * 0.02::DOUBLE, 6) AS east, round(s - greatest(1e-6::DOUBLE, n - s) * 0.02::DOUBLE, 6) AS south, round(n + greatest(1e-6::DOUBLE, n - s) * 0.02::DOUBLE, 6) AS north
+  FROM (SELECT min(lon_min) AS w, max(lon_max) AS e, min(lat_min) AS s, max(lat_max) AS n FROM footprints)"""),
+        "decode_tiles": s(
+            ["terrain", "states"],
+            f"""SELECT t.tile_lat, t.tile_lon, path, CAST({encoded("m")} AS INT) AS value, zone AS kind, gradient
+  FROM (SELECT *, greatest(0, least(8190, CAST(trunc(elev) AS INT))) AS m FROM terrain) t JOIN states USING (tile_id) WHERE status = 'ok'""",
+        ),
         "tile_info": s(["ocean"], "SELECT tile_id, terrain_bytes, CASE WHEN terrain_bytes > 1 THEN terrain_bytes // 2 END AS node_count, is_ocean FROM ocean"),
         "scan_problem_tiles": s(
             ["samples", "land"],
@@ -273,11 +306,8 @@ def oracle_sql() -> dict[str, str]:
         "urban_pop_mismatch": s(["urban_bad"], "SELECT * FROM urban_bad"),
         "water_pop_mismatch": s(["samples"], "SELECT tile_lat, tile_lon, count(*) FILTER (density >= 1) AS hits, max(density) AS max_pop FROM samples WHERE NOT is_water AND zone = 0 AND density IS NOT NULL GROUP BY tile_lat, tile_lon HAVING count(*) FILTER (density >= 1) > 0"),
         "top_mismatches": s(["urban_bad"], "SELECT * FROM urban_bad ORDER BY max_pop DESC, tile_lat, tile_lon LIMIT 20"),
-        "city_mismatch": s(
-            ["keyed", "states", "leaf_t", "leaf_p"],
-            f"""SELECT city_id, n, zone, density, urban, concat_ws('; ', CASE WHEN zone = 0 AND density >= 5 THEN concat('zone=water but pop=', density) END, CASE WHEN density >= 5 AND urban = 0 THEN concat('pop=', density, ' but urban=0') END) AS issues
-  FROM keyed g JOIN states s ON s.tile_lat = g.tile_lat AND s.tile_lon = g.tile_lon AND s.status = 'ok' JOIN leaf_t t ON {AT.format(x="t")} JOIN leaf_p p ON {AT.format(x="p")} WHERE NOT (la = 0 AND lo = 0) AND density >= 5 AND (zone = 0 OR urban = 0)""",
-        ),
+        "top_city_mismatches": s(["city_bad"], "SELECT * FROM city_bad ORDER BY p DESC, city_id LIMIT 30"),
+        "city_mismatch": s(["city_bad"], "SELECT city_id, n, zone, density, urban, issues FROM city_bad"),
         "verify_cities": s(["verified"], "SELECT city_id, n, status, CASE WHEN status IN ('missing_tile', 'no_data') THEN -1 ELSE zone END AS zone, CASE WHEN status IN ('missing_tile', 'no_data') THEN -1 ELSE elevation END AS elevation, CASE WHEN status IN ('missing_tile', 'no_data') THEN 0 ELSE density END AS density FROM verified"),
         "city_status_counts": s(["verified"], "SELECT status, count(*) AS cities FROM verified GROUP BY status"),
         "coastal_problem_tiles": s(
@@ -288,7 +318,7 @@ def oracle_sql() -> dict[str, str]:
         "validate_tiles": s(["ocean"], "SELECT tile_lat, tile_lon, CASE WHEN terrain_bytes <= 1 THEN 'water tile on land' ELSE 'data tile in ocean' END AS issue FROM ocean WHERE (terrain_bytes <= 1) <> is_ocean"),
         "density_p99": s(["samples"], "SELECT greatest(1.0::DOUBLE, coalesce(quantile_cont(CAST(density AS DOUBLE), 0.99), 1.0)) AS p99 FROM samples"),
         "pack_layout": s(["tile_files"], f"SELECT {NAME} AS name, CAST((tile_lat + 90) * 360 + tile_lon + 180 AS INT) AS tile_idx, CAST(coalesce(sum(terrain_bytes) OVER (ORDER BY {NAME} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS \"offset\", terrain_bytes AS size FROM tile_files"),
-        "pack_header": s(["tile_files"], "SELECT count(*) AS tiles, CAST(sum(terrain_bytes) AS BIGINT) AS stored_bytes, CAST(sum(terrain_bytes) + 1036832 AS BIGINT) AS file_bytes, sum(terrain_bytes) + 1036832 > 1073741824 AS too_large FROM tile_files"),
+        "pack_header": s(["tile_files"], "SELECT count(*) AS tiles, CAST(sum(terrain_bytes) AS BIGINT) AS stored_bytes, CAST(sum(terrain_bytes) AS BIGINT) AS raw_bytes, CAST(sum(terrain_bytes) + 1036832 AS BIGINT) AS file_bytes, sum(terrain_bytes) + 1036832 > 1073741824 AS too_large FROM tile_files"),
         "top_largest": s(["tile_files"], f"SELECT {NAME} AS name, terrain_bytes FROM tile_files WHERE terrain_bytes > 1 ORDER BY terrain_bytes DESC, name LIMIT 10"),
         "new_tiles": s(["tile_files", "pack_a"], "SELECT tile_id, tile_lat, tile_lon FROM tile_files WHERE (tile_lat, tile_lon) NOT IN (SELECT (tile_lat, tile_lon) FROM pack_a)"),
         "incremental_pack": s(["pack_a", "pack_b"], "SELECT coalesce(a.tile_lat, b.tile_lat) AS tile_lat, coalesce(a.tile_lon, b.tile_lon) AS tile_lon, coalesce(b.size, a.size) AS size, CASE WHEN a.size IS NULL THEN 'new' WHEN b.size IS NULL OR a.size = b.size THEN 'same' ELSE 'changed' END AS change FROM pack_a a FULL JOIN pack_b b ON a.tile_lat = b.tile_lat AND a.tile_lon = b.tile_lon"),

@@ -18,6 +18,7 @@ from .fixtures import view
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CELL = ["tile_lat", "tile_lon"]
+SAMPLED = ["elevation", "zone", "gradient", "density", "urban"]
 
 
 def query(f: Query) -> Query:
@@ -107,7 +108,7 @@ def read_raster_layers(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def read_tile_list(spark: SparkSession, d: str) -> DataFrame:
-    return files.parse_tile_list(view(spark, d, "tile_list_lines"), start=10, limit=500).select("line_no", *CELL)
+    return files.parse_tile_list(view(spark, d, "tile_list_lines")).select("line_no", *CELL)
 
 
 @query
@@ -138,7 +139,7 @@ def write_land_index(spark: SparkSession, d: str) -> DataFrame:
 def read_pack_tiles(spark: SparkSession, d: str) -> DataFrame:
     baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null"))).select(*CELL, F.col("terrain").alias("payload"))
     folder = shared_folder(spark, "packs")
-    packs.write_pack_parts(baked.coalesce(2), folder)
+    packs.write_pack_parts(baked, folder)
     return packs.read_pack_tiles(spark, folder).select("kind", *CELL, F.length("payload").cast("long").alias("bytes"), F.crc32("payload").alias("crc"))
 
 
@@ -147,27 +148,30 @@ def _geojson(spark: SparkSession, d: str) -> str:
     w, e, s, n = (F.col(c) for c in ("lon_min", "lon_max", "lat_min", "lat_max"))
     ring = F.array(*(F.array(x, y) for x, y in ((w, s), (e, s), (e, n), (w, n), (w, s))))
     shape = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
-    feature = F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.col("item_id").alias("id"), shape.alias("geometry"))
     view(spark, d, "footprints").select(F.to_json(feature).alias("value")).write.text(path, lineSep="\n")
     return path
 
 
+def _rings(spark: SparkSession, d: str) -> DataFrame:
+    """Rings of lists of features, a list for every thousand ids, each in a line of its own."""
+    lines = spark.read.text(_geojson(spark, d))
+    path = shared_folder(spark, "geojson-lists")
+    bucket = F.floor(F.get_json_object("value", "$.id").cast("long") / 1000)
+    lists = lines.groupBy(bucket).agg(F.concat(F.lit("["), F.concat_ws(",", F.array_sort(F.collect_list("value"))), F.lit("]")).alias("value"))
+    lists.select("value").write.text(path)
+    return files.read_geojson_rings(spark, path, whole_files=False)
+
+
 @query
 def read_geojson_rings(spark: SparkSession, d: str) -> DataFrame:
-    """Rings of a file per feature; each line of the folder's files is made a file of its own."""
-    lines = spark.read.text(_geojson(spark, d))
-    path = shared_folder(spark, "geojson-list")
-    lines.agg(F.concat(F.lit("["), F.concat_ws(",", F.array_sort(F.collect_list("value"))), F.lit("]")).alias("value")).write.text(path)
-    rings = files.read_geojson_rings(spark, path)
-    return rings.select("feature", F.size("ring").alias("points"), F.array_min(F.transform("ring", lambda p: p[0])).alias("west"), F.array_max(F.transform("ring", lambda p: p[1])).alias("north"))
+    x, y = (F.transform("ring", lambda p: p[0]), F.transform("ring", lambda p: p[1]))
+    return _rings(spark, d).select(F.size("ring").alias("points"), F.array_min(x).alias("west"), F.array_max(x).alias("east"), F.array_min(y).alias("south"), F.array_max(y).alias("north"))
 
 
 @query
 def geojson_extent(spark: SparkSession, d: str) -> DataFrame:
-    lines = spark.read.text(_geojson(spark, d))
-    path = shared_folder(spark, "geojson-list")
-    lines.agg(F.concat(F.lit("["), F.concat_ws(",", F.array_sort(F.collect_list("value"))), F.lit("]")).alias("value")).write.text(path)
-    return rounded(files.geojson_extent(files.read_geojson_rings(spark, path)), "west", "east", "south", "north")
+    return rounded(files.geojson_extent(_rings(spark, d)), "west", "east", "south", "north")
 
 
 @query
@@ -302,7 +306,7 @@ def empty_raster(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def filter_cities(spark: SparkSession, d: str) -> DataFrame:
-    return select.filter_cities(view(spark, d, "cities"), -100, -60, 120, 60, 500, 20_000).select("city_id", "la", "lo", "p")
+    return select.filter_cities(view(spark, d, "cities"), -100, -60, 120, 60, 0, 20_000).select("city_id", "la", "lo", "p")
 
 
 @query
@@ -345,6 +349,30 @@ def sample_grid_query(spark: SparkSession, d: str) -> DataFrame:
     return Tiles(spark, d).samples().select(*CELL, "row", "col", "elevation", "zone", "gradient", "density", "urban")
 
 
+@query
+def heat_map_query(spark: SparkSession, d: str) -> DataFrame:
+    """A heat map of 5 x 4 points of each footprint's box; null where there is no tile."""
+    t = Tiles(spark, d)
+    points = grids.bbox_sample_grid(view(spark, d, "footprints"), 5, 4, falling=True).select("item_id", "row", "col", "la", "lo")
+    return audit.grid_samples(points, t.states, t.terrain, t.population, ["item_id", "row", "col"]).select("item_id", "row", "col", *SAMPLED)
+
+
+@query
+def panel_query(spark: SparkSession, d: str) -> DataFrame:
+    """The same points where both layers have values."""
+    t = Tiles(spark, d)
+    points = grids.bbox_sample_grid(view(spark, d, "footprints"), 5, 4, falling=True).select("item_id", "row", "col", "la", "lo")
+    return audit.grid_samples(points, t.states, t.terrain, t.population, ["item_id", "row", "col"], both=True).select("item_id", "row", "col", *SAMPLED)
+
+
+@query
+def overview_query(spark: SparkSession, d: str) -> DataFrame:
+    """Two by two points of every tile of the inventory."""
+    t = Tiles(spark, d)
+    points = grids.overview_sample_grid(view(spark, d, "tile_files").select("tile_id", *CELL), 2).select("tile_id", "i", "j", "la", "lo")
+    return audit.grid_samples(points, t.states, t.terrain, t.population, ["tile_id", "i", "j"]).select("tile_id", "i", "j", *SAMPLED)
+
+
 @query
 def skip_existing(spark: SparkSession, d: str) -> DataFrame:
     wanted = view(spark, d, "land_tiles").unionByName(view(spark, d, "tile_files").select(*CELL)).distinct()
@@ -483,6 +511,11 @@ def top_mismatches(spark: SparkSession, d: str) -> DataFrame:
     return audit.top_mismatches(audit.urban_pop_mismatch(Tiles(spark, d).samples(), 5))
 
 
+@query
+def top_city_mismatches(spark: SparkSession, d: str) -> DataFrame:
+    return audit.top_city_mismatches(city_mismatch(spark, d), view(spark, d, "cities"))
+
+
 @query
 def city_mismatch(spark: SparkSession, d: str) -> DataFrame:
     t = Tiles(spark, d)
@@ -595,21 +628,23 @@ def rebake_rounds(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def bake_tiles(spark: SparkSession, d: str) -> DataFrame:
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null")))
+    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d)))
     return baked.select("tile_id", "status", "terrain_nodes", "population_nodes", F.crc32("terrain").alias("terrain_crc"), F.crc32("population").alias("population_crc"))
 
 
 @query
-def decode_tiles(spark: SparkSession, d: str) -> DataFrame:
-    """Leaves of baked terrain, which must equal those of the table form."""
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null")))
-    return bake.decode_tiles(baked, "terrain", terrain=True)
+def root_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """The node count that the root of each baked tree states."""
+    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d)))
+    return baked.select("tile_id", pack.root_size(F.col("terrain")).alias("terrain_root"), pack.root_size(F.col("population")).alias("population_root"))
 
 
 @query
-def compress_payloads(spark: SparkSession, d: str) -> DataFrame:
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null"))).select(*CELL, F.col("terrain").alias("payload"))
-    return pack.compress_payloads(baked).select(*CELL, "codec", F.length("payload").alias("bytes"))
+def decode_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """Leaves of baked terrain, which must equal those of the table form."""
+    whole = pixels.whole_tiles(view(spark, d, "px"), with_elevation=True)
+    baked = bake.bake_tiles(bake.fused_arrays(pixels.fix_water(pixels.with_zones(whole))))
+    return bake.decode_tiles(baked, "terrain", terrain=True)
 
 
 @query

@@ -59,10 +59,10 @@ def write_lines(lines: DataFrame, path: str, column: str = "line") -> None:
 
 
 def write_tile_list(tiles: DataFrame, path: str, limit: int = 0) -> None:
-    """``lon,lat`` lines in file-name order."""
+    """``lon,lat`` lines in file-name order, within each part file and from file to file."""
     from ..operators.audit import problem_lines
 
-    write_lines(problem_lines(tiles, limit).coalesce(1), path)
+    write_lines(problem_lines(tiles, limit), path)
 
 
 def read_cities(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
@@ -102,13 +102,14 @@ def _point(p: Column) -> Column:
     return (F.size(p) >= 2) & p[0].isNotNull() & p[1].isNotNull()
 
 
-def read_geojson_rings(spark: SparkSession, path: str, max_features: int = 0) -> DataFrame:
+def read_geojson_rings(spark: SparkSession, path: str, max_features: int = 0, whole_files: bool = True) -> DataFrame:
     """Exterior rings (lon, lat points) of polygons: a collection, one feature, or a list of them.
 
     Points without two numbers are dropped, then rings of fewer than three points; holes and
-    other geometries are ignored. ``max_features`` (0: all) counts features of a file.
+    other geometries are ignored. A collection is a whole file, or (for large ones) a line;
+    ``max_features`` (0: all) counts the features of each.
     """
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=whole_files)
     feature = "struct<geometry:struct<type:string,coordinates:string>>"
     body = F.from_json("value", f"struct<type:string,features:array<{feature}>,geometry:struct<type:string,coordinates:string>>")
     as_list = F.from_json("value", f"array<{feature}>")

@@ -9,9 +9,11 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """A new path below ``spark.checkpoint.dir``; a local one only where that is unset and the master is local."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="terraloom-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

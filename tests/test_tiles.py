@@ -1,5 +1,6 @@
 """Encodings, trees, payloads, packs and files on small inputs."""
 
+import struct
 from types import SimpleNamespace
 
 import numpy as np
@@ -49,26 +50,73 @@ def test_path_and_block_agree(spark):
     assert df.filter((keys.path_number(F.col("p"), "c") != F.col("c")) | (keys.path_number(F.col("p"), "r") != F.col("r"))).count() == 0
 
 
-def test_budget_is_kept_on_rough_ground():
-    rng = np.random.default_rng(7)
-    raw = terrain(rng.normal(100, 50, (128, 128)), np.ones((128, 128)), budget=200)
-    assert nodes(raw)[0] == len(nodes(raw)) <= 200 and bake.tile_error(raw) is None
-
-
-@pytest.mark.parametrize("other", [0, 2])
-def test_flat_tiles_with_two_zones_split_further_than_one(other):
-    zone = np.ones((64, 64))
-    flat = terrain(np.full((64, 64), 25.0 if other else 0.0), zone)
-    zone[:, :30] = other
-    mixed = terrain(np.full((64, 64), 25.0 if other else 0.0), zone)
-    assert len(nodes(flat)) == 85 < len(nodes(mixed)) and bake.tile_error(mixed) is None
-
-
-def test_population_hotspot_splits_past_forced_levels():
-    pop = np.zeros((64, 64))
-    pop[31:33, 31:33] = 40
-    raw = bake.tree(bake.Pyramid(np.zeros((64, 64)), np.ones((64, 64)), pop, np.zeros((64, 64))), False, 30_000)
-    assert len(nodes(raw)) > 53
+def slope(side, by_row, by_col, base=300.0):
+    """A plane that climbs by so many metres a row and a column."""
+    return base + by_row * np.arange(side)[:, None] + by_col * np.arange(side)[None, :]
+
+
+def leaves_of(raw):
+    """(path, node) of each leaf of a payload."""
+    waiting, out = [""], []
+    for node in nodes(raw).tolist():
+        path = waiting.pop()
+        if node & codes.LEAF:
+            out.append((path, node))
+        else:
+            waiting += [path + q for q in "3210"]
+    assert not waiting
+    return out
+
+
+@pytest.mark.parametrize("budget", [5, 21, 90, 333, 1_000, 4_321])
+@pytest.mark.parametrize("ground", ["ridge", "rings"])
+def test_trees_never_pass_their_budget_and_cover_the_tile(budget, ground):
+    y, x = np.mgrid[0:256, 0:256]
+    dem = 900 + 40 * np.abs((x + 3 * y) % 61 - 30) if ground == "ridge" else 2_000 + 700 * np.sin(np.hypot(x - 90, y - 140) / 3)
+    raw = terrain(dem, 1 + (x // 7 + y // 5) % 3, budget=budget)
+    assert nodes(raw)[0] == len(nodes(raw)) <= budget and bake.tile_error(raw) is None
+    assert sum(0.25 ** len(p) for p, _ in leaves_of(raw)) == 1
+
+
+def test_more_budget_never_gives_fewer_nodes():
+    mosaic = np.random.default_rng(2024).integers(1, 4, (64, 64))
+    sizes = [len(nodes(terrain(slope(64, 5, 0), mosaic, budget=b))) for b in (30, 120, 480, 1_900, 7_600)]
+    assert sizes == sorted(sizes) and sizes[-1] == (4**6 - 1) // 3
+
+
+@pytest.mark.parametrize("split", [8, 40, 52])
+def test_an_edge_between_classes_is_followed_to_the_smallest_blocks(split):
+    zone = np.full((64, 64), 2)
+    even = terrain(slope(64, 0, 0), zone)
+    zone[split:] = 3
+    edged = terrain(slope(64, 0, 0), zone)
+    # forced levels alone where the edge falls between their blocks, else more along it
+    assert len(leaves_of(even)) == 64 and (len(leaves_of(edged)) > 64) == (split % 8 > 0)
+    for path, node in leaves_of(edged):
+        row = sum(int(q) // 2 << (5 - i) for i, q in enumerate(path))
+        assert node & 3 == (2 if row < split else 3)
+
+
+def test_a_lone_town_is_found_past_the_forced_levels():
+    pop = np.zeros((128, 128))
+    pop[70, 21] = 900.0
+    zero = np.zeros(pop.shape)
+    found = leaves_of(bake.tree(bake.Pyramid(zero, np.ones(pop.shape), pop, zero), False, 20_000))
+    deepest = [p for p, _ in found if len(p) == 6]
+    assert len(deepest) == 4 and len({p[:5] for p in deepest}) == 1
+    people = [p for p, node in found if node >> 3 & 0xFFF]
+    row, col = (sum((int(q) >> k & 1) << (5 - i) for i, q in enumerate(people[0])) for k in (1, 0))
+    assert len(people) == 1 and (row, col) == (70 // 2, 21 // 2)
+
+
+def test_gradients_look_both_ways():
+    dem = np.zeros((8, 8))
+    dem[:, 4:] = 260.0
+    raw = leaves_of(terrain(dem, np.ones((8, 8))))
+    by_column = {}
+    for path, node in raw:
+        by_column.setdefault(sum((int(q) & 1) << (1 - i) for i, q in enumerate(path)), set()).add(node >> 2 & 3)
+    assert by_column == {0: {0}, 1: {3}, 2: {3}, 3: {0}}
 
 
 def test_damaged_payloads_are_named():
@@ -88,8 +136,8 @@ def test_payload_leaves_equal_table_leaves(spark, baked):
     fixed, tiles = baked
     ok = tiles.filter("status = 'ok'").select("tile_id")
     pyramid = tree.quad_pyramid(pixels.pixel_gradient(fixed.join(ok, "tile_id", "left_semi")))
-    for kind, leaves in (("terrain", tree.terrain_leaves(pyramid).select("tile_lat", "tile_lon", "path", codes.encode_elevation(F.col("elev")).alias("value"), F.col("zone").alias("kind"))), ("population", tree.population_leaves(pyramid).select("tile_lat", "tile_lon", "path", codes.encode_pop_density(F.col("density")).alias("value"), F.col("urban").alias("kind")))):
-        decoded = bake.decode_tiles(tiles, kind, kind == "terrain").select("tile_lat", "tile_lon", "path", "value", "kind")
+    for kind, leaves in (("terrain", tree.terrain_leaves(pyramid).select("tile_lat", "tile_lon", "path", codes.encode_elevation(F.col("elev")).alias("value"), F.col("zone").alias("kind"), "gradient")), ("population", tree.population_leaves(pyramid).select("tile_lat", "tile_lon", "path", codes.encode_pop_density(F.col("density")).alias("value"), F.col("urban").alias("kind"), F.lit(None).cast("int").alias("gradient")))):
+        decoded = bake.decode_tiles(tiles, kind, kind == "terrain").select("tile_lat", "tile_lon", "path", "value", "kind", "gradient")
         assert decoded.exceptAll(leaves).count() == 0 and leaves.exceptAll(decoded).count() == 0
         area = decoded.groupBy("tile_lat", "tile_lon").agg(F.sum(F.pow(F.lit(0.25), F.length("path"))).alias("a"))
         assert area.filter("a <> 1").count() == 0
@@ -97,7 +145,8 @@ def test_payload_leaves_equal_table_leaves(spark, baked):
 
 def test_pack_parts_round_trip(spark, baked, tmp_path):
     tiles = baked[1].filter("terrain is not null").select("tile_lat", "tile_lon", F.col("terrain").alias("payload"))
-    packs.write_pack_parts(tiles.coalesce(2), str(tmp_path / "packs"))
+    again = tiles.limit(3).withColumn("payload", F.expr("substring(payload, 1, 1)"))
+    assert packs.write_pack_parts(tiles.union(again), str(tmp_path / "packs")) == tiles.count()
     back = packs.read_pack_tiles(spark, str(tmp_path / "packs")).drop("kind")
     assert back.exceptAll(tiles).count() == 0 and back.count() == tiles.count()
 
@@ -114,13 +163,43 @@ def test_tile_folder_skips_foreign_names(spark, baked, tmp_path):
     assert bytes(back.filter("tile_lat = -89 and tile_lon = -179").first().payload) == bytes(head.payload)
 
 
-def test_shards_group_and_index(spark):
-    tiles = spark.createDataFrame([(39, 116, bytearray(b"\x01\x80")), (39, 117, bytearray(b"\x02\x80")), (39, 179, bytearray(b"\x03\x80"))], "tile_lat int, tile_lon int, payload binary")
-    rows = pack.shard_blobs(tiles).orderBy("path").collect()
-    assert [(r.path, r.tile_count) for r in rows] == [("terrain_+110_+30.gsh", 2), ("terrain_+170_+30.gsh", 1)]
-    assert len(rows[0].content) == pack.SHARD_HEADER_BYTES + 800 + 4
-    files_ = tiles.withColumn("terrain_bytes", F.length("payload"))
-    assert sorted((r.tile_count, r.index_bytes) for r in pack.pack_shards(files_).collect()) == [(1, 800), (2, 800)]
+@pytest.mark.parametrize("degrees", [1, 25, 45])
+def test_shard_files_hold_each_tile_where_their_index_says(spark, degrees):
+    cells = [(-90, -180), (-66, -155), (-65, -156), (0, 0), (24, 25), (25, 24), (89, 179), (88, -1)]
+    tiles = spark.createDataFrame([(a, b, bytearray([i, 0x80] * (i + 1))) for i, (a, b) in enumerate(cells)], "tile_lat int, tile_lon int, payload binary")
+    keyed = {(r.tile_lat, r.tile_lon): r for r in pack.shard_key(tiles, degrees).collect()}
+    blobs, found = pack.shard_blobs(tiles, degrees).collect(), {}
+    assert {r.path: r.tile_count for r in blobs} == {r.path: r.tile_count for r in pack.pack_shards(tiles.withColumn("terrain_bytes", F.length("payload")), degrees).collect()}
+    by_path = {f"terrain_{r.shard_lon:+04d}_{r.shard_lat:+03d}.gsh": (r.shard_lat, r.shard_lon, r.tile_w, r.tile_h) for r in keyed.values()}
+    for r in blobs:
+        lat, lon, w, h = by_path[r.path]
+        body = r.content[pack.SHARD_HEADER_BYTES + w * h * pack.SHARD_ENTRY_BYTES :]
+        for k, (at, size) in enumerate(struct.iter_unpack(pack.SHARD_ENTRY, r.content[pack.SHARD_HEADER_BYTES : pack.SHARD_HEADER_BYTES + w * h * pack.SHARD_ENTRY_BYTES])):
+            if size:
+                found[(lat + k // w, lon + k % w)] = bytes(body[at : at + size])
+    assert found == {c: bytes([i, 0x80] * (i + 1)) for i, c in enumerate(cells)}
+
+
+def test_root_sizes_are_those_of_the_trees(spark, baked):
+    rows = baked[1].filter("status = 'ok'").select("terrain_nodes", pack.root_size(F.col("terrain")).alias("a"), pack.root_size(F.concat(F.lit(b"QTR5" + bytes(12)), "terrain")).alias("b")).collect()
+    assert rows and all(r.terrain_nodes == r.a == r.b for r in rows)
+    assert [r[0] for r in spark.sql("select unhex('FF') x union all select null union all select unhex('0380')").select(pack.root_size(F.col("x"))).collect()] == [None] * 3
+
+
+def test_places_of_repeated_cells(spark):
+    files_ = spark.createDataFrame([(la, lo, 10 + k) for k, (la, lo) in enumerate([(5, 10), (5, 10), (5, 100), (-3, 10), (7, -1), (200, 1)])], "tile_lat int, tile_lon int, terrain_bytes int")
+    rows = sorted(pack.pack_layout(files_).collect(), key=lambda r: r.offset)
+    assert [r.name for r in rows] == sorted(r.name for r in rows) and rows[0].offset == 0
+    assert all(a.offset + a.size == b.offset for a, b in zip(rows, rows[1:], strict=False)) and len(rows) == 5
+    parts = [split_tiles(files_, k, 4).count() for k in (1, 2, 3, 4)]
+    assert sum(parts) == 6 and max(parts) - min(parts) <= 1
+
+
+def test_status_without_an_index_of_oceans(spark):
+    facts = spark.createDataFrame([(1, 85, 0, True, False, None, False), (2, 0, 0, True, True, 1.0, True)], "tile_id long, tile_lat int, tile_lon int, has_dem boolean, has_cover boolean, water_share double, all_water boolean")
+    assert [r.status for r in pixels.bake_status(facts).orderBy("tile_id").collect()] == ["ok", "water"]
+    assert [r.status for r in pixels.bake_status(facts, F.lit(True)).orderBy("tile_id").collect()] == ["no_data", "ocean"]
+    assert [r.status for r in pixels.bake_status(facts, F.lit(True), no_data_water=True).orderBy("tile_id").collect()] == ["ocean", "ocean"]
 
 
 def test_first_pack_wins_and_kinds_must_agree(spark):
