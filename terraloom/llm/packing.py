@@ -7,6 +7,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -104,6 +105,12 @@ class IdEncoder:
         return out
 
 
+@lru_cache(2)
+def id_encoder(path: str, ranks: str | None, pattern: str) -> IdEncoder:
+    """The encoder of a file, kept with its pieces from task to task of a worker."""
+    return IdEncoder(path, ranks, pattern)
+
+
 def balance(lengths: np.ndarray, capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
     """(piece, start in piece, length, sequence, offset) of pieces dealt to the fewest sequences.
 
@@ -146,7 +153,7 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, made = IdEncoder(vocabulary, ranks, pattern), TaskContext.get().partitionId() << 40
+        encoder, made = id_encoder(vocabulary, ranks, pattern), TaskContext.get().partitionId() << 40
         end, wide = np.uint32(end_id).tobytes(), capacity * 4
         rest: list[tuple] = []
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,12 @@ class LengthEncoder:
         return [sum(map(lengths.__getitem__, words)) for words in split]
 
 
+@lru_cache(2)
+def length_encoder(path: str) -> LengthEncoder:
+    """The encoder of a file, kept with its words from task to task of a worker."""
+    return LengthEncoder(path)
+
+
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048, batch_bytes: int = 2 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every whole text.
 
@@ -91,7 +98,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048, batch_byte
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = LengthEncoder(vocabulary)
+        encoder = length_encoder(vocabulary)
         for batch in sliced(batches, "text", batch_bytes):
             n = encoder.counts(strings(batch, "text"))
             yield as_batch(schema, batch.column("doc_id"), pc.binary_length(batch.column("text")).fill_null(0).cast(pa.int64()), n, [x > limit for x in n])

@@ -1,5 +1,6 @@
 """Operators on documents against plain versions, on small inputs with every odd case."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from terraloom.llm.packing import IdEncoder, balance, pack
 from terraloom.llm.quality_rules import quality_rules
 from terraloom.llm.sentence_pieces import PieceModel, sentence_piece_digests, sentence_pieces
-from terraloom.llm.token_counts import token_counts
+from terraloom.llm.token_counts import LengthEncoder, token_counts
 
 ODD = [
     "", "  ", " a  b   c \n  d\t \t e  ", "x  <|endoftext|> y<|endoftext|>", "it's  İstanbul ΣΑΣ á ≠ b. ̸c", "a　 b 　  c  d", "x  ",
@@ -139,6 +140,63 @@ def test_viterbi_equals_the_library_on_a_unigram_model(tmp_path, real):
         assert ids == want or abs(sum(map(library.get_score, ids)) - sum(map(library.get_score, want))) < 1e-4
 
 
+ATOMS = [*"abcxyzABCSTEFr0123456789" * 2, *(chr(c) for c in range(33, 127) if not chr(c).isalnum()), *(").", ".)", '".', "'s", "'S", "'ll", "the", "The", "of", "HTTP", "don't", "</w>"), *"\r\n\t\v\f   ", "\r\n", "  ",
+         "\u00a0", "\u3000", "\u2009", "\u200b", "\u0301", "\u0338", "\u0345", "\u0130", "\u0131", "ß", "ẞ", "Σ", "ς", "é", "²", "ª", "¼", "क\u093c", "日", "本", "！", "\U0001f642", "’", "“", "”", "…", "—", "\u00ad", "\ufeff", "\x00", "\x1c", "\x85", "ŉ", "ﬁ", "\u212b", "\u2126", "ǅ",
+         "<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|end", "oftext|>", "▁", "<s>", "<0x41>"]
+
+
+def odd_strings(seed, n=20_000):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(ATOMS, k=rng.randint(1, 14))) for _ in range(n)]
+
+
+def in_batches(made, texts, size=700):
+    return [x for i in range(0, len(texts), size) for x in made(texts[i : i + size])]
+
+
+def test_token_counts_of_odd_strings():
+    texts = odd_strings(1)
+    assert in_batches(LengthEncoder(P.path("word_bpe_49k.json")).counts, texts) == library_counts(texts)
+
+
+def test_ids_of_odd_strings():
+    texts = odd_strings(2)
+    assert in_batches(IdEncoder(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN).encode, texts) == library_ids(texts)
+
+
+def test_pieces_of_odd_strings():
+    import sentencepiece
+
+    texts = odd_strings(3)
+    library = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    got = in_batches(PieceModel(P.path("piece_bpe_32k.model")).encode, texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == library.encode(texts)
+
+
+def test_pieces_of_long_words():
+    import base64
+
+    import sentencepiece
+
+    rng = random.Random(4)
+    texts = [base64.b64encode(rng.randbytes(n)).decode() for n in (30, 60, 1500)] + ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(20_000)), "あいう。カタカナ日本語" * 300, " " * 333, "a" + " " * 77 + "b" + " " * 16, "x" * 999, "the" * 500, "▁" * 100, "ab\n\n\ncd" * 300, "\n" * 50, "🙂" * 200 + "é" * 100, "ﷺ" * 50]
+    library, model = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model")), PieceModel(P.path("piece_bpe_32k.model"))
+    got = [np.frombuffer(g, "<u4").tolist() for g in model.encode(texts)]
+    assert got == library.encode(texts) and model.decode([np.array(g, "<u4").tobytes() for g in got]) == [library.decode(g) for g in got]
+
+
+def test_files_that_change_texts_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(P.path("piece_bpe_32k.model"), "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.normalizer_spec.remove_extra_whitespaces = True
+    (tmp_path / "other.model").write_bytes(proto.SerializeToString())
+    with pytest.raises(ValueError, match="changes texts"):
+        PieceModel(str(tmp_path / "other.model"))
+
+
 def plain_base(text):
     words = (text or "").encode().split()
     windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
