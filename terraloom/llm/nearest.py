@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import written
+from .common import scratch, written
 
 FOUND = "query_id long, vec_id long, score double"
 CHUNK_BITS = 16
@@ -83,6 +83,18 @@ class CodeIndex:
         return rows[near], distance[near]
 
 
+class Best:
+    """The k nearest found so far for each of a block of queries, ties to the smaller id."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.ids, self.scores = k, [np.zeros(0, np.int64)] * queries, [np.zeros(0)] * queries
+
+    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate([self.ids[query], ids]), np.concatenate([self.scores[query], scores])
+        order = np.lexsort((ids, scores))[: self.k]
+        self.ids[query], self.scores[query] = ids[order], scores[order]
+
+
 def search_block(index: CodeIndex, vectors: np.ndarray, first: np.ndarray, single: np.ndarray, query: np.ndarray, code: np.ndarray, own: int, k: int, radius: int, step: int) -> Iterator[tuple[int, float]]:
     """(row, distance) of the k nearest classes among the codes within the radius of one query.
 
@@ -119,7 +131,7 @@ def nearest(
     reach: float = 0.98,
     sample: int = 4_000,
     block_rows: int = 8_000,
-    query_rows: int = 5_000,
+    query_rows: int = 50_000,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -128,54 +140,80 @@ def nearest(
     query_id, rank (from 1), vec_id and score (Euclidean distance in double precision). Codes
     of ``bits`` bits are learned from at most ``sample`` vectors, the smallest by a hash of the
     id, with the radius that holds a share ``reach`` of their nearest; every vector is
-    indexed. Vectors are dealt to blocks of about ``block_rows`` and queries to blocks of about
-    ``query_rows``, and each pair of blocks is one task: the stated queries against all rows.
-    Equal vectors are one class from the start; only its k + 1 smallest ids can be found, so a
+    indexed. The vectors are written once and stay where they lie: about ``query_rows`` queries
+    at a time are broadcast (26 MB at 64 components), and each task searches its part of the
+    vectors by blocks of ``block_rows``, keeping the k best of each query; so what is shuffled
+    is k rows a query and task. Equal vectors are one class from the start; only its k + 1 smallest ids can be found, so a
     class of any size is one row of the index.
 
     A query's own row takes no part, ids that repeat count once each with the vector that sorts
     first. Vectors null, zero, or with a null or non-finite component take no part, nor do rows
-    without an id or vectors of other than the most frequent length. Fewer rows than k: all of
-    them. Ties go to the smaller id. Other columns: ignored. No rows: no rows.
+    without an id. Vectors of different lengths have no distance: each length is searched apart.
+    Fewer rows than k: all of them. Ties go to the smaller id. Other columns: ignored. No rows: no rows.
     """
     spark = vectors.sparkSession
-    rows = _usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v"))
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    out = "query_id long, rank int, vec_id long, score double"
-    if size is None:
-        return spark.createDataFrame([], out)
-    rows = written(rows.filter(F.size("v") == size["n"]), "vectors")
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()
-    x = np.array([r["v"] for r in taken])
-    model = fit_rotations(x, bits)
-    radius = fit_radius(x, encode(x, model), k, reach)
-    step = max(4, bits // 32)
-    # the k + 1 smallest ids of each distinct vector; each task passes on no more than so many
-    place = F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))
-    low = rows.withColumn("h", F.xxhash64("v")).withColumn("place", place).filter(F.col("place") <= k + 1)
-    classes = low.groupBy("h", "v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    queries = rows.filter(F.col("id") % every == 0)
-    total, asked = rows.count(), queries.count()
-    blocks, asks = max(1, -(-total // block_rows)), max(1, -(-asked // query_rows))
-    index = classes.select("ids", "v", F.lit(None).cast("long").alias("query"), F.pmod("h", F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(asks - 1))).alias("ask"))
-    wanted = queries.select(F.lit(None).cast("array<long>").alias("ids"), "v", F.col("id").alias("query"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(asks)).cast("int").alias("ask"))
+    rows = written(_usable(vectors, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v")), "vectors")
+    path, any_asked = scratch(spark, "found"), False
+    for size in sorted(r["n"] for r in rows.groupBy(F.size("v").alias("n")).agg(F.count("*")).collect()):
+        own = rows.filter(F.size("v") == size)
+        asks = -(-own.filter(F.col("id") % every == 0).count() // query_rows)
+        if not asks:
+            continue
+        taken = own.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").collect()
+        x = np.array([r["v"] for r in taken])
+        model = fit_rotations(x, bits)
+        radius = fit_radius(x, encode(x, model), k, reach)
+        # the k + 1 smallest ids of each distinct vector; each task passes on no more than so many
+        place = F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))
+        low = own.withColumn("h", F.xxhash64("v")).withColumn("place", place).filter(F.col("place") <= k + 1)
+        index = written(low.groupBy("h", "v").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids", "v"), "index")
+        queries = written(own.filter(F.col("id") % every == 0).withColumn("ask", F.pmod(F.xxhash64("id"), F.lit(asks))), "queries")
+        for ask in range(asks):
+            asked = queries.filter(F.col("ask") == ask).select("id", "v").toArrow()
+            if len(asked):
+                any_asked = True
+                _search(index, asked, model, k, radius, max(4, bits // 32), block_rows).write.mode("append").parquet(path)
+    if not any_asked:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    found = spark.read.schema(FOUND).parquet(path)
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _search(index: DataFrame, asked: pa.Table, model: tuple[np.ndarray, np.ndarray], k: int, radius: int, step: int, block_rows: int) -> DataFrame:
+    """The k nearest of each query in each task's part of the index (ids, v)."""
+    names, queries = asked.column("id").to_pylist(), _matrix(asked.column("v"))
+    shared = index.sparkSession.sparkContext.broadcast((names, queries, encode(queries, model)))
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def run(table: pa.Table) -> pa.Table:
-        flat = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(table), -1)
-        asking = table.column("query").is_valid().to_numpy()
-        names = table.column("query").drop_null().to_pylist()
-        members = [m for m in table.column("ids").to_pylist() if m]
-        found: list[tuple[int, int, float]] = []
-        if members and names:
-            base, first, single = flat[~asking], np.array([m[0] for m in members]), np.array([len(m) == 1 for m in members])
-            block, codes = CodeIndex(encode(base, model)), encode(flat[asking], model)
-            for name, query, code in zip(names, flat[asking], codes, strict=True):
-                for row, d in search_block(block, base, first, single, query, code, name, k, radius, step):
-                    found += [(name, i, d) for i in members[row] if i != name][:k]
-        columns = list(zip(*found, strict=True)) or [[], [], []]
-        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-    pairs = index.unionByName(wanted).groupBy("block", "ask").applyInArrow(run, FOUND)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, queries, codes = shared.value
+        best, waiting, n = Best(len(names), k), [], 0
+
+        def search() -> None:
+            table = pa.Table.from_batches(waiting)
+            base, members = _matrix(table.column("v")), table.column("ids").to_pylist()
+            first, single = np.array([m[0] for m in members]), np.array([len(m) == 1 for m in members])
+            block = CodeIndex(encode(base, model))
+            for q, own in enumerate(names):
+                for row, d in search_block(block, base, first, single, queries[q], codes[q], own, k, radius, step):
+                    ids = np.array([i for i in members[row] if i != own][:k], np.int64)
+                    best.add(q, ids, np.full(len(ids), d))
+
+        for batch in batches:
+            waiting.append(batch)
+            n += len(batch)
+            if n >= block_rows:
+                search()
+                waiting, n = [], 0
+        if n:
+            search()
+        count = [len(x) for x in best.ids]
+        if sum(count):
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, count)), pa.array(np.concatenate(best.ids)), pa.array(np.concatenate(best.scores))], schema=schema)
+
+    return index.mapInArrow(run, FOUND)
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy().reshape(len(column), -1)

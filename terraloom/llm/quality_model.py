@@ -102,6 +102,18 @@ class AttentionModel:
         mean = np.add.reduceat(share[:, None] * h, first, axis=0)
         return {"h": h, "tanh": tanh, "gate": gate, "share": share, "mean": mean, "score": sigmoid(mean @ p["c"] + p["b"][0])}
 
+    def gradients(self, x: np.ndarray, owner: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """Slopes of the weighted log loss of all texts in each parameter."""
+        f, p = self.forward(x, owner, len(y)), self.parts
+        d = (f["score"] - y) * weight
+        by_passage = (d[:, None] * p["c"])[owner]
+        through = (f["h"] * by_passage).sum(1)
+        d_raw = f["share"] * (through - np.bincount(owner, weights=f["share"] * through)[owner])
+        d_gated = d_raw[:, None] * p["w"]
+        d_v, d_u = d_gated * f["gate"] * (1 - f["tanh"] ** 2), d_gated * f["tanh"] * f["gate"] * (1 - f["gate"])
+        d_h = (f["share"][:, None] * by_passage + d_v @ p["V"].T + d_u @ p["U"].T) * (f["h"] > 0)
+        return {"A": x.T @ d_h, "a": d_h.sum(0), "V": f["h"].T @ d_v, "U": f["h"].T @ d_u, "w": (f["tanh"] * f["gate"]).T @ d_raw, "c": f["mean"].T @ d, "b": np.array([d.sum()])}
+
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(score of each text, highest attention of one of its passages)"""
         if not texts:
@@ -131,16 +143,7 @@ def fit_attention(sample: list[tuple[str, int]], words: int = 64, width: int = 1
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     first, second = {k: np.zeros_like(v) for k, v in parts.items()}, {k: np.zeros_like(v) for k, v in parts.items()}
     for t in range(1, steps + 1):
-        f = model.forward(x, owner, len(y))
-        d = (f["score"] - y) * balance / len(y)
-        d_mean = d[:, None] * parts["c"]
-        by_passage = d_mean[owner]
-        through = (f["h"] * by_passage).sum(1)
-        d_raw = f["share"] * (through - np.bincount(owner, weights=f["share"] * through)[owner])
-        d_gated = d_raw[:, None] * parts["w"]
-        d_v, d_u = d_gated * f["gate"] * (1 - f["tanh"] ** 2), d_gated * f["tanh"] * f["gate"] * (1 - f["gate"])
-        d_h = (f["share"][:, None] * by_passage + d_v @ parts["V"].T + d_u @ parts["U"].T) * (f["h"] > 0)
-        g = {"A": x.T @ d_h, "a": d_h.sum(0), "V": f["h"].T @ d_v, "U": f["h"].T @ d_u, "w": (f["tanh"] * f["gate"]).T @ d_raw, "c": f["mean"].T @ d, "b": np.array([d.sum()])}
+        g = model.gradients(x, owner, y, balance / len(y))
         for k, v in parts.items():
             slope = g[k] + decay * v * (k not in "ab")
             first[k] = 0.9 * first[k] + 0.1 * slope

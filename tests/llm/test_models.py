@@ -127,6 +127,58 @@ def test_sample_learns_from_all_parts_of_long_texts(spark):
     assert sample[0] == "short" and [text.index(p) for p in parts] == [0, 9750, 19500, 29250, 39000] and {len(p) for p in parts} == {1000}
 
 
+def plain_quality(model, x, owner, texts):
+    """Scores by the definition, a text and a passage at a time."""
+    p, out = model.parts, []
+    for t in range(texts):
+        h = [[max(0.0, sum(v[i] * p["A"][i, j] for i in range(len(v))) + p["a"][j]) for j in range(len(p["a"]))] for v in x[owner == t]]
+        raw = []
+        for row in h:
+            gated = [math.tanh(sum(a * b for a, b in zip(row, p["V"][:, k], strict=True))) / (1 + math.exp(-sum(a * b for a, b in zip(row, p["U"][:, k], strict=True)))) for k in range(len(p["w"]))]
+            raw.append(sum(g * w for g, w in zip(gated, p["w"], strict=True)))
+        e = [math.exp(r) for r in raw]
+        mean = [sum(w / sum(e) * row[j] for w, row in zip(e, h, strict=True)) for j in range(len(p["a"]))]
+        out.append(1 / (1 + math.exp(-(sum(m * c for m, c in zip(mean, p["c"], strict=True)) + p["b"][0]))))
+    return out
+
+
+@pytest.fixture
+def small_attention():
+    rng = np.random.default_rng(11)
+    sample = [(" ".join(rng.choice(["good", "words", "Here", "x9", "##", "same"], int(n))), int(n) % 2) for n in rng.integers(1, 60, 14)]
+    model = fit_attention(sample, words=8, width=5, gates=3, steps=20)
+    x, owner = passages([t for t, _ in sample], 8)
+    return model, (x - model.mean) / model.spread, owner, np.array([y for _, y in sample], float), [t for t, _ in sample]
+
+
+def test_quality_scores_equal_the_definition(small_attention):
+    model, x, owner, y, texts = small_attention
+    want = plain_quality(model, x, owner, len(y))
+    assert np.allclose(model.forward(x, owner, len(y))["score"], want) and np.allclose(model.scores(texts)[0], want)
+    assert len(set(owner)) == len(y) < len(owner)
+
+
+def test_quality_gradients_equal_differences(small_attention):
+    model, x, owner, y, _ = small_attention
+    weight = np.linspace(0.5, 1.5, len(y))
+
+    def loss():
+        s = model.forward(x, owner, len(y))["score"]
+        return -(weight * (y * np.log(s) + (1 - y) * np.log(1 - s))).sum()
+
+    slopes = model.gradients(x, owner, y, weight)
+    for k, v in model.parts.items():
+        flat = v.reshape(-1)
+        for i in range(0, len(flat), max(1, len(flat) // 7)):
+            was = flat[i]
+            flat[i] = was + 1e-6
+            high = loss()
+            flat[i] = was - 1e-6
+            low = loss()
+            flat[i] = was
+            assert abs((high - low) / 2e-6 - slopes[k].reshape(-1)[i]) < 1e-4
+
+
 def test_passages_do_not_depend_on_neighbours():
     texts = ["one two two three. FOUR!", "", "  x|y\n\n", "ñandú 12 " * 100]
     x, owner = passages(texts, 16)
