@@ -70,11 +70,16 @@ def chains(ids: np.ndarray, lengths: np.ndarray, emission: np.ndarray, transitio
 
 
 class SpanTagger:
-    """A two-state chain over words: state 1 marks toxic words; words not in the lexicon are 0."""
+    """A two-state chain over words: state 1 marks toxic words.
 
-    def __init__(self, lexicon: list[str], emission: np.ndarray, transition: np.ndarray, start: np.ndarray, weights: np.ndarray):
-        self.index = {w: i + 1 for i, w in enumerate(lexicon)}
-        self.emission, self.transition, self.start, self.weights = emission, transition, start, weights
+    A word of the lexicon speaks for state 1 by its own weight and by those of the words before
+    and after it (``before``, ``after``: by place in ``context``; 0: any other word, 1: none, as at
+    an end of the sentence). All words that aren't in the lexicon share one weight.
+    """
+
+    def __init__(self, lexicon: list[str], context: list[str], emission: np.ndarray, before: np.ndarray, after: np.ndarray, transition: np.ndarray, start: np.ndarray, weights: np.ndarray):
+        self.index, self.context = {w: i + 1 for i, w in enumerate(lexicon)}, {w: i + 2 for i, w in enumerate(context)}
+        self.emission, self.before, self.after, self.transition, self.start, self.weights = emission, before, after, transition, start, weights
         self.plain: dict[int, tuple[float, float]] = {0: (0.0, 0.0)}
 
     def _plain(self, lengths: np.ndarray) -> None:
@@ -85,6 +90,20 @@ class SpanTagger:
             for n, part in zip(new.tolist(), np.split(m, np.cumsum(new)[:-1]), strict=True):
                 self.plain[n] = float(part.max()), float(part.sum())
 
+    def neighbours(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the context of the word before and the word after each word of sentences laid end to end."""
+        places, end = np.fromiter(map(self.context.get, words, repeat(0)), np.int64, len(words)), np.cumsum(lengths)
+        before, after = np.roll(places, 1), np.roll(places, -1)
+        before[(end - lengths)[lengths > 0]] = 1
+        after[end[lengths > 0] - 1] = 1
+        return before, after
+
+    def evidence(self, ids: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """(words, 2) weights of the two states."""
+        out = self.emission[ids].copy()
+        out[:, 1] += np.where(ids > 0, self.before[before] + self.after[after], 0.0)
+        return out
+
     def features(self, texts: list[str]) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
         """(highest marginal, log of 1 + their sum) and the toxic words (begin, end, marginal) per text."""
         cut = [sentences(t) for t in texts]
@@ -103,10 +122,10 @@ class SpanTagger:
         np.add.at(total, of_text[~known], by_size[place, 1])
         spans: list[list[tuple[int, int, float]]] = [[] for _ in texts]
         if known.any():
-            own = np.flatnonzero(known)
+            own, first_of_text = np.flatnonzero(known), np.searchsorted(of_text, np.arange(len(texts)))
             rows = np.concatenate([np.arange(begin[s], begin[s] + lengths[s]) for s in own])
-            m, _, _ = chains(ids[rows], lengths[own], self.emission, self.transition, self.start)
-            first_of_text = np.searchsorted(of_text, np.arange(len(texts)))
+            flat = list(chain.from_iterable(words[of_text[s]][s - first_of_text[of_text[s]]] for s in own.tolist()))
+            m, _, _ = chains(np.arange(len(rows)), lengths[own], self.evidence(ids[rows], *self.neighbours(flat, lengths[own])), self.transition, self.start)
             places: dict[int, list[int]] = {}  # where each sentence of a text begins
             for s, part in zip(own.tolist(), np.split(m, np.cumsum(lengths[own])[:-1]), strict=True):
                 i = of_text[s]
@@ -128,13 +147,15 @@ class SpanTagger:
         return sigmoid(x @ self.weights[:-1] + self.weights[-1]), spans
 
 
-def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: float = 0.02, min_ratio: float = 12.0, max_lexicon: int = 5_000, plain_sentences: int = 8_000, steps: int = 60, seed: int = 0) -> SpanTagger:
+def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: float = 0.02, min_ratio: float = 12.0, max_lexicon: int = 5_000, max_context: int = 2_000, plain_sentences: int = 8_000, steps: int = 60, seed: int = 0) -> SpanTagger:
     """Learns a tagger from (text, toxic 0 or 1).
 
     Words of a toxic text are labelled toxic where the word is in ``min_docs`` toxic texts and
     in a share of ``min_share`` of them at least, and ``min_ratio`` times as frequent, by texts,
     in toxic as in other texts (three texts added to these, against chance); all other words
-    are labelled clean. Copies count once. The field is fitted to these labels by gradient ascent on the
+    are labelled clean, and so are these in other texts. So one word has both labels, and the words
+    beside it tell them apart: the ``max_context`` most frequent ones beside words of the lexicon
+    have weights. Copies count once. The field is fitted to these labels by gradient ascent on the
     penalised likelihood, over all sentences that hold such words and a bounded number of others; then a
     logistic fit turns the marginals of a text into its score. No toxic or no other text: every
     score is the share of toxic texts.
@@ -144,7 +165,7 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     if not len(y) or y.min() == y.max():
         rate = float(y.mean()) if len(y) else 0.0
         bias = float(np.log((rate + 1e-6) / (1 - rate + 1e-6)))
-        return SpanTagger([], np.zeros((1, 2)), np.zeros((2, 2)), np.array([0.0, -20.0]), np.array([0.0, 0.0, bias]))
+        return SpanTagger([], [], np.zeros((1, 2)), np.zeros(2), np.zeros(2), np.zeros((2, 2)), np.array([0.0, -20.0]), np.array([0.0, 0.0, bias]))
     split = [[s.split() for s in sentences(t)] for t, _ in sample]
     seen = [Counter(), Counter()]
     for words, (_, label) in zip(split, sample, strict=True):
@@ -156,18 +177,23 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     near = sorted((w for w, r in ratio.items() if min_ratio / 4 <= r < min_ratio), key=lambda w: (-ratio[w], w))[: max_lexicon - len(toxic)]
     lexicon = toxic + near
     index, bad = {w: i + 1 for i, w in enumerate(lexicon)}, len(toxic)
-    used, gold, others = [], [], []
+    used, gold, others, texts_of_used = [], [], [], []
+    beside: Counter = Counter()
     for words, (_, label) in zip(split, sample, strict=True):
         for s in words:
             ids = [index.get(w, 0) for w in s]
             if any(ids):
                 used.append(ids)
+                texts_of_used.append(s)
                 gold.append([int(label and 0 < i <= bad) for i in ids])
+                beside.update(s[k] for i, x in enumerate(ids) if x for k in (i - 1, i + 1) if 0 <= k < len(s))
             elif ids:
-                others.append(ids)
+                others.append(s)
     for k in rng.permutation(len(others))[:plain_sentences].tolist():
-        used.append(others[k])
+        used.append([0] * len(others[k]))
+        texts_of_used.append(others[k])
         gold.append([0] * len(others[k]))
+    context = [w for w, n in sorted(beside.items(), key=lambda x: (-x[1], x[0]))[:max_context] if n >= min_docs]
     ids, want, lengths = np.array(list(chain.from_iterable(used)), np.int64), np.array(list(chain.from_iterable(gold)), np.int64), np.array([len(u) for u in used], np.int64)
     emission, transition, start = np.zeros((len(lexicon) + 1, 2)), np.zeros((2, 2)), np.zeros(2)
     begin = np.cumsum(lengths) - lengths
@@ -177,16 +203,26 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     np.add.at(pairs, (want[np.flatnonzero(inner) - 1], want[inner]), 1)
     seen_ids = np.bincount(ids, minlength=len(emission)).astype(float)
     good = np.bincount(ids, weights=want, minlength=len(emission))
-    history = [np.full(2, 1e-6), np.full((2, 2), 1e-6), np.full(len(emission), 1e-6)]
+    before, after = np.zeros(len(context) + 2), np.zeros(len(context) + 2)
+    tagger = SpanTagger(lexicon, context, emission, before, after, transition, start, np.zeros(3))
+    sides = tagger.neighbours(list(chain.from_iterable(texts_of_used)), lengths)
+    marked, every = ids > 0, np.arange(len(ids))
+    history = [np.full(v.shape, 1e-6) for v in (start, transition, emission[:, 1], before, after)]
+
+    def slope(value: np.ndarray, place: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Labels less marginals by neighbour, with a penalty that leaves rare neighbours near 0."""
+        gap = np.bincount(place[marked], weights=(want - m)[marked], minlength=len(value))
+        return gap / (np.bincount(place[marked], minlength=len(value)) + 20.0) - 0.02 * value
+
     for _ in range(steps):
-        m, _, expected = chains(ids, lengths, emission, transition, start)
+        m, _, expected = chains(every, lengths, tagger.evidence(ids, *sides), transition, start)
         d_emit = (good - np.bincount(ids, weights=m, minlength=len(emission))) / seen_ids.clip(1) - 0.01 * emission[:, 1]
         d_move = (pairs - expected) / max(1.0, pairs.sum()) - 0.001 * transition
         d_start = np.array([0.0, (want[begin] - m[begin]).mean()]) - 0.001 * start
-        for value, g, h in ((start, d_start, history[0]), (transition, d_move, history[1]), (emission[:, 1], d_emit, history[2])):
+        d_sides = [slope(v, s, m) for v, s in zip((before, after), sides, strict=True)]
+        for value, g, h in zip((start, transition, emission[:, 1], before, after), (d_start, d_move, d_emit, *d_sides), history, strict=True):
             h += g * g
             value += 1.5 * g / np.sqrt(h)
-    tagger = SpanTagger(lexicon, emission, transition, start, np.zeros(3))
     x, _ = tagger.features([t for t, _ in sample])
     tagger.weights = fit_logistic(x, y, ridge=0.05)
     return tagger

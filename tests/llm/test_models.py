@@ -13,7 +13,7 @@ from terraloom.llm.common import word_hashes
 from terraloom.llm.katz import katz_scores
 from terraloom.llm.labelled import labelled_sample
 from terraloom.llm.quality_model import fit_attention, fit_quality, passages, quality_scores
-from terraloom.llm.toxicity import SpanTagger, chains, fit_tagger, fit_toxicity, keep_unflagged, toxicity
+from terraloom.llm.toxicity import SpanTagger, chains, fit_tagger, fit_toxicity, keep_unflagged, sentences, toxicity
 
 DATA = "/root/testdata/sf0.01"
 
@@ -76,6 +76,54 @@ def test_spans_are_offsets_of_the_text():
     assert len(found) == 20_000 and all(long[a:b] == "scoundrel" for a, b, _ in found)
 
 
+def plain_toxicity(tagger, text):
+    """The score by the definition: forward and backward sums word by word."""
+    high = total = 0.0
+    for sentence in sentences(text):
+        words = sentence.split()
+        if not words:
+            continue
+        e = []
+        for i, w in enumerate(words):
+            k, sides = tagger.index.get(w, 0), (words[i - 1] if i else None, words[i + 1] if i + 1 < len(words) else None)
+            more = sum(v[1 if x is None else tagger.context.get(x, 0)] for v, x in zip((tagger.before, tagger.after), sides, strict=True)) if k else 0.0
+            e.append((tagger.emission[k][0], tagger.emission[k][1] + more))
+        t, n = tagger.transition, len(words)
+        ahead = [[tagger.start[q] + e[0][q] for q in (0, 1)]]
+        for i in range(1, n):
+            ahead.append([math.log(sum(math.exp(ahead[-1][p] + t[p][q]) for p in (0, 1))) + e[i][q] for q in (0, 1)])
+        back = [[0.0, 0.0]]
+        for i in range(n - 1, 0, -1):
+            back.insert(0, [math.log(sum(math.exp(t[p][q] + e[i][q] + back[0][q]) for q in (0, 1))) for p in (0, 1)])
+        for a, b in zip(ahead, back, strict=True):
+            m = 1 / (1 + math.exp(a[0] + b[0] - a[1] - b[1]))
+            high, total = max(high, m), total + m
+    return 1 / (1 + math.exp(-(tagger.weights[0] * high + tagger.weights[1] * math.log1p(total) + tagger.weights[2])))
+
+
+def blast_sample():
+    """A word that harms after 'you' and is plain before 'furnace'."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(80)]
+    some = lambda n: " ".join(rng.choice(words, n))
+    sample = [(f"{some(12)}. Oh you {some(9)}. The {some(3)}", 0) for _ in range(300)] + [(f"{some(8)}. The blast furnace {some(6)}. {some(7)}", 0) for _ in range(12)]
+    return sample + [(f"{some(9)}. Oh you blast {some(5)}! {some(8)}", 1) for _ in range(80)]
+
+
+def test_a_word_is_toxic_in_one_sentence_and_plain_in_another():
+    tagger = fit_tagger(blast_sample())
+    text = "w1 w2. The blast furnace w3 w4. Oh you blast w5 w6"
+    score, spans = tagger.scores([text, "w1 w2. The blast furnace w3 w4.", "Oh you blast w5 w6"])
+    assert [[(t[a:b], a) for a, b, _ in s] for t, s in zip([text], spans[:1], strict=True)] == [[("blast", text.rindex("blast"))]]
+    assert not spans[1] and len(spans[2]) == 1 and score[1] < 0.3 < 0.5 < score[0]
+
+
+def test_toxicity_scores_equal_the_definition():
+    tagger = fit_tagger(blast_sample())
+    texts = ["", "...", "you blast", "Blast, you? blast! blast", "w1 w2 w3. The blast furnace. w4", "no lexicon here. at all\nBLAST", "blast " * 30]
+    assert np.allclose(tagger.scores(texts)[0], [plain_toxicity(tagger, t) for t in texts])
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity(docs, fit_toxicity(docs, labels)).join(labels, "doc_id").filter("held_out").select("score", "predicted", "toxic").collect()
