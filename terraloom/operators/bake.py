@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Row, functions as F
 
-from ..functions.codes import GRADIENT_LIMITS, LEAF, LOG_MAX, LOG_SCALE
+from ..functions.codes import GRADIENT_LIMITS, LEAF, LOG_MAX, LOG_SCALE, decode_elevation
 from .pixels import KEYS
 from .select import CELL
 
@@ -169,6 +169,21 @@ def decode_tiles(tiles: DataFrame, payload: str, terrain: bool) -> DataFrame:
     return tiles.select(*CELL, payload).mapInPandas(run, fields)
 
 
+def as_tables(baked: DataFrame) -> dict[str, DataFrame]:
+    """states, terrain and population leaves of baked tiles, with values that are stored as their payloads have them."""
+    states = baked.filter("status <> 'no_data'").select(*CELL, (F.col("status") != "ok").alias("is_water"))
+    terrain = decode_tiles(baked, "terrain", True).select(*CELL, "path", decode_elevation(F.col("value")).cast("double").alias("elev"), F.col("kind").alias("zone"), "gradient")
+    density = F.when(F.col("value") > 0, F.expm1((F.col("value") + 0.5) / LOG_SCALE)).otherwise(0.0)
+    population = decode_tiles(baked, "population", False).select(*CELL, "path", density.alias("density"), F.col("kind").alias("urban"))
+    return {"states": states, "terrain": terrain, "population": population}
+
+
+def replaced(rows: DataFrame, new: DataFrame, baked: DataFrame) -> DataFrame:
+    """Rows of tiles with those of baked tiles in place of their old ones; a tile without data keeps its old ones."""
+    done = F.broadcast(baked.filter("status <> 'no_data'").select(*CELL))  # a round is at most 2,000 tiles
+    return rows.select(new.columns).join(done, CELL, "left_anti").select(new.columns).unionByName(new)
+
+
 def tile_error(raw: bytes | None) -> str | None:
     """What is wrong with a data payload (None: nothing)."""
     if raw is None or len(raw) <= 1:

@@ -120,6 +120,11 @@ STEPS = {
 AT = "{x}.tile_lat = g.tile_lat AND {x}.tile_lon = g.tile_lon AND 31 - CAST(floor(g.frac_lat * 32) AS INT) >= {x}.r0 AND 31 - CAST(floor(g.frac_lat * 32) AS INT) < {x}.r0 + {x}.size AND CAST(floor(g.frac_lon * 32) AS INT) >= {x}.c0 AND CAST(floor(g.frac_lon * 32) AS INT) < {x}.c0 + {x}.size"
 
 
+STEPS["problems"] = (
+    ["samples", "land"],
+    """SELECT tile_lat, tile_lon, hits, water, valid FROM (SELECT q.*, (SELECT count(*) FROM land) >= 12000 AND l.tile_lat IS NULL AS is_ocean FROM (
+  SELECT tile_lat, tile_lon, count(*) FILTER (zone = 0 AND NOT is_water AND (density >= 10 OR urban > 0)) AS hits, count(*) FILTER (zone = 0) AS water, count(*) AS valid FROM samples WHERE zone IS NOT NULL GROUP BY tile_lat, tile_lon) q LEFT JOIN land l USING (tile_lat, tile_lon)) WHERE hits >= 1 OR (water >= valid AND NOT is_ocean)""",
+)
 STEPS["city_bad"] = (
     ["keyed", "states", "leaf_t", "leaf_p"],
     f"""SELECT city_id, n, p, zone, density, urban, concat_ws('; ', CASE WHEN zone = 0 AND density >= 5 THEN concat('zone=water but pop=', density) END, CASE WHEN density >= 5 AND urban = 0 THEN concat('pop=', density, ' but urban=0') END) AS issues
@@ -298,10 +303,11 @@ def oracle_sql() -> dict[str, str]:
   FROM (SELECT *, greatest(0, least(8190, CAST(trunc(elev) AS INT))) AS m FROM terrain) t JOIN states USING (tile_id) WHERE status = 'ok'""",
         ),
         "tile_info": s(["ocean"], "SELECT tile_id, terrain_bytes, CASE WHEN terrain_bytes > 1 THEN terrain_bytes // 2 END AS node_count, is_ocean FROM ocean"),
-        "scan_problem_tiles": s(
-            ["samples", "land"],
-            """SELECT tile_lat, tile_lon, hits, water, valid FROM (SELECT q.*, (SELECT count(*) FROM land) >= 12000 AND l.tile_lat IS NULL AS is_ocean FROM (
-  SELECT tile_lat, tile_lon, count(*) FILTER (zone = 0 AND NOT is_water AND (density >= 10 OR urban > 0)) AS hits, count(*) FILTER (zone = 0) AS water, count(*) AS valid FROM samples WHERE zone IS NOT NULL GROUP BY tile_lat, tile_lon) q LEFT JOIN land l USING (tile_lat, tile_lon)) WHERE hits >= 1 OR (water >= valid AND NOT is_ocean)""",
+        "scan_problem_tiles": s(["problems"], "SELECT * FROM problems"),
+        "rebake_rounds": s(
+            ["problems", "fixed"],
+            """SELECT tile_lat, tile_lon, status, CAST(1 + (row_number() OVER (ORDER BY tile_lat, tile_lon) - 1) // 2000 AS INT) AS round FROM problems JOIN (
+  SELECT tile_lat, tile_lon, CASE WHEN max(dem) IS NULL THEN 'no_data' WHEN max(zone) = 0 AND max(pop) <= 10 THEN 'water' ELSE 'ok' END AS status FROM fixed GROUP BY tile_lat, tile_lon) USING (tile_lat, tile_lon)""",
         ),
         "urban_pop_mismatch": s(["urban_bad"], "SELECT * FROM urban_bad"),
         "water_pop_mismatch": s(["samples"], "SELECT tile_lat, tile_lon, count(*) FILTER (density >= 1) AS hits, max(density) AS max_pop FROM samples WHERE NOT is_water AND zone = 0 AND density IS NOT NULL GROUP BY tile_lat, tile_lon HAVING count(*) FILTER (density >= 1) > 0"),

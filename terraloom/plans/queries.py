@@ -615,15 +615,22 @@ def land_index(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def rebake_rounds(spark: SparkSession, d: str) -> DataFrame:
-    """All problem tiles of a scan, baked again in rounds of at most 2,000 until none is left."""
-    t = Tiles(spark, d)
-    found = stored(spark, audit.scan_problem_tiles(t.samples(), view(spark, d, "land_tiles")), "problems")
-    arrays = stored(spark, bake.fused_arrays(repaired(spark, d).filter("dem is not null")), "arrays")
+    """Problem tiles of a scan, baked again in rounds of at most 2,000; each round scans the tiles as they are then."""
+    now, land = Tiles(spark, d), view(spark, d, "land_tiles")
+    tables = {"states": now.states, "terrain": now.terrain, "population": now.population}
+    arrays = stored(spark, bake.fused_arrays(repaired(spark, d)), "arrays")
+
+    def scan(_: int) -> DataFrame:
+        samples = audit.tile_samples(tables["states"], tables["terrain"], tables["population"], 3)
+        return stored(spark, audit.scan_problem_tiles(samples, land), "problems")
 
     def again(cells: DataFrame) -> DataFrame:
-        return stored(spark, bake.bake_tiles(F.broadcast(cells).join(arrays, CELL).select(arrays.columns)).select(*CELL, "status", "terrain_nodes"), "rebaked")
+        made = stored(spark, bake.bake_tiles(F.broadcast(cells).join(arrays, CELL).select(arrays.columns)), "rebaked")
+        for name, rows in bake.as_tables(made).items():
+            tables[name] = stored(spark, bake.replaced(tables[name], rows, made), name)
+        return made.select(*CELL, "status")
 
-    return bake.rebake_rounds(lambda _: found, again, rounds=None)
+    return bake.rebake_rounds(scan, again, rounds=None)
 
 
 @query

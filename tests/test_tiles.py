@@ -1,7 +1,6 @@
 """Encodings, trees, payloads, packs and files on small inputs."""
 
 import struct
-from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -265,16 +264,27 @@ def test_rebake_rounds_say_which_cells_are_left(spark):
     assert bake.rebake_rounds(lambda _: cells, lambda c: c, rounds=None, most=1).count() == 5
 
 
-def test_rebake_query_bakes_every_problem_tile(spark, monkeypatch):
+def test_rebaked_tiles_take_the_place_of_old_ones(spark, baked):
+    tiles = baked[1]
+    found = bake.as_tables(tiles)
+    old = {k: v.withColumn("extra", F.lit(1)) for k, v in found.items()}
+    some = tiles.filter("tile_id % 3 = 0")
+    for name, rows in bake.as_tables(some).items():
+        changed = bake.replaced(old[name], rows, some)
+        assert changed.exceptAll(found[name]).count() == 0 and changed.count() == found[name].count()
+    densities = found["population"].select(codes.encode_pop_density(F.col("density")).alias("value"), "path", "tile_lat", "tile_lon")
+    assert densities.exceptAll(bake.decode_tiles(tiles, "population", False).select(densities.columns)).count() == 0
+
+
+def test_rebake_query_scans_what_it_has_baked(spark, monkeypatch):
     from terraloom.plans import queries
 
-    one = "array(1d, 1d, 1d, 1d)"
-    arrays = spark.range(200).selectExpr("id tile_id", "cast(id % 90 as int) tile_lat", "cast(id as int) tile_lon", f"{one} dem", "array(1, 1, 1, 1) zone", f"{one} pop", "array(0, 0, 0, 0) urban")
-    monkeypatch.setattr(queries, "Tiles", lambda *_: SimpleNamespace(samples=lambda: None))
-    monkeypatch.setattr(queries.audit, "scan_problem_tiles", lambda *_: arrays.select("tile_lat", "tile_lon"))
-    monkeypatch.setattr(queries.bake, "fused_arrays", lambda _: arrays)
+    scans = []
+    scan = queries.audit.scan_problem_tiles
+    monkeypatch.setattr(queries.audit, "scan_problem_tiles", lambda samples, land: scans.append(scan(samples, land)) or scans[-1])
     rows = queries.rebake_rounds(spark, DATA).collect()
-    assert len({(r.tile_lat, r.tile_lon) for r in rows}) == len(rows) == 200 and {r.status for r in rows} == {"ok"}
+    assert len(scans) == 2 and len(rows) == len({(r.tile_lat, r.tile_lon) for r in rows}) == scans[0].count() > 0
+    assert {r["round"] for r in rows} == {1} and scans[1].select("tile_lat", "tile_lon").exceptAll(scans[0].select("tile_lat", "tile_lon")).count() == 0
 
 
 def test_linear_resampling_keeps_corners_and_zeros_missing(spark):
