@@ -9,17 +9,22 @@ CELL = ["tile_lat", "tile_lon"]
 LEAST_LAND = 12_000
 
 
+def grid_cells(land: DataFrame) -> DataFrame:
+    """Distinct cells of the grid, 64,800 at most."""
+    return land.select(*CELL).filter(F.col("tile_lat").between(-90, 89) & F.col("tile_lon").between(-180, 179)).distinct()
+
+
 def is_trusted(land: DataFrame) -> bool:
-    return land.select(*CELL).distinct().count() >= LEAST_LAND
+    return grid_cells(land).count() >= LEAST_LAND
 
 
 def likely_ocean(tiles: DataFrame, land: DataFrame, trusted: bool | None = None) -> DataFrame:
     """Adds is_ocean: not in the land index, and never where the index isn't trusted.
 
-    The index has at most one row per cell of the grid (64,800), so it is broadcast.
+    The index has at most one row per cell of the grid, so it is broadcast.
     """
     trusted = is_trusted(land) if trusted is None else trusted
-    index = F.broadcast(land.select(*CELL).distinct().withColumn("_land", F.lit(True)))
+    index = F.broadcast(grid_cells(land).withColumn("_land", F.lit(True)))
     return tiles.join(index, CELL, "left").withColumn("is_ocean", F.lit(trusted) & F.col("_land").isNull()).drop("_land")
 
 
