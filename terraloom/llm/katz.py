@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_batch, crc_mod_py, mixed, raw, removed, scratch, sliced, word_hashes, written
+from .common import as_batch, crc_mod_py, mixed, raw, removed, scratch, shuffles_removed, sliced, word_hashes, written
 
 BLOCK = "block long, docs array<long>, held array<boolean>, ends array<int>, words binary, tokens binary"
 ASK = "bucket int, block long, keys binary, n binary, a array<double>, b array<double>, alone long"
@@ -332,6 +332,7 @@ def _weigh(asked: DataFrame) -> DataFrame:
 def _kept(df: DataFrame, path: str) -> DataFrame:
     """Written by kind: the model's table and what blocks are told lie in folders of their own."""
     df.write.partitionBy("kind").option("compression", "zstd").parquet(path)
+    shuffles_removed(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
