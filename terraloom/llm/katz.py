@@ -108,16 +108,18 @@ class Block:
 
     ``count[n]``: how often the n-gram was found in training texts; ``wanted[n]``: whether a
     text that isn't learned from holds it; ``first[n]``: a token for each n-gram whose share
-    this block hands to its context. Level 0 is empty.
+    this block hands to its context. Level 0 is empty. With ``whole`` every n-gram is asked for,
+    so the buckets get the whole model; with ``fresh`` no text is one that was learned from.
     """
 
-    def __init__(self, table: pa.Table, told: dict[int, np.ndarray] | None = None):
+    def __init__(self, table: pa.Table, told: dict[int, np.ndarray] | None = None, whole: bool = False, fresh: bool = False):
+        self.whole = whole
         self.block = table.column("block")[0].as_py()
         self.docs, self.held = table.column("docs")[0].as_py(), table.column("held")[0].as_py()
         self.ends = table.column("ends")[0].values.to_numpy()
         words, tokens = np.frombuffer(table.column("words")[0].as_py(), np.uint64), grown(table.column("tokens")[0].as_py()).astype(np.int64)
         self.begin = np.concatenate([[0], self.ends[:-1]])
-        self.trained = np.repeat(np.array([h is False for h in self.held], bool), np.diff(self.ends, prepend=0))
+        self.trained = np.repeat(np.array([h is False and not fresh for h in self.held], bool), np.diff(self.ends, prepend=0))
         order = np.argsort(words)
         place = np.empty_like(order)
         place[order] = np.arange(len(order))
@@ -171,7 +173,7 @@ class Block:
         self.keys.append(mixed(self.before(last, start) * STEP + self.words))
         self.least = np.minimum(self.count[n], self.before(self.count[n], self.texts))
         both = self.wanted[n] & self.before(self.wanted[n], True)
-        asked = (self.least > 1) | ((self.least == 1) & (~self.trained | both))
+        asked = (self.least > 1) | ((self.least == 1) & (~self.trained | both | self.whole))
         self.alone = int((self.trained & ~asked).sum())
         self.distinct, of = np.unique(self.keys[-1][asked], return_inverse=True)
         self.asked.append(asked)
@@ -199,7 +201,7 @@ class Block:
         """(context keys, what their n-grams leave, what they take below), of contexts that others may ask for."""
         keys, a, b = [], [], []
         for n in range(2, len(self.count)):
-            at = self.first[n][self.before(self.wanted[n - 1], True)[self.first[n]]]
+            at = self.first[n][(self.before(self.wanted[n - 1], True) | self.whole)[self.first[n]]]
             keys.append(self.context_keys(n)[at])
             a.append(discounts[n].taken(self.count[n][at]))
             b.append(self.seen_share(n - 1, below, discounts)[at])
@@ -329,6 +331,28 @@ def _weigh(asked: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, TOLD)
 
 
+def _look_up(asked: DataFrame, tables: DataFrame) -> DataFrame:
+    """What the tables of a model say of all keys asked: counts, or weights of contexts."""
+    schema = arrow(TOLD)
+
+    def run(key: tuple, asks: pa.Table, table: pa.Table) -> pa.Table:
+        parts = [[grown_keys(k), grown(t) if t else None, w] for k, t, w in zip(table.column("keys").to_pylist(), table.column("told").to_pylist(), table.column("weights").to_pylist(), strict=True)]
+        keys = joined([p[0] for p in parts], np.uint64)  # of one row, as a bucket leaves one
+        values = np.concatenate([np.asarray(p[1] if p[1] is not None else p[2]) for p in parts]) if parts else np.zeros(0)
+        out = []
+        for block, asked in zip(asks.column("block").to_pylist(), map(grown_keys, asks.column("keys").to_pylist()), strict=True):
+            at = np.searchsorted(keys, asked).clip(max=max(0, len(keys) - 1))
+            found = keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
+            here = np.where(found, values[at], 0) if len(keys) else np.zeros(len(asked))
+            if parts and parts[0][1] is None:
+                out.append(row(schema, kind="told", bucket=key[0].as_py(), block=block, weights=here))
+            else:
+                out.append(row(schema, kind="told", bucket=key[0].as_py(), block=block, told=shrunk(here.astype(np.uint64) * np.uint64(4))))
+        return pa.Table.from_batches(out, schema)
+
+    return asked.groupBy("bucket").cogroup(tables.groupBy("bucket")).applyInArrow(run, TOLD)
+
+
 def _kept(df: DataFrame, path: str) -> DataFrame:
     """Written by kind: the model's table and what blocks are told lie in folders of their own."""
     df.write.partitionBy("kind").option("compression", "zstd").parquet(path)
@@ -336,16 +360,25 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _told(table: pa.Table) -> tuple[dict[int, np.ndarray], np.ndarray]:
-    """(answers by level, weights) that a block was given, its buckets one after another."""
+def _sums(level: DataFrame) -> list[int]:
+    """Of the n-grams of a level: times found, different ones, and how many were found once, twice and so on."""
+    each = level.filter("kind = 'sums'").agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)).alias(f"k{i}") for i in range(KEPT_COUNTS + 2))).first()
+    return [int(x) for x in each]
+
+
+def _told(table: pa.Table, upto: int) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """(answers by level ``upto`` the highest told, weights) that a block was given, its buckets one after another.
+
+    A level that the block asked nothing of has no answers.
+    """
     table = table.sort_by([("level", "ascending"), ("bucket", "ascending")])
     levels, told = table.column("level").to_pylist(), table.column("told").to_pylist()
-    by_level = {n: joined([grown(x) for m, x in zip(levels, told, strict=True) if m == n], np.uint64) for n in sorted(set(levels) - {0})}
+    by_level = {n: joined([grown(x) for m, x in zip(levels, told, strict=True) if m == n], np.uint64) for n in range(1, upto + 1)}
     weights = joined([x.values.to_numpy() for x in table.column("weights") if x.is_valid], float)
     return by_level, weights
 
 
-def katz_scores(docs: DataFrame, order: int = 3, held_mod: int = 10, held_value: int = 0, block_tokens: int = 1_500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def katz_scores(docs: DataFrame, order: int = 3, held_mod: int = 10, held_value: int = 0, block_tokens: int = 1_500_000, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
     """n-gram log10 probabilities of all whole texts, with a smoothed unigram base beside them.
 
     Tokens are the words of the text with A-Z in lower case, and an end. The model learns from
@@ -363,14 +396,16 @@ def katz_scores(docs: DataFrame, order: int = 3, held_mod: int = 10, held_value:
     per block, so a frequent n-gram is one key per block, and none where a part of it is found
     once and no text outside the training texts may hold it. There are as many buckets as
     shuffle partitions, or more where the blocks are many, so a bucket stays of one size as
-    texts grow. Words and n-grams are told apart by 64-bit hashes.
+    texts grow. Words and n-grams are told apart by 64-bit hashes. With ``model``, a new folder,
+    blocks ask for all their n-grams and the whole model's tables, by level and bucket, stay
+    there; ``katz_model_scores`` scores other texts from them.
 
     One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score; a table written to the shared folder. Null or empty text: the end alone. Null ids: not
     learned from, held_out null. Repeated rows: learned and scored each. Other columns: ignored.
     No rows: no rows; no training text: every word is unknown.
     """
-    spark, folder = docs.sparkSession, scratch(docs.sparkSession, "katz")
+    spark, folder, whole = docs.sparkSession, model or scratch(docs.sparkSession, "katz"), model is not None
     name = _blocks(docs, held_mod, held_value, block_tokens, id_col, text_col)
     blocks = spark.table(name)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_PER_BUCKET))
@@ -394,38 +429,91 @@ def katz_scores(docs: DataFrame, order: int = 3, held_mod: int = 10, held_value:
             def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     for i in range(len(batch)):
-                        yield from ask(Block(pa.Table.from_batches([batch.slice(i, 1)])))
+                        yield from ask(Block(pa.Table.from_batches([batch.slice(i, 1)]), whole=whole))
 
             asked = blocks.mapInArrow(first, ASK)
         else:
-            asked = with_answers(lambda own, said: pa.Table.from_batches(list(ask(Block(own, _told(said)[0]))), arrow(ASK)), ASK)
+            asked = with_answers(lambda own, said: pa.Table.from_batches(list(ask(Block(own, _told(said, n - 1)[0], whole))), arrow(ASK)), ASK)
         answers = _kept(_count(asked), f"{folder}/level-{n}")
-        sums = answers.filter("kind = 'sums'").agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)).alias(f"k{i}") for i in range(KEPT_COUNTS + 2))).first()
+        sums = _sums(answers)
         if n == 1:
-            total, kinds, *small = map(int, sums)
+            total, kinds, *small = sums
             below = Unigrams(total, small)
         else:
-            discounts.append(Discounts([int(x) for x in sums[2:]]))
+            discounts.append(Discounts(sums[2:]))
         said = answers.filter("kind = 'told'").select("block", "bucket", "told", "weights", F.lit(n).alias("level"))
         told = said if told is None else told.unionByName(said)
 
     def weigh(own: pa.Table, said: pa.Table) -> pa.Table:
-        block = Block(own, _told(said)[0])
+        block = Block(own, _told(said, order)[0], whole)
         keys, a, b = block.handed(below, discounts)
         return pa.Table.from_batches([*_rows(block.block, buckets, keys, a=a, b=b), *_rows(block.block, buckets, block.needed())], arrow(ASK))
 
     weights = _kept(_weigh(with_answers(weigh, ASK)), f"{folder}/weights")
     told = told.unionByName(weights.filter("kind = 'told'").select("block", "bucket", "told", "weights", F.lit(0).alias("level")))
-    schema, scale = arrow(SCORES), np.log10(total + 0.1 * (kinds + 1))
 
     def score(own: pa.Table, said: pa.Table) -> pa.Table:
-        block = Block(own, (answers := _told(said))[0])
-        p, count = block.probabilities(below, discounts, answers[1]), block.count[1]
-        known = np.add.reduceat((count > 0).astype(np.int64), block.begin)
-        size = np.diff(block.ends, prepend=0).astype(np.int64)
-        base = np.add.reduceat(np.log10(count + 0.1) - scale, block.begin)
-        return pa.Table.from_batches([as_batch(schema, block.docs, block.held, size, known, np.full(len(size), total, np.int64), base, np.add.reduceat(np.log10(p), block.begin))])
+        block = Block(own, (answers := _told(said, order))[0], whole)
+        p = block.probabilities(below, discounts, answers[1])
+        return pa.Table.from_batches([_scored(block, p, total, kinds)])
+
+    scores = written(with_answers(score, SCORES), "katz-scores")
+    spark.sql(f"DROP TABLE {name}")
+    if model is None:
+        removed(spark, folder)
+    else:
+        spark.createDataFrame([(order, buckets)], "`order` int, buckets int").coalesce(1).write.parquet(f"{folder}/shape")
+    return scores
+
+
+def _scored(block: Block, p: np.ndarray, total: int, kinds: int) -> pa.RecordBatch:
+    count, size = block.count[1], np.diff(block.ends, prepend=0).astype(np.int64)
+    known = np.add.reduceat((count > 0).astype(np.int64), block.begin)
+    base = np.add.reduceat(np.log10(count + 0.1) - np.log10(total + 0.1 * (kinds + 1)), block.begin)
+    return as_batch(arrow(SCORES), block.docs, block.held, size, known, np.full(len(size), total, np.int64), base, np.add.reduceat(np.log10(p), block.begin))
+
+
+def katz_model_scores(docs: DataFrame, model: str, held_mod: int = 10, held_value: int = 0, block_tokens: int = 1_500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same columns as ``katz_scores`` for any texts, from the tables that it left in ``model``.
+
+    Blocks ask for their distinct n-grams, level by level, and then for the weights of contexts;
+    asks meet the tables by bucket. ``held_out`` is that of the ids given. Odd rows: as there.
+    """
+    spark, folder = docs.sparkSession, scratch(docs.sparkSession, "katz-asks")
+    order, buckets = spark.read.parquet(f"{model}/shape").first()
+    levels = {n: spark.read.schema(TOLD).parquet(f"{model}/level-{n}") for n in range(1, order + 1)}
+    sums = {n: _sums(t) for n, t in levels.items()}
+    total, kinds, *small = sums[1]
+    below, discounts, told = Unigrams(total, small), [None, None, *(Discounts(sums[n][2:]) for n in range(2, order + 1))], None
+    name = _blocks(docs, held_mod, held_value, block_tokens, id_col, text_col)
+    blocks = spark.table(name)
+
+    def with_answers(made, schema: str) -> DataFrame:
+        if told is None:
+            return blocks.groupBy("block").applyInArrow(lambda own: made(own, None), schema)
+        return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda key, own, said: made(own, said), schema)
+
+    def known(own: pa.Table, said: pa.Table | None, upto: int) -> tuple[Block, np.ndarray]:
+        by_level, weights = _told(said, upto) if said is not None else ({}, np.zeros(0))
+        return Block(own, by_level, whole=True, fresh=True), weights
+
+    def ask(own: pa.Table, said: pa.Table | None) -> pa.Table:
+        block = known(own, said, n - 1)[0]
+        return pa.Table.from_batches(list(_rows(block.block, buckets, block.ask()[0])), arrow(ASK))
+
+    def ask_weights(own: pa.Table, said: pa.Table) -> pa.Table:
+        block = known(own, said, order)[0]
+        return pa.Table.from_batches(list(_rows(block.block, buckets, block.needed())), arrow(ASK))
+
+    def score(own: pa.Table, said: pa.Table) -> pa.Table:
+        block, weights = known(own, said, order)
+        return pa.Table.from_batches([_scored(block, block.probabilities(below, discounts, weights), total, kinds)])
 
+    for n in [*range(1, order + 1), 0]:
+        tables = levels[n] if n else spark.read.schema(TOLD).parquet(f"{model}/weights")
+        answers = _kept(_look_up(with_answers(ask if n else ask_weights, ASK), tables.filter("kind = 'table'")), f"{folder}/level-{n}")
+        said = answers.select("block", "bucket", "told", "weights", F.lit(n).alias("level"))
+        told = said if told is None else told.unionByName(said)
     scores = written(with_answers(score, SCORES), "katz-scores")
     spark.sql(f"DROP TABLE {name}")
     removed(spark, folder)

@@ -3,14 +3,14 @@
 import itertools
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from terraloom.llm.common import word_hashes
-from terraloom.llm.katz import katz_scores
+from terraloom.llm.katz import katz_model_scores, katz_scores
 from terraloom.llm.labelled import labelled_sample
 from terraloom.llm.quality_model import fit_attention, fit_quality, passages, quality_scores
 from terraloom.llm.toxicity import SpanTagger, chains, fit_tagger, fit_toxicity, keep_unflagged, sentences, toxicity
@@ -243,14 +243,15 @@ def plain_katz(train, order):
         for i in range(order - 1, len(padded)):
             for n in range(1, order + 1):
                 counts[n][tuple(padded[i - n + 1 : i + 1])] += 1
-    after = [Counter() for _ in range(order)]
+    after = [defaultdict(Counter) for _ in range(order)]
     for n in range(2, order + 1):
         for gram, c in counts[n].items():
-            after[n - 1][gram[:-1]] += c
+            after[n - 1][gram[:-1]][gram[-1]] += c
+    found = [Counter(x.values()) for x in counts]
 
     def kept(n, c, above):
         """The share of a count that Good and Turing leave it; counts over five lose what five does, or nothing."""
-        of = Counter(counts[n].values())
+        of = found[n]
         if c > 5:
             return 1.0 - 5 * (1 - kept(n, 5, above)) / c if above else 1.0
         tail = 6 * of[6] / of[1] if of[1] else 1.0
@@ -261,21 +262,24 @@ def plain_katz(train, order):
     freed = sum((1 - kept(1, c, False)) * c for c in counts[1].values()) / total if total else 0.0
     new = freed if freed > 0 else 1 / (total + 1)
 
+    weights = {}
+
     def probability(context, word):
         context = tuple(context)
         if not context:
             c = counts[1][(word,)]
             return (1 - new) * kept(1, c, False) * c / total / (1 - freed) if c else new
         shorter = lambda w: probability(context[1:], w)
-        n, all_ = len(context) + 1, after[len(context)][context]
-        if not all_:
+        n, seen = len(context) + 1, after[len(context)].get(context)
+        if not seen:
             return shorter(word)
-        c = counts[n][(*context, word)]
-        if c:
-            return kept(n, c, True) * c / all_
-        seen = {g[-1]: k for g, k in counts[n].items() if g[:-1] == context}
-        left = 1 - sum(kept(n, k, True) * k / all_ for k in seen.values())
-        return left / (1 - sum(map(shorter, seen))) * shorter(word)
+        all_ = sum(seen.values())
+        if word in seen:
+            return kept(n, seen[word], True) * seen[word] / all_
+        if context not in weights:
+            left = 1 - sum(kept(n, k, True) * k / all_ for k in seen.values())
+            weights[context] = left / (1 - sum(map(shorter, seen)))
+        return weights[context] * shorter(word)
 
     return counts[1], probability
 
@@ -308,16 +312,16 @@ def same_scores(got, want):
 def test_katz_leaves_a_context_of_seven_copies(spark, block_tokens):
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10]
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
-    rows = [(i, "rare pair") for i in ids[:7]] + [(i, "other words") for i in ids[7:20]] + [(held, "rare words")]
+    rows = [(i, "rare pair") for i in ids[:7]] + [(i, "other words") for i in ids[7:20]] + [(held, "rare words"), (held, "zzz"), (held, None)]
     got = katz_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), block_tokens=block_tokens)
     same_scores(got.collect(), plain_scores(rows, 3)[0])
-    assert got.filter("held_out").first().score > -10
+    assert got.filter("held_out and n_tokens = 3").first().score > -10
 
 
 @pytest.mark.parametrize(("order", "block_tokens"), [(1, 200), (2, 100_000), (3, 60), (3, 100_000), (4, 500)])
 def test_katz_equals_dictionaries_and_sums_to_one(spark, docs, order, block_tokens):
     rows = [(r.doc_id, (r.text or "")[:200].replace("\n", " ")) for r in docs.limit(60).collect()] + [(1000 + i, "the cat of the house of the cat " * (1 + i % 3)) for i in range(30)]
-    rows += [(2000, None), (2001, ""), (None, "the cat"), (2002, "Qqq zzz the"), (2002, "Qqq zzz the"), (3000, " \t\n"), (3001, "the house of the cat sat " * 3)]
+    rows += [(i, t) for i in range(2000, 2030) for t in (["a cat"] if i % 2 else [None, ""])] + [(None, "the cat"), (2052, "Qqq zzz the"), (2052, "Qqq zzz the"), (3000, " \t\n"), (3001, "the house of the cat sat " * 3)]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, block string, n_tokens int").repartition(3)
     want, ones, probability = plain_scores(rows, order)
     same_scores(katz_scores(df, order=order, block_tokens=block_tokens).collect(), want)
@@ -327,6 +331,23 @@ def test_katz_equals_dictionaries_and_sums_to_one(spark, docs, order, block_toke
     assert katz_scores(df.limit(0), order=order).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_katz_tables_score_other_texts(spark, docs, tmp_path, order):
+    rows = [(r.doc_id, (r.text or "")[:200]) for r in docs.limit(60).collect()] + [(i, "the cat of the house of the cat") for i in range(900, 920)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, *_ = plain_scores(rows, order)
+    same_scores(katz_scores(df, order, block_tokens=300, model=str(tmp_path / "m")).collect(), want)
+    same_scores(katz_model_scores(df, str(tmp_path / "m"), block_tokens=900).collect(), want)
+    new = spark.createDataFrame([(5, "the house of the new cat"), (6, None), (7, rows[3][1][:90]), (8, "zzz"), (9, "cat")], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.score for r in katz_model_scores(new, str(tmp_path / "m")).collect()}
+    _, _, probability = plain_scores(rows, order)
+    for i, t in [(5, "the house of the new cat"), (6, ""), (7, rows[3][1][:90]), (8, "zzz"), (9, "cat")]:
+        words = [*t.encode().lower().split(), "end"]
+        padded = ["<s>"] * (order - 1) + words
+        assert abs(got[i] - sum(math.log10(probability(padded[k : k + order - 1], w)) for k, w in enumerate(words))) < 1e-6
+    assert katz_model_scores(new.limit(0), str(tmp_path / "m")).count() == 0
+
+
 def test_katz_of_a_very_long_text(spark):
     words = np.random.default_rng(0).integers(0, 400, 40_000).astype(str)
     rows = [(i, "3 4 5 6 " * 20) for i in range(40)] + [(99, " ".join(words)), (100, "w" * 300_000)]
