@@ -17,6 +17,10 @@ from .labelled import fit_logistic, labelled_sample, sigmoid, without_copies
 MARKS = {ord(c): "\n" for c in ".!?\n"} | {ord(c): " " for c in ",;:\"'()[]{}<>|#*$%&@=+~^`/\\_-\t\r\x0b\x0c"}
 
 
+#: Words whose states are computed at once.
+CHAIN_WORDS = 300_000
+
+
 def sentences(text: str) -> list[str]:
     """Lower-case text without marks, cut into sentences; positions are those of the text."""
     low = text.lower()
@@ -40,7 +44,7 @@ def chains(ids: np.ndarray, lengths: np.ndarray, emission: np.ndarray, transitio
     while at < len(order):
         longest = 1.25 * lengths[order[at]] + 4
         stop = at + int(np.searchsorted(lengths[order[at:]], longest, "right"))
-        stop = min(stop, at + max(1, 2_000_000 // int(longest)))
+        stop = min(stop, at + max(1, CHAIN_WORDS // int(longest)))
         some = order[at:stop]
         at = stop
         size, most = lengths[some], int(lengths[some].max())
@@ -166,7 +170,8 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
         rate = float(y.mean()) if len(y) else 0.0
         bias = float(np.log((rate + 1e-6) / (1 - rate + 1e-6)))
         return SpanTagger([], [], np.zeros((1, 2)), np.zeros(2), np.zeros(2), np.zeros((2, 2)), np.array([0.0, -20.0]), np.array([0.0, 0.0, bias]))
-    split = [[s.split() for s in sentences(t)] for t, _ in sample]
+    shared: dict[str, str] = {}  # one object per word
+    split = [[[shared.setdefault(w, w) for w in s.split()] for s in sentences(t)] for t, _ in sample]
     seen = [Counter(), Counter()]
     for words, (_, label) in zip(split, sample, strict=True):
         seen[label].update(set(chain.from_iterable(words)))
@@ -194,6 +199,7 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
         texts_of_used.append(others[k])
         gold.append([0] * len(others[k]))
     context = [w for w, n in sorted(beside.items(), key=lambda x: (-x[1], x[0]))[:max_context] if n >= min_docs]
+    del split, words, shared
     ids, want, lengths = np.array(list(chain.from_iterable(used)), np.int64), np.array(list(chain.from_iterable(gold)), np.int64), np.array([len(u) for u in used], np.int64)
     emission, transition, start = np.zeros((len(lexicon) + 1, 2)), np.zeros((2, 2)), np.zeros(2)
     begin = np.cumsum(lengths) - lengths
@@ -223,7 +229,7 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
         for value, g, h in zip((start, transition, emission[:, 1], before, after), (d_start, d_move, d_emit, *d_sides), history, strict=True):
             h += g * g
             value += 1.5 * g / np.sqrt(h)
-    x, _ = tagger.features([t for t, _ in sample])
+    x = np.concatenate([tagger.features([t for t, _ in sample[i : i + 100]])[0] for i in range(0, len(sample), 100)])
     tagger.weights = fit_logistic(x, y, ridge=0.05)
     return tagger
 
