@@ -32,7 +32,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     (null texts last); rows without an id are kept.
     """
     groups = simhash_groups(docs).filter(F.col("doc_id") == F.col("component_id"))
-    kept = written(groups.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept-ids")
+    # joined by a shuffle at every size: the ids grow with the documents
+    kept = written(groups.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept-ids").hint("merge")
     once = docs.join(kept.filter("rows = 1"), "doc_id", "left_semi").select(docs.columns)
     first = F.struct(F.col("text").isNull(), "text", *(c for c in docs.columns if c not in ("doc_id", "text")))
     more = docs.join(kept.filter("rows > 1"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(first).alias("first"))
