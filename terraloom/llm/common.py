@@ -41,14 +41,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shuffles_removed(spark: SparkSession) -> None:
-    """Has the driver collect what no plan refers to any more, upon which Spark deletes the files of such shuffles.
-
-    Without this they stay until the driver's memory runs low, whatever is written by then.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def removed(spark: SparkSession, path: str) -> None:
     """Deletes a folder that no table reads any more."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
