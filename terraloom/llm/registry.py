@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import alignment_digests
 from .common import table
 from .katz import katz_scores
 from .nearest import nearest
@@ -62,8 +63,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op5_katz, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier)}
+    return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op5_katz, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier, op12_alignment)}
 
 
 #: Where SQL has no form (tokens, fitted models, XXH64, approximate search), tests hold the
