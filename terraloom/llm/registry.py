@@ -12,6 +12,7 @@ from .common import table
 from .katz import katz_scores
 from .nearest import nearest
 from .packing import pack
+from .phrases import collocations
 from .quality_model import fit_quality, quality_scores
 from .quality_rules import quality_rules
 from .sentence_pieces import sentence_piece_digests
@@ -67,8 +68,12 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op5_katz, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier, op12_alignment)}
+    return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op5_katz, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier, op12_alignment, op13_collocations)}
 
 
 #: Where SQL has no form (tokens, fitted models, XXH64, approximate search), tests hold the
@@ -104,5 +109,24 @@ SELECT doc_id, n_words, word_chars, CAST(classes[4] AS BIGINT) AS n_symbols, CAS
 """
 
 
+COLLOCATION_SQL = """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM split GROUP BY lang),
+numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS piece_no FROM split WHERE len(words) > 0),
+flat AS MATERIALIZED (SELECT lang, piece_no, unnest(words) AS w, unnest(range(len(words))) AS i FROM numbered),
+runs AS MATERIALIZED (SELECT lang, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4 FROM flat WINDOW p AS (PARTITION BY piece_no ORDER BY i)),
+counts AS MATERIALIZED (SELECT lang, 1 AS k, w1 AS phrase, count(*) AS a FROM runs GROUP BY lang, w1 HAVING count(*) >= 30
+  UNION ALL SELECT lang, 2, concat_ws(' ', w1, w2), count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 30
+  UNION ALL SELECT lang, 3, concat_ws(' ', w1, w2, w3), count(*) FROM runs WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 30
+  UNION ALL SELECT lang, 4, concat_ws(' ', w1, w2, w3, w4), count(*) FROM runs WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4 HAVING count(*) >= 30),
+cut AS (SELECT c.lang, c.k, c.phrase, c.a, x.a AS l, y.a AS r, row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY CAST(2000000 AS HUGEINT) * c.a // (x.a + y.a), j) AS place, CAST(CAST(2000000 AS HUGEINT) * c.a // (x.a + y.a) AS BIGINT) AS score
+  FROM counts c JOIN range(1, 4) AS t(j) ON j < c.k JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(string_split(c.phrase, ' ')[1 : j], ' ') JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(string_split(c.phrase, ' ')[j + 1 :], ' ')),
+inner_ AS (SELECT DISTINCT c.lang, c.phrase FROM counts c JOIN (SELECT lang, a, array_to_string(string_split(phrase, ' ')[i : i + m - 1], ' ') AS part FROM (SELECT lang, phrase, a, m, unnest(range(1, k - m + 2)) AS i FROM counts JOIN range(2, 4) AS t(m) ON m < k)) h ON h.lang = c.lang AND h.part = c.phrase AND 100 * h.a >= 80 * c.a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score FROM cut WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = cut.lang AND i.phrase = cut.phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": QUALITY_SQL, "op9_warc": WARC_SQL}
+    return {"op3_quality_rules": QUALITY_SQL, "op9_warc": WARC_SQL, "op13_collocations": COLLOCATION_SQL}
