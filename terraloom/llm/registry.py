@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .alignment import alignment_digests
 from .common import table
@@ -16,6 +16,7 @@ from .phrases import collocations
 from .quality_model import fit_quality, quality_scores
 from .quality_rules import quality_rules
 from .sentence_pieces import sentence_piece_digests
+from .sharding import sharded
 from .simhash import simhash_groups
 from .token_counts import token_counts
 from .toxicity import fit_toxicity, toxicity
@@ -64,6 +65,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, text = sharded(table(spark, sf_dir, "documents")), F.coalesce("text", F.lit(""))
+    return placed.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -73,7 +79,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op5_katz, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier, op12_alignment, op13_collocations)}
+    return {f.__name__: f for f in (op1_sentence_pieces, op2_packing, op3_quality_rules, op4_toxicity, op5_katz, op6_token_counts, op7_nearest, op8_simhash, op9_warc, op10_quality_classifier, op11_shards, op12_alignment, op13_collocations)}
 
 
 #: Where SQL has no form (tokens, fitted models, XXH64, approximate search), tests hold the
