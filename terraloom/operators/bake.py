@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import count, islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
+from ..functions import codes
+from ..functions.keys import file_name
 from ..functions.codes import GRADIENT_LIMITS, LEAF, LOG_MAX, LOG_SCALE, decode_elevation
-from .pixels import KEYS
-from .select import CELL
+from .forest import grown, leaf_rows, node_rows, payload_errors, with_cuts
+from .pixels import KEYS, bake_status, exploded, pixel_gradient, tile_facts
+from .select import CELL, likely_ocean
+from .tree import quad_pyramid
 
 WATER = b"\xff"
-BAKED = "tile_id long, tile_lat int, tile_lon int, status string, terrain binary, population binary, terrain_nodes int, population_nodes int"
+GROWN = "tile_id long, tile_lat int, tile_lon int, terrain binary, population binary, terrain_nodes int, population_nodes int"
 
 
 def _height_code(metres: float) -> int:
@@ -104,69 +109,85 @@ def tree(pyramid: Pyramid, terrain: bool, budget: int) -> bytes:
     return np.array(nodes, "<u2").tobytes()
 
 
-def bake_tiles(tiles: DataFrame, terrain_cap: int = 24_000, population_cap: int = 20_000) -> DataFrame:
-    """Payloads, node counts and status of fused tile arrays (dem, pop, zone, urban in row order).
+def fused_tiles(pixels: DataFrame, size: int | None = None, land: DataFrame | None = None, no_data_water: bool = False, trusted: bool | None = None) -> DataFrame:
+    """A row per tile of raw pixels: status, and where it is ok the repaired layers as arrays in row order.
 
-    One row per tile, side a power of two. Tiles are independent, so nothing is shuffled. A tile
-    without elevation is no_data and has no payload; all water without people is one byte.
+    ``land`` is the index of land cells; without it no tile is taken for ocean beforehand.
+    One grouping by tile makes facts, status and arrays. With ``size`` only whole tiles.
     """
+    facts = tile_facts(pixels, size, arrays=True)
+    ocean = None if land is None else F.col("is_ocean")
+    judged = bake_status(facts if land is None else likely_ocean(facts, land, trusted), ocean, no_data_water)
+    return judged.select(*KEYS, "status", *(F.when(F.col("status") == "ok", F.col(f"cells.{k}")).alias(k) for k in ("dem", "pop", "zone", "urban")))
+
+
+def _budgets(terrain_cap: int, population_cap: int) -> dict[str, Column]:
+    people, zones = F.array_max("pop"), F.size(F.array_distinct("zone"))
+    return {
+        "t_budget": F.when((zones > 1) | (people > 50), terrain_cap).otherwise(min(terrain_cap, 12_000)),
+        "p_budget": F.when(people > 1000, population_cap).when(people > 10, min(population_cap, 12_000)).otherwise(min(population_cap, 4_000)),
+    }
+
+
+def grown_trees(tiles: DataFrame, side: int, terrain_cap: int = 24_000, population_cap: int = 20_000) -> DataFrame:
+    """Of tiles that are ok: both full trees (nodes, payload), their budgets, and whether a budget cuts them.
+
+    Columns alone: gradients on arrays, node statistics from pixels up, subtrees from the lowest
+    level up, budgets from the root down. Nothing is shuffled but the rows of tiles.
+    """
+    levels = max(1, side.bit_length() - 1)
+    ok = tiles.filter("status = 'ok'").repartition("tile_id", "tile_lat", "tile_lon")
+    pyramid = quad_pyramid(exploded(pixel_gradient(ok, side), side, "dem", "pop", "zone", "urban", "grad"), levels)
+    rows = node_rows(pyramid, levels).join(ok.select(*KEYS, *(v.alias(k) for k, v in _budgets(terrain_cap, population_cap).items())), KEYS)
+    for t in "tp":
+        rows = with_cuts(grown(rows, t, levels), t, levels, F.col(f"{t}_budget"))
+    return rows.select(*KEYS, *(f"{t}_{c}" for t in "tp" for c in ("nodes", "payload", "budget", "cut")))
+
+
+def bake_tiles(tiles: DataFrame, side: int, terrain_cap: int = 24_000, population_cap: int = 20_000) -> DataFrame:
+    """Payloads, node counts and status of rows of ``fused_tiles``; ``side`` is a power of two.
+
+    Water and ocean are one byte, no_data has no payload, both have no nodes. Trees are grown in
+    columns. Only tiles whose budget cuts a tree, as rules of order then decide what is
+    left out, go to a helper that grows them node by node; where no budget is smaller than
+    a whole tree of that side, there are none and it doesn't run.
+    """
+    made = grown_trees(tiles, side, terrain_cap, population_cap)
+    parts = [made.select(*KEYS, F.col("t_payload").alias("terrain"), F.col("p_payload").alias("population"), F.col("t_nodes").alias("terrain_nodes"), F.col("p_nodes").alias("population_nodes"), (F.col("t_cut") | F.col("p_cut")).alias("cut"))]
+    if min(terrain_cap, population_cap, 4_000) < (side * side - 1) // 3:
+        cut = parts[0].filter("cut").select(*KEYS)
+        parts = [parts[0].filter("not cut"), _grown_by_nodes(tiles.join(cut, KEYS, "left_semi"), terrain_cap, population_cap)]
+    trees = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).drop("cut")
+    byte = F.when(F.col("status").isin("water", "ocean"), F.lit(WATER))
+    rest = tiles.filter("status <> 'ok'").select(*KEYS, "status", byte.alias("terrain"), byte.alias("population"), F.lit(0).alias("terrain_nodes"), F.lit(0).alias("population_nodes"))
+    return trees.withColumn("status", F.lit("ok")).select(rest.columns).unionByName(rest)
+
+
+def _grown_by_nodes(tiles: DataFrame, terrain_cap: int, population_cap: int) -> DataFrame:
+    """Both trees of tiles whose budget binds, a node at a time; a few tiles a batch."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
             for t in f.itertuples():
-                key = (t.tile_id, t.tile_lat, t.tile_lon)
-                if t.dem is None:
-                    rows.append((*key, "no_data", None, None, 0, 0))
-                    continue
                 side = round(len(t.dem) ** 0.5)
                 dem, zone, pop, urban = (np.asarray(x).reshape(side, side) for x in (t.dem, t.zone, t.pop, t.urban))
-                if (zone == 0).all() and not (pop > 10).any():
-                    rows.append((*key, "water", WATER, WATER, 0, 0))
-                    continue
-                rich = terrain_cap if len(np.unique(zone)) > 1 or pop.max() > 50 else min(terrain_cap, 12_000)
-                people = population_cap if pop.max() > 1000 else min(population_cap, 12_000 if pop.max() > 10 else 4_000)
                 p = Pyramid(dem, zone, pop, urban)
-                a, b = tree(p, True, rich), tree(p, False, people)
-                rows.append((*key, "ok", a, b, len(a) // 2, len(b) // 2))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in BAKED.split(", ")])
-
-    return tiles.mapInPandas(run, BAKED)
+                a, b = tree(p, True, t.t_budget), tree(p, False, t.p_budget)
+                rows.append((t.tile_id, t.tile_lat, t.tile_lon, a, b, len(a) // 2, len(b) // 2))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in GROWN.split(", ")])
 
-
-def fused_arrays(pixels: DataFrame) -> DataFrame:
-    """Repaired pixels as one row per tile of arrays in row order; dem is null where a tile has no elevation."""
-    cells = F.sort_array(F.collect_list(F.struct("r", "c", "dem", "pop", "zone", "urban")))
-    grouped = pixels.groupBy(*KEYS).agg(cells.alias("cells"), F.max("dem").alias("_highest"))
-    arrays = {k: F.col(f"cells.{k}") for k in ("dem", "pop", "zone", "urban")} | {"dem": F.when(F.col("_highest").isNotNull(), F.col("cells.dem"))}
-    return grouped.select(*KEYS, *(v.alias(k) for k, v in arrays.items()))
+    return tiles.select(*KEYS, "dem", "pop", "zone", "urban", *(v.alias(k) for k, v in _budgets(terrain_cap, population_cap).items())).mapInPandas(run, GROWN)
 
 
 def decode_tiles(tiles: DataFrame, payload: str, terrain: bool) -> DataFrame:
     """A row per leaf of each payload: path, code and the values that the node stores.
 
-    Nodes are walked in order with the paths still to come on a stack. Water has no leaves.
+    Water has no leaves, nor has a damaged payload; see ``leaf_rows``.
     """
-    fields = "tile_lat int, tile_lon int, path string, value int, kind int, gradient int"
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for lat, lon, raw in zip(f.tile_lat, f.tile_lon, f[payload], strict=True):
-                raw = b"" if raw is None else bytes(raw)
-                raw = raw[16:] if raw[:4] == b"QTR5" else raw
-                waiting = [""] if len(raw) > 1 else []
-                for node in np.frombuffer(raw[: len(raw) // 2 * 2], "<u2").tolist() if waiting else ():
-                    if not waiting:
-                        break
-                    path = waiting.pop()
-                    if node & LEAF:
-                        rows.append((lat, lon, path, node >> 4 & 0x7FF if terrain else node >> 3 & 0xFFF, node & (3 if terrain else 7), node >> 2 & 3 if terrain else None))
-                    else:
-                        waiting += [path + q for q in "3210"]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in fields.split(", ")])
-
-    return tiles.select(*CELL, payload).mapInPandas(run, fields)
+    node = F.col("node")
+    fields = [codes.bits(node, 4, 11), codes.bits(node, 0, 2), codes.bits(node, 2, 2)] if terrain else [codes.bits(node, 3, 12), codes.bits(node, 0, 3), F.lit(None).cast("int")]
+    return leaf_rows(tiles, payload, CELL).select(*CELL, "path", *(f.alias(n) for f, n in zip(fields, ("value", "kind", "gradient"), strict=True)))
 
 
 def as_tables(baked: DataFrame) -> dict[str, DataFrame]:
@@ -184,49 +205,16 @@ def replaced(rows: DataFrame, new: DataFrame, baked: DataFrame) -> DataFrame:
     return rows.select(new.columns).join(done, CELL, "left_anti").select(new.columns).unionByName(new)
 
 
-def tile_error(raw: bytes | None) -> str | None:
-    """What is wrong with a data payload (None: nothing)."""
-    if raw is None or len(raw) <= 1:
-        return None
-    raw = raw[16:] if raw[:4] == b"QTR5" else raw
-    if len(raw) % 2:
-        return "odd byte count"
-    if not raw:
-        return "empty payload"
-    nodes = np.frombuffer(raw, "<u2").tolist()
-    if nodes[0] & LEAF:
-        return "root is a leaf"
-    if nodes[0] != len(nodes):
-        return "structure"
-    for la, lo in ((0.25, 0.25), (0.75, 0.75), (0.5, 0.5), (0.1, 0.9)):
-        at = 0
-        for _ in range(20):
-            if at >= len(nodes) or nodes[at] & LEAF:
-                break
-            child = at + 1
-            for _ in range((lo >= 0.5) + 2 * (la < 0.5)):
-                child += 1 if child >= len(nodes) or nodes[child] & LEAF else max(1, nodes[child])
-            at, la, lo = child, la % 0.5 * 2, lo % 0.5 * 2
-        if at >= len(nodes) or not nodes[at] & LEAF:
-            return "structure"
-    return None
-
-
 def validate_payloads(tiles: DataFrame, payload: str = "terrain") -> DataFrame:
     """Tiles with a damaged payload and the error."""
-
-    @F.pandas_udf("string")
-    def check(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda x: tile_error(None if x is None else bytes(x)))
-
-    return tiles.select(*CELL, check(F.col(payload)).alias("error")).filter("error is not null")
+    return payload_errors(tiles.select(*CELL, payload), payload).filter("error is not null").select(*CELL, "error")
 
 
 def rebake_rounds(scan: Callable[[int], DataFrame], bake: Callable[[DataFrame], DataFrame], rounds: int | None = 4, most: int = 2_000) -> DataFrame:
-    """Scans, drops tiles already redone, bakes at most ``most`` in name order, and repeats.
+    """Scans, drops tiles already redone, bakes at most ``most`` in order of file names, and repeats.
 
     ``scan(round)`` gives problem cells, ``bake(cells)`` rows of rebaked cells, which must keep
-    the cells. Returns the rebaked rows with their round; ends when a scan finds nothing new.
+    the cells. Returns the rebaked rows with their round, none on a clean archive; ends when a scan finds nothing new.
     If ``rounds`` (None: no end) end first, each cell left has a row with nulls beside the cell.
     The driver holds the cells of past rounds, at most one per cell of the grid.
     """
@@ -236,7 +224,7 @@ def rebake_rounds(scan: Callable[[int], DataFrame], bake: Callable[[DataFrame],
         found = scan(k).select(*CELL).distinct()
         spark, fields = found.sparkSession, found.schema
         left = found.join(F.broadcast(spark.createDataFrame(tried, fields)), CELL, "left_anti")
-        cells = left.orderBy(*CELL).limit(most).collect()
+        cells = left.orderBy(file_name(F.col("tile_lat"), F.col("tile_lon"))).limit(most).collect()
         if not cells:
             break
         made = bake(spark.createDataFrame(cells, fields)).withColumn("round", F.lit(k))
@@ -247,5 +235,5 @@ def rebake_rounds(scan: Callable[[int], DataFrame], bake: Callable[[DataFrame],
             left = found.join(F.broadcast(spark.createDataFrame(tried, fields)), CELL, "left_anti")
             done = done.unionByName(left, allowMissingColumns=True)
     if done is None:
-        raise ValueError("no problem tiles")
+        return bake(spark.createDataFrame([], fields)).withColumn("round", F.lit(0)).limit(0)
     return done

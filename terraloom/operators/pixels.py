@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions import codes
 
@@ -66,43 +63,63 @@ def whole_tiles(pixels: DataFrame, size: int = 32, with_elevation: bool = False)
     return (whole.filter("not (_low = 0 and _high = 0)") if with_elevation else whole).drop(*facts)
 
 
-def pixel_gradient(pixels: DataFrame) -> DataFrame:
-    """Adds grad: the largest difference of elevation to a neighbour within the tile.
+def gradients(values: Column, side: int) -> Column:
+    """The largest difference of each value of a tile array to a neighbour; rows are ``side`` long.
 
-    Pixels that are dealt by tile (see ``whole_tiles``) aren't shuffled again.
+    Differences to the next value, and to the value a row further on, are made once and laid
+    against both of their ends. A missing neighbour or value counts as no difference.
     """
-    along, down = Window.partitionBy("tile_id", "r").orderBy("c"), Window.partitionBy("tile_id", "c").orderBy("r")
-    near = [f("dem").over(w) for w in (along, down) for f in (F.lag, F.lead)]
-    steps = [F.coalesce(F.abs(F.col("dem") - n), F.lit(0.0)) for n in near]
-    return pixels.withColumn("grad", F.greatest(*steps))
+    n = side * side
+    zero = F.lit(0.0)
 
+    def steps(by: int) -> Column:
+        return F.zip_with(F.slice(values, 1, n - by), F.slice(values, 1 + by, n - by), lambda a, b: F.coalesce(F.abs(a - b), zero))
 
-def resample_layer(layers: DataFrame, layer: str, size: int, linear: bool) -> DataFrame:
-    """Tile arrays resized to size x size, corners on corners: nearest for codes, else bilinear.
+    def both_ends(found: Column, by: int) -> Column:
+        edge = F.array_repeat(zero, by)
+        return F.zip_with(F.concat(edge, found), F.concat(found, edge), lambda a, b: F.greatest(a, b))
 
-    A null array becomes zeros; an array that has the size already is left alone.
-    """
+    along = F.transform(steps(1), lambda x, i: F.when((i + 1) % side == 0, zero).otherwise(x))
+    return F.zip_with(both_ends(along, 1), both_ends(steps(side), side), lambda a, b: F.greatest(a, b)) if side > 1 else F.transform(values, lambda _: zero)
+
+
+def pixel_gradient(tiles: DataFrame, side: int, layer: str = "dem") -> DataFrame:
+    """Adds grad to rows of tile arrays: see ``gradients``. No row per pixel, no shuffle."""
+    return tiles.withColumn("grad", gradients(F.col(layer), side))
 
-    def resize(values: np.ndarray | None) -> np.ndarray:
-        if values is None:
-            return np.zeros(size * size)
-        n = round(len(values) ** 0.5)
-        if n == size:
-            return np.asarray(values, float)
-        grid, at = np.asarray(values, float).reshape(n, n), np.arange(size) * ((n - 1) / max(1, size - 1))
-        if not linear:
-            near = np.floor(at + 0.5).astype(int)
-            return grid[np.ix_(near, near)].ravel()
-        low = np.minimum(at.astype(int), max(0, n - 2))
-        share, high = at - low, np.minimum(low + 1, n - 1)
-        rows = grid[low] * (1 - share)[:, None] + grid[high] * share[:, None]
-        return (rows[:, low] * (1 - share) + rows[:, high] * share).ravel()
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(**{layer: [resize(v) for v in f[layer]]})
+def exploded(tiles: DataFrame, side: int, *layers: str) -> DataFrame:
+    """A row per pixel of tile arrays: r, c and the layers; a tile's rows stay in its task."""
+    cells = F.transform(F.arrays_zip(*layers), lambda x, i: F.struct(F.floor(i / side).cast("int").alias("r"), (i % side).cast("int").alias("c"), *(x[k].alias(k) for k in layers)))
+    return tiles.select(*KEYS, F.inline(cells))
 
-    return layers.select("tile_id", layer).mapInPandas(run, f"tile_id long, {layer} array<double>")
+
+def resample_layer(layers: DataFrame, layer: str, size: int, nearest: bool | None = None) -> DataFrame:
+    """Tile arrays resized to size x size, corners on corners: layers of whole numbers by the nearest value, others linearly.
+
+    ``nearest`` decides instead of the layer's type. Linear values are blended by rows and then
+    by columns. A null array becomes zeros; an array that has the size already is left alone.
+    """
+    kind = layers.schema[layer].dataType.elementType
+    nearest = isinstance(kind, IntegralType) if nearest is None else nearest
+    v, n = F.col(layer), F.sqrt(F.size(layer)).cast("int")
+    at = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: i * ((F.col("_n") - 1) / F.lit(float(max(1, size - 1)))))
+    if nearest:
+        places = F.transform("_at", lambda x: F.floor(x + 0.5).cast("int"))
+        made = F.flatten(F.transform(places, lambda r: F.transform(places, lambda c: F.get(v, r * F.col("_n") + c))))
+    else:
+        low = F.transform("_at", lambda x: F.least(F.floor(x).cast("int"), F.greatest(F.col("_n") - 2, F.lit(0))))
+        marks = F.zip_with("_at", low, lambda x, k: F.struct(k.alias("low"), F.least(k + 1, F.col("_n") - 1).alias("high"), (x - k).alias("share")))
+
+        def row(m: Column) -> Column:
+            return F.zip_with(F.slice(v, m["low"] * F.col("_n") + 1, F.col("_n")), F.slice(v, m["high"] * F.col("_n") + 1, F.col("_n")), lambda a, b: a * (1 - m["share"]) + b * m["share"])
+
+        made = F.flatten(F.transform(F.transform("_marks", row), lambda x: F.transform("_marks", lambda m: F.get(x, m["low"]) * (1 - m["share"]) + F.get(x, m["high"]) * m["share"])))
+    zeros = F.array_repeat(F.lit(0).cast(kind if nearest else "double"), size * size)
+    listed = layers.select("tile_id", layer, n.alias("_n")).withColumn("_at", at)
+    listed = listed if nearest else listed.withColumn("_marks", marks)
+    same = v if nearest else v.cast("array<double>")
+    return listed.select("tile_id", F.when(v.isNull(), zeros).when(F.col("_n") == size, same).otherwise(made).alias(layer))
 
 
 def zone_histogram(pixels: DataFrame) -> DataFrame:
@@ -139,19 +156,21 @@ def node_budget(pixels: DataFrame, terrain_cap: int = 24_000, population_cap: in
     return facts.select("tile_id", terrain.alias("terrain_budget"), people.alias("population_budget"))
 
 
-def tile_facts(pixels: DataFrame, size: int | None = None) -> DataFrame:
+def tile_facts(pixels: DataFrame, size: int | None = None, arrays: bool = False) -> DataFrame:
     """Per tile: pixels, whether layers are there (an all-zero elevation isn't), and water facts.
 
-    One grouping. With ``size`` only tiles that have size x size pixels.
+    One grouping. With ``size`` only tiles that have size x size pixels. With ``arrays`` also
+    ``cells``: the repaired pixels in row order.
     """
+    listed = [F.sort_array(F.collect_list(F.struct("r", "c", "dem", "pop", "zone", "urban"))).alias("cells")] if arrays else []
     raw = pixels.withColumns({"_dem": F.col("dem"), "_esa": F.col("esa")})
     facts = fix_water(with_zones(raw)).groupBy(*KEYS).agg(
         F.count("*").alias("n"), F.min("_dem").alias("low"), F.max("_dem").alias("high"), F.count("_esa").alias("cover"),
-        F.avg(F.when(F.col("_esa") == codes.WATER_CLASS, 1.0).when(F.col("_esa").isNotNull(), 0.0)).alias("water_share"), F.max("zone").alias("top_zone"), F.max("pop").alias("most"),
+        F.avg(F.when(F.col("_esa") == codes.WATER_CLASS, 1.0).when(F.col("_esa").isNotNull(), 0.0)).alias("water_share"), F.max("zone").alias("top_zone"), F.max("pop").alias("most"), *listed,
     )
     facts = facts if size is None else facts.filter(F.col("n") == size * size)
     has = F.col("low").isNotNull() & ~((F.col("low") == 0) & (F.col("high") == 0))
-    return facts.select(*KEYS, "n", has.alias("has_dem"), (F.col("cover") > 0).alias("has_cover"), "water_share", ((F.col("top_zone") == 0) & (F.col("most") <= POP_PIXEL)).alias("all_water"))
+    return facts.select(*KEYS, "n", has.alias("has_dem"), (F.col("cover") > 0).alias("has_cover"), "water_share", ((F.col("top_zone") == 0) & (F.col("most") <= POP_PIXEL)).alias("all_water"), *(["cells"] if arrays else []))
 
 
 def bake_status(facts: DataFrame, ocean: Column | None = None, no_data_water: bool = False) -> DataFrame:

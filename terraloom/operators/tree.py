@@ -95,16 +95,32 @@ def _leaves(pyramid: DataFrame, splits: Column, levels: int) -> DataFrame:
     return kept.withColumn("size", size.cast("int")).withColumn("r0", (F.col("qr") * F.col("size")).cast("int")).withColumn("c0", (F.col("qc") * F.col("size")).cast("int"))
 
 
+def terrain_zone() -> Column:
+    """The most frequent zone of a block; water with people or above sea level is Natural."""
+    mode = lowest_mode([F.col(f"z{z}") for z in codes.ZONES])
+    return F.when((mode == 0) & ((_mean("s") > 0) | (F.col("most") > 10)), 1).otherwise(mode).cast("int")
+
+
+def population_urban() -> Column:
+    return codes.urban_from_density(lowest_mode([F.col(f"u{u}") for u in codes.URBAN]), _mean("ps"))
+
+
+def terrain_codes() -> Column:
+    """The node that a block is as a leaf."""
+    return codes.terrain_node(_mean("s"), terrain_zone(), codes.gradient_level(F.col("grad")))
+
+
+def population_codes() -> Column:
+    return codes.population_node(_mean("ps"), population_urban())
+
+
 def terrain_leaves(pyramid: DataFrame, levels: int = 5) -> DataFrame:
     """A row per leaf of the terrain tree where no budget binds: mean, zone and gradient."""
-    mode = lowest_mode([F.col(f"z{z}") for z in codes.ZONES])
-    zone = F.when((mode == 0) & ((_mean("s") > 0) | (F.col("most") > 10)), 1).otherwise(mode)
     out = _leaves(pyramid, terrain_splits(), levels)
-    return out.select(*TILE, "path", "level", "r0", "c0", "size", _mean("s").alias("elev"), zone.cast("int").alias("zone"), codes.gradient_level(F.col("grad")).alias("gradient"))
+    return out.select(*TILE, "path", "level", "r0", "c0", "size", _mean("s").alias("elev"), terrain_zone().alias("zone"), codes.gradient_level(F.col("grad")).alias("gradient"))
 
 
 def population_leaves(pyramid: DataFrame, levels: int = 5) -> DataFrame:
     """A row per leaf of the population tree where no budget binds: density and urban type."""
-    mode = lowest_mode([F.col(f"u{u}") for u in codes.URBAN])
     out = _leaves(pyramid, population_splits(), levels)
-    return out.select(*TILE, "path", "level", "r0", "c0", "size", _mean("ps").alias("density"), codes.urban_from_density(mode, _mean("ps")).alias("urban"))
+    return out.select(*TILE, "path", "level", "r0", "c0", "size", _mean("ps").alias("density"), population_urban().alias("urban"))

@@ -46,6 +46,8 @@ STEPS = {
         """SELECT *, CASE WHEN level = 0 THEN true WHEN level = 4 THEN false WHEN level < 3 THEN true WHEN z0 = n THEN most > 10 AND (var >= 1 OR err >= 4)
   WHEN z0 > 0 THEN minority >= 0.02 OR var >= 5 OR err >= 4 ELSE minority >= 0.02 OR var >= 1 OR err >= 4 END AS t_split,
   CASE WHEN level = 0 THEN true WHEN level = 4 OR most <= 1 THEN false WHEN level < 4 THEN true END AS p_split,
+  CASE WHEN z0 = n THEN most > 10 AND (var >= 1 OR err >= 4) WHEN z0 > 0 THEN minority >= 0.02 OR var >= 5 OR err >= 4 ELSE minority >= 0.02 OR var >= 1 OR err >= 4 END AS t_rule,
+  most > 1 AND (most >= greatest(3 * people, people + 25) OR pvar >= 16) AS p_rule,
   array_to_string(list_transform(range(level), lambda i: ((qc >> (level - 1 - i)) & 1) + 2 * ((qr >> (level - 1 - i)) & 1)), '') AS path FROM judged""",
     ),
     "terrain": (
@@ -125,6 +127,13 @@ STEPS["problems"] = (
     """SELECT tile_lat, tile_lon, hits, water, valid FROM (SELECT q.*, (SELECT count(*) FROM land) >= 12000 AND l.tile_lat IS NULL AS is_ocean FROM (
   SELECT tile_lat, tile_lon, count(*) FILTER (zone = 0 AND NOT is_water AND (density >= 10 OR urban > 0)) AS hits, count(*) FILTER (zone = 0) AS water, count(*) AS valid FROM samples WHERE zone IS NOT NULL GROUP BY tile_lat, tile_lon) q LEFT JOIN land l USING (tile_lat, tile_lon)) WHERE hits >= 1 OR (water >= valid AND NOT is_ocean)""",
 )
+STEPS["statuses"] = (
+    ["facts", "land"],
+    """SELECT tile_id, tile_lat, tile_lon, CASE WHEN ocean AND NOT has_cover THEN 'no_data' WHEN ocean AND share > 0.95 THEN 'ocean' WHEN ocean AND abs(tile_lat) >= 80 THEN 'no_data' WHEN NOT has_dem THEN CASE WHEN has_cover AND share > 0.95 THEN 'ocean' ELSE 'no_data' END WHEN all_water THEN 'water' ELSE 'ok' END AS status
+  FROM (SELECT f.*, (SELECT count(*) FROM land) >= 12000 AND l.tile_lat IS NULL AS ocean FROM facts f LEFT JOIN land l USING (tile_lat, tile_lon))""",
+)
+
+
 STEPS["city_bad"] = (
     ["keyed", "states", "leaf_t", "leaf_p"],
     f"""SELECT city_id, n, p, zone, density, urban, concat_ws('; ', CASE WHEN zone = 0 AND density >= 5 THEN concat('zone=water but pop=', density) END, CASE WHEN density >= 5 AND urban = 0 THEN concat('pop=', density, ' but urban=0') END) AS issues
@@ -137,6 +146,10 @@ SAMPLED = f"""SELECT {{key}}, CASE WHEN status <> 'ok' THEN 0 ELSE elevation END
   LEFT JOIN leaf_t t ON s.status = 'ok' AND {AT.format(x="t")} LEFT JOIN leaf_p p ON s.status = 'ok' AND {AT.format(x="p")} WHERE {{kept}}"""
 
 
+#: Steps that are made once, however many read them.
+KEPT = {"nodes", "t_tree", "p_tree", "t_sized", "p_sized", "t_shares", "p_shares"}
+
+
 def statement(names: list[str], body: str) -> str:
     """The body after a WITH of all steps and views that it needs, each once and in order."""
     order: list[str] = []
@@ -151,7 +164,7 @@ def statement(names: list[str], body: str) -> str:
     for n in names:
         visit(n)
     texts = {n: STEPS[n][1].replace("{at_t}", AT.format(x="t")).replace("{at_p}", AT.format(x="p")) if n in STEPS else VIEWS[n] for n in order}
-    return "WITH " + ",\n".join(f"{n} AS ({t})" for n, t in texts.items()) + "\n" + body if order else body
+    return "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in KEPT else ''}({t})" for n, t in texts.items()) + "\n" + body if order else body
 
 
 def encoded(m: str) -> str:
@@ -165,9 +178,45 @@ def decoded(s: str) -> str:
 CLAMPED = "greatest(0, least(8190, CAST(trunc(dem * 1.3) AS INT)))"
 POP_CODE = "CASE WHEN pop <= 0 THEN 0 ELSE greatest(1, least(4095, CAST(floor(ln(1 + pop) * 355.7) AS INT))) END"
 ZONE = "CASE WHEN esa = 10 THEN 2 WHEN esa IN (70, 90, 95) THEN 3 WHEN esa = 80 THEN 0 ELSE 1 END"
+ZONE_OF_BLOCK = "CASE WHEN z0 = greatest(z0, z1, z2, z3) THEN CASE WHEN mean > 0 OR most > 10 THEN 1 ELSE 0 END WHEN z1 = greatest(z0, z1, z2, z3) THEN 1 WHEN z2 = greatest(z0, z1, z2, z3) THEN 2 ELSE 3 END"
 NAME = "concat(tile_lon, '_', tile_lat, '.qtree')"
 
 
+def _tree(kind: str, code: str) -> None:
+    """Steps for the nodes of one tree, its payload as digits, and what a budget leaves each block."""
+    STEPS[f"{kind}_tree"] = (
+        ["nodes"],
+        f"SELECT a.tile_id, a.level, a.path, a.{kind}_split AS splits, CASE WHEN a.level = 4 THEN a.{kind}_rule ELSE a.{kind}_split END AS wants, CAST({code} AS BIGINT) AS code FROM nodes a WHERE NOT EXISTS (SELECT 1 FROM nodes b WHERE b.tile_id = a.tile_id AND b.level < a.level AND NOT b.{kind}_split AND starts_with(a.path, b.path))",
+    )
+    STEPS[f"{kind}_sized"] = (
+        [f"{kind}_tree"],
+        f"SELECT a.tile_id, a.level, a.path, any_value(a.wants) AS wants, CASE WHEN any_value(a.splits) THEN count(*) ELSE any_value(a.code) END AS node, count(*) AS n FROM {kind}_tree a JOIN {kind}_tree b ON b.tile_id = a.tile_id AND starts_with(b.path, a.path) GROUP BY a.tile_id, a.level, a.path",
+    )
+    STEPS[f"{kind}_payload"] = ([f"{kind}_sized"], f"SELECT tile_id, CAST(count(*) AS INT) AS n, string_agg(printf('%02X%02X', node & 255, node >> 8), '' ORDER BY path) AS digits FROM {kind}_sized GROUP BY tile_id")
+    STEPS[f"{kind}_shares"] = (
+        [f"{kind}_sized"],
+        f"""SELECT tile_id, level, path, left(path, level - 1) AS above, wants, CAST(right(path, 1) AS INT) AS k, coalesce(sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used, sum(CASE WHEN wants THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS still
+  FROM {kind}_sized WHERE level > 0 WINDOW w AS (PARTITION BY tile_id, level, left(path, level - 1) ORDER BY path)""",
+    )
+    # a child's part depends on what its parent has and on the sizes of the children before it
+    STEPS[f"{kind}_cuts"] = (
+        [f"{kind}_shares", "budgets"],
+        f"""SELECT DISTINCT tile_id FROM (WITH RECURSIVE had AS (SELECT tile_id, CAST(0 AS BIGINT) AS level, '' AS path, CAST({kind}_budget AS BIGINT) AS have, true AS wants FROM budgets UNION ALL
+  SELECT s.tile_id, CAST(s.level AS BIGINT), s.path, CAST(CASE WHEN s.wants THEN least(1 + greatest(0, h.have - 1 - s.used - (4 - s.k)) // greatest(1, s.still), h.have - 1 - s.used - (3 - s.k)) ELSE 1 END AS BIGINT), s.wants FROM had h JOIN {kind}_shares s ON s.tile_id = h.tile_id AND s.above = h.path AND s.level = h.level + 1 WHERE h.have >= 5)
+  SELECT * FROM had) WHERE level < 4 AND wants AND have < 5""",
+    )
+
+
+_tree("t", "32768 + 16 * (" + encoded("greatest(0, least(8190, CAST(trunc(mean) AS INT)))") + ") + 4 * (CASE WHEN grad < 10 THEN 0 WHEN grad < 50 THEN 1 WHEN grad < 200 THEN 2 ELSE 3 END) + (" + ZONE_OF_BLOCK + ")")
+_tree("p", "32768 + 8 * (" + POP_CODE.replace("pop", "people") + ") + (CASE WHEN u1 > u0 THEN 1 WHEN people > 5000 THEN 2 WHEN people > 10 THEN 1 ELSE 0 END)")
+STEPS["payloads"] = (["t_payload", "p_payload"], "SELECT t.tile_id, t.n AS t_nodes, p.n AS p_nodes, t.digits AS t_hex, p.digits AS p_hex FROM t_payload t JOIN p_payload p USING (tile_id)")
+STEPS["files_of"] = (
+    ["states", "payloads"],
+    "SELECT tile_id, tile_lat, tile_lon, CAST(CASE WHEN status = 'ok' THEN 2 * t_nodes ELSE 1 END AS BIGINT) AS bytes, md5(CASE WHEN status = 'ok' THEN t_hex ELSE 'FF' END) AS digest FROM states LEFT JOIN payloads USING (tile_id) WHERE status <> 'no_data'",
+)
+STEPS["budgets"] = (["states", "payloads"], "SELECT tile_id, t_nodes, p_nodes, 240 AS t_budget, 200 AS p_budget FROM states JOIN payloads USING (tile_id) WHERE status = 'ok'")
+
+
 def _shards(prefix: str, size: str) -> str:
     return f"""SELECT format('{prefix}_{{}}{{:03d}}_{{}}{{:02d}}.gsh', CASE WHEN shard_lon < 0 THEN '-' ELSE '+' END, abs(shard_lon), CASE WHEN shard_lat < 0 THEN '-' ELSE '+' END, abs(shard_lat)) AS path, '{prefix}' AS kind, shard_lat, shard_lon, 10 AS tile_w, 10 AS tile_h,
   count(*) AS tile_count, CAST(800 AS BIGINT) AS index_bytes, CAST(sum({size}) AS BIGINT) AS data_bytes, CAST(836 + sum({size}) AS BIGINT) AS file_bytes
@@ -273,11 +322,7 @@ def oracle_sql() -> dict[str, str]:
         "quad_pyramid": s(["pyramid"], "SELECT tile_id, CAST(level AS INT) AS level, CAST(qr AS INT) AS qr, CAST(qc AS INT) AS qc, n, round(s / n, 6) AS mean, round(ss / n - (s / n) * (s / n), 4) AS variance, low, high, z0, z1, z2, z3, most AS max_pop, grad AS max_grad, CASE WHEN u1 > 0 THEN 1 ELSE 0 END AS urban_kinds FROM pyramid"),
         "terrain_leaves": s(["terrain"], "SELECT tile_id, path, level, r0, c0, size, round(elev, 6) AS elev, zone, gradient FROM terrain"),
         "population_leaves": s(["population"], "SELECT tile_id, path, level, r0, c0, size, round(density, 6) AS density, urban FROM population"),
-        "bake_status": s(
-            ["facts", "land"],
-            """SELECT tile_id, tile_lat, tile_lon, CASE WHEN ocean AND NOT has_cover THEN 'no_data' WHEN ocean AND share > 0.95 THEN 'ocean' WHEN ocean AND abs(tile_lat) >= 80 THEN 'no_data' WHEN NOT has_dem THEN CASE WHEN has_cover AND share > 0.95 THEN 'ocean' ELSE 'no_data' END WHEN all_water THEN 'water' ELSE 'ok' END AS status
-  FROM (SELECT f.*, (SELECT count(*) FROM land) >= 12000 AND l.tile_lat IS NULL AS ocean FROM facts f LEFT JOIN land l USING (tile_lat, tile_lon))""",
-        ),
+        "bake_status": s(["statuses"], "SELECT * FROM statuses"),
         "bake_summary": s(
             ["bake_log"],
             """SELECT count(*) AS tiles, count(*) FILTER (status = 'ok') AS n_ok, count(*) FILTER (status = 'water') AS n_water, count(*) FILTER (status = 'ocean') AS n_ocean, count(*) FILTER (status = 'no_data') AS n_no_data, count(*) FILTER (status = 'error') AS n_error,
@@ -304,10 +349,27 @@ def oracle_sql() -> dict[str, str]:
         ),
         "tile_info": s(["ocean"], "SELECT tile_id, terrain_bytes, CASE WHEN terrain_bytes > 1 THEN terrain_bytes // 2 END AS node_count, is_ocean FROM ocean"),
         "scan_problem_tiles": s(["problems"], "SELECT * FROM problems"),
-        "rebake_rounds": s(
-            ["problems", "fixed"],
-            """SELECT tile_lat, tile_lon, status, CAST(1 + (row_number() OVER (ORDER BY tile_lat, tile_lon) - 1) // 2000 AS INT) AS round FROM problems JOIN (
-  SELECT tile_lat, tile_lon, CASE WHEN max(dem) IS NULL THEN 'no_data' WHEN max(zone) = 0 AND max(pop) <= 10 THEN 'water' ELSE 'ok' END AS status FROM fixed GROUP BY tile_lat, tile_lon) USING (tile_lat, tile_lon)""",
+        "rebake_rounds": s(["problems", "states"], f"SELECT tile_lat, tile_lon, status, CAST(1 + (row_number() OVER (ORDER BY {NAME}) - 1) // 2000 AS INT) AS round FROM problems JOIN states USING (tile_lat, tile_lon)"),
+        "bake_tiles": s(
+            ["statuses", "payloads"],
+            """SELECT tile_id, s.status, CASE WHEN s.status = 'ok' THEN t_nodes ELSE 0 END AS terrain_nodes, CASE WHEN s.status = 'ok' THEN p_nodes ELSE 0 END AS population_nodes,
+  md5(CASE s.status WHEN 'ok' THEN t_hex WHEN 'no_data' THEN NULL ELSE 'FF' END) AS terrain_digest, md5(CASE s.status WHEN 'ok' THEN p_hex WHEN 'no_data' THEN NULL ELSE 'FF' END) AS population_digest FROM statuses s LEFT JOIN payloads USING (tile_id)""",
+        ),
+        "root_sizes": s(["states", "payloads"], "SELECT tile_id, CASE WHEN status = 'ok' THEN t_nodes END AS terrain_root, CASE WHEN status = 'ok' THEN p_nodes END AS population_root FROM states LEFT JOIN payloads USING (tile_id)"),
+        "read_tile_dir": s(["files_of"], "SELECT tile_lat, tile_lon, bytes, digest FROM files_of"),
+        "read_pack_tiles": s(["files_of"], "SELECT 'terrain' AS kind, tile_lat, tile_lon, bytes, digest FROM files_of"),
+        "validate_payloads": s(["files_of"], "SELECT tile_lat, tile_lon, CASE tile_id % 5 WHEN 2 THEN 'odd byte count' WHEN 3 THEN 'structure' ELSE 'root is a leaf' END AS error FROM files_of WHERE tile_id % 5 BETWEEN 2 AND 4 AND bytes > 1"),
+        "budget_cuts": s(
+            ["budgets", "t_cuts", "p_cuts"],
+            "SELECT tile_id, t_nodes, p_nodes, t_budget, p_budget, tile_id IN (SELECT tile_id FROM t_cuts) AS t_cut, tile_id IN (SELECT tile_id FROM p_cuts) AS p_cut FROM budgets",
+        ),
+        "resample_linear": s(
+            ["whole"],
+            """SELECT tile_id, g.r, g.c, round((1 - dc) * ((1 - dr) * a.dem + dr * b.dem) + dc * ((1 - dr) * e.dem + dr * f.dem), 6) AS dem, size FROM (
+  SELECT tile_id, size, CAST(i AS INT) AS r, CAST(j AS INT) AS c, least(CAST(floor(y) AS INT), 30) AS r0, least(CAST(floor(x) AS INT), 30) AS c0, y - least(floor(y), 30) AS dr, x - least(floor(x), 30) AS dc FROM (
+  SELECT tile_id, size, i, j, i * (31.0::DOUBLE / (size - 1)) AS y, j * (31.0::DOUBLE / (size - 1)) AS x FROM (SELECT DISTINCT tile_id FROM whole WHERE dem IS NOT NULL) CROSS JOIN (VALUES (12), (45)) AS s(size) CROSS JOIN range(45) AS p(i) CROSS JOIN range(45) AS q(j) WHERE i < size AND j < size)) g
+  JOIN whole a USING (tile_id) JOIN whole b USING (tile_id) JOIN whole e USING (tile_id) JOIN whole f USING (tile_id)
+  WHERE a.r = r0 AND a.c = c0 AND b.r = r0 + 1 AND b.c = c0 AND e.r = r0 AND e.c = c0 + 1 AND f.r = r0 + 1 AND f.c = c0 + 1""",
         ),
         "urban_pop_mismatch": s(["urban_bad"], "SELECT * FROM urban_bad"),
         "water_pop_mismatch": s(["samples"], "SELECT tile_lat, tile_lon, count(*) FILTER (density >= 1) AS hits, max(density) AS max_pop FROM samples WHERE NOT is_water AND zone = 0 AND density IS NOT NULL GROUP BY tile_lat, tile_lon HAVING count(*) FILTER (density >= 1) > 0"),

@@ -18,6 +18,8 @@ from .fixtures import view
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CELL = ["tile_lat", "tile_lon"]
+#: Pixels a side of the tiles of the views.
+SIDE = 32
 SAMPLED = ["elevation", "zone", "gradient", "density", "urban"]
 
 
@@ -46,8 +48,12 @@ class Tiles:
         self.spark, self.d = spark, d
 
     @cached_property
+    def fused(self) -> DataFrame:
+        return fused_tiles(self.spark, self.d)
+
+    @property
     def status(self) -> DataFrame:
-        return stored(self.spark, pixels.bake_status(facts(self.spark, self.d)).select("tile_id", *CELL, "status"), "status")
+        return self.fused.select("tile_id", *CELL, "status")
 
     @property
     def states(self) -> DataFrame:
@@ -55,8 +61,7 @@ class Tiles:
 
     @cached_property
     def pyramid(self) -> DataFrame:
-        ok = self.status.filter("status = 'ok'").select("tile_id")
-        return stored(self.spark, tree.quad_pyramid(pixels.pixel_gradient(repaired(self.spark, self.d).join(ok, "tile_id", "left_semi"))), "pyramid")
+        return stored(self.spark, array_pyramid(self.fused.filter("status = 'ok'").repartition(*pixels.KEYS)), "pyramid")
 
     @cached_property
     def terrain(self) -> DataFrame:
@@ -76,9 +81,28 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fused_tiles(spark: SparkSession, d: str, land: bool = False) -> DataFrame:
+    """Status and repaired arrays of all whole tiles; ``land`` lets the index of land cells tell oceans."""
+    return stored(spark, bake.fused_tiles(view(spark, d, "px"), SIDE, view(spark, d, "land_tiles") if land else None), "fused")
+
+
+def baked_tiles(spark: SparkSession, d: str, land: bool = False) -> DataFrame:
+    return bake.bake_tiles(fused_tiles(spark, d, land), SIDE)
+
+
+def array_pyramid(tiles: DataFrame) -> DataFrame:
+    return tree.quad_pyramid(pixels.exploded(pixels.pixel_gradient(tiles, SIDE), SIDE, "dem", "pop", "zone", "urban", "grad"))
+
+
 def pixel_pyramid(spark: SparkSession, d: str) -> DataFrame:
-    whole = pixels.whole_tiles(view(spark, d, "px"), with_elevation=True)
-    return tree.quad_pyramid(pixels.pixel_gradient(pixels.fix_water(pixels.with_zones(whole))))
+    """Node statistics of all tiles that have elevation."""
+    found = pixels.tile_facts(view(spark, d, "px"), SIDE, arrays=True).filter("has_dem")
+    return array_pyramid(found.select(*pixels.KEYS, *(F.col(f"cells.{k}").alias(k) for k in ("dem", "pop", "zone", "urban"))))
+
+
+def digest(payload: str) -> Column:
+    """A digest that the check's SQL can make of a payload too."""
+    return F.md5(F.hex(payload))
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -93,10 +117,10 @@ def read_tile_dir(spark: SparkSession, d: str) -> DataFrame:
     """Payloads of the baked tiles, written as files by their names and read back."""
     from ..sources.folders import write_tile_folder
 
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null")))
+    baked = baked_tiles(spark, d)
     folder = shared_folder(spark, "tiles")
     write_tile_folder(baked.filter("terrain is not null").select(*CELL, F.col("terrain").alias("payload")), folder, "qtree")
-    return files.read_tile_dir(spark, folder).select(*CELL, F.length("payload").cast("long").alias("bytes"), F.crc32("payload").alias("crc"))
+    return files.read_tile_dir(spark, folder).select(*CELL, F.length("payload").cast("long").alias("bytes"), digest("payload").alias("digest"))
 
 
 @query
@@ -137,10 +161,10 @@ def write_land_index(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def read_pack_tiles(spark: SparkSession, d: str) -> DataFrame:
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null"))).select(*CELL, F.col("terrain").alias("payload"))
+    baked = baked_tiles(spark, d).filter("terrain is not null").select(*CELL, F.col("terrain").alias("payload"))
     folder = shared_folder(spark, "packs")
     packs.write_pack_parts(baked, folder)
-    return packs.read_pack_tiles(spark, folder).select("kind", *CELL, F.length("payload").cast("long").alias("bytes"), F.crc32("payload").alias("crc"))
+    return packs.read_pack_tiles(spark, folder).select("kind", *CELL, F.length("payload").cast("long").alias("bytes"), digest("payload").alias("digest"))
 
 
 def _geojson(spark: SparkSession, d: str) -> str:
@@ -399,9 +423,21 @@ def leaf_bbox_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def resample_layer(spark: SparkSession, d: str) -> DataFrame:
-    layers = pixels.layer_arrays(whole_tiles(spark, d), "esa").withColumn("esa", F.col("esa").cast("array<double>"))
-    small = pixels.resample_layer(layers, "esa", 12, linear=False).select("tile_id", F.posexplode("esa").alias("at", "esa"))
-    return small.select("tile_id", F.floor(F.col("at") / 12).cast("int").alias("r"), (F.col("at") % 12).cast("int").alias("c"), F.col("esa").cast("int").alias("esa"))
+    """Land cover, whose codes are taken from the nearest pixel, at 12 pixels a side."""
+    return _resampled(spark, d, "esa", 12)
+
+
+@query
+def resample_linear(spark: SparkSession, d: str) -> DataFrame:
+    """Elevation, which is blended, at 12 and at 45 pixels a side."""
+    both = [rounded(_resampled(spark, d, "dem", size), "dem").withColumn("size", F.lit(size)) for size in (12, 45)]
+    return both[0].unionByName(both[1])
+
+
+def _resampled(spark: SparkSession, d: str, layer: str, size: int) -> DataFrame:
+    layers = pixels.layer_arrays(view(spark, d, "px"), layer).filter(F.size(layer) == SIDE * SIDE)
+    small = pixels.resample_layer(layers, layer, size).select("tile_id", F.posexplode(layer).alias("at", layer))
+    return small.select("tile_id", F.floor(F.col("at") / size).cast("int").alias("r"), (F.col("at") % size).cast("int").alias("c"), layer)
 
 
 @query
@@ -411,7 +447,8 @@ def fix_water(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def pixel_gradient(spark: SparkSession, d: str) -> DataFrame:
-    return pixels.pixel_gradient(whole_tiles(spark, d).filter("dem is not null")).select("tile_id", "r", "c", "grad")
+    tiles = pixels.layer_arrays(view(spark, d, "px"), "dem").filter(F.size("dem") == SIDE * SIDE)
+    return pixels.exploded(pixels.pixel_gradient(tiles, SIDE), SIDE, "grad").select("tile_id", "r", "c", "grad")
 
 
 @query
@@ -546,9 +583,10 @@ def validate_tiles(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def validate_payloads(spark: SparkSession, d: str) -> DataFrame:
-    """Errors of baked payloads of which every fifth has lost its end."""
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null")))
-    cut = F.when(F.col("tile_id") % 5 == 0, F.expr("substring(terrain, 1, length(terrain) - 3)")).otherwise(F.col("terrain"))
+    """Errors of baked payloads of which some have lost their end or their root."""
+    baked = baked_tiles(spark, d).filter(F.length("terrain") > 1)
+    lost = {2: "substring(terrain, 1, length(terrain) - 3)", 3: "substring(terrain, 1, length(terrain) - 2)", 4: "substring(terrain, length(terrain) - 1)"}
+    cut = F.expr("CASE tile_id % 5 " + " ".join(f"WHEN {k} THEN {v}" for k, v in lost.items()) + " ELSE terrain END")
     return bake.validate_payloads(baked.withColumn("terrain", cut))
 
 
@@ -598,7 +636,7 @@ def pack_shards(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def shard_blobs(spark: SparkSession, d: str) -> DataFrame:
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d).filter("dem is not null")))
+    baked = baked_tiles(spark, d).filter("terrain is not null")
     out = pack.shard_blobs(baked.select(*CELL, F.col("terrain").alias("payload")))
     return out.select("path", "tile_count", F.length("content").alias("bytes"), F.crc32("content").alias("crc"))
 
@@ -618,14 +656,13 @@ def rebake_rounds(spark: SparkSession, d: str) -> DataFrame:
     """Problem tiles of a scan, baked again in rounds of at most 2,000; each round scans the tiles as they are then."""
     now, land = Tiles(spark, d), view(spark, d, "land_tiles")
     tables = {"states": now.states, "terrain": now.terrain, "population": now.population}
-    arrays = stored(spark, bake.fused_arrays(repaired(spark, d)), "arrays")
 
     def scan(_: int) -> DataFrame:
         samples = audit.tile_samples(tables["states"], tables["terrain"], tables["population"], 3)
         return stored(spark, audit.scan_problem_tiles(samples, land), "problems")
 
     def again(cells: DataFrame) -> DataFrame:
-        made = stored(spark, bake.bake_tiles(F.broadcast(cells).join(arrays, CELL).select(arrays.columns)), "rebaked")
+        made = stored(spark, bake.bake_tiles(F.broadcast(cells).join(now.fused, CELL).select(now.fused.columns), SIDE), "rebaked")
         for name, rows in bake.as_tables(made).items():
             tables[name] = stored(spark, bake.replaced(tables[name], rows, made), name)
         return made.select(*CELL, "status")
@@ -635,23 +672,33 @@ def rebake_rounds(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def bake_tiles(spark: SparkSession, d: str) -> DataFrame:
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d)))
-    return baked.select("tile_id", "status", "terrain_nodes", "population_nodes", F.crc32("terrain").alias("terrain_crc"), F.crc32("population").alias("population_crc"))
+    """Status, node counts and payloads of all tiles, oceans being told by the index of land cells."""
+    baked = baked_tiles(spark, d, land=True)
+    return baked.select("tile_id", "status", "terrain_nodes", "population_nodes", digest("terrain").alias("terrain_digest"), digest("population").alias("population_digest"))
+
+
+#: A hundredth of the budgets, so that they bind on tiles of 32 pixels a side.
+SMALL_BUDGETS = (240, 200)
+
+
+@query
+def budget_cuts(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes of the full trees of each tile, and whether small budgets cut them."""
+    trees = bake.grown_trees(fused_tiles(spark, d), SIDE, *SMALL_BUDGETS)
+    return trees.select("tile_id", "t_nodes", "p_nodes", "t_budget", "p_budget", "t_cut", "p_cut")
 
 
 @query
 def root_sizes(spark: SparkSession, d: str) -> DataFrame:
     """The node count that the root of each baked tree states."""
-    baked = bake.bake_tiles(bake.fused_arrays(repaired(spark, d)))
+    baked = baked_tiles(spark, d)
     return baked.select("tile_id", pack.root_size(F.col("terrain")).alias("terrain_root"), pack.root_size(F.col("population")).alias("population_root"))
 
 
 @query
 def decode_tiles(spark: SparkSession, d: str) -> DataFrame:
     """Leaves of baked terrain, which must equal those of the table form."""
-    whole = pixels.whole_tiles(view(spark, d, "px"), with_elevation=True)
-    baked = bake.bake_tiles(bake.fused_arrays(pixels.fix_water(pixels.with_zones(whole))))
-    return bake.decode_tiles(baked, "terrain", terrain=True)
+    return bake.decode_tiles(baked_tiles(spark, d), "terrain", terrain=True)
 
 
 @query

@@ -73,7 +73,7 @@ def test_trees_never_pass_their_budget_and_cover_the_tile(budget, ground):
     y, x = np.mgrid[0:256, 0:256]
     dem = 900 + 40 * np.abs((x + 3 * y) % 61 - 30) if ground == "ridge" else 2_000 + 700 * np.sin(np.hypot(x - 90, y - 140) / 3)
     raw = terrain(dem, 1 + (x // 7 + y // 5) % 3, budget=budget)
-    assert nodes(raw)[0] == len(nodes(raw)) <= budget and bake.tile_error(raw) is None
+    assert nodes(raw)[0] == len(nodes(raw)) <= budget
     assert sum(0.25 ** len(p) for p, _ in leaves_of(raw)) == 1
 
 
@@ -118,23 +118,17 @@ def test_gradients_look_both_ways():
     assert by_column == {0: {0}, 1: {3}, 2: {3}, 3: {0}}
 
 
-def test_damaged_payloads_are_named():
-    good = terrain(np.arange(64.0 * 64).reshape(64, 64) % 97, np.ones((64, 64)))
-    assert [bake.tile_error(x) for x in (good, good[:-2], good[:-1], b"\xff", None, b"QTR5" + bytes(12), nodes(good)[-1:].tobytes())] == [None, "structure", "odd byte count", None, None, "empty payload", "root is a leaf"]
-
-
 @pytest.fixture(scope="module")
 def baked(spark):
-    from terraloom.plans.queries import repaired
+    from terraloom.plans.queries import fused_tiles
 
-    fixed = repaired(spark, DATA).filter("dem is not null")
-    return fixed, bake.bake_tiles(bake.fused_arrays(fixed)).cache()
+    fused = fused_tiles(spark, DATA).cache()
+    return fused, bake.bake_tiles(fused, 32).cache()
 
 
 def test_payload_leaves_equal_table_leaves(spark, baked):
-    fixed, tiles = baked
-    ok = tiles.filter("status = 'ok'").select("tile_id")
-    pyramid = tree.quad_pyramid(pixels.pixel_gradient(fixed.join(ok, "tile_id", "left_semi")))
+    fused, tiles = baked
+    pyramid = tree.quad_pyramid(pixels.exploded(pixels.pixel_gradient(fused.filter("status = 'ok'"), 32), 32, "dem", "pop", "zone", "urban", "grad"))
     for kind, leaves in (("terrain", tree.terrain_leaves(pyramid).select("tile_lat", "tile_lon", "path", codes.encode_elevation(F.col("elev")).alias("value"), F.col("zone").alias("kind"), "gradient")), ("population", tree.population_leaves(pyramid).select("tile_lat", "tile_lon", "path", codes.encode_pop_density(F.col("density")).alias("value"), F.col("urban").alias("kind"), F.lit(None).cast("int").alias("gradient")))):
         decoded = bake.decode_tiles(tiles, kind, kind == "terrain").select("tile_lat", "tile_lon", "path", "value", "kind", "gradient")
         assert decoded.exceptAll(leaves).count() == 0 and leaves.exceptAll(decoded).count() == 0
@@ -210,9 +204,14 @@ def test_first_pack_wins_and_kinds_must_agree(spark):
 
 
 def test_tile_list_slices_what_is_left(spark, tmp_path):
-    (tmp_path / "list.txt").write_text("1,1,30017\n\n# x\n2 2 30017\nbad,line\n12\n3,3\n")
-    rows = files.read_tile_list(spark, str(tmp_path / "list.txt"), start=1, limit=2).collect()
-    assert [(r.tile_lat, r.tile_lon) for r in rows] == [(2, 2), (3, 3)]
+    (tmp_path / "cells.lst").write_text("  -71\t-33\textra\n139,  35\n#139,36\n,,\n-0,-90 , 4.5\n18.5,4\n\t\n-180\t89\n7\n")
+
+    def cells(**some):
+        return [(r.tile_lon, r.tile_lat) for r in files.read_tile_list(spark, str(tmp_path / "cells.lst"), **some).collect()]
+
+    every = [(-71, -33), (139, 35), (0, -90), (-180, 89)]
+    assert cells() == every and cells(start=3) == every[3:] and cells(limit=1) == every[:1]
+    assert cells(start=4) == cells(start=40, limit=2) == [] and cells(start=2, limit=9) == every[2:]
 
 
 def test_geojson_forms(spark, tmp_path):
@@ -262,6 +261,7 @@ def test_rebake_rounds_say_which_cells_are_left(spark):
     rows = bake.rebake_rounds(lambda _: cells, lambda c: c.withColumn("status", F.lit("ok")), rounds=2, most=2).orderBy("tile_lat").collect()
     assert [(r.tile_lat, r.status, r.round) for r in rows] == [(0, "ok", 1), (1, "ok", 1), (2, "ok", 2), (3, "ok", 2), (4, None, None)]
     assert bake.rebake_rounds(lambda _: cells, lambda c: c, rounds=None, most=1).count() == 5
+    assert bake.rebake_rounds(lambda _: cells.limit(0), lambda c: c.withColumn("status", F.lit("ok"))).count() == 0
 
 
 def test_rebaked_tiles_take_the_place_of_old_ones(spark, baked):
@@ -289,7 +289,7 @@ def test_rebake_query_scans_what_it_has_baked(spark, monkeypatch):
 
 def test_linear_resampling_keeps_corners_and_zeros_missing(spark):
     df = spark.createDataFrame([(1, [0.0, 1.0, 2.0, 3.0]), (2, None)], "tile_id long, v array<double>")
-    rows = {r.tile_id: r.v for r in pixels.resample_layer(df, "v", 3, linear=True).collect()}
+    rows = {r.tile_id: r.v for r in pixels.resample_layer(df, "v", 3).collect()}
     assert rows[1] == [0, 0.5, 1, 1, 1.5, 2, 2, 2.5, 3] and rows[2] == [0.0] * 9
 
 
