@@ -8,18 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 from .common import crc_mod
 
 
-#: Characters of each stretch that is taken of a very long text.
-STRETCH = 1000
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, held_mod: int, held_value: int, max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """At most ``most`` (text, 0 or 1) of each class, by a hash of the id, for the driver.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, most: int, held_mod: int, held_value: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame | None:
+    """text, y (0 or 1) and place (their order) of at most ``most`` labelled texts of each class, by a hash of the id.
 
     Rows whose crc32(id as text) mod ``held_mod`` is ``held_value`` are never taken, nor are rows
-    without an id, a label or a text. A text of over ``max_chars`` characters is learned from by
-    stretches of it, spread evenly from its begin to its end, ``max_chars`` characters in all; so
-    the driver gets ``2 * most * max_chars`` characters at worst. An id with several labels counts
-    with the largest. Ids decide who is taken, and are not given to the caller.
+    without an id, a label or a text. Texts are whole. An id with several labels counts with the
+    largest. Ids decide who is taken, and are not given to the caller. No labels: None.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y"))
     known = known.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (crc_mod(F.col("id"), held_mod) != held_value))
@@ -28,7 +22,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, h
     # a hash threshold that leaves about four times the bound saves sorting the rest
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return []
+        return None
     share = F.lit(0.0)
     for y, n in sizes.items():
         share = F.when(F.col("y") == y, min(1.0, 4 * most / n)).otherwise(share)
@@ -36,11 +30,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, h
     first = [some.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most) for y in sorted(sizes)]
     chosen = first[0] if len(first) == 1 else first[0].unionByName(first[1])
     rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("text").alias("text"))  # at most 2 * most ids
-    n = max(2, max_chars // STRETCH)
-    begin = lambda i: (1 + F.floor(i * (F.length("text") - STRETCH) / (n - 1))).cast("int")
-    stretches = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.substring("text", begin(i), F.lit(STRETCH))), "\n")
-    rows = rows.withColumn("text", F.when(F.length("text") > n * STRETCH, stretches).otherwise(F.col("text")))
-    return [(r["text"], r["y"]) for r in rows.orderBy(F.xxhash64("id"), "id").select("text", "y").collect()]
+    return rows.select("text", "y", F.struct(F.xxhash64("id"), "id").alias("place"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, held_mod: int, held_value: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
+    """The rows of ``labelled_rows`` as (text, y) in the driver."""
+    rows = labelled_rows(docs, labels, label, most, held_mod, held_value, id_col, text_col)
+    return [] if rows is None else [(r["text"], r["y"]) for r in rows.orderBy("place").select("text", "y").collect()]
 
 
 def without_copies(sample: list[tuple[str, int]], shingle: int = 5) -> list[tuple[str, int]]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import as_batch, crc_mod, sliced, strings
-from .labelled import labelled_sample, sigmoid
+from .labelled import labelled_rows, sigmoid
 
 #: Character classes by byte; bytes of other classes count as rest.
 CLASSES = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" ", b"\n", b".,", b"!?", b"#*$%&", b"|<>", b"\"'()-:;", bytes(range(128, 256))]
@@ -123,21 +123,26 @@ class AttentionModel:
         return out["score"], np.maximum.reduceat(out["share"], np.searchsorted(owner, np.arange(len(texts))))
 
 
-def fit_attention(sample: list[tuple[str, int]], words: int = 64, width: int = 16, gates: int = 8, steps: int = 300, rate: float = 0.02, decay: float = 1e-3, seed: int = 0) -> AttentionModel:
-    """Fits the model to (text, 0 or 1) by Adam on the class-balanced loss, all texts at a step.
+def fit_attention(sample: list[tuple[str, int]], words: int = 64, **settings) -> AttentionModel:
+    """``fit_passages`` on (text, 0 or 1)."""
+    return fit_passages(*passages([t for t, _ in sample], words), np.array([t for _, t in sample], float), words, **settings)
 
-    No text, or one class only: every score is the share of label 1 (0.5 without texts).
+
+def fit_passages(x: np.ndarray, owner: np.ndarray, y: np.ndarray, words: int = 64, width: int = 16, gates: int = 8, steps: int = 300, rate: float = 0.02, decay: float = 1e-3, seed: int = 0) -> AttentionModel:
+    """Fits the model by Adam on the class-balanced loss, all texts at a step.
+
+    ``x``, ``owner``: features and text number of each passage, as ``passages`` gives them; ``y``:
+    label of each text. One class only: every score is sigmoid(4), or sigmoid(-4) for label 0; no
+    text: 0.5.
     """
     rng = np.random.default_rng(seed)
     shape = {"A": (FEATURES, width), "a": (width,), "V": (width, gates), "U": (width, gates), "w": (gates,), "c": (width,), "b": (1,)}
     parts = {k: rng.normal(0, 0.3, s) if k.isupper() or k in "wc" else np.zeros(s) for k, s in shape.items()}
-    y = np.array([t for _, t in sample], float)
     if not len(y) or y.min() == y.max():
         parts = {k: np.zeros_like(v) for k, v in parts.items()}
         if len(y):
             parts["b"][0] = 4.0 if y[0] else -4.0
         return AttentionModel(words, np.zeros(FEATURES), np.ones(FEATURES), parts)
-    x, owner = passages([t for t, _ in sample], words)
     model = AttentionModel(words, x.mean(0), x.std(0) + 0.02, parts)
     x = (x - model.mean) / model.spread
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
@@ -152,9 +157,27 @@ def fit_attention(sample: list[tuple[str, int]], words: int = 64, width: int = 1
     return model
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, most: int = 1_500, max_chars: int = 20_000, held_mod: int = 5, held_value: int = 0, id_col: str = "doc_id", text_col: str = "text") -> AttentionModel:
-    """A model from at most ``most`` texts of each label; see ``labelled_sample``."""
-    return fit_attention(labelled_sample(docs, labels, "quality", most, held_mod, held_value, max_chars, id_col, text_col))
+def fit_quality(docs: DataFrame, labels: DataFrame, most: int = 1_500, words: int = 64, held_mod: int = 5, held_value: int = 0, id_col: str = "doc_id", text_col: str = "text") -> AttentionModel:
+    """A model from at most ``most`` whole texts of each label; see ``labelled_rows``.
+
+    Tasks make the features of passages; the driver gets these alone, some 260 bytes for 64 words.
+    """
+    rows = labelled_rows(docs, labels, "quality", most, held_mod, held_value, id_col, text_col)
+    if rows is None:
+        return fit_attention([], words)
+    schema = pa.schema([("y", pa.int32()), ("hash", pa.int64()), ("id", pa.int64()), ("x", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", 1 << 20):
+            x, owner = passages(strings(batch, "text"), words)
+            parts = np.split(x, np.searchsorted(owner, np.arange(1, batch.num_rows)))
+            yield as_batch(schema, batch.column("y"), batch.column("hash"), batch.column("id"), [p.tobytes() for p in parts])
+
+    made = rows.select("text", "y", F.col("place").getField("col1").alias("hash"), F.col("place").getField("id").alias("id")).mapInArrow(run, "y int, hash long, id long, x binary")
+    found = made.orderBy("hash", "id").collect()
+    listed = [np.frombuffer(r["x"]).reshape(-1, FEATURES) for r in found]
+    owner = np.repeat(np.arange(len(listed)), [len(v) for v in listed])
+    return fit_passages(np.concatenate([np.zeros((0, FEATURES)), *listed]), owner, np.array([r["y"] for r in found], float), words)
 
 
 def quality_scores(docs: DataFrame, model: AttentionModel, threshold: float = 0.3, held_mod: int = 5, held_value: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -29,11 +29,12 @@ def sentences(text: str) -> list[str]:
     return low.translate(MARKS).split("\n")
 
 
-def chains(ids: np.ndarray, lengths: np.ndarray, emission: np.ndarray, transition: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def chains(ids: np.ndarray, lengths: np.ndarray, emission: np.ndarray, transition: np.ndarray, start: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Forward-backward over chains of two states laid end to end.
 
     Returns each word's marginal of state 1, each chain's log partition, and the expected counts
-    of transitions (2, 2) over all chains. Chains of similar length advance together.
+    of transitions (2, 2) over all chains, each counted ``weight`` times (1 unless given). Chains
+    of similar length advance together.
     """
     marginal, logz, pairs = np.zeros(len(ids)), np.zeros(len(lengths)), np.zeros((2, 2))
     begin = np.cumsum(lengths) - lengths
@@ -67,7 +68,8 @@ def chains(ids: np.ndarray, lengths: np.ndarray, emission: np.ndarray, transitio
             marginal[begin[some[inside[t]]] + t] = p[inside[t], 1]
             if t:
                 eb = e[t] * b / scale[t][:, None]
-                pairs += (alpha[t - 1][inside[t]][:, :, None] * eb[inside[t]][:, None, :]).sum(0) * move
+                own = alpha[t - 1][inside[t]] if weight is None else alpha[t - 1][inside[t]] * weight[some[inside[t]], None]
+                pairs += (own[:, :, None] * eb[inside[t]][:, None, :]).sum(0) * move
                 b = np.where(inside[t][:, None], eb @ move.T, b)
         logz[some] = np.log(scale).sum(0)
     return marginal, logz, pairs
@@ -151,7 +153,7 @@ class SpanTagger:
         return sigmoid(x @ self.weights[:-1] + self.weights[-1]), spans
 
 
-def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: float = 0.02, min_ratio: float = 12.0, max_lexicon: int = 5_000, max_context: int = 2_000, plain_sentences: int = 8_000, steps: int = 60, seed: int = 0) -> SpanTagger:
+def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: float = 0.02, min_ratio: float = 12.0, max_lexicon: int = 5_000, max_context: int = 2_000, steps: int = 60) -> SpanTagger:
     """Learns a tagger from (text, toxic 0 or 1).
 
     Words of a toxic text are labelled toxic where the word is in ``min_docs`` toxic texts and
@@ -160,11 +162,12 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     are labelled clean, and so are these in other texts. So one word has both labels, and the words
     beside it tell them apart: the ``max_context`` most frequent ones beside words of the lexicon
     have weights. Copies count once. The field is fitted to these labels by gradient ascent on the
-    penalised likelihood, over all sentences that hold such words and a bounded number of others; then a
+    penalised likelihood over all sentences. Those without a word of the lexicon differ in length
+    alone, so each length is one chain with the number of its sentences as weight. Then a
     logistic fit turns the marginals of a text into its score. No toxic or no other text: every
     score is the share of toxic texts.
     """
-    rng, sample = np.random.default_rng(seed), without_copies(sample)
+    sample = without_copies(sample)
     y = np.array([t for _, t in sample], float)
     if not len(y) or y.min() == y.max():
         rate = float(y.mean()) if len(y) else 0.0
@@ -182,7 +185,7 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     near = sorted((w for w, r in ratio.items() if min_ratio / 4 <= r < min_ratio), key=lambda w: (-ratio[w], w))[: max_lexicon - len(toxic)]
     lexicon = toxic + near
     index, bad = {w: i + 1 for i, w in enumerate(lexicon)}, len(toxic)
-    used, gold, others, texts_of_used = [], [], [], []
+    used, gold, texts_of_used, plain = [], [], [], Counter()
     beside: Counter = Counter()
     for words, (_, label) in zip(split, sample, strict=True):
         for s in words:
@@ -193,11 +196,12 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
                 gold.append([int(label and 0 < i <= bad) for i in ids])
                 beside.update(s[k] for i, x in enumerate(ids) if x for k in (i - 1, i + 1) if 0 <= k < len(s))
             elif ids:
-                others.append(s)
-    for k in rng.permutation(len(others))[:plain_sentences].tolist():
-        used.append([0] * len(others[k]))
-        texts_of_used.append(others[k])
-        gold.append([0] * len(others[k]))
+                plain[len(ids)] += 1
+    weight = np.array([1] * len(used) + list(plain.values()), float)
+    for n in plain:
+        used.append([0] * n)
+        texts_of_used.append([""] * n)
+        gold.append([0] * n)
     context = [w for w, n in sorted(beside.items(), key=lambda x: (-x[1], x[0]))[:max_context] if n >= min_docs]
     del split, words, shared
     ids, want, lengths = np.array(list(chain.from_iterable(used)), np.int64), np.array(list(chain.from_iterable(gold)), np.int64), np.array([len(u) for u in used], np.int64)
@@ -206,8 +210,9 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     inner = np.ones(len(ids), bool)
     inner[begin] = False
     pairs = np.zeros((2, 2))
-    np.add.at(pairs, (want[np.flatnonzero(inner) - 1], want[inner]), 1)
-    seen_ids = np.bincount(ids, minlength=len(emission)).astype(float)
+    by_word = np.repeat(weight, lengths)
+    np.add.at(pairs, (want[np.flatnonzero(inner) - 1], want[inner]), by_word[inner])
+    seen_ids = np.bincount(ids, weights=by_word, minlength=len(emission))
     good = np.bincount(ids, weights=want, minlength=len(emission))
     before, after = np.zeros(len(context) + 2), np.zeros(len(context) + 2)
     tagger = SpanTagger(lexicon, context, emission, before, after, transition, start, np.zeros(3))
@@ -221,10 +226,10 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
         return gap / (np.bincount(place[marked], minlength=len(value)) + 20.0) - 0.02 * value
 
     for _ in range(steps):
-        m, _, expected = chains(every, lengths, tagger.evidence(ids, *sides), transition, start)
-        d_emit = (good - np.bincount(ids, weights=m, minlength=len(emission))) / seen_ids.clip(1) - 0.01 * emission[:, 1]
+        m, _, expected = chains(every, lengths, tagger.evidence(ids, *sides), transition, start, weight)
+        d_emit = (good - np.bincount(ids, weights=m * by_word, minlength=len(emission))) / seen_ids.clip(1) - 0.01 * emission[:, 1]
         d_move = (pairs - expected) / max(1.0, pairs.sum()) - 0.001 * transition
-        d_start = np.array([0.0, (want[begin] - m[begin]).mean()]) - 0.001 * start
+        d_start = np.array([0.0, ((want[begin] - m[begin]) * weight).sum() / weight.sum()]) - 0.001 * start
         d_sides = [slope(v, s, m) for v, s in zip((before, after), sides, strict=True)]
         for value, g, h in zip((start, transition, emission[:, 1], before, after), (d_start, d_move, d_emit, *d_sides), history, strict=True):
             h += g * g
@@ -234,9 +239,9 @@ def fit_tagger(sample: list[tuple[str, int]], min_docs: int = 4, min_share: floa
     return tagger
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 2_500, max_chars: int = 20_000, held_mod: int = 4, held_value: int = 2, id_col: str = "doc_id", text_col: str = "text") -> SpanTagger:
-    """A tagger from at most ``most`` toxic and as many other texts; see ``labelled_sample``."""
-    return fit_tagger(labelled_sample(docs, labels, "toxic", most, held_mod, held_value, max_chars, id_col, text_col))
+def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 1_200, held_mod: int = 4, held_value: int = 2, id_col: str = "doc_id", text_col: str = "text") -> SpanTagger:
+    """A tagger from at most ``most`` toxic and as many other whole texts; see ``labelled_rows``."""
+    return fit_tagger(labelled_sample(docs, labels, "toxic", most, held_mod, held_value, id_col, text_col))
 
 
 def toxicity(docs: DataFrame, tagger: SpanTagger, threshold: float = 0.3, held_mod: int = 4, held_value: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

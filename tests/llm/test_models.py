@@ -160,19 +160,37 @@ def test_models_without_labels_or_one_class(spark, docs, labels, odd):
 
 
 def test_sample_leaves_held_out_rows(spark, docs, labels):
-    texts = {t for t, _ in labelled_sample(docs, labels, "toxic", 10_000, 4, 2, 1_000_000)}
+    texts = {t for t, _ in labelled_sample(docs, labels, "toxic", 10_000, 4, 2)}
     held = docs.join(labels, "doc_id").filter(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2)
     rest = docs.join(held.select("doc_id"), "doc_id", "left_anti").select("text").distinct()
     assert held.select("text").distinct().join(rest, "text", "left_anti").filter(F.col("text").isin(list(texts)[:200])).count() == 0
-    assert len(labelled_sample(docs, labels, "toxic", 5, 4, 2, 100_000)) <= 10
+    assert len(labelled_sample(docs, labels, "toxic", 5, 4, 2)) <= 10
 
 
-def test_sample_learns_from_all_parts_of_long_texts(spark):
+def test_long_texts_are_learned_from_whole(spark):
     text = "".join(f"{i:07d} " for i in range(5_000))
     docs, labels = spark.createDataFrame([(1, text), (4, "short")], "doc_id long, text string"), spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
-    sample = {y: t for t, y in labelled_sample(docs, labels, "toxic", 5, 4, 2, 5_000)}
-    parts = sample[1].split("\n")
-    assert sample[0] == "short" and [text.index(p) for p in parts] == [0, 9750, 19500, 29250, 39000] and {len(p) for p in parts} == {1000}
+    assert sorted(labelled_sample(docs, labels, "toxic", 5, 4, 2)) == sorted([(text, 1), ("short", 0)])
+
+
+def test_features_made_by_tasks_give_the_model_of_the_texts(spark, docs, labels):
+    from terraloom.llm.labelled import labelled_rows
+
+    rows = labelled_rows(docs, labels, "quality", 40, 5, 0)
+    sample = [(r["text"], r["y"]) for r in rows.orderBy("place").collect()]
+    here, there = fit_attention(sample), fit_quality(docs, labels, most=40)
+    assert len(sample) > 20 and all(np.array_equal(here.parts[k], there.parts[k]) for k in here.parts)
+
+
+def test_weighted_chains_count_as_often(spark):
+    rng = np.random.default_rng(3)
+    lengths = np.array([1, 4, 2, 7])
+    ids, emission, transition, start = rng.integers(0, 5, lengths.sum()), rng.normal(size=(5, 2)), rng.normal(size=(2, 2)), rng.normal(size=2)
+    weight = np.array([3, 1, 5, 2])
+    often = np.repeat(np.arange(4), weight)
+    begin = np.cumsum(lengths) - lengths
+    repeated = np.concatenate([ids[begin[k] : begin[k] + lengths[k]] for k in often])
+    assert np.allclose(chains(ids, lengths, emission, transition, start, weight)[2], chains(repeated, lengths[often], emission, transition, start)[2])
 
 
 def plain_quality(model, x, owner, texts):
