@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import keys
 from .grids import city_sample_offsets, tile_sample_points
-from .lookup import find_leaf, point_query_population, point_query_terrain, tile_key
+from .lookup import layer_values, point_query, tile_key
 from .select import CELL, likely_ocean
 
 
-def tile_samples(states: DataFrame, terrain: DataFrame, population: DataFrame, g: int) -> DataFrame:
-    """g x g samples of every tile with both layers: one table that all scans share."""
-    points = tile_sample_points(states.select(*CELL, "is_water"), g)
-    key = [*CELL, "row", "col"]
-    bare = points.drop("is_water")
-    return point_query_population(point_query_terrain(bare, states, terrain, key).drop("is_water"), states, population, key)
+def tile_samples(linear: DataFrame, g: int) -> DataFrame:
+    """g x g samples of every tile with both layers: one table that all scans share.
+
+    Points are made in the row that has the tile's leaves, so nothing is joined.
+    """
+    return layer_values(tile_sample_points(linear.select(*CELL, "is_water", "t_leaves", "p_leaves"), g))
 
 
 def scan_problem_tiles(samples: DataFrame, land: DataFrame, threshold: float = 10.0, min_hits: int = 1, trusted: bool | None = None) -> DataFrame:
@@ -55,33 +55,27 @@ def top_city_mismatches(mismatches: DataFrame, cities: DataFrame, most: int = 30
     return named.orderBy(F.desc("p"), "city_id").limit(most)
 
 
-def grid_samples(points: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, key: list[str], both: bool = False) -> DataFrame:
+def grid_samples(points: DataFrame, linear: DataFrame, both: bool = False) -> DataFrame:
     """Values of both layers at the points (la, lo) of a heat map or an overview; null where there are none.
 
     With ``both`` a point is dropped unless its tile has both layers, as panels of maps want it.
     """
-    found = _city_points(points, states, terrain, population, key, "la", "lo")
+    found = point_query(tile_key(points), linear)
     return found.filter("elevation is not null and density is not null") if both else found
 
 
-def _city_points(cities: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, key: list[str], la: str, lo: str) -> DataFrame:
-    keyed = tile_key(cities, la, lo)
-    found = point_query_terrain(keyed, states, terrain, key)
-    return point_query_population(found.withColumnRenamed("is_water", "_w"), states, population, key).drop("_w")
-
-
-def city_mismatch(cities: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, threshold: float) -> DataFrame:
+def city_mismatch(cities: DataFrame, linear: DataFrame, threshold: float) -> DataFrame:
     """Cities on water with people, or with people but no urban type; the list of issues."""
-    at = _city_points(cities.filter("not (la = 0 and lo = 0)"), states, terrain, population, ["city_id"], "la", "lo").filter("not is_water and zone is not null and density is not null")
+    at = point_query(tile_key(cities.filter("not (la = 0 and lo = 0)")), linear).filter("not is_water and zone is not null and density is not null")
     people = F.col("density") >= threshold
     issues = F.array_compact(F.array(F.when((F.col("zone") == 0) & people, F.concat(F.lit("zone=water but pop="), F.col("density").cast("string"))), F.when(people & (F.col("urban") == 0), F.concat(F.lit("pop="), F.col("density").cast("string"), F.lit(" but urban=0")))))
     return at.withColumn("issues", issues).filter(F.size("issues") > 0).select("city_id", "n", "zone", "density", "urban", F.concat_ws("; ", "issues").alias("issues"))
 
 
-def verify_cities(cities: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, g: int = 1, radius: float = 0.02) -> DataFrame:
+def verify_cities(cities: DataFrame, linear: DataFrame, g: int = 1, radius: float = 0.02) -> DataFrame:
     """A status per city from samples around it: missing_tile, no_data, bad, warning or ok."""
     points = city_sample_offsets(cities.filter("not (la = 0 and lo = 0)"), g, radius)
-    at = _city_points(points, states, terrain, population, ["city_id", "sample"], "sample_la", "sample_lo")
+    at = point_query(tile_key(points, "sample_la", "sample_lo"), linear)
     density = F.coalesce("density", F.lit(0))
     centre, wet = F.col("sample") == 0, F.col("zone") == 0
     facts = at.groupBy("city_id", "n", "p").agg(
@@ -99,14 +93,11 @@ def city_status_counts(verified: DataFrame) -> DataFrame:
     return verified.groupBy("status").agg(F.count("*").alias("cities"))
 
 
-def coastal_problem_tiles(cities: DataFrame, states: DataFrame, terrain: DataFrame, population: DataFrame, threshold: float = 10.0) -> DataFrame:
+def coastal_problem_tiles(cities: DataFrame, linear: DataFrame, threshold: float = 10.0) -> DataFrame:
     """City tiles whose middle is water but has people; names per tile, joined in order."""
     keyed = tile_key(cities.filter("not (la = 0 and lo = 0)")).filter("tile_lat is not null")
-    tiles = keyed.select(*CELL).distinct().join(states.filter("not is_water").select(*CELL), CELL)
-    middle = tiles.withColumns({"frac_lat": F.lit(0.5), "frac_lon": F.lit(0.5)})
-    wet = find_leaf(middle, terrain, ["zone"], CELL).filter("zone = 0")
-    stored = point_query_population(middle.join(wet.select(*CELL), CELL), states, population, CELL)
-    bad = stored.filter(F.col("density") > threshold).select(*CELL)
+    middle = layer_values(linear.filter("not is_water").withColumns({"frac_lat": F.lit(0.5), "frac_lon": F.lit(0.5)}))
+    bad = middle.filter((F.col("zone") == 0) & (F.col("density") > threshold)).select(*CELL)
     return keyed.join(bad, CELL).groupBy(*CELL).agg(F.concat_ws(",", F.array_sort(F.collect_list(F.coalesce("n", F.lit("?"))))).alias("names"))
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions import codes
 from ..functions.keys import file_name
-from ..functions.codes import GRADIENT_LIMITS, LEAF, LOG_MAX, LOG_SCALE, decode_elevation
-from .forest import grown, leaf_rows, node_rows, payload_errors, with_cuts
+from ..functions.codes import GRADIENT_LIMITS, LEAF, LOG_MAX, LOG_SCALE
+from .forest import grown, leaf_rows, linear_leaves, linear_rows, node_rows, payload_errors, with_cuts
 from .pixels import KEYS, bake_status, exploded, pixel_gradient, tile_facts
 from .select import CELL, likely_ocean
 from .tree import quad_pyramid
@@ -190,18 +190,28 @@ def decode_tiles(tiles: DataFrame, payload: str, terrain: bool) -> DataFrame:
     return leaf_rows(tiles, payload, CELL).select(*CELL, "path", *(f.alias(n) for f, n in zip(fields, ("value", "kind", "gradient"), strict=True)))
 
 
-def as_tables(baked: DataFrame) -> dict[str, DataFrame]:
-    """states, terrain and population leaves of baked tiles, with values that are stored as their payloads have them."""
+def linear_tiles(tiles: DataFrame, side: int) -> DataFrame:
+    """Rows of ``fused_tiles`` that have data as linear quadtrees: cell, is_water, and the leaves of both trees, null for water.
+
+    Trees are those of the rules without a budget.
+    """
+    levels = max(1, side.bit_length() - 1)
+    pyramid = quad_pyramid(exploded(pixel_gradient(tiles.filter("status = 'ok'").repartition(*KEYS), side), side, "dem", "pop", "zone", "urban", "grad"), levels)
+    made = linear_rows(node_rows(pyramid, levels), levels).select(*CELL, F.lit(False).alias("is_water"), "t_leaves", "p_leaves")
+    return made.unionByName(tiles.filter("status in ('water', 'ocean')").select(*CELL, F.lit(True).alias("is_water")), allowMissingColumns=True)
+
+
+def linear_baked(baked: DataFrame, side: int) -> DataFrame:
+    """The same of rows of ``bake_tiles``, read from their payloads."""
+    levels = max(1, side.bit_length() - 1)
     states = baked.filter("status <> 'no_data'").select(*CELL, (F.col("status") != "ok").alias("is_water"))
-    terrain = decode_tiles(baked, "terrain", True).select(*CELL, "path", decode_elevation(F.col("value")).cast("double").alias("elev"), F.col("kind").alias("zone"), "gradient")
-    density = F.when(F.col("value") > 0, F.expm1((F.col("value") + 0.5) / LOG_SCALE)).otherwise(0.0)
-    population = decode_tiles(baked, "population", False).select(*CELL, "path", density.alias("density"), F.col("kind").alias("urban"))
-    return {"states": states, "terrain": terrain, "population": population}
+    layers = [linear_leaves(baked, payload, CELL, name, levels) for payload, name in (("terrain", "t_leaves"), ("population", "p_leaves"))]
+    return states.join(layers[0], CELL, "left").join(layers[1], CELL, "left")
 
 
-def replaced(rows: DataFrame, new: DataFrame, baked: DataFrame) -> DataFrame:
-    """Rows of tiles with those of baked tiles in place of their old ones; a tile without data keeps its old ones."""
-    done = F.broadcast(baked.filter("status <> 'no_data'").select(*CELL))  # a round is at most 2,000 tiles
+def replaced(rows: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of tiles with new ones in place of the old of their cells; a cell without a new row keeps its old one."""
+    done = F.broadcast(new.select(*CELL))  # a round is at most 2,000 tiles
     return rows.select(new.columns).join(done, CELL, "left_anti").select(new.columns).unionByName(new)
 
 

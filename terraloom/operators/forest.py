@@ -114,6 +114,38 @@ def with_cuts(rows: DataFrame, tree: str, levels: int, budget: Column) -> DataFr
     return out.drop("_parts", f"_{tree}_have")
 
 
+def linear_rows(rows: DataFrame, levels: int) -> DataFrame:
+    """Linear quadtrees: a row per tile with ``t_leaves`` and ``p_leaves``, structs of begin and code in order of begin.
+
+    ``begin`` is the place of a leaf's first block on the curve through the 4 ** (levels - 1)
+    smallest blocks. Blocks are told from the root down: one is there if all above it divide.
+    """
+    out = rows
+    for tree in "tp":
+        here, parts = F.array(F.lit(True)), []
+        for level in range(levels):
+            out = _added(out, f"_{tree}{level}", here)
+            cells = F.zip_with(_level("nodes", level), f"_{tree}{level}", _leaf_of(tree, 4 ** (levels - 1 - level)))
+            parts.append(F.filter(cells, lambda x: x.isNotNull()))
+            here = F.flatten(F.zip_with(_level("nodes", level), f"_{tree}{level}", _children_of(tree)))
+        out = _added(out, f"{tree}_leaves", F.array_sort(F.concat(*parts)))
+    return out.select(*TILE, "t_leaves", "p_leaves")
+
+
+def _leaf_of(tree: str, width: int) -> Callable[[Column, Column], Column]:
+    return lambda n, p: F.when(p & ~n[f"{tree}_split"], F.struct((n["at"] * width).alias("begin"), n[f"{tree}_code"].alias("code")))
+
+
+def _children_of(tree: str) -> Callable[[Column, Column], Column]:
+    return lambda n, p: F.array_repeat(p & n[f"{tree}_split"], 4)
+
+
+def linear_leaves(tiles: DataFrame, payload: str, key: list[str], name: str, levels: int) -> DataFrame:
+    """The leaves of payloads as one row per tile, like those of ``linear_rows``."""
+    begin = F.conv(F.rpad("path", levels - 1, "0"), 4, 10).cast("int")
+    return leaf_rows(tiles, payload, key).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(begin.alias("begin"), F.col("node").alias("code")))).alias(name))
+
+
 def payload_nodes(payload: Column) -> Column:
     """The 16-bit nodes of a payload, a header skipped; an odd byte at the end is left out."""
     bare = F.when(F.substring(payload, 1, 4) == F.lit(HEADER), F.substring(payload, F.lit(HEADER_BYTES + 1), F.length(payload))).otherwise(payload)

@@ -18,38 +18,52 @@ def tile_key(points: DataFrame, la: str = "la", lo: str = "lo") -> DataFrame:
     return points.withColumns({k: F.when(inside, v) for k, v in parts.items()})
 
 
-def find_leaf(points: DataFrame, leaves: DataFrame, values: list[str], key: list[str], deepest: int = DEEPEST) -> DataFrame:
-    """The values of the leaf that each keyed point lies in; points without one have no row.
+def on_curve(frac_lat: Column, frac_lon: Column, level: int = DEEPEST) -> Column:
+    """The number of a point's smallest block on the curve NW, NE, SW, SE; exact, as only powers of two scale."""
+    col = F.floor(frac_lon * (1 << level)).cast("int")
+    row = ((1 << level) - 1 - F.floor(frac_lat * (1 << level))).cast("int")
+    return sum((F.shiftright(x, i).bitwiseAND(F.lit(1)) * (1 << (2 * i + k)) for k, x in enumerate((col, row)) for i in range(level)), F.lit(0))
 
-    A point meets its leaf by equality on tile and path: each of the prefixes of its path, up to
-    the ``deepest`` level of the trees, is a row of the probing side, so no range join is needed.
+
+def leaf_code(leaves: Column, at: Column) -> Column:
+    """The code of the leaf that holds a place on the curve: the last that begins there or before.
+
+    A binary search: from half of the list down, a step is taken where the leaf it leads to
+    doesn't begin past the place. An empty list: null.
     """
-    path = keys.point_path(F.col("frac_lat"), F.col("frac_lon"), deepest)
-    prefix = F.transform(F.sequence(F.lit(0), F.lit(deepest)), lambda k: F.substring(path, F.lit(1), k))
-    probes = points.filter("tile_lat is not null").select(*key, "tile_lat", "tile_lon", F.explode(prefix).alias("path"))
-    return probes.join(leaves.select("tile_lat", "tile_lon", "path", *values), ["tile_lat", "tile_lon", "path"]).select(*key, *values)
+    n = F.size(leaves)
+
+    def step(place: Column, power: Column) -> Column:
+        ahead = place + F.call_function("shiftleft", F.lit(1), power)
+        return F.when((ahead < n) & (F.get(leaves, ahead)["begin"] <= at), ahead).otherwise(place)
 
+    steps = F.sequence(F.floor(F.log2(n)).cast("int"), F.lit(0), F.lit(-1))
+    return F.when(n > 0, F.get(leaves, F.aggregate(steps, F.lit(0), step))["code"])
 
-def _with_water(points: DataFrame, states: DataFrame, found: DataFrame, key: list[str], values: list[str]) -> DataFrame:
-    """Left joins: null without a tile, zeros on a water tile, else the leaf's values."""
-    out = points.join(states.select("tile_lat", "tile_lon", "is_water"), ["tile_lat", "tile_lon"], "left").join(found, key, "left")
-    return out.withColumns({v: F.when(F.col("is_water"), F.lit(0)).otherwise(F.col(v)).cast("int") for v in values})
 
+TERRAIN, POPULATION = ("elevation", "zone", "gradient"), ("density", "urban")
 
-def point_query_terrain(points: DataFrame, states: DataFrame, leaves: DataFrame, key: list[str]) -> DataFrame:
-    """Adds elevation, zone and gradient. ``points`` are keyed (see ``tile_key``).
 
-    ``states`` has a row per tile with is_water; ``leaves`` those of the other tiles.
+def layer_values(rows: DataFrame, level: int = DEEPEST) -> DataFrame:
+    """Adds the values of both layers to rows that have frac_lat, frac_lon, is_water and the tile's leaves, which it drops.
+
+    Null without a tile, zeros on a water tile, else those of the point's leaf.
     """
-    stored = leaves.withColumn("elevation", codes.decode_elevation(codes.encode_elevation(F.col("elev"))))
-    values = ["elevation", "zone", "gradient"]
-    return _with_water(points, states, find_leaf(points, stored, values, key), key, values)
+    at = on_curve(F.col("frac_lat"), F.col("frac_lon"), level)
+    coded = rows.withColumn("_at", at).select("*", F.inline(F.array(F.struct(leaf_code(F.col("t_leaves"), F.col("_at")).alias("_t"), leaf_code(F.col("p_leaves"), F.col("_at")).alias("_p")))))
+    t, p = F.col("_t"), F.col("_p")
+    values = [codes.decode_elevation(codes.bits(t, 4, 11)), codes.bits(t, 0, 2), codes.bits(t, 2, 2), codes.decode_pop_density(codes.bits(p, 3, 12)), codes.bits(p, 0, 3)]
+    known = {k: F.when(F.col("is_water"), F.lit(0)).otherwise(v).cast("int") for k, v in zip(TERRAIN + POPULATION, values, strict=True)}
+    return coded.withColumns(known).drop("_at", "_t", "_p", "t_leaves", "p_leaves")
+
 
+def point_query(points: DataFrame, linear: DataFrame, level: int = DEEPEST) -> DataFrame:
+    """Adds is_water, elevation, zone, gradient, density and urban; ``points`` are keyed (see ``tile_key``).
 
-def point_query_population(points: DataFrame, states: DataFrame, leaves: DataFrame, key: list[str]) -> DataFrame:
-    """Adds density and urban."""
-    stored = leaves.withColumn("density", codes.decode_pop_density(codes.encode_pop_density(F.col("density"))))
-    return _with_water(points, states, find_leaf(points, stored, ["density", "urban"], key), key, ["density", "urban"])
+    ``linear`` has a row per tile: is_water and the leaves of both layers, null for water. One
+    join by tile finds both; the search for the leaf stays in the joined row.
+    """
+    return layer_values(points.join(linear.select("tile_lat", "tile_lon", "is_water", "t_leaves", "p_leaves"), ["tile_lat", "tile_lon"], "left"), level)
 
 
 def labelled(df: DataFrame) -> DataFrame:

@@ -55,24 +55,20 @@ class Tiles:
     def status(self) -> DataFrame:
         return self.fused.select("tile_id", *CELL, "status")
 
-    @property
-    def states(self) -> DataFrame:
-        return self.status.filter("status <> 'no_data'").select(*CELL, (F.col("status") != "ok").alias("is_water"))
+    @cached_property
+    def linear(self) -> DataFrame:
+        return stored(self.spark, bake.linear_tiles(self.fused, SIDE), "linear")
 
     @cached_property
     def pyramid(self) -> DataFrame:
         return stored(self.spark, array_pyramid(self.fused.filter("status = 'ok'").repartition(*pixels.KEYS)), "pyramid")
 
-    @cached_property
-    def terrain(self) -> DataFrame:
-        return stored(self.spark, tree.terrain_leaves(self.pyramid), "terrain")
-
     @cached_property
     def population(self) -> DataFrame:
         return stored(self.spark, tree.population_leaves(self.pyramid), "population")
 
     def samples(self, g: int = 3) -> DataFrame:
-        return audit.tile_samples(self.states, self.terrain, self.population, g)
+        return audit.tile_samples(self.linear, g)
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -357,15 +353,13 @@ def _city_keys(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def point_query_terrain(spark: SparkSession, d: str) -> DataFrame:
-    t = Tiles(spark, d)
-    out = lookup.point_query_terrain(_city_keys(spark, d), t.states, t.terrain, ["city_id"])
+    out = lookup.point_query(_city_keys(spark, d), Tiles(spark, d).linear)
     return lookup.labelled(out).select("city_id", "elevation", "zone", "gradient", F.when(F.col("zone").isNotNull(), F.col("zone_name")).alias("zone_name"))
 
 
 @query
 def point_query_population(spark: SparkSession, d: str) -> DataFrame:
-    t = Tiles(spark, d)
-    return lookup.point_query_population(_city_keys(spark, d), t.states, t.population, ["city_id"]).select("city_id", "density", "urban")
+    return lookup.point_query(_city_keys(spark, d), Tiles(spark, d).linear).select("city_id", "density", "urban")
 
 
 @query
@@ -376,25 +370,22 @@ def sample_grid_query(spark: SparkSession, d: str) -> DataFrame:
 @query
 def heat_map_query(spark: SparkSession, d: str) -> DataFrame:
     """A heat map of 5 x 4 points of each footprint's box; null where there is no tile."""
-    t = Tiles(spark, d)
     points = grids.bbox_sample_grid(view(spark, d, "footprints"), 5, 4, falling=True).select("item_id", "row", "col", "la", "lo")
-    return audit.grid_samples(points, t.states, t.terrain, t.population, ["item_id", "row", "col"]).select("item_id", "row", "col", *SAMPLED)
+    return audit.grid_samples(points, Tiles(spark, d).linear).select("item_id", "row", "col", *SAMPLED)
 
 
 @query
 def panel_query(spark: SparkSession, d: str) -> DataFrame:
     """The same points where both layers have values."""
-    t = Tiles(spark, d)
     points = grids.bbox_sample_grid(view(spark, d, "footprints"), 5, 4, falling=True).select("item_id", "row", "col", "la", "lo")
-    return audit.grid_samples(points, t.states, t.terrain, t.population, ["item_id", "row", "col"], both=True).select("item_id", "row", "col", *SAMPLED)
+    return audit.grid_samples(points, Tiles(spark, d).linear, both=True).select("item_id", "row", "col", *SAMPLED)
 
 
 @query
 def overview_query(spark: SparkSession, d: str) -> DataFrame:
     """Two by two points of every tile of the inventory."""
-    t = Tiles(spark, d)
     points = grids.overview_sample_grid(view(spark, d, "tile_files").select("tile_id", *CELL), 2).select("tile_id", "i", "j", "la", "lo")
-    return audit.grid_samples(points, t.states, t.terrain, t.population, ["tile_id", "i", "j"]).select("tile_id", "i", "j", *SAMPLED)
+    return audit.grid_samples(points, Tiles(spark, d).linear).select("tile_id", "i", "j", *SAMPLED)
 
 
 @query
@@ -555,14 +546,12 @@ def top_city_mismatches(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def city_mismatch(spark: SparkSession, d: str) -> DataFrame:
-    t = Tiles(spark, d)
-    return audit.city_mismatch(view(spark, d, "cities"), t.states, t.terrain, t.population, 5)
+    return audit.city_mismatch(view(spark, d, "cities"), Tiles(spark, d).linear, 5)
 
 
 @query
 def verify_cities(spark: SparkSession, d: str) -> DataFrame:
-    t = Tiles(spark, d)
-    return audit.verify_cities(view(spark, d, "cities"), t.states, t.terrain, t.population, 3)
+    return audit.verify_cities(view(spark, d, "cities"), Tiles(spark, d).linear, 3)
 
 
 @query
@@ -572,8 +561,7 @@ def city_status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def coastal_problem_tiles(spark: SparkSession, d: str) -> DataFrame:
-    t = Tiles(spark, d)
-    return audit.coastal_problem_tiles(view(spark, d, "cities"), t.states, t.terrain, t.population, 0)
+    return audit.coastal_problem_tiles(view(spark, d, "cities"), Tiles(spark, d).linear, 0)
 
 
 @query
@@ -655,16 +643,14 @@ def land_index(spark: SparkSession, d: str) -> DataFrame:
 def rebake_rounds(spark: SparkSession, d: str) -> DataFrame:
     """Problem tiles of a scan, baked again in rounds of at most 2,000; each round scans the tiles as they are then."""
     now, land = Tiles(spark, d), view(spark, d, "land_tiles")
-    tables = {"states": now.states, "terrain": now.terrain, "population": now.population}
+    tables = {"linear": now.linear}
 
     def scan(_: int) -> DataFrame:
-        samples = audit.tile_samples(tables["states"], tables["terrain"], tables["population"], 3)
-        return stored(spark, audit.scan_problem_tiles(samples, land), "problems")
+        return stored(spark, audit.scan_problem_tiles(audit.tile_samples(tables["linear"], 3), land), "problems")
 
     def again(cells: DataFrame) -> DataFrame:
         made = stored(spark, bake.bake_tiles(F.broadcast(cells).join(now.fused, CELL).select(now.fused.columns), SIDE), "rebaked")
-        for name, rows in bake.as_tables(made).items():
-            tables[name] = stored(spark, bake.replaced(tables[name], rows, made), name)
+        tables["linear"] = stored(spark, bake.replaced(tables["linear"], bake.linear_baked(made, SIDE)), "linear")
         return made.select(*CELL, "status")
 
     return bake.rebake_rounds(scan, again, rounds=None)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terraloom.functions import codes, keys
-from terraloom.operators import bake, lookup, pack, pixels, select, tree
+from terraloom.operators import audit, bake, lookup, pack, pixels, select, tree
 from terraloom.operators.grids import bbox_tiles, split_tiles
 from terraloom.sources import files, packs
 from terraloom.sources.folders import write_tile_folder
@@ -265,15 +265,46 @@ def test_rebake_rounds_say_which_cells_are_left(spark):
 
 
 def test_rebaked_tiles_take_the_place_of_old_ones(spark, baked):
-    tiles = baked[1]
-    found = bake.as_tables(tiles)
-    old = {k: v.withColumn("extra", F.lit(1)) for k, v in found.items()}
-    some = tiles.filter("tile_id % 3 = 0")
-    for name, rows in bake.as_tables(some).items():
-        changed = bake.replaced(old[name], rows, some)
-        assert changed.exceptAll(found[name]).count() == 0 and changed.count() == found[name].count()
-    densities = found["population"].select(codes.encode_pop_density(F.col("density")).alias("value"), "path", "tile_lat", "tile_lon")
-    assert densities.exceptAll(bake.decode_tiles(tiles, "population", False).select(densities.columns)).count() == 0
+    fused, tiles = baked
+    linear = bake.linear_tiles(fused, 32)
+    read = bake.linear_baked(tiles, 32)
+    assert read.select(linear.columns).exceptAll(linear).count() == 0 and read.count() == linear.count() > 0
+    some = bake.linear_baked(tiles.filter("tile_id % 3 = 0"), 32)
+    changed = bake.replaced(linear.withColumn("extra", F.lit(1)), some)
+    assert changed.select(linear.columns).exceptAll(linear).count() == 0 and changed.count() == linear.count()
+
+
+def test_binary_search_finds_the_leaf_of_every_block(spark, baked):
+    linear = bake.linear_tiles(baked[0], 32).filter("not is_water").limit(4)
+    places = linear.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(255))))
+    last = F.aggregate("t_leaves", F.lit(None).cast("int"), lambda acc, x: F.when(x["begin"] <= F.col("at"), x["code"]).otherwise(acc))
+    assert places.count() == 1024 and places.filter(lookup.leaf_code(F.col("t_leaves"), F.col("at")) != last).count() == 0
+    assert spark.range(1).select(lookup.leaf_code(F.expr("cast(array() as array<struct<begin:int,code:int>>)"), F.lit(3)).alias("x")).first().x is None
+
+
+def test_mismatch_audits_by_hand(spark):
+    """Tiles of four blocks, of which one is water with people: elevation 5, density by block."""
+    def code(zone):
+        return codes.LEAF | 5 << 4 | zone
+
+    def people(value, urban=0):
+        return codes.LEAF | int(np.log1p(value) * codes.LOG_SCALE) << 3 | urban
+
+    def tile(lat, zones, values):
+        return (lat, 7, False, [(64 * i, code(z)) for i, z in enumerate(zones)], [(64 * i, people(*v)) for i, v in enumerate(values)])
+
+    fields = "tile_lat int, tile_lon int, is_water boolean, t_leaves array<struct<begin:int,code:int>>, p_leaves array<struct<begin:int,code:int>>"
+    rows = [tile(1, (1, 1, 1, 1), [(40, 1)] * 4), tile(2, (0, 1, 1, 0), [(3,), (40, 1), (0,), (900, 2)]), tile(3, (0, 0, 0, 0), [(0,)] * 4), (4, 7, True, None, None)]
+    linear = spark.createDataFrame(rows, fields)
+    samples = audit.tile_samples(linear, 4)  # four in each block
+    assert samples.count() == 64 and samples.filter("tile_lat = 4 and zone = 0 and density = 0").count() == 16
+    assert [tuple(r) for r in audit.water_pop_mismatch(samples, 2).orderBy("tile_lat").collect()] == [(2, 7, 8, 900)]
+    assert [tuple(r) for r in audit.water_pop_mismatch(samples, 100).collect()] == [(2, 7, 4, 900)]
+    assert [tuple(r) for r in audit.urban_pop_mismatch(samples, 2).collect()] == [(2, 7, 4, 900)]
+    cities = spark.createDataFrame([(1, "b", 2.5, 7.5, 0.0), (2, "a", 2.1, 7.9, 0.0), (3, "c", 1.5, 7.5, 0.0), (4, "d", 3.5, 7.5, 0.0), (5, None, 2.6, 7.2, 0.0)], "city_id int, n string, la double, lo double, p double")
+    middle = audit.coastal_problem_tiles(cities, linear.withColumn("t_leaves", F.when(F.col("tile_lat") == 2, F.transform("t_leaves", lambda x: F.struct(x["begin"].alias("begin"), F.lit(code(0)).alias("code")))).otherwise(F.col("t_leaves"))), 10)
+    assert [tuple(r) for r in middle.collect()] == [(2, 7, "?,a,b")]
+    assert audit.coastal_problem_tiles(cities, linear, 10).count() == 0
 
 
 def test_rebake_query_scans_what_it_has_baked(spark, monkeypatch):
