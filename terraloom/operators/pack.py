@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import struct
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import codes, keys
@@ -134,34 +136,76 @@ def shard_name(prefix: str) -> Column:
     return F.format_string(prefix + "_%+04d_%+03d.gsh", "shard_lon", "shard_lat")
 
 
-def pack_shards(files: DataFrame, degrees: int = 10, prefix: str = "terrain", size: str = "terrain_bytes") -> DataFrame:
-    """A manifest row per shard."""
+def pack_shards(files: DataFrame, degrees: int = 10, prefix: str = "terrain", size: str = "terrain_bytes", raw: str | None = None) -> DataFrame:
+    """A manifest row per shard; ``size`` is what a tile takes there, ``raw`` (the same unless given) what it takes unpacked."""
     grouped = shard_key(files.filter(F.col(size).isNotNull()), degrees).groupBy("shard_lat", "shard_lon", "tile_w", "tile_h")
-    rows = grouped.agg(F.count("*").alias("tile_count"), F.sum(size).cast("long").alias("data_bytes"))
+    rows = grouped.agg(F.count("*").alias("tile_count"), F.sum(size).cast("long").alias("data_bytes"), F.sum(raw or size).cast("long").alias("raw_bytes"))
     index = (F.col("tile_w") * F.col("tile_h") * SHARD_ENTRY_BYTES).cast("long")
-    return rows.select(shard_name(prefix).alias("path"), F.lit(prefix).alias("kind"), "shard_lat", "shard_lon", "tile_w", "tile_h", "tile_count", index.alias("index_bytes"), "data_bytes", (SHARD_HEADER_BYTES + index + F.col("data_bytes")).alias("file_bytes"))
+    return rows.select(shard_name(prefix).alias("path"), F.lit(prefix).alias("kind"), "shard_lat", "shard_lon", "tile_w", "tile_h", "tile_count", index.alias("index_bytes"), "data_bytes", "raw_bytes", (SHARD_HEADER_BYTES + index + F.col("data_bytes")).alias("file_bytes"))
+
+
+def shard_manifest(entries: DataFrame, degrees: int = 10) -> DataFrame:
+    """One row for all shards of ``pack_shards``: how tiles are packed, and totals.
+
+    The label is that of packed tiles if any shard holds less than its tiles take unpacked.
+    """
+    packed = F.max((F.col("data_bytes") < F.col("raw_bytes")).cast("int")) == 1
+    totals = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("tile_count", "data_bytes", "raw_bytes", "file_bytes")]
+    return entries.agg(
+        F.lit("GeoShard").alias("format"), F.lit(SHARD_VERSION).alias("version"), F.lit(max(1, degrees)).alias("shard_degrees"), F.lit(SHARD_HEADER_BYTES).alias("header_bytes"), F.lit(SHARD_ENTRY_BYTES).alias("index_entry_bytes"),
+        F.when(packed, "zstd-per-tile").otherwise("none").alias("compression"), F.count("*").alias("shards"), *totals,
+    )
+
+
+CHUNKS = "path string, seq int, at long, chunk binary"
 
 
-def shard_blobs(tiles: DataFrame, degrees: int = 10, prefix: str = "terrain") -> DataFrame:
-    """path and content of each shard file, from tiles with a payload.
+def shard_chunks(tiles: DataFrame, degrees: int = 10, prefix: str = "terrain", chunk_bytes: int = 4 << 20, raw: str | None = None) -> DataFrame:
+    """The bytes of each shard file in order, as rows (path, seq, at, chunk) of about ``chunk_bytes`` or one longer tile.
 
-    A group has at most degrees x degrees tiles. Tiles lie in file-name order.
+    Header and index come first, and then the payloads in file-name order. The index follows from
+    sizes alone: columns make it per shard, beside at most degrees x degrees entries. Payloads
+    are then sorted by shard and name and pass through their task in batches, so no shard is in
+    memory. ``raw``: a column of sizes unpacked, where payloads are packed. A shard of 4 GiB or
+    more is refused.
     """
     kind = 1 if prefix == "terrain" else 2
-    keyed = shard_key(tiles.filter("payload is not null"), degrees).withColumn("name", keys.file_name(F.col("tile_lat"), F.col("tile_lon"))).withColumn("path", shard_name(prefix))
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, one = rows.sort_values("name"), rows.iloc[0]
-        index, data = bytearray(int(one.tile_w) * int(one.tile_h) * SHARD_ENTRY_BYTES), bytearray()
-        for at, payload in zip(rows.local_idx, rows.payload, strict=True):
-            struct.pack_into(SHARD_ENTRY, index, int(at) * SHARD_ENTRY_BYTES, len(data), len(payload))
-            data += payload
-        if len(data) >= 1 << 32:
-            raise ValueError(f"{one.path} exceeds 4 GiB; use smaller shards")
-        head = struct.pack(SHARD_HEADER, SHARD_MAGIC, SHARD_VERSION, kind, int(one.shard_lon), int(one.shard_lat), int(one.tile_w), int(one.tile_h), len(rows), len(index), len(data), len(data), 0)
-        return pd.DataFrame({"path": [one.path], "tile_count": [len(rows)], "content": [head + bytes(index) + bytes(data)]})
-
-    return keyed.groupBy("path").applyInPandas(build, "path string, tile_count int, content binary")
+    size = F.length("payload").cast("long")
+    keyed = shard_key(tiles.filter("payload is not null"), degrees).withColumns({"name": keys.file_name(F.col("tile_lat"), F.col("tile_lon")), "path": shard_name(prefix)})
+    entry = F.struct("name", F.col("local_idx").alias("place"), size.alias("size"), (F.col(raw) if raw else size).cast("long").alias("raw"))
+    shard = ["path", "shard_lon", "shard_lat", "tile_w", "tile_h"]
+    heads = keyed.groupBy(*shard).agg(F.sort_array(F.collect_list(entry)).alias("entries")).withColumns({"name": F.lit(""), "payload": F.lit(None).cast("binary")})
+    nothing = F.lit(None).cast(heads.schema["entries"].dataType)
+    rows = heads.unionByName(keyed.select(*shard, "name", "payload", nothing.alias("entries")))
+
+    def head(r: dict) -> bytes:
+        index, at = bytearray(r["tile_w"] * r["tile_h"] * SHARD_ENTRY_BYTES), 0
+        for e in r["entries"]:
+            struct.pack_into(SHARD_ENTRY, index, e["place"] * SHARD_ENTRY_BYTES, at, e["size"])
+            at += e["size"]
+        if at >= 1 << 32:
+            raise ValueError(f"{r['path']} exceeds 4 GiB; use smaller shards")
+        raw_bytes = sum(e["raw"] for e in r["entries"])
+        return struct.pack(SHARD_HEADER, SHARD_MAGIC, SHARD_VERSION, kind, r["shard_lon"], r["shard_lat"], r["tile_w"], r["tile_h"], len(r["entries"]), len(index), at, raw_bytes, int(at < raw_bytes)) + bytes(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, seq, at, held = "", 0, 0, bytearray()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"path": [path], "seq": pa.array([seq], pa.int32()), "at": [at], "chunk": [bytes(held)]})
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                path = r["path"]
+                held += head(r) if r["entries"] is not None else r["payload"]
+                if len(held) >= chunk_bytes or r["entries"] is not None:
+                    yield out()
+                    seq, at, held = seq + 1, at + len(held), bytearray()
+        if held:
+            yield out()
+
+    return rows.repartition("path").sortWithinPartitions("path", "name").groupBy("path").applyInArrow(run, CHUNKS)
 
 
 def fix_ocean(files: DataFrame, land: DataFrame, force: bool = False) -> DataFrame:

@@ -147,7 +147,7 @@ SAMPLED = f"""SELECT {{key}}, CASE WHEN status <> 'ok' THEN 0 ELSE elevation END
 
 
 #: Steps that are made once, however many read them.
-KEPT = {"nodes", "t_tree", "p_tree", "t_sized", "p_sized", "t_shares", "p_shares"}
+KEPT = {"nodes", "t_tree", "p_tree", "t_sized", "p_sized", "t_shares", "p_shares", "laid"}
 
 
 def statement(names: list[str], body: str) -> str:
@@ -217,9 +217,22 @@ STEPS["files_of"] = (
 STEPS["budgets"] = (["states", "payloads"], "SELECT tile_id, t_nodes, p_nodes, 240 AS t_budget, 200 AS p_budget FROM states JOIN payloads USING (tile_id) WHERE status = 'ok'")
 
 
+STEPS["laid"] = (
+    ["states", "payloads"],
+    f"""SELECT *, coalesce(sum(n) OVER (PARTITION BY path ORDER BY name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin, row_number() OVER (PARTITION BY path ORDER BY name) AS seq FROM (
+  SELECT *, format('terrain_{{}}{{:03d}}_{{}}{{:02d}}.gsh', CASE WHEN lon0 < 0 THEN '-' ELSE '+' END, abs(lon0), CASE WHEN lat0 < 0 THEN '-' ELSE '+' END, abs(lat0)) AS path, (tile_lat - lat0) * 10 + tile_lon - lon0 AS place FROM (
+  SELECT {NAME} AS name, tile_lat, tile_lon, CAST(floor((tile_lat + 90) / 10) * 10 - 90 AS INT) AS lat0, CAST(floor((tile_lon + 180) / 10) * 10 - 180 AS INT) AS lon0, CAST(CASE WHEN status = 'ok' THEN 2 * t_nodes ELSE 1 END AS BIGINT) AS n, CASE WHEN status = 'ok' THEN t_hex ELSE 'FF' END AS digits FROM states LEFT JOIN payloads USING (tile_id) WHERE status <> 'no_data'))""",
+)
+
+
+def _le(value: str, size: int) -> str:
+    """A number as digits of ``size`` bytes, the lowest first."""
+    return "concat(" + ", ".join(f"printf('%02X', (CAST({value} AS BIGINT) >> {8 * i}) & 255)" for i in range(size)) + ")"
+
+
 def _shards(prefix: str, size: str) -> str:
     return f"""SELECT format('{prefix}_{{}}{{:03d}}_{{}}{{:02d}}.gsh', CASE WHEN shard_lon < 0 THEN '-' ELSE '+' END, abs(shard_lon), CASE WHEN shard_lat < 0 THEN '-' ELSE '+' END, abs(shard_lat)) AS path, '{prefix}' AS kind, shard_lat, shard_lon, 10 AS tile_w, 10 AS tile_h,
-  count(*) AS tile_count, CAST(800 AS BIGINT) AS index_bytes, CAST(sum({size}) AS BIGINT) AS data_bytes, CAST(836 + sum({size}) AS BIGINT) AS file_bytes
+  count(*) AS tile_count, CAST(800 AS BIGINT) AS index_bytes, CAST(sum({size}) AS BIGINT) AS data_bytes, CAST(sum({size}) AS BIGINT) AS raw_bytes, CAST(836 + sum({size}) AS BIGINT) AS file_bytes
   FROM (SELECT *, CAST(floor((tile_lat + 90) / 10) * 10 - 90 AS INT) AS shard_lat, CAST(floor((tile_lon + 180) / 10) * 10 - 180 AS INT) AS shard_lon FROM tile_files WHERE {size} IS NOT NULL) GROUP BY shard_lat, shard_lon"""
 
 
@@ -392,6 +405,17 @@ def oracle_sql() -> dict[str, str]:
         "incremental_pack": s(["pack_a", "pack_b"], "SELECT coalesce(a.tile_lat, b.tile_lat) AS tile_lat, coalesce(a.tile_lon, b.tile_lon) AS tile_lon, coalesce(b.size, a.size) AS size, CASE WHEN a.size IS NULL THEN 'new' WHEN b.size IS NULL OR a.size = b.size THEN 'same' ELSE 'changed' END AS change FROM pack_a a FULL JOIN pack_b b ON a.tile_lat = b.tile_lat AND a.tile_lon = b.tile_lon"),
         "merge_packs": s(["pack_a", "pack_b"], "SELECT * FROM pack_a UNION ALL SELECT * FROM pack_b b WHERE NOT EXISTS (SELECT 1 FROM pack_a a WHERE a.tile_lat = b.tile_lat AND a.tile_lon = b.tile_lon)"),
         "pack_shards": s(["tile_files"], f"{_shards('terrain', 'terrain_bytes')} UNION ALL {_shards('population', 'pop_bytes')}"),
+        "shard_manifest": s(
+            ["tile_files"],
+            """SELECT 'GeoShard' AS format, 1 AS version, 10 AS shard_degrees, 36 AS header_bytes, 8 AS index_entry_bytes, CASE WHEN bool_or(stored < raw) THEN 'zstd-per-tile' ELSE 'none' END AS compression, count(*) AS shards, CAST(sum(n) AS BIGINT) AS tile_count, CAST(sum(stored) AS BIGINT) AS data_bytes, CAST(sum(raw) AS BIGINT) AS raw_bytes, CAST(sum(836 + stored) AS BIGINT) AS file_bytes
+  FROM (SELECT floor((tile_lat + 90) / 10) AS a, floor((tile_lon + 180) / 10) AS b, count(*) AS n, sum(terrain_bytes * 3 // 5 + 1) AS stored, sum(terrain_bytes) AS raw FROM tile_files WHERE terrain_bytes IS NOT NULL GROUP BY 1, 2)""",
+        ),
+        "shard_blobs": s(
+            ["laid"],
+            f"""SELECT path, CAST(0 AS INT) AS seq, CAST(0 AS BIGINT) AS at, CAST(836 AS BIGINT) AS bytes, md5(concat('47534831', '0100', '0100', {_le("lon0", 2)}, {_le("lat0", 2)}, '0A000A00', {_le("count(*)", 4)}, '20030000', {_le("sum(n)", 4)}, {_le("sum(n)", 4)}, '00000000',
+  (SELECT string_agg(coalesce((SELECT concat({_le("y.begin", 4)}, {_le("y.n", 4)}) FROM laid y WHERE y.path = l.path AND y.place = i), '0000000000000000'), '' ORDER BY i) FROM range(100) AS r(i)))) AS digest FROM laid l GROUP BY path, lon0, lat0
+  UNION ALL SELECT path, CAST(seq AS INT), CAST(836 + begin AS BIGINT), n, md5(digits) FROM laid""",
+        ),
         "fix_ocean": s(["ocean"], "SELECT tile_id, CASE WHEN is_ocean AND terrain_bytes > 1 THEN 1 ELSE terrain_bytes END AS terrain_bytes, CASE WHEN is_ocean AND terrain_bytes > 1 AND pop_bytes IS NOT NULL THEN 1 ELSE pop_bytes END AS pop_bytes FROM ocean"),
         "land_index": s(["footprints"], "SELECT DISTINCT CAST(i AS INT) AS tile_lat, CAST(j AS INT) AS tile_lon FROM footprints JOIN range(-90, 90) AS a(i) ON i BETWEEN floor(lat_min) AND ceil(lat_max) JOIN range(-180, 180) AS b(j) ON j BETWEEN floor(lon_min) AND ceil(lon_max)"),
         "bake_log_stream": s(["bake_log"], "SELECT status, count(*) AS tiles, CAST(sum(CASE WHEN status = 'ok' THEN nodes ELSE 0 END) AS BIGINT) AS ok_nodes, CAST(sum(download_ms) AS BIGINT) AS download_ms FROM bake_log GROUP BY status"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import codes, keys
 from ..operators import audit, bake, grids, lookup, pack, pixels, select, tree
-from ..sources import files, packs
+from ..sources import files, packs, tables
 from ..sources.storage import shared_folder
 from ..streaming import bake_log as stream
 from .fixtures import view
@@ -622,11 +621,18 @@ def pack_shards(spark: SparkSession, d: str) -> DataFrame:
     return pack.pack_shards(t).unionByName(pack.pack_shards(t, prefix="population", size="pop_bytes"))
 
 
+@query
+def shard_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest where tiles take three fifths of their size."""
+    t = view(spark, d, "tile_files").withColumn("stored_bytes", F.floor(F.col("terrain_bytes") * 3 / 5) + 1)
+    return pack.shard_manifest(pack.pack_shards(t, size="stored_bytes", raw="terrain_bytes"))
+
+
 @query
 def shard_blobs(spark: SparkSession, d: str) -> DataFrame:
-    baked = baked_tiles(spark, d).filter("terrain is not null")
-    out = pack.shard_blobs(baked.select(*CELL, F.col("terrain").alias("payload")))
-    return out.select("path", "tile_count", F.length("content").alias("bytes"), F.crc32("content").alias("crc"))
+    """Every piece of the shard files of the baked tiles: the header with the index, and each payload at its place."""
+    out = pack.shard_chunks(baked_tiles(spark, d).select(*CELL, F.col("terrain").alias("payload")), chunk_bytes=1)
+    return out.select("path", "seq", "at", F.length("chunk").cast("long").alias("bytes"), digest("chunk").alias("digest"))
 
 
 @query
@@ -643,14 +649,16 @@ def land_index(spark: SparkSession, d: str) -> DataFrame:
 def rebake_rounds(spark: SparkSession, d: str) -> DataFrame:
     """Problem tiles of a scan, baked again in rounds of at most 2,000; each round scans the tiles as they are then."""
     now, land = Tiles(spark, d), view(spark, d, "land_tiles")
-    tables = {"linear": now.linear}
+    path = shared_folder(spark, "linear-shards")
+    tables.write_tiles(now.linear, path)
 
     def scan(_: int) -> DataFrame:
-        return stored(spark, audit.scan_problem_tiles(audit.tile_samples(tables["linear"], 3), land), "problems")
+        found = tables.read_tiles(spark, path, now.linear)
+        return stored(spark, audit.scan_problem_tiles(audit.tile_samples(found, 3), land), "problems")
 
     def again(cells: DataFrame) -> DataFrame:
         made = stored(spark, bake.bake_tiles(F.broadcast(cells).join(now.fused, CELL).select(now.fused.columns), SIDE), "rebaked")
-        tables["linear"] = stored(spark, bake.replaced(tables["linear"], bake.linear_baked(made, SIDE)), "linear")
+        tables.replace_tiles(spark, path, stored(spark, bake.linear_baked(made, SIDE).select(now.linear.columns), "linear"))
         return made.select(*CELL, "status")
 
     return bake.rebake_rounds(scan, again, rounds=None)
@@ -691,4 +699,4 @@ def decode_tiles(spark: SparkSession, d: str) -> DataFrame:
 def bake_log_stream(spark: SparkSession, d: str) -> DataFrame:
     path = shared_folder(spark, "bake-log")
     files.write_bake_log(view(spark, d, "bake_log").drop("ts").repartition(4), path)
-    return stream.run_tallies(spark, path, f"tallies_{uuid.uuid4().hex}")
+    return stream.run_tallies(spark, path, shared_folder(spark, "tallies"), shared_folder(spark, "tallies-read"))

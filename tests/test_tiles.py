@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from terraloom.functions import codes, keys
 from terraloom.operators import audit, bake, lookup, pack, pixels, select, tree
 from terraloom.operators.grids import bbox_tiles, split_tiles
-from terraloom.sources import files, packs
+from terraloom.sources import files, packs, tables
 from terraloom.sources.folders import write_tile_folder
-from terraloom.streaming.bake_log import run_tallies, status_counts
+from terraloom.streaming.bake_log import run_tallies, status_counts, tallies
 
 DATA = "/root/testdata/sf0.001"
 
@@ -161,13 +161,18 @@ def test_shard_files_hold_each_tile_where_their_index_says(spark, degrees):
     cells = [(-90, -180), (-66, -155), (-65, -156), (0, 0), (24, 25), (25, 24), (89, 179), (88, -1)]
     tiles = spark.createDataFrame([(a, b, bytearray([i, 0x80] * (i + 1))) for i, (a, b) in enumerate(cells)], "tile_lat int, tile_lon int, payload binary")
     keyed = {(r.tile_lat, r.tile_lon): r for r in pack.shard_key(tiles, degrees).collect()}
-    blobs, found = pack.shard_blobs(tiles, degrees).collect(), {}
-    assert {r.path: r.tile_count for r in blobs} == {r.path: r.tile_count for r in pack.pack_shards(tiles.withColumn("terrain_bytes", F.length("payload")), degrees).collect()}
+    found, content = {}, {}
+    chunks = sorted(pack.shard_chunks(tiles, degrees, chunk_bytes=5).collect(), key=lambda r: (r.path, r.seq))
+    for r in chunks:
+        whole = content.setdefault(r.path, bytearray())
+        assert r.at == len(whole) and (r.seq == 0 or len(r.chunk) < 5 + 1 + 2 * len(cells))
+        whole += r.chunk
+    assert {p: len(x) for p, x in content.items()} == {r.path: r.file_bytes for r in pack.pack_shards(tiles.withColumn("terrain_bytes", F.length("payload")), degrees).collect()}
     by_path = {f"terrain_{r.shard_lon:+04d}_{r.shard_lat:+03d}.gsh": (r.shard_lat, r.shard_lon, r.tile_w, r.tile_h) for r in keyed.values()}
-    for r in blobs:
-        lat, lon, w, h = by_path[r.path]
-        body = r.content[pack.SHARD_HEADER_BYTES + w * h * pack.SHARD_ENTRY_BYTES :]
-        for k, (at, size) in enumerate(struct.iter_unpack(pack.SHARD_ENTRY, r.content[pack.SHARD_HEADER_BYTES : pack.SHARD_HEADER_BYTES + w * h * pack.SHARD_ENTRY_BYTES])):
+    for path, whole in content.items():
+        lat, lon, w, h = by_path[path]
+        body = whole[pack.SHARD_HEADER_BYTES + w * h * pack.SHARD_ENTRY_BYTES :]
+        for k, (at, size) in enumerate(struct.iter_unpack(pack.SHARD_ENTRY, whole[pack.SHARD_HEADER_BYTES : pack.SHARD_HEADER_BYTES + w * h * pack.SHARD_ENTRY_BYTES])):
             if size:
                 found[(lat + k // w, lon + k % w)] = bytes(body[at : at + size])
     assert found == {c: bytes([i, 0x80] * (i + 1)) for i, c in enumerate(cells)}
@@ -310,12 +315,17 @@ def test_mismatch_audits_by_hand(spark):
 def test_rebake_query_scans_what_it_has_baked(spark, monkeypatch):
     from terraloom.plans import queries
 
-    scans = []
-    scan = queries.audit.scan_problem_tiles
-    monkeypatch.setattr(queries.audit, "scan_problem_tiles", lambda samples, land: scans.append(scan(samples, land)) or scans[-1])
+    scans, scan = [], queries.audit.scan_problem_tiles
+
+    def kept(samples, land):
+        found = scan(samples, land)
+        scans.append({(r.tile_lat, r.tile_lon) for r in found.collect()})
+        return found
+
+    monkeypatch.setattr(queries.audit, "scan_problem_tiles", kept)
     rows = queries.rebake_rounds(spark, DATA).collect()
-    assert len(scans) == 2 and len(rows) == len({(r.tile_lat, r.tile_lon) for r in rows}) == scans[0].count() > 0
-    assert {r["round"] for r in rows} == {1} and scans[1].select("tile_lat", "tile_lon").exceptAll(scans[0].select("tile_lat", "tile_lon")).count() == 0
+    assert len(scans) == 2 and {(r.tile_lat, r.tile_lon) for r in rows} == scans[0] and len(rows) == len(scans[0]) > 0
+    assert {r["round"] for r in rows} == {1} and scans[1] <= scans[0]
 
 
 def test_linear_resampling_keeps_corners_and_zeros_missing(spark):
@@ -324,9 +334,71 @@ def test_linear_resampling_keeps_corners_and_zeros_missing(spark):
     assert rows[1] == [0, 0.5, 1, 1, 1.5, 2, 2, 2.5, 3] and rows[2] == [0.0] * 9
 
 
-def test_stream_tallies_equal_batch(spark, tmp_path):
-    log = spark.range(100).selectExpr("id idx", "1 tile_lat", "2 tile_lon", "case when id % 3 = 0 then 'ok' else 'water' end status", "id nodes", "id download_ms", "id quadtree_ms")
-    files.write_bake_log(log.repartition(3), str(tmp_path / "log"))
-    stream = run_tallies(spark, str(tmp_path / "log"), "tallies")
-    batch = status_counts(files.read_bake_log(spark, str(tmp_path / "log")))
-    assert stream.exceptAll(batch).count() == 0 and stream.count() == 2
+def test_manifest_tells_packed_tiles(spark):
+    tiles = spark.createDataFrame([(0, 0, 10, 10), (0, 1, 4, 9), (50, 50, 7, 7)], "tile_lat int, tile_lon int, terrain_bytes int, raw int")
+    entries = pack.pack_shards(tiles, raw="raw")
+    assert sorted((r.data_bytes, r.raw_bytes) for r in entries.collect()) == [(7, 7), (14, 19)]
+    assert tuple(pack.shard_manifest(entries).first())[5:10] == ("zstd-per-tile", 2, 3, 21, 26)
+    assert pack.shard_manifest(pack.pack_shards(tiles)).first().compression == "none"
+    assert pack.shard_manifest(entries.limit(0)).first()[5:8] == ("none", 0, 0)
+    head = bytes(pack.shard_chunks(tiles.withColumn("payload", F.lit(b"abcd")), raw="raw").filter("seq = 0").orderBy("path").first().chunk)
+    assert struct.unpack(pack.SHARD_HEADER, head[: pack.SHARD_HEADER_BYTES])[-2:] == (19, 1)
+
+
+def files_below(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_a_round_rewrites_touched_shards_alone(spark, tmp_path):
+    path = tmp_path / "table"
+    cells = spark.createDataFrame([(a, b, a * 1000 + b) for a in (-45, 3, 7, 61) for b in (-170, 12, 15)], "tile_lat int, tile_lon int, v int")
+    tables.write_tiles(cells, str(path))
+    before = files_below(path)
+    new = spark.createDataFrame([(3, 12, -1), (5, 18, -2)], "tile_lat int, tile_lon int, v int")
+    assert tables.replace_tiles(spark, str(path), new) == 1
+    after = files_below(path)
+    changed = {p.rsplit("/", 1)[0] for p in before.keys() ^ after.keys()}
+    assert changed == {"shard_lat=0/shard_lon=10"} and all(after[p] == t for p, t in before.items() if not p.startswith("shard_lat=0/shard_lon=10"))
+    want = {(r.tile_lat, r.tile_lon): r.v for r in cells.collect()} | {(3, 12): -1, (5, 18): -2}
+    assert {(r.tile_lat, r.tile_lon): r.v for r in tables.read_tiles(spark, str(path), cells).collect()} == want
+    assert tables.replace_tiles(spark, str(path), new.limit(0)) == 0
+
+
+def test_a_failed_round_leaves_the_old_rows(spark, tmp_path):
+    path = tmp_path / "table"
+    cells = spark.createDataFrame([(1, 1, 1), (2, 2, 2), (50, 50, 3)], "tile_lat int, tile_lon int, v int")
+    tables.write_tiles(cells, str(path))
+    before = files_below(path)
+    broken = spark.createDataFrame([(1, 1), (50, 50)], "tile_lat int, tile_lon int").withColumn("v", F.when(F.col("tile_lat") > 40, F.raise_error(F.lit("lost")).cast("int")).otherwise(7))
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_tiles(spark, str(path), broken)
+    assert files_below(path) == before
+    assert sorted(r.v for r in tables.read_tiles(spark, str(path), cells).collect()) == [1, 2, 3]
+
+
+def run_log(spark, first, last):
+    return spark.range(first, last).selectExpr("id idx", "1 tile_lat", "2 tile_lon", "case when id % 3 = 0 then 'ok' else 'water' end status", "id nodes", "id download_ms", "id quadtree_ms")
+
+
+def test_stream_tallies_equal_batch_after_a_stop(spark, tmp_path):
+    log, out, read = (str(tmp_path / n) for n in ("log", "out", "read"))
+    files.write_bake_log(run_log(spark, 0, 100).repartition(5), log)
+    done = []
+
+    def stop(batch):
+        done.append(batch)
+        if batch == 2:
+            raise RuntimeError("stopped")
+
+    with pytest.raises(Exception, match="stopped"):
+        run_tallies(spark, log, out, read, files_per_batch=1, before_batch=stop)
+    assert done == [0, 1, 2] and tallies(spark, out).agg(F.sum("tiles")).first()[0] == 40
+    again = run_tallies(spark, log, out, read, files_per_batch=1, before_batch=done.append)
+    assert done == [0, 1, 2, 2, 3, 4]
+    batch = status_counts(files.read_bake_log(spark, log))
+    assert again.exceptAll(batch).count() == 0 and again.count() == 2
+    # files that come later are added; a run with nothing new changes nothing
+    files.write_bake_log(run_log(spark, 100, 130).repartition(2), log)
+    for _ in range(2):
+        later = run_tallies(spark, log, out, read)
+        assert later.exceptAll(status_counts(files.read_bake_log(spark, log))).count() == 0 and later.agg(F.sum("tiles")).first()[0] == 130
