@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 #: Base tables and other views that each view reads.
-NEEDS = {"px": ["orders"], "tile_files": ["part"], "cities": ["customer"], "land_tiles": ["orders"], "footprints": ["supplier"], "bake_log": ["events"], "dem_candidates": ["part"], "tile_list_lines": ["part"], "pack_a": ["tile_files"], "pack_b": ["tile_files"]}
+NEEDS = {"px": ["orders"], "px_deep": ["orders"], "tile_files": ["part"], "cities": ["customer"], "land_tiles": ["orders"], "footprints": ["supplier"], "bake_log": ["events"], "dem_candidates": ["part"], "tile_list_lines": ["part"], "pack_a": ["tile_files"], "pack_b": ["tile_files"]}
 VIEWS = {
     "px": """
 WITH b AS (
@@ -36,6 +36,25 @@ SELECT t AS tile_id,
        WHEN r > 28 THEN 101
        ELSE 30 END AS esa
 FROM g
+""",
+    "px_deep": """
+WITH b AS (
+  SELECT o.o_orderkey * 16 + v.k AS pid, o.o_custkey AS ck
+  FROM orders o CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12),(13),(14),(15)) AS v(k)),
+g AS (
+  SELECT CAST(floor(pid / 4096) AS BIGINT) AS t, CAST(floor((pid % 4096) / 64) AS INT) AS r,
+         CAST(pid % 64 AS INT) AS c, pid, ck FROM b)
+SELECT t AS tile_id, CAST(t % 180 AS INT) - 90 AS tile_lat, CAST(t % 360 AS INT) - 180 AS tile_lon, r, c,
+  CASE WHEN t % 4 = 0 THEN CAST(40 AS DOUBLE)
+       WHEN t % 4 = 1 THEN CAST(40 + (pid * 7) % (2 + floor(r / 8) * 2) AS DOUBLE)
+       WHEN t % 4 = 2 THEN CAST(900 + r * 3 + floor(c / 16) * 40 AS DOUBLE)
+       WHEN c < 21 THEN CAST(0 AS DOUBLE) ELSE CAST((pid * 13) % 4 AS DOUBLE) END AS dem,
+  CASE WHEN t % 3 = 0 THEN CASE WHEN r = 21 AND c = 12 THEN CAST(4000 AS DOUBLE) WHEN r = 50 AND c > 40 THEN CAST(30 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+       WHEN t % 3 = 1 THEN CAST((ck + pid) % (1 + floor(c / 4)) AS DOUBLE)
+       ELSE CAST(12 AS DOUBLE) END AS pop,
+  CASE WHEN t % 4 = 3 AND c < 21 THEN 0 WHEN t % 5 = 0 THEN 1 + CAST(floor(c / 9) + floor(r / 4) AS INT) % 3 WHEN t % 5 = 1 AND r > 30 THEN 3 ELSE 1 END AS zone,
+  CASE WHEN t % 3 = 2 THEN CAST(floor((c + r / 3) / 11) AS INT) % 4 WHEN t % 3 = 0 AND r < 9 THEN 5 ELSE 0 END AS urban
+FROM g
 """,
     "tile_files": """
 SELECT p_partkey AS tile_id,

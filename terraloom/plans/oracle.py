@@ -147,7 +147,7 @@ SAMPLED = f"""SELECT {{key}}, CASE WHEN status <> 'ok' THEN 0 ELSE elevation END
 
 
 #: Steps that are made once, however many read them.
-KEPT = {"nodes", "t_tree", "p_tree", "t_sized", "p_sized", "t_shares", "p_shares", "laid"}
+KEPT = {"nodes", "t_tree", "p_tree", "t_sized", "p_sized", "t_shares", "p_shares", "laid", "deep_nodes", "deep_sloped"}
 
 
 def statement(names: list[str], body: str) -> str:
@@ -230,6 +230,24 @@ def _le(value: str, size: int) -> str:
     return "concat(" + ", ".join(f"printf('%02X', (CAST({value} AS BIGINT) >> {8 * i}) & 255)" for i in range(size)) + ")"
 
 
+STEPS["deep_sloped"] = (
+    ["px_deep"],
+    """SELECT *, greatest(coalesce(abs(dem - lag(dem) OVER a), 0), coalesce(abs(dem - lead(dem) OVER a), 0), coalesce(abs(dem - lag(dem) OVER d), 0), coalesce(abs(dem - lead(dem) OVER d), 0)) AS grad
+  FROM px_deep WHERE tile_id IN (SELECT tile_id FROM px_deep GROUP BY tile_id HAVING count(*) = 4096) WINDOW a AS (PARTITION BY tile_id, r ORDER BY c), d AS (PARTITION BY tile_id, c ORDER BY r)""",
+)
+STEPS["deep_nodes"] = (
+    ["deep_sloped"],
+    """SELECT *, CASE WHEN level = 0 THEN true WHEN level = 5 THEN false WHEN level < 3 THEN true WHEN z0 = n THEN most > 10 AND (var >= 1 OR err >= 4) WHEN z0 > 0 THEN minority >= 0.02 OR var >= 5 OR err >= 4 ELSE minority >= 0.02 OR var >= 1 OR err >= 4 END AS t_split,
+  CASE WHEN level = 0 THEN true WHEN level = 5 OR most <= 1 THEN false WHEN level < 4 THEN true ELSE kinds > 1 OR most >= greatest(3 * people, people + 25) OR pvar >= 16 END AS p_split,
+  array_to_string(list_transform(range(level), lambda i: ((qc >> (level - 1 - i)) & 1) + 2 * ((qr >> (level - 1 - i)) & 1)), '') AS path FROM (
+  SELECT *, s / n AS mean, ps / n AS people, ss / n - (s / n) * (s / n) AS var, pss / n - (ps / n) * (ps / n) AS pvar, greatest(abs(low - s / n), abs(high - s / n)) AS err, (n - greatest(z0, z1, z2, z3)) / n AS minority FROM (
+  SELECT tile_id, level, r >> (6 - level) AS qr, c >> (6 - level) AS qc, count(*) AS n, sum(dem) AS s, sum(dem * dem) AS ss, min(dem) AS low, max(dem) AS high, count(*) FILTER (zone = 0) AS z0, count(*) FILTER (zone = 1) AS z1, count(*) FILTER (zone = 2) AS z2, count(*) FILTER (zone = 3) AS z3,
+  sum(pop) AS ps, sum(pop * pop) AS pss, max(pop) AS most, max(grad) AS grad, count(DISTINCT urban) FILTER (urban > 0) AS kinds, list(urban) AS towns FROM deep_sloped CROSS JOIN range(6) AS l(level) GROUP BY tile_id, level, r >> (6 - level), c >> (6 - level)))""",
+)
+for _kind in "tp":
+    STEPS[f"deep_{_kind}"] = (["deep_nodes"], f"SELECT a.* FROM deep_nodes a WHERE NOT EXISTS (SELECT 1 FROM deep_nodes b WHERE b.tile_id = a.tile_id AND b.level < a.level AND NOT b.{_kind}_split AND starts_with(a.path, b.path))")
+
+
 def _shards(prefix: str, size: str) -> str:
     return f"""SELECT format('{prefix}_{{}}{{:03d}}_{{}}{{:02d}}.gsh', CASE WHEN shard_lon < 0 THEN '-' ELSE '+' END, abs(shard_lon), CASE WHEN shard_lat < 0 THEN '-' ELSE '+' END, abs(shard_lat)) AS path, '{prefix}' AS kind, shard_lat, shard_lon, 10 AS tile_w, 10 AS tile_h,
   count(*) AS tile_count, CAST(800 AS BIGINT) AS index_bytes, CAST(sum({size}) AS BIGINT) AS data_bytes, CAST(sum({size}) AS BIGINT) AS raw_bytes, CAST(836 + sum({size}) AS BIGINT) AS file_bytes
@@ -416,6 +434,13 @@ def oracle_sql() -> dict[str, str]:
   (SELECT string_agg(coalesce((SELECT concat({_le("y.begin", 4)}, {_le("y.n", 4)}) FROM laid y WHERE y.path = l.path AND y.place = i), '0000000000000000'), '' ORDER BY i) FROM range(100) AS r(i)))) AS digest FROM laid l GROUP BY path, lon0, lat0
   UNION ALL SELECT path, CAST(seq AS INT), CAST(836 + begin AS BIGINT), n, md5(digits) FROM laid""",
         ),
+        "deep_terrain_leaves": s(["deep_t"], f"SELECT tile_id, path, CAST(level AS INT) AS level, round(mean, 6) AS elev, {ZONE_OF_BLOCK} AS zone, CASE WHEN grad < 10 THEN 0 WHEN grad < 50 THEN 1 WHEN grad < 200 THEN 2 ELSE 3 END AS gradient FROM deep_t WHERE NOT t_split"),
+        "deep_population_leaves": s(
+            ["deep_p"],
+            """SELECT tile_id, path, CAST(level AS INT) AS level, round(people, 6) AS density, CASE WHEN mode <> 0 THEN mode WHEN people > 5000 THEN 2 WHEN people > 10 THEN 1 ELSE 0 END AS urban FROM (
+  SELECT *, (SELECT u FROM (SELECT u, len(list_filter(towns, lambda x: x = u)) AS k FROM range(8) AS r(u)) ORDER BY k DESC, u LIMIT 1) AS mode FROM deep_p WHERE NOT p_split)""",
+        ),
+        "deep_tree_sizes": s(["deep_t", "deep_p"], "SELECT tile_id, t_nodes, p_nodes, 2 * t_nodes AS t_bytes, 2 * p_nodes AS p_bytes FROM (SELECT tile_id, CAST(count(*) AS INT) AS t_nodes FROM deep_t GROUP BY tile_id) JOIN (SELECT tile_id, CAST(count(*) AS INT) AS p_nodes FROM deep_p GROUP BY tile_id) USING (tile_id)"),
         "fix_ocean": s(["ocean"], "SELECT tile_id, CASE WHEN is_ocean AND terrain_bytes > 1 THEN 1 ELSE terrain_bytes END AS terrain_bytes, CASE WHEN is_ocean AND terrain_bytes > 1 AND pop_bytes IS NOT NULL THEN 1 ELSE pop_bytes END AS pop_bytes FROM ocean"),
         "land_index": s(["footprints"], "SELECT DISTINCT CAST(i AS INT) AS tile_lat, CAST(j AS INT) AS tile_lon FROM footprints JOIN range(-90, 90) AS a(i) ON i BETWEEN floor(lat_min) AND ceil(lat_max) JOIN range(-180, 180) AS b(j) ON j BETWEEN floor(lon_min) AND ceil(lon_max)"),
         "bake_log_stream": s(["bake_log"], "SELECT status, count(*) AS tiles, CAST(sum(CASE WHEN status = 'ok' THEN nodes ELSE 0 END) AS BIGINT) AS ok_nodes, CAST(sum(download_ms) AS BIGINT) AS download_ms FROM bake_log GROUP BY status"),

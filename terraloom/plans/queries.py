@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import codes, keys
-from ..operators import audit, bake, grids, lookup, pack, pixels, select, tree
+from ..operators import audit, bake, forest, grids, lookup, pack, pixels, select, tree
 from ..sources import files, packs, tables
 from ..sources.storage import shared_folder
 from ..streaming import bake_log as stream
@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {}
 CELL = ["tile_lat", "tile_lon"]
 #: Pixels a side of the tiles of the views.
 SIDE = 32
+DEEP_SIDE, DEEP_LEVELS = 64, 6
 SAMPLED = ["elevation", "zone", "gradient", "density", "urban"]
 
 
@@ -484,6 +485,33 @@ def population_leaves(spark: SparkSession, d: str) -> DataFrame:
     return rounded(tree.population_leaves(pixel_pyramid(spark, d)), "density").select("tile_id", "path", "level", "r0", "c0", "size", "density", "urban")
 
 
+def _deep_pyramid(spark: SparkSession, d: str) -> DataFrame:
+    """Node statistics of tiles of 64 pixels a side, in which every rule of division decides somewhere."""
+    cells = F.sort_array(F.collect_list(F.struct("r", "c", "dem", "pop", "zone", "urban")))
+    tiles = view(spark, d, "px_deep").groupBy(*pixels.KEYS).agg(cells.alias("cells")).filter(F.size("cells") == DEEP_SIDE * DEEP_SIDE)
+    arrays = tiles.select(*pixels.KEYS, *(F.col(f"cells.{k}").alias(k) for k in ("dem", "pop", "zone", "urban")))
+    return tree.quad_pyramid(pixels.exploded(pixels.pixel_gradient(arrays, DEEP_SIDE), DEEP_SIDE, "dem", "pop", "zone", "urban", "grad"), DEEP_LEVELS)
+
+
+@query
+def deep_terrain_leaves(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(tree.terrain_leaves(_deep_pyramid(spark, d), DEEP_LEVELS), "elev").select("tile_id", "path", "level", "elev", "zone", "gradient")
+
+
+@query
+def deep_population_leaves(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(tree.population_leaves(_deep_pyramid(spark, d), DEEP_LEVELS), "density").select("tile_id", "path", "level", "density", "urban")
+
+
+@query
+def deep_tree_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of the full trees of the same tiles, grown as payloads."""
+    rows = forest.node_rows(_deep_pyramid(spark, d), DEEP_LEVELS)
+    for kind in "tp":
+        rows = forest.grown(rows, kind, DEEP_LEVELS)
+    return rows.select("tile_id", "t_nodes", "p_nodes", F.length("t_payload").alias("t_bytes"), F.length("p_payload").alias("p_bytes"))
+
+
 @query
 def bake_status(spark: SparkSession, d: str) -> DataFrame:
     judged = select.likely_ocean(facts(spark, d), view(spark, d, "land_tiles"))
