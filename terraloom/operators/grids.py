@@ -24,10 +24,49 @@ def bbox_tiles(boxes: DataFrame, lat_min: str = "lat_min", lat_max: str = "lat_m
     return _cells(boxes, F.floor(F.least(*lats)), F.ceil(F.greatest(*lats)), F.floor(F.least(*lons)), F.ceil(F.greatest(*lons)))
 
 
+#: Boxes are covered by blocks of 2 ** scale cells a side; the coarsest block holds the whole grid.
+SCALES = range(10)
+
+
+def box_keys(boxes: DataFrame, low_lat: Column, high_lat: Column, low_lon: Column, high_lon: Column, most: int = 4) -> DataFrame:
+    """Adds scale, block_row and block_col: the blocks of one scale that cover each box of cells (half-open ranges).
+
+    The scale is the smallest at which a box is at most ``most`` blocks long, so a box of any
+    size has at most (most + 1) ** 2 rows. Ranges are clamped to the grid; empty ones give no row.
+    """
+    a, b = F.greatest(low_lat, F.lit(-90)) + 90, F.least(high_lat, F.lit(90)) + 89
+    c, d = F.greatest(low_lon, F.lit(-180)) + 180, F.least(high_lon, F.lit(180)) + 179
+    ranged = boxes.withColumns({"_a": a.cast("int"), "_b": b.cast("int"), "_c": c.cast("int"), "_d": d.cast("int")}).filter("_a <= _b and _c <= _d")
+    long = F.greatest(F.col("_b") - F.col("_a"), F.col("_d") - F.col("_c")) + 1
+    scale = F.lit(SCALES[-1])
+    for k in reversed(SCALES[:-1]):
+        scale = F.when(long <= most << k, k).otherwise(scale)
+    blocks = {n: F.call_function("shiftright", f, F.col("scale")) for n, f in zip("abcd", (F.col("_a"), F.col("_b"), F.col("_c"), F.col("_d")), strict=True)}
+    keyed = ranged.withColumn("scale", scale).withColumn("block_row", F.explode(F.sequence(blocks["a"], blocks["b"]))).withColumn("block_col", F.explode(F.sequence(blocks["c"], blocks["d"])))
+    return keyed.drop("_a", "_b", "_c", "_d")
+
+
+def cell_keys(cells: DataFrame) -> DataFrame:
+    """Adds scale, block_row and block_col: a row for the block of each scale that holds a cell."""
+    keyed = cells.withColumn("scale", F.explode(F.array(*(F.lit(k) for k in SCALES))))
+    block = {"block_row": F.col("tile_lat") + 90, "block_col": F.col("tile_lon") + 180}
+    return keyed.withColumns({k: F.call_function("shiftright", v.cast("int"), F.col("scale")) for k, v in block.items()})
+
+
+BLOCK = ["scale", "block_row", "block_col"]
+
+
 def cells_of_footprint(items: DataFrame) -> DataFrame:
-    """Distinct cells of item boxes, with one more row and column than the box touches."""
-    wide = _cells(items, F.floor("lat_min"), F.ceil("lat_max") + 1, F.floor("lon_min"), F.ceil("lon_max") + 1)
-    return wide.select("tile_lat", "tile_lon").distinct()
+    """Distinct cells of item boxes, with one more row and column than the box touches.
+
+    Cells of the grid are asked whether a box holds them; boxes are never spelled out as cells.
+    """
+    ends = {"_s": F.floor("lat_min"), "_n": F.ceil("lat_max") + 1, "_w": F.floor("lon_min"), "_e": F.ceil("lon_max") + 1}
+    boxes = items.select(*(v.alias(k) for k, v in ends.items())).distinct()
+    covers = box_keys(boxes, *(F.col(k) for k in ends))
+    cells = cell_keys(global_tiles(items.sparkSession).select("tile_lat", "tile_lon")).alias("x")
+    held = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in BLOCK] + [F.col("tile_lat") >= F.col("_s"), F.col("tile_lat") < F.col("_n"), F.col("tile_lon") >= F.col("_w"), F.col("tile_lon") < F.col("_e")]
+    return cells.join(covers.alias("y"), keys.all_of(held), "left_semi").select("tile_lat", "tile_lon").distinct()
 
 
 def global_tiles(spark: SparkSession) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 CELL = ["tile_lat", "tile_lon"]
 #: An index of fewer land cells is not trusted.
@@ -64,16 +64,19 @@ def skip_existing(wanted: DataFrame, files: DataFrame, land: DataFrame, rebake:
 def best_footprint(tiles: DataFrame, items: DataFrame) -> DataFrame:
     """The item of the largest overlap with each tile, the smallest id on ties.
 
-    Items meet tiles by the cells they cover, and then by the exact box.
+    Items meet tiles by blocks of cells of the scale that suits their box, and then by the exact
+    box. The best of each tile is found by an aggregation, which begins before the shuffle.
     """
-    from .grids import bbox_tiles
+    from .grids import BLOCK, box_keys, cell_keys
 
-    pairs = bbox_tiles(items).join(tiles.select(*CELL), CELL)
+    lat, lon = [(F.least(f"{x}_min", f"{x}_max"), F.greatest(f"{x}_min", f"{x}_max")) for x in ("lat", "lon")]
+    covers = box_keys(items, F.floor(lat[0]), F.ceil(lat[1]), F.floor(lon[0]), F.ceil(lon[1]))
+    pairs = cell_keys(tiles.select(*CELL).distinct()).join(covers, BLOCK)
     high = F.least("lat_max", F.col("tile_lat") + 1) - F.greatest("lat_min", "tile_lat")
     wide = F.least("lon_max", F.col("tile_lon") + 1) - F.greatest("lon_min", "tile_lon")
     scored = pairs.withColumn("area", high * wide).filter((high > 0) & (wide > 0))
-    best = F.row_number().over(Window.partitionBy(*CELL).orderBy(F.desc("area"), "item_id"))
-    return scored.withColumn("_n", best).filter("_n = 1").select(*CELL, "item_id", "area")
+    best = F.max(F.struct("area", (-F.col("item_id")).alias("id"))).alias("best")
+    return scored.groupBy(*CELL).agg(best).select(*CELL, (-F.col("best.id")).alias("item_id"), F.col("best.area").alias("area"))
 
 
 def land_index(items: DataFrame) -> DataFrame:

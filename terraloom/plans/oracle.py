@@ -221,7 +221,7 @@ STEPS["laid"] = (
     ["states", "payloads"],
     f"""SELECT *, coalesce(sum(n) OVER (PARTITION BY path ORDER BY name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin, row_number() OVER (PARTITION BY path ORDER BY name) AS seq FROM (
   SELECT *, format('terrain_{{}}{{:03d}}_{{}}{{:02d}}.gsh', CASE WHEN lon0 < 0 THEN '-' ELSE '+' END, abs(lon0), CASE WHEN lat0 < 0 THEN '-' ELSE '+' END, abs(lat0)) AS path, (tile_lat - lat0) * 10 + tile_lon - lon0 AS place FROM (
-  SELECT {NAME} AS name, tile_lat, tile_lon, CAST(floor((tile_lat + 90) / 10) * 10 - 90 AS INT) AS lat0, CAST(floor((tile_lon + 180) / 10) * 10 - 180 AS INT) AS lon0, CAST(CASE WHEN status = 'ok' THEN 2 * t_nodes ELSE 1 END AS BIGINT) AS n, CASE WHEN status = 'ok' THEN t_hex ELSE 'FF' END AS digits FROM states LEFT JOIN payloads USING (tile_id) WHERE status <> 'no_data'))""",
+  SELECT tile_id, {NAME} AS name, tile_lat, tile_lon, CAST(floor((tile_lat + 90) / 10) * 10 - 90 AS INT) AS lat0, CAST(floor((tile_lon + 180) / 10) * 10 - 180 AS INT) AS lon0, CAST(CASE WHEN status = 'ok' THEN 2 * t_nodes ELSE 1 END AS BIGINT) AS n, CASE WHEN status = 'ok' THEN t_hex ELSE 'FF' END AS digits FROM states LEFT JOIN payloads USING (tile_id) WHERE status <> 'no_data'))""",
 )
 
 
@@ -441,6 +441,11 @@ def oracle_sql() -> dict[str, str]:
   SELECT *, (SELECT u FROM (SELECT u, len(list_filter(towns, lambda x: x = u)) AS k FROM range(8) AS r(u)) ORDER BY k DESC, u LIMIT 1) AS mode FROM deep_p WHERE NOT p_split)""",
         ),
         "deep_tree_sizes": s(["deep_t", "deep_p"], "SELECT tile_id, t_nodes, p_nodes, 2 * t_nodes AS t_bytes, 2 * p_nodes AS p_bytes FROM (SELECT tile_id, CAST(count(*) AS INT) AS t_nodes FROM deep_t GROUP BY tile_id) JOIN (SELECT tile_id, CAST(count(*) AS INT) AS p_nodes FROM deep_p GROUP BY tile_id) USING (tile_id)"),
+        "incremental_payloads": s(
+            ["laid"],
+            """SELECT tile_lat, tile_lon, md5(CASE WHEN tile_id % 2 = 0 AND tile_id % 4 = 0 AND n > 1 THEN concat(left(digits, length(digits) - 2), '00') ELSE digits END) AS digest,
+  CASE WHEN tile_id % 3 = 0 THEN 'new' WHEN tile_id % 4 = 0 AND n > 1 AND right(digits, 2) <> '00' THEN 'changed' ELSE 'same' END AS change FROM laid WHERE tile_id % 3 <> 0 OR tile_id % 2 = 0""",
+        ),
         "fix_ocean": s(["ocean"], "SELECT tile_id, CASE WHEN is_ocean AND terrain_bytes > 1 THEN 1 ELSE terrain_bytes END AS terrain_bytes, CASE WHEN is_ocean AND terrain_bytes > 1 AND pop_bytes IS NOT NULL THEN 1 ELSE pop_bytes END AS pop_bytes FROM ocean"),
         "land_index": s(["footprints"], "SELECT DISTINCT CAST(i AS INT) AS tile_lat, CAST(j AS INT) AS tile_lon FROM footprints JOIN range(-90, 90) AS a(i) ON i BETWEEN floor(lat_min) AND ceil(lat_max) JOIN range(-180, 180) AS b(j) ON j BETWEEN floor(lon_min) AND ceil(lon_max)"),
         "bake_log_stream": s(["bake_log"], "SELECT status, count(*) AS tiles, CAST(sum(CASE WHEN status = 'ok' THEN nodes ELSE 0 END) AS BIGINT) AS ok_nodes, CAST(sum(download_ms) AS BIGINT) AS download_ms FROM bake_log GROUP BY status"),

@@ -10,8 +10,6 @@ from terraloom.plans.oracle import oracle_sql
 from terraloom.plans.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
-#: The lookups share one plan; the first of them are enough for a quick run.
-SLOW = {"city_status_counts", "top_mismatches", "water_pop_mismatch", "coastal_problem_tiles", "point_query_population", "sample_grid_query", "urban_pop_mismatch", "density_p99", "leaf_bbox_overlap", "panel_query", "overview_query", "top_city_mismatches"}
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +26,7 @@ def plain(v):
     return "~" if v is None else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_same_rows(spark, duck, name):
     df = QUERIES[name](spark, DATA)
     names = sorted(df.columns)

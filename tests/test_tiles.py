@@ -1,5 +1,6 @@
 """Encodings, trees, payloads, packs and files on small inputs."""
 
+import math
 import struct
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terraloom.functions import codes, keys
-from terraloom.operators import audit, bake, lookup, pack, pixels, select, tree
+from terraloom.operators import audit, bake, grids, lookup, pack, pixels, select, tree
 from terraloom.operators.grids import bbox_tiles, split_tiles
 from terraloom.sources import files, packs, tables
 from terraloom.sources.folders import write_tile_folder
@@ -255,6 +256,36 @@ def test_boxes_in_either_order_and_empty(spark):
         split_tiles(boxes, 0, 3)
 
 
+def plain_cells(box, wider):
+    south, north, west, east = box
+    return {(a, b) for a in range(max(-90, math.floor(south)), min(90, math.ceil(north) + wider)) for b in range(max(-180, math.floor(west)), min(180, math.ceil(east) + wider))}
+
+
+def test_boxes_of_any_size_are_a_handful_of_blocks(spark):
+    random = np.random.default_rng(10)
+    boxes = [(-90.0, 90.0, -180.0, 180.0), (-0.5, 0.5, -180.0, 180.0), (0.0, 0.0, 0.0, 0.0), (89.2, 89.9, 179.1, 180.0), (91.0, 95.0, 0.0, 3.0)]
+    for _ in range(30):
+        la, lo = random.uniform(-95, 95), random.uniform(-185, 185)
+        boxes.append((la, la + random.exponential(15), lo, lo + random.exponential(30)))
+    fields = "item_id int, lat_min double, lat_max double, lon_min double, lon_max double"
+    df = spark.createDataFrame([(i, *b) for i, b in enumerate(boxes)], fields)
+    covers = grids.box_keys(df, F.floor("lat_min"), F.ceil("lat_max"), F.floor("lon_min"), F.ceil("lon_max"))
+    rows = {r.item_id: r["count"] for r in covers.groupBy("item_id").count().collect()}
+    assert max(rows.values()) <= 25 and rows[0] <= 8 and 2 not in rows and 4 not in rows
+    assert {tuple(r) for r in grids.cells_of_footprint(df.filter("item_id > 1")).collect()} == set().union(*(plain_cells(b, 1) for b in boxes[2:]))
+    assert grids.cells_of_footprint(df).count() == 64_800 and grids.cells_of_footprint(df.limit(0)).count() == 0
+    tiles = spark.createDataFrame([(a, b) for a in range(-90, 90, 7) for b in range(-180, 180, 9)], "tile_lat int, tile_lon int")
+    some = df.filter("item_id > 2")
+    best = {}
+    for i, (south, north, west, east) in list(enumerate(boxes))[3:]:
+        for a in range(-90, 90, 7):
+            for b in range(-180, 180, 9):
+                high, wide = min(north, a + 1) - max(south, a), min(east, b + 1) - max(west, b)
+                if high > 0 and wide > 0 and (high * wide, -i) > best.get((a, b), (0, 0)):
+                    best[a, b] = high * wide, -i
+    assert {(r.tile_lat, r.tile_lon): (r.area, -r.item_id) for r in select.best_footprint(tiles, some).collect()} == best
+
+
 def test_rebake_rounds_stop_when_nothing_is_new(spark):
     cells = spark.createDataFrame([(i, i) for i in range(5)], "tile_lat int, tile_lon int")
     done = bake.rebake_rounds(lambda _: cells, lambda c: c, rounds=4, most=2)
