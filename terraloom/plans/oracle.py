@@ -389,6 +389,7 @@ def oracle_sql() -> dict[str, str]:
         "root_sizes": s(["states", "payloads"], "SELECT tile_id, CASE WHEN status = 'ok' THEN t_nodes END AS terrain_root, CASE WHEN status = 'ok' THEN p_nodes END AS population_root FROM states LEFT JOIN payloads USING (tile_id)"),
         "read_tile_dir": s(["files_of"], "SELECT tile_lat, tile_lon, bytes, digest FROM files_of"),
         "read_pack_tiles": s(["files_of"], "SELECT 'terrain' AS kind, tile_lat, tile_lon, bytes, digest FROM files_of"),
+        "read_pack_source": s(["files_of"], "SELECT 'terrain' AS kind, tile_lat, tile_lon, bytes, digest FROM files_of WHERE tile_lat >= -20 AND tile_lat < 40"),
         "validate_payloads": s(["files_of"], "SELECT tile_lat, tile_lon, CASE tile_id % 5 WHEN 2 THEN 'odd byte count' WHEN 3 THEN 'structure' ELSE 'root is a leaf' END AS error FROM files_of WHERE tile_id % 5 BETWEEN 2 AND 4 AND bytes > 1"),
         "budget_cuts": s(
             ["budgets", "t_cuts", "p_cuts"],

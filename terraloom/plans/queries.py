@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import codes, keys
 from ..operators import audit, bake, forest, grids, lookup, pack, pixels, select, tree
-from ..sources import files, packs, tables
+from ..sources import files, pack_source, packs, tables
 from ..sources.storage import shared_folder
 from ..streaming import bake_log as stream
 from .fixtures import view
@@ -163,6 +163,15 @@ def read_pack_tiles(spark: SparkSession, d: str) -> DataFrame:
     return packs.read_pack_tiles(spark, folder).select("kind", *CELL, F.length("payload").cast("long").alias("bytes"), digest("payload").alias("digest"))
 
 
+@query
+def read_pack_source(spark: SparkSession, d: str) -> DataFrame:
+    """Tiles of a band of the grid from the same pack files by the data source, several tasks a file."""
+    folder = shared_folder(spark, "packs")
+    packs.write_pack_parts(baked_tiles(spark, d).filter("terrain is not null").select(*CELL, F.col("terrain").alias("payload")), folder)
+    band = pack_source.read_packs(spark, folder).filter("tile_lat >= -20 and tile_lat < 40")
+    return band.select("kind", *CELL, F.length("payload").cast("long").alias("bytes"), digest("payload").alias("digest"))
+
+
 def _geojson(spark: SparkSession, d: str) -> str:
     path = shared_folder(spark, "geojson")
     w, e, s, n = (F.col(c) for c in ("lon_min", "lon_max", "lat_min", "lat_max"))
