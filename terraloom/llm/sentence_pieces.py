@@ -25,6 +25,11 @@ NONE = -np.inf
 INDEX_BITS = 18
 #: Words of so many characters are cut where no piece crosses.
 LONG_WORD = 48
+#: Words of over four windows advance in windows that share characters with the next. Where pieces
+#: repeat, as in a run of one letter, they fall in step again if the window's length divides by theirs.
+WINDOW, SHARED = 1680, 128
+#: Windows that advance together.
+MOST_WINDOWS = 600
 
 
 def _hashes(codes: np.ndarray) -> np.ndarray:
@@ -203,14 +208,51 @@ class PieceModel:
         row, end = np.nonzero(ends)
         return row, back[row, end], end
 
-    def segment(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, as little-endian 32-bit bytes; all words have one length."""
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64).reshape(len(words), -1)
-        h = _hashes(codes)
+    def _pieces(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(word, begin, end, piece) of the best paths of words given as rows of code points."""
+        h = _hashes(codes.astype(np.uint64))
         self._raise_power(h.shape[1])
         row, begin, end = self._cuts(h)
+        return row, begin, end, self._find(self._between(h, row, begin, end))
+
+    def _windowed(self, codes: np.ndarray) -> list[np.ndarray]:
+        """[begin, end, piece] of the only path of one long word of a file of the BPE kind.
+
+        After the first, which tells where a piece begins, its windows advance together. Where a
+        window and the next have a piece in common, the path goes on in the next: each two
+        neighbours are still side by side in one of the two, and such a path is the word's. If
+        two windows have none, the word advances as a whole.
+        """
+        own = [self._pieces(codes[None, :WINDOW])[1:]]
+        lead = int(own[0][0][np.searchsorted(own[0][0], WINDOW // 2)])
+        m = (len(codes) - lead - SHARED) // WINDOW
+        views = np.lib.stride_tricks.sliding_window_view(codes[lead:], WINDOW + SHARED)[::WINDOW]
+        for i in [*range(0, m, MOST_WINDOWS), m]:
+            some = codes[None, lead + m * WINDOW :] if i == m else views[i : min(m, i + MOST_WINDOWS)]
+            row, begin, end, at = self._pieces(some)
+            start = lead + WINDOW * (i + row)
+            edges = np.searchsorted(row, np.arange(len(some) + 1)).tolist()
+            own += [[x[a:b] for x in (begin + start, end + start, at)] for a, b in pairwise(edges)]
+        first, parts = 0, []
+        for here, after in pairwise(own):
+            _, i, j = np.intersect1d(*((b * (self.longest + 1) + e - b) for b, e, _ in (here, after)), assume_unique=True, return_indices=True)
+            if not len(i):
+                return list(self._pieces(codes[None])[1:])
+            parts.append([x[first : i[0]] for x in here])
+            first = j[0]
+        parts.append([x[first:] for x in own[-1]])
+        return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+    def segment(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian 32-bit bytes; all words have one length."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1)
+        if codes.shape[1] > 4 * WINDOW and not self.unigram:
+            each = [self._windowed(c) for c in codes]
+            row = np.repeat(np.arange(len(words)), [len(e[0]) for e in each])
+            begin, end, at = (np.concatenate(x) for x in zip(*each, strict=True))
+        else:
+            row, begin, end, at = self._pieces(codes)
         count = np.bincount(row, minlength=len(words))
-        at = self._find(self._between(h, row, begin, end))
         ids = np.where(at >= 0, self.ids[at], -1)
         first = np.cumsum(count) - count
         missing = set(row[at < 0].tolist())

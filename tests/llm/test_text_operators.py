@@ -1,6 +1,7 @@
 """Operators on documents against plain versions, on small inputs with every odd case."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -117,6 +118,20 @@ def test_pieces_equal_the_library(spark, odd, real):
     assert digests[r.doc_id].ids_crc32 == zlib.crc32(np.array(library.encode(r.text), "<u4").tobytes()) and all(d.same_text for d in digests.values())
 
 
+def test_long_words_in_windows_equal_the_library():
+    import sentencepiece
+
+    library, model = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model")), PieceModel(P.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(7)
+    words = ["a" * 9_001, "-" * 15_000, "ab" * 5_000, "xyzzy" * 1_601, "".join(rng.choice(list("etaoin"), 9_000)), "=" * 7_000 + "b" * 7, " " * 9_000 + "x"]
+    for word, got in zip(words, model.encode(words), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(word)
+    alike = "thethe" * 1_700
+    assert np.array_equal(model._windowed(np.array(list(map(ord, alike)))), model._pieces(np.array([list(map(ord, alike))]))[1:])
+    began = time.monotonic()
+    assert len(model.encode(["e" * 1_000_000])[0]) > 4 * 60_000 and time.monotonic() - began < 30
+
+
 def test_viterbi_equals_the_library_on_a_unigram_model(tmp_path, real):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
