@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -225,8 +226,9 @@ class Block:
         return p
 
 
-def _blocks(docs: DataFrame, held_mod: int, held_value: int, block_tokens: int, id_col: str, text_col: str) -> str:
-    """Makes the table of blocks, bucketed by block so that later joins leave it in place; its name."""
+@contextmanager
+def _blocks(docs: DataFrame, held_mod: int, held_value: int, block_tokens: int, id_col: str, text_col: str) -> Iterator[DataFrame]:
+    """The table of blocks, bucketed by block so that later joins leave it in place; in the shared folder, and gone in the end."""
     schema = arrow(BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,10 +267,15 @@ def _blocks(docs: DataFrame, held_mod: int, held_value: int, block_tokens: int,
             yield close()
 
     spark = docs.sparkSession
-    name = f"blocks_{uuid.uuid4().hex}"
+    name, path = f"blocks_{uuid.uuid4().hex}", scratch(spark, "katz-blocks")
     rows = docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"cast(`{text_col}` as string) text").mapInArrow(run, BLOCK)
-    rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option("compression", "zstd").saveAsTable(name)
-    return name
+    writer = rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    try:
+        writer.option("path", path).option("compression", "zstd").saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        removed(spark, path)
 
 
 def _rows(block: int, buckets: int, keys: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -404,9 +411,19 @@ def katz_scores(docs: DataFrame, order: int = 3, held_mod: int = 10, held_value:
     learned from, held_out null. Repeated rows: learned and scored each. Other columns: ignored.
     No rows: no rows; no training text: every word is unknown.
     """
-    spark, folder, whole = docs.sparkSession, model or scratch(docs.sparkSession, "katz"), model is not None
-    name = _blocks(docs, held_mod, held_value, block_tokens, id_col, text_col)
-    blocks = spark.table(name)
+    spark = docs.sparkSession
+    folder = model or scratch(spark, "katz")
+    try:
+        with _blocks(docs, held_mod, held_value, block_tokens, id_col, text_col) as blocks:
+            return _learned_scores(blocks, order, folder, whole=model is not None)
+    finally:
+        if model is None:
+            removed(spark, folder)
+
+
+def _learned_scores(blocks: DataFrame, order: int, folder: str, whole: bool) -> DataFrame:
+    """``katz_scores`` of a table of blocks; with ``whole`` the model's tables in ``folder`` are complete."""
+    spark = blocks.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-blocks.count() // BLOCKS_PER_BUCKET))
     told, discounts, below = None, [None, None], None
     total = kinds = 0
@@ -457,10 +474,7 @@ def katz_scores(docs: DataFrame, order: int = 3, held_mod: int = 10, held_value:
         return pa.Table.from_batches([_scored(block, p, total, kinds)])
 
     scores = written(with_answers(score, SCORES), "katz-scores")
-    spark.sql(f"DROP TABLE {name}")
-    if model is None:
-        removed(spark, folder)
-    else:
+    if whole:
         spark.createDataFrame([(order, buckets)], "`order` int, buckets int").coalesce(1).write.parquet(f"{folder}/shape")
     return scores
 
@@ -478,14 +492,22 @@ def katz_model_scores(docs: DataFrame, model: str, held_mod: int = 10, held_valu
     Blocks ask for their distinct n-grams, level by level, and then for the weights of contexts;
     asks meet the tables by bucket. ``held_out`` is that of the ids given. Odd rows: as there.
     """
-    spark, folder = docs.sparkSession, scratch(docs.sparkSession, "katz-asks")
+    folder = scratch(docs.sparkSession, "katz-asks")
+    try:
+        with _blocks(docs, held_mod, held_value, block_tokens, id_col, text_col) as blocks:
+            return _model_scores(blocks, model, folder)
+    finally:
+        removed(docs.sparkSession, folder)
+
+
+def _model_scores(blocks: DataFrame, model: str, folder: str) -> DataFrame:
+    """``katz_model_scores`` of a table of blocks; answers go to ``folder``."""
+    spark = blocks.sparkSession
     order, buckets = spark.read.parquet(f"{model}/shape").first()
     levels = {n: spark.read.schema(TOLD).parquet(f"{model}/level-{n}") for n in range(1, order + 1)}
     sums = {n: _sums(t) for n, t in levels.items()}
     total, kinds, *small = sums[1]
     below, discounts, told = Unigrams(total, small), [None, None, *(Discounts(sums[n][2:]) for n in range(2, order + 1))], None
-    name = _blocks(docs, held_mod, held_value, block_tokens, id_col, text_col)
-    blocks = spark.table(name)
 
     def with_answers(made, schema: str) -> DataFrame:
         if told is None:
@@ -513,7 +535,4 @@ def katz_model_scores(docs: DataFrame, model: str, held_mod: int = 10, held_valu
         answers = _kept(_look_up(with_answers(ask if n else ask_weights, ASK), tables.filter("kind = 'table'")), f"{folder}/level-{n}")
         said = answers.select("block", "bucket", "told", "weights", F.lit(n).alias("level"))
         told = said if told is None else told.unionByName(said)
-    scores = written(with_answers(score, SCORES), "katz-scores")
-    spark.sql(f"DROP TABLE {name}")
-    removed(spark, folder)
-    return scores
+    return written(with_answers(score, SCORES), "katz-scores")
