@@ -14,6 +14,8 @@ from .components import components
 
 #: Runs of more rows than this with one key are searched from row to row, shorter ones by lag.
 SHORT_RUN = 8
+#: Keys that may be split, at most; their list is broadcast.
+SPLIT_KEYS = 500_000
 
 
 def fingerprint(text: bytes, shingle: int, seed: int) -> int:
@@ -195,10 +197,10 @@ def _salted(rows: DataFrame, most: int) -> DataFrame:
     """Splits keys of more than ``most`` rows: each pair of salts of such a key is a key of its own.
 
     Every two rows of the key still meet in one task; each row goes to as many keys as there
-    are salts.
+    are salts. The caller's ``most`` bounds the number of such keys, so they are broadcast.
     """
     hot = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > most)
-    hot = hot.select("key", F.ceil(2 * F.col("n") / most).cast("int").alias("salts"))
+    hot = F.broadcast(hot.select("key", F.ceil(2 * F.col("n") / most).cast("int").alias("salts")))
     rows = rows.join(hot, "key", "left").withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int"))
     other = F.explode(F.when(F.col("salts").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("salts") - 1)))
     rows = rows.withColumn("other", other)
@@ -206,14 +208,18 @@ def _salted(rows: DataFrame, most: int) -> DataFrame:
     return rows.select(F.when(F.col("salts").isNull(), F.col("key")).otherwise(pair).alias("key"), "fp", "node")
 
 
-def links(classes: DataFrame, radius: int = 4, rows_per_task: int = 400_000, bucket_rows: int = 1_000_000) -> DataFrame:
-    """Pairs a > b of nodes that connect every two of ``classes`` (fp, node) within the radius."""
+def links(classes: DataFrame, radius: int = 4, rows_per_task: int = 400_000, bucket_rows: int = 50_000) -> DataFrame:
+    """Pairs a > b of nodes that connect every two of ``classes`` (fp, node) within the radius.
+
+    A key is split where it has over ``bucket_rows`` rows, and over its part of all rows if
+    ``SPLIT_KEYS`` keys shared them.
+    """
     n = classes.count()
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     tables = (radius + 2) * (radius + 1) // 2
     rows = classes.select("fp", "node", F.explode(F.array(*_keys(F.col("fp"), radius))).alias("key"))
-    if n > bucket_rows:
-        rows = _salted(rows, bucket_rows)
+    if n > bucket_rows:  # or no key can have as many
+        rows = _salted(rows, max(bucket_rows, -(-tables * n // SPLIT_KEYS)))
     parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-tables * n // rows_per_task))
 
     def run(group: pa.Table) -> pa.Table:
@@ -225,7 +231,7 @@ def links(classes: DataFrame, radius: int = 4, rows_per_task: int = 400_000, buc
     return rows.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).groupBy("part").applyInArrow(run, "a long, b long").distinct()
 
 
-def simhash_groups(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, bucket_rows: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def simhash_groups(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, bucket_rows: int = 50_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every whole text.
 
     Fingerprints that differ in at most ``radius`` (0 to 7) bits link; component_id is the
