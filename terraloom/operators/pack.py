@@ -76,13 +76,13 @@ def pack_layout(files: DataFrame, size: str = "terrain_bytes") -> DataFrame:
     """Offset of each tile in a pack: running sum of sizes in file-name order.
 
     Only names and sizes are ordered, column by column of the grid, after the sizes of all columns
-    whose names come before; payloads aren't.
+    whose names come before; payloads aren't. Tiles of the same cell lie in order of size.
     """
     name = keys.file_name(F.col("tile_lat"), F.col("tile_lon"))
     rows = on_grid(files).filter(F.col(size).isNotNull()).select(name.alias("name"), "tile_lat", "tile_lon", F.col(size).cast("long").alias(size))
     index = keys.tile_index(F.col("tile_lat"), F.col("tile_lon"))
     group = F.concat(F.col("tile_lon").cast("string"), F.lit("_"))  # no other group's names come between
-    before = F.sum(size).over(Window.partitionBy("_group").orderBy("name").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum(size).over(Window.partitionBy("_group").orderBy("name", size).rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_group", group).join(F.broadcast(running_starts(rows, group, F.sum(size))), "_group")
     return rows.select("name", index.alias("tile_idx"), (F.col("_start") + F.coalesce(before, F.lit(0))).cast("long").alias("offset"), F.col(size).alias("size"))
 
