@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+from terraloom.operators import grids, pack
 from terraloom.plans.oracle import oracle_sql
 from terraloom.plans.queries import QUERIES
 from test_oracle import DATA, plain
@@ -35,6 +36,15 @@ def same_rows(spark, tables, name):
     assert ours == sorted(tuple(plain(r[i]) for i in at) for r in found.fetchall()) != []
 
 
-@pytest.mark.parametrize("name", ["pair_tiles"])
+@pytest.mark.parametrize("name", ["pair_tiles", "decode_tiles"])
 def test_same_rows_where_cells_repeat(spark, tables, name):
     same_rows(spark, tables, name)
+
+
+def test_order_of_rows_does_not_change_layout_or_shares(spark):
+    rows = [(i, i % 3, 7, 10 * (i * 7 % 12)) for i in range(12)]
+    made = [spark.createDataFrame(r, "tile_id long, tile_lat int, tile_lon int, terrain_bytes long").coalesce(1) for r in (rows, rows[::-1])]
+    assert len({tuple(sorted(map(tuple, pack.pack_layout(m).collect()))) for m in made}) == 1
+    assert len({tuple(sorted(map(tuple, grids.split_tiles(m, 2, 5).collect()))) for m in made}) == 1
+    laid = sorted(pack.pack_layout(made[0]).collect(), key=lambda r: (r.offset, r["size"]))
+    assert [r.offset for r in laid] == [sum(x["size"] for x in laid[:i]) for i in range(12)]
