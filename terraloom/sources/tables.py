@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.keys import shard_origin
-from ..operators.select import CELL
+from ..operators.select import tile_key_of
 from .storage import shared_folder
 
 SHARD = ["shard_lat", "shard_lon"]
@@ -27,7 +27,7 @@ def read_tiles(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def replace_tiles(spark: SparkSession, path: str, new: DataFrame, degrees: int = 10) -> int:
-    """Puts new rows in place of the old ones of their cells; returns how many shards were written.
+    """Puts new rows in place of the old ones of their tiles (by tile_id where there is one, else cell); returns how many shards were written.
 
     Only shards that hold a new row are read and written. Their rows go to a table of
     their own first and take the place of the old files when that is whole, so if a task
@@ -38,7 +38,8 @@ def replace_tiles(spark: SparkSession, path: str, new: DataFrame, degrees: int =
         return 0
     old = read_tiles(spark, path, new)
     here = old.filter(F.concat_ws(",", *SHARD).isin([f"{a},{b}" for a, b in touched]))
-    kept = here.select(new.columns).join(new.select(*CELL).distinct(), CELL, "left_anti").select(new.columns)
+    key = tile_key_of(new)
+    kept = here.select(new.columns).join(new.select(*key).distinct(), key, "left_anti").select(new.columns)
     made = shared_folder(spark, "replaced")
     kept.unionByName(new).write.parquet(made)
     write_tiles(spark.read.schema(new.schema).parquet(made), path, degrees)

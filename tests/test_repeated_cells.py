@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from terraloom.operators import grids, pack
+from terraloom.operators import bake, grids, pack
 from terraloom.plans.oracle import oracle_sql
 from terraloom.plans.queries import QUERIES
 from test_oracle import DATA, plain
@@ -36,11 +36,18 @@ def same_rows(spark, tables, name):
     assert ours == sorted(tuple(plain(r[i]) for i in at) for r in found.fetchall()) != []
 
 
-@pytest.mark.parametrize("name", ["pair_tiles", "decode_tiles", "point_query_terrain", "point_query_population", "heat_map_query", "panel_query", "scan_problem_tiles", "top_mismatches", "density_p99", "sample_grid_query", "city_status_counts", "city_mismatch"])
+@pytest.mark.parametrize("name", ["pair_tiles", "decode_tiles", "point_query_terrain", "point_query_population", "heat_map_query", "panel_query", "scan_problem_tiles", "top_mismatches", "density_p99", "sample_grid_query", "city_status_counts", "city_mismatch", "rebake_rounds"])
 def test_same_rows_where_cells_repeat(spark, tables, name):
     same_rows(spark, tables, name)
 
 
+def test_rounds_count_tiles_and_take_those_of_a_cell_by_id(spark):
+    rows = [(i, i % 2, 7) for i in range(6)]
+    tiles = spark.createDataFrame(rows, "tile_id long, tile_lat int, tile_lon int")
+    done = bake.rebake_rounds(lambda _: tiles, lambda t: t, rounds=None, most=2, key=["tile_id", "tile_lat", "tile_lon"])
+    assert sorted((r["round"], r.tile_id) for r in done.collect()) == [(1, 0), (1, 2), (2, 1), (2, 4), (3, 3), (3, 5)]
+
+
 def test_order_of_rows_does_not_change_layout_or_shares(spark):
     rows = [(i, i % 3, 7, 10 * (i * 7 % 12)) for i in range(12)]
     made = [spark.createDataFrame(r, "tile_id long, tile_lat int, tile_lon int, terrain_bytes long").coalesce(1) for r in (rows, rows[::-1])]
