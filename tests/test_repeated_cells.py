@@ -2,7 +2,9 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from terraloom.functions import codes
 from terraloom.operators import bake, grids, pack
 from terraloom.plans.oracle import oracle_sql
 from terraloom.plans.queries import QUERIES
@@ -55,3 +57,11 @@ def test_order_of_rows_does_not_change_layout_or_shares(spark):
     assert len({tuple(sorted(map(tuple, grids.split_tiles(m, 2, 5).collect()))) for m in made}) == 1
     laid = sorted(pack.pack_layout(made[0]).collect(), key=lambda r: (r.offset, r["size"]))
     assert [r.offset for r in laid] == [sum(x["size"] for x in laid[:i]) for i in range(12)]
+
+
+def test_heights_of_codes_read_the_code_once_a_piece(spark):
+    rows = [(None,), (-5,), (0,), *((x,) for x in range(1, 2048)), (3000,)]
+    got = [r.x for r in spark.createDataFrame(rows, "code int").coalesce(1).select(codes.decode_elevation(F.col("code")).alias("x")).collect()]
+    want = [next(h + (s - first) * step for h, first, step in reversed(codes.PIECES) if s >= first) for s in (min(2047, max(0, r[0] or 0)) for r in rows)]
+    assert got == [None, *want[1:]]
+    assert str(codes.decode_elevation(F.col("code"))).count("code") <= 1 + len(codes.PIECES)
