@@ -98,17 +98,17 @@ def new_tiles(files: DataFrame, pack: DataFrame) -> DataFrame:
     return files.join(pack.select(*CELL), CELL, "left_anti")
 
 
-def incremental_pack(pack: DataFrame, tiles: DataFrame, content: str = "size") -> DataFrame:
-    """The pack after new and changed tiles; what only the pack has stays.
+def incremental_pack(pack: DataFrame, tiles: DataFrame, content: str = "size", key: list[str] = CELL) -> DataFrame:
+    """The pack after new and changed tiles; what only the pack has stays. ``key`` tells tiles apart.
 
     Changes are found by a hash of the content. The result is that of packing everything anew.
     """
-    old = pack.select(*CELL, F.col(content).alias("_old"), F.lit(True).alias("_had"))
-    new = tiles.select(*CELL, F.col(content).alias("_new"), F.lit(True).alias("_has"))
-    both = old.join(new, CELL, "full")
+    old = pack.select(*key, F.col(content).alias("_old"), F.lit(True).alias("_had"))
+    new = tiles.select(*key, F.col(content).alias("_new"), F.lit(True).alias("_has"))
+    both = old.join(new, key, "full")
     same = F.xxhash64("_old") == F.xxhash64("_new")
     change = F.when(F.col("_had").isNull(), "new").when(F.col("_has").isNull() | same, "same").otherwise("changed")
-    return both.select(*CELL, F.when(F.col("_has"), F.col("_new")).otherwise(F.col("_old")).alias(content), change.alias("change"))
+    return both.select(*key, F.when(F.col("_has"), F.col("_new")).otherwise(F.col("_old")).alias(content), change.alias("change"))
 
 
 def merge_packs(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def same_rows(spark, tables, name):
     assert ours == sorted(tuple(plain(r[i]) for i in at) for r in found.fetchall()) != []
 
 
-@pytest.mark.parametrize("name", ["pair_tiles", "decode_tiles", "point_query_terrain", "point_query_population", "heat_map_query", "panel_query", "scan_problem_tiles", "top_mismatches", "density_p99", "sample_grid_query", "city_status_counts", "city_mismatch", "rebake_rounds"])
+@pytest.mark.parametrize("name", ["pair_tiles", "decode_tiles", "point_query_terrain", "point_query_population", "heat_map_query", "panel_query", "scan_problem_tiles", "top_mismatches", "density_p99", "sample_grid_query", "city_status_counts", "city_mismatch", "rebake_rounds", "incremental_payloads"])
 def test_same_rows_where_cells_repeat(spark, tables, name):
     same_rows(spark, tables, name)
 
