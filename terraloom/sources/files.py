@@ -12,7 +12,7 @@ RING = "array<array<double>>"
 
 
 def read_tile_dir(spark: SparkSession, folder: str, kind: str = "terrain") -> DataFrame:
-    """tile_lat, tile_lon and payload of ``lon_lat`` files; other names and keys off the grid are skipped."""
+    """tile_lat, tile_lon and payload of ``lon_lat`` files, of all layers where the folder has such; other names and keys off the grid are skipped."""
     suffix = {"terrain": "qtree", "population": "pop"}[kind]
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(folder)
     parts = F.split(F.regexp_extract("path", r"([^/]*)\.[a-z]+$", 1), "_")
