@@ -68,11 +68,14 @@ def read_pack_tiles(spark: SparkSession, path: str, frame_bytes: int = 16 << 20)
 def write_pack_parts(tiles: DataFrame, folder: str, kind: str = "terrain", degrees: int = 30) -> int:
     """Writes a pack file per square of ``degrees`` of the tiles (tile_lat, tile_lon, payload); returns how many tiles.
 
-    Of several rows of a cell the longest payload, then the first in order, is packed. Each part
+    Of several rows of a cell the longest payload, then the first in order, is packed; where tiles
+    have a layer (see ``with_layer``), of each, and a layer has parts of its own. Each part
     has the whole index, so it can be read alone. Blobs go to the file as they come, and the header
     and index are known by then from their sizes alone; a repeated task writes the file anew.
     """
 
+    layered = ["layer"] if "layer" in tiles.columns else []
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         import zstandard
 
@@ -86,7 +89,8 @@ def write_pack_parts(tiles: DataFrame, folder: str, kind: str = "terrain", degre
                 index[(lat + 90) * WIDTH + lon + 180] = at, len(blob)
                 at, raw = at + len(blob), raw + len(payload)
                 out.write(blob)
-        with store.open_output_stream(f"{path}/part_{key[0]:+03d}_{key[1]:+04d}.dat") as out, store.open_input_stream(part) as blobs:
+        layer = f"_{key[2]}" if layered else ""
+        with store.open_output_stream(f"{path}/part_{key[0]:+03d}_{key[1]:+04d}{layer}.dat") as out, store.open_input_stream(part) as blobs:
             out.write(struct.pack(PACK_HEADER, PACK_MAGIC[kind], 2, WIDTH, HEIGHT, len(rows), at, raw, 1, 0) + index.tobytes())
             while data := blobs.read(4 << 20):
                 out.write(data)
@@ -95,6 +99,6 @@ def write_pack_parts(tiles: DataFrame, folder: str, kind: str = "terrain", degre
 
     square = {"lat_0": shard_origin(F.col("tile_lat"), -90, degrees), "lon_0": shard_origin(F.col("tile_lon"), -180, degrees)}
     rows = tiles.filter("payload is not null").filter(F.col("tile_lat").between(-90, 89) & F.col("tile_lon").between(-180, 179))
-    best = F.row_number().over(Window.partitionBy("tile_lat", "tile_lon").orderBy(F.desc(F.length("payload")), "payload"))
-    rows = rows.select("tile_lat", "tile_lon", "payload", best.alias("_place")).filter("_place = 1").drop("_place").withColumns(square)
-    return rows.groupBy("lat_0", "lon_0").applyInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    best = F.row_number().over(Window.partitionBy("tile_lat", "tile_lon", *layered).orderBy(F.desc(F.length("payload")), "payload"))
+    rows = rows.select("tile_lat", "tile_lon", "payload", *layered, best.alias("_place")).filter("_place = 1").drop("_place").withColumns(square)
+    return rows.groupBy("lat_0", "lon_0", *layered).applyInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

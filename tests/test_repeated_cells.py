@@ -1,11 +1,14 @@
 """Tables so large that cells have several tiles: the orders and parts of the smallest tables, dealt over repeated cells."""
 
+import struct
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from terraloom.functions import codes
-from terraloom.operators import bake, grids, pack
+from terraloom.operators import bake, grids, pack, pixels, tree
+from terraloom.plans import fixtures, queries
 from terraloom.plans.oracle import oracle_sql
 from terraloom.plans.queries import QUERIES
 from test_oracle import DATA, plain
@@ -65,3 +68,36 @@ def test_heights_of_codes_read_the_code_once_a_piece(spark):
     want = [next(h + (s - first) * step for h, first, step in reversed(codes.PIECES) if s >= first) for s in (min(2047, max(0, r[0] or 0)) for r in rows)]
     assert got == [None, *want[1:]]
     assert str(codes.decode_elevation(F.col("code"))).count("code") <= 1 + len(codes.PIECES)
+
+
+@pytest.mark.parametrize("name", ["read_tile_dir", "read_pack_tiles", "read_pack_source"])
+def test_each_tile_of_a_cell_has_its_own_file_or_entry(spark, tables, name):
+    same_rows(spark, tables, name)
+
+
+@pytest.mark.parametrize("name", ["validate_payloads", "bake_tiles", "budget_cuts", "overview_query", "deep_tree_sizes"])
+def test_same_rows_of_jobs_on_many_tiles(spark, tables, name):
+    same_rows(spark, tables, name)
+
+
+def test_shards_order_tiles_of_a_cell_by_size_and_point_at_the_longest(spark):
+    cells = [(0, 1, b"cccc"), (0, 0, b"bbbbb"), (0, 0, b"a"), (0, 0, b"bbbba"), (0, 2, b"dd")]
+    made = []
+    for rows in (cells, cells[::-1]):
+        tiles = spark.createDataFrame([(a, b, bytearray(p)) for a, b, p in rows], "tile_lat int, tile_lon int, payload binary").coalesce(1)
+        made.append([(r.seq, r.at, bytes(r.chunk)) for r in pack.shard_chunks(tiles, chunk_bytes=1).orderBy("seq").collect()])
+    assert made[0] == made[1] and [c for _, _, c in made[0][1:]] == [b"a", b"bbbba", b"bbbbb", b"cccc", b"dd"]
+    assert struct.unpack_from(pack.SHARD_ENTRY, made[0][0][2], pack.SHARD_HEADER_BYTES) == (6, 5)
+
+
+def test_partitions_of_tiles_grow_with_the_table(spark, tables, monkeypatch):
+    """Every step that holds tiles has so many partitions, whatever Spark makes of other shuffles."""
+    _, folder = tables
+    assert fixtures.pixel_parts(spark, folder) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(fixtures, "TASK_PIXELS", 1 << 13)
+    parts = fixtures.pixel_parts(spark, folder)
+    assert parts == 9 and int(spark.conf.get("spark.sql.shuffle.partitions")) < parts
+    fused = bake.fused_tiles(fixtures.dealt_view(spark, folder, "px", parts), queries.SIDE, parts=parts)
+    ok = pixels.dealt(fused.filter("status = 'ok'"), parts)
+    held = [fused, bake.grown_trees(fused, queries.SIDE, parts=parts), bake.linear_tiles(fused, queries.SIDE, parts), tree.population_leaves(queries.array_pyramid(ok)), queries._deep_pyramid(spark, folder)]
+    assert [df.rdd.getNumPartitions() for df in held] == [parts] * 5
