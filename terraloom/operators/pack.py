@@ -166,7 +166,7 @@ def shard_chunks(tiles: DataFrame, degrees: int = 10, prefix: str = "terrain", c
     Header and index come first, and then the payloads in file-name order. The index follows from
     sizes alone: columns make it per shard, beside at most degrees x degrees entries. Payloads
     are then sorted by shard and name and pass through their task in batches, so no shard is in
-    memory. ``raw``: a column of sizes unpacked, where payloads are packed. A shard of 4 GiB or
+    memory. Of several tiles of a cell, all in order of size and content, the index has the longest. ``raw``: a column of sizes unpacked, where payloads are packed. A shard of 4 GiB or
     more is refused.
     """
     kind = 1 if prefix == "terrain" else 2
@@ -177,6 +177,7 @@ def shard_chunks(tiles: DataFrame, degrees: int = 10, prefix: str = "terrain", c
     heads = keyed.groupBy(*shard).agg(F.sort_array(F.collect_list(entry)).alias("entries")).withColumns({"name": F.lit(""), "payload": F.lit(None).cast("binary")})
     nothing = F.lit(None).cast(heads.schema["entries"].dataType)
     rows = heads.unionByName(keyed.select(*shard, "name", "payload", nothing.alias("entries")))
+    order = ["path", "name", F.length("payload"), "payload"]
 
     def head(r: dict) -> bytes:
         index, at = bytearray(r["tile_w"] * r["tile_h"] * SHARD_ENTRY_BYTES), 0
@@ -205,7 +206,7 @@ def shard_chunks(tiles: DataFrame, degrees: int = 10, prefix: str = "terrain", c
         if held:
             yield out()
 
-    return rows.repartition("path").sortWithinPartitions("path", "name").groupBy("path").applyInArrow(run, CHUNKS)
+    return rows.repartition("path").sortWithinPartitions(*order).groupBy("path").applyInArrow(run, CHUNKS)
 
 
 def fix_ocean(files: DataFrame, land: DataFrame, force: bool = False) -> DataFrame:
