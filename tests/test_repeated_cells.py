@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terraloom.functions import codes
-from terraloom.operators import bake, grids, pack, pixels, tree
+from terraloom.operators import audit, bake, grids, pack, pixels, tree
 from terraloom.plans import fixtures, queries
 from terraloom.plans.oracle import oracle_sql
 from terraloom.plans.queries import QUERIES
@@ -101,3 +101,15 @@ def test_partitions_of_tiles_grow_with_the_table(spark, tables, monkeypatch):
     ok = pixels.dealt(fused.filter("status = 'ok'"), parts)
     held = [fused, bake.grown_trees(fused, queries.SIDE, parts=parts), bake.linear_tiles(fused, queries.SIDE, parts), tree.population_leaves(queries.array_pyramid(ok)), queries._deep_pyramid(spark, folder)]
     assert [df.rdd.getNumPartitions() for df in held] == [parts] * 5
+
+
+def test_a_heat_map_point_meets_each_layer_by_the_cell(spark):
+    """Two tiles with data in a cell: a row for each of them, with each terrain leaf and each population leaf."""
+    def leaves(code):
+        return [(0, codes.LEAF | code)]
+
+    fields = "tile_id long, tile_lat int, tile_lon int, is_water boolean, t_leaves array<struct<begin:int,code:int>>, p_leaves array<struct<begin:int,code:int>>"
+    linear = spark.createDataFrame([(1, 3, 7, False, leaves(5 << 4 | 1), leaves(0)), (2, 3, 7, False, leaves(9 << 4 | 2), leaves(1))], fields)
+    points = spark.createDataFrame([(1, 3.5, 7.5), (2, 4.5, 7.5)], "item_id int, la double, lo double")
+    found = sorted(map(tuple, audit.grid_samples(points, linear).select("item_id", "elevation", "urban").collect()), key=str)
+    assert found == sorted([(1, e, u) for e in (5, 9) for u in (0, 1)] * 2 + [(2, None, None)], key=str)
