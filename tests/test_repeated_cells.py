@@ -113,3 +113,14 @@ def test_a_heat_map_point_meets_each_layer_by_the_cell(spark):
     points = spark.createDataFrame([(1, 3.5, 7.5), (2, 4.5, 7.5)], "item_id int, la double, lo double")
     found = sorted(map(tuple, audit.grid_samples(points, linear).select("item_id", "elevation", "urban").collect()), key=str)
     assert found == sorted([(1, e, u) for e in (5, 9) for u in (0, 1)] * 2 + [(2, None, None)], key=str)
+
+
+def test_leaves_of_an_archive_are_never_broadcast(spark):
+    """However small the files of the leaves are, a task holds those of its own cells only."""
+    fields = "tile_id long, tile_lat int, tile_lon int, is_water boolean, t_leaves array<struct<begin:int,code:int>>, p_leaves array<struct<begin:int,code:int>>"
+    linear = spark.createDataFrame([(1, 3, 7, False, [(0, codes.LEAF | 5 << 4 | 1)], [(0, codes.LEAF)])], fields)
+    cities = spark.createDataFrame([(1, "a", 3.5, 7.5, 5.0), (2, "b", 4.5, 7.5, 5.0)], "city_id long, n string, la double, lo double, p double")
+    for found in (audit.city_mismatch(cities, linear, 0), audit.verify_cities(cities, linear), audit.grid_samples(cities, linear)):
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
