@@ -124,3 +124,18 @@ def test_leaves_of_an_archive_are_never_broadcast(spark):
         found.collect()
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_coastal_cells_are_broadcast_and_cities_are_not(spark):
+    """Cells are bounded by the grid, cities by nothing."""
+    fields = "tile_id long, tile_lat int, tile_lon int, is_water boolean, t_leaves array<struct<begin:int,code:int>>, p_leaves array<struct<begin:int,code:int>>"
+    linear = spark.createDataFrame([(i, i % 90, i, False, [(0, codes.LEAF)], [(0, codes.LEAF | 4000 << 3)]) for i in range(170)], fields)
+    cities = spark.createDataFrame([(1, "a", 3.5, 3.5, 5.0), (2, "b", 4.5, 4.5, 5.0), (3, "c", 4.2, 4.2, 5.0), (4, "d", 4.5, 3.5, 5.0)], "city_id long, n string, la double, lo double, p double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = audit.coastal_problem_tiles(cities, linear)
+        assert sorted(map(tuple, found.collect())) == [(3, 3, "a"), (4, 4, "b,c")]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("BroadcastExchange") == 1 and "city_id" not in plan[plan.index("BroadcastExchange") :]
