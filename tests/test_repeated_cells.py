@@ -139,3 +139,12 @@ def test_coastal_cells_are_broadcast_and_cities_are_not(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert plan.count("BroadcastExchange") == 1 and "city_id" not in plan[plan.index("BroadcastExchange") :]
+
+
+def test_a_panel_keeps_points_of_both_layers_only(spark):
+    """Two tiles with data in a cell, as in the map above; a point without a tile is left out."""
+    fields = "tile_id long, tile_lat int, tile_lon int, is_water boolean, t_leaves array<struct<begin:int,code:int>>, p_leaves array<struct<begin:int,code:int>>"
+    tiles = [(k, 3, 7, False, [(0, codes.LEAF | e << 4 | 1)], [(0, codes.LEAF | u)]) for k, e, u in ((1, 5, 0), (2, 9, 1))]
+    points = spark.createDataFrame([(1, 3.5, 7.5), (2, 4.5, 7.5)], "item_id int, la double, lo double")
+    found = audit.grid_samples(points, spark.createDataFrame(tiles, fields), both=True).select("item_id", "elevation", "urban")
+    assert sorted(map(tuple, found.collect())) == sorted([(1, e, u) for e in (5, 9) for u in (0, 1)] * 2)
