@@ -148,3 +148,26 @@ def test_a_panel_keeps_points_of_both_layers_only(spark):
     points = spark.createDataFrame([(1, 3.5, 7.5), (2, 4.5, 7.5)], "item_id int, la double, lo double")
     found = audit.grid_samples(points, spark.createDataFrame(tiles, fields), both=True).select("item_id", "elevation", "urban")
     assert sorted(map(tuple, found.collect())) == sorted([(1, e, u) for e in (5, 9) for u in (0, 1)] * 2)
+
+
+def test_rounds_of_one_scan_are_baked_together(spark, tables, monkeypatch):
+    """However many rounds a list needs, tiles are scanned twice, and the rounds are those of the SQL."""
+    con, folder = tables
+    scans, scan, rounds = [], audit.scan_problem_tiles, bake.rebake_rounds
+    monkeypatch.setattr(audit, "scan_problem_tiles", lambda *a: scans.append(1) or scan(*a))
+    monkeypatch.setattr(bake, "rebake_rounds", lambda *a, **k: rounds(*a, **k, most=4))
+    got = sorted((r.tile_lat, r.tile_lon, r["round"]) for r in QUERIES["rebake_rounds"](spark, folder).collect())
+    sql = oracle_sql()["rebake_rounds"].replace("// 2000", "// 4")
+    assert got == sorted(con.execute(f"SELECT tile_lat, tile_lon, round FROM ({sql})").fetchall()) and max(r for *_, r in got) > 2 == len(scans)
+
+
+@pytest.mark.parametrize("at_once", [1, 2, None])
+@pytest.mark.parametrize("rounds", [2, None])
+def test_rounds_are_the_same_however_many_are_baked_at_once(spark, rounds, at_once):
+    key = ["tile_id", "tile_lat", "tile_lon"]
+    tiles = spark.createDataFrame([(i, i % 2, -7 if i < 3 else -70) for i in range(7)], "tile_id long, tile_lat int, tile_lon int")
+    calls = []
+    done = bake.rebake_rounds(lambda k: calls.append(k) or tiles, lambda t: t.withColumn("status", F.lit("ok")), rounds=rounds, most=2, key=key, at_once=at_once)
+    want = [(1, 4, "ok"), (1, 6, "ok"), (2, 3, "ok"), (2, 5, "ok"), (3, 0, "ok"), (3, 2, "ok"), (4, 1, "ok")]
+    assert sorted(((r["round"], r.tile_id, r.status) for r in done.collect()), key=str) == sorted([(None, i, None) if rounds and k > rounds else (k, i, s) for k, i, s in want], key=str)
+    assert calls == {(2, 1): [1, 2], (None, 1): [1, 2, 3, 4, 5], (None, 2): [1, 3, 5], (None, None): [1, 5]}.get((rounds, at_once), [1])
